@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("sharding", "packing", "linededup", "media", "mixing")
+MODULES = ("nearjoin", "sharding", "packing", "vectors", "toxicity", "linededup", "media", "lm", "substrings", "mixing")
 
 
 def _all(what: str) -> dict:
