@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .staging import staged
-from .words import NOT_LETTER, each_chunk, signed
+from .words import NOT_LETTER, Words, each_chunk, signed
 
 BLOCK = 64
 
@@ -19,7 +19,7 @@ class Examples:
     """Labelled examples in block-max inverted lists: postings by term in blocks of examples, with each block's maximum."""
 
     def __init__(self, terms: np.ndarray, idf: np.ndarray, vectors: list[tuple[int, float, float, list[int], list[float]]], empty: float, vote: float, k: int):
-        self.terms, self.idf, self.empty, self.vote, self.k = terms, idf, empty, vote, k
+        self.index, self.idf, self.empty, self.vote, self.k = TermIndex(terms), idf, empty, vote, k
         self.ids = np.array([v[0] for v in vectors], np.int64)
         self.label = np.array([v[1] for v in vectors])
         self.share = np.array([v[2] for v in vectors])  # how many labelled documents the example stands for
@@ -69,7 +69,7 @@ class Examples:
 
     def score(self, term_index: np.ndarray) -> tuple[float, list[int], list[float]]:
         """Share of toxic votes, and the evidence: examples and cosines."""
-        if not len(term_index):
+        if not len(term_index) or not len(self.ids):
             return self.empty, [], []
         key = tuple(sorted(term_index.tolist()))
         if key not in self.known:
@@ -82,80 +82,135 @@ class Examples:
         return self.known[key]
 
 
-def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents that hold a term: all, labelled 1, labelled 0; one row for each term and batch."""
+#: Bytes of word beginnings that are terms beside the words.
+PREFIXES = (4, 5, 6, 7, 8)
+
+
+def _terms(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Terms of a chunk, words and beginnings of words, and the place of each one's document in the chunk."""
+    own = np.repeat(np.arange(w.last - w.first), np.diff(w.at))
+    parts = [(w.hash, own), *((h, own[k]) for h, k in map(w.prefixes, PREFIXES))]
+    return signed(np.concatenate([p[0] for p in parts])), np.concatenate([p[1] for p in parts])
+
+
+class TermIndex:
+    """Places of terms in a sorted list of them; a table of hash beginnings turns most others away."""
+
+    def __init__(self, terms: np.ndarray):
+        self.terms = terms
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[terms.view(np.uint64) >> np.uint64(44)] = True
+
+    def of(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
+        """(document in the chunk, place of the term) of each listed term, by document."""
+        t, own = _terms(w)
+        some = np.flatnonzero(self.maybe[t.view(np.uint64) >> np.uint64(44)])
+        t, own = t[some], own[some]
+        at = np.minimum(np.searchsorted(self.terms, t), len(self.terms) - 1)
+        hit = self.terms[at] == t
+        at, own = at[hit], own[hit]
+        order = np.argsort(own, kind="stable")
+        return own[order], at[order]
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents that hold a term, one row for each term and batch."""
     for batch in batches:
-        label = batch.column(1).to_numpy(zero_copy_only=False)
-        terms, docs, at = [], [], 0
+        terms = []
         for w in each_chunk(batch.column(0), NOT_LETTER, lower=True):
-            n = np.diff(w.at)
-            for d in np.flatnonzero(n):
-                terms.append(np.unique(w.hash[w.at[d] : w.at[d + 1]]))
-                docs.append(np.full(len(terms[-1]), at + d))
-            at += w.last - w.first
+            t, own = _terms(w)
+            order = np.lexsort((own, t))
+            t, own = t[order], own[order]
+            new = np.ones(len(t), bool)
+            new[1:] = (t[1:] != t[:-1]) | (own[1:] != own[:-1])
+            terms.append(t[new])
         if terms:
-            t, place, n = np.unique(np.concatenate(terms), return_inverse=True, return_counts=True)
-            y = label[np.concatenate(docs)]
-            one, zero = np.bincount(place, y == 1, len(t)), np.bincount(place, y == 0, len(t))
-            some = one + zero > 0  # a term that no labelled document holds can't be chosen
-            yield pa.RecordBatch.from_arrays([pa.array(signed(t)[some]), pa.array(n[some]), pa.array(one[some].astype(np.int64)), pa.array(zero[some].astype(np.int64))], ["term", "n", "ones", "zeros"])
-
+            t, n = np.unique(np.concatenate(terms), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(n)], ["term", "ones"])
 
-def _find(w, terms: np.ndarray) -> np.ndarray:
-    """Index of each word in the sorted terms, -1 for others."""
-    h = signed(w.hash)
-    at = np.minimum(np.searchsorted(terms, h), len(terms) - 1)
-    return np.where(terms[at] == h, at, -1)
 
+def _counts(shared):
+    """Documents that hold each listed term: all, labelled 1, labelled 0; one row for each term and partition."""
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", most_terms: int = 512, most_examples: int = 2000, k: int = 15) -> Examples:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
+        m = len(index.terms)
+        sums = np.zeros((3, m), np.int64)
+        for batch in batches:
+            label, at = batch.column(1).to_numpy(zero_copy_only=False), 0
+            for w in each_chunk(batch.column(0), NOT_LETTER, lower=True):
+                own, term = index.of(w)
+                own, term = np.divmod(np.unique(own * m + term), m)
+                y = label[at + own]
+                for k, some in enumerate((slice(None), y == 1, y == 0)):
+                    sums[k] += np.bincount(term[some], minlength=m)
+                at += w.last - w.first
+        some = np.flatnonzero(sums[0])
+        if len(some):
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *(pa.array(x[some]) for x in sums)], ["at", "n", "ones", "zeros"])
+
+    return run
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
+    most_candidates: int = 65_536, most_terms: int = 512, most_examples: int = 2000, k: int = 15,
+) -> Examples:
     """Examples from labelled documents (labels: key and label, 0 or 1; other values and nulls are ignored).
 
-    Terms are letter runs, A-Z in lower case. Their document counts, by label too, are of all documents; of terms in 5
-    toxic documents or more, the most_terms with the largest chi-square above 20 that are commoner in toxic documents
-    make the vectors. most_examples bounds the examples of each label, those with the smallest key hashes that hold any
-    term; each stands for its share of the labelled ones. Documents without terms get the toxic share of labelled
-    documents without terms.
+    Terms are runs of letters, A-Z in lower case, and the runs' first 4 to 8 bytes. Terms of 5 labelled toxic documents or more, the
+    most_candidates most frequent there, are counted in all documents, by label too; the most_terms with the largest
+    chi-square above 20 that are commoner in toxic documents make the vectors. most_examples bounds the examples of each
+    label, those with the smallest key hashes that hold any term; each stands for its share of the labelled ones.
+    Documents without terms get the toxic share of labelled documents without terms.
     """
+    context = docs.sparkSession.sparkContext
     known = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(key).alias("_k")).agg(F.max(F.col(label).cast("int")).alias("y"))
     marked = docs.select(F.col(key).alias("_k"), F.col(text).alias("text")).join(known, "_k", "left").select("_k", "text", F.coalesce("y", F.lit(-1)).alias("y"))
-    counts = staged(marked.select("text", "y").mapInArrow(_term_counts, "term long, n long, ones long, zeros long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros")).where("ones >= 5"), "terms")
-    n = {r["y"]: r["count"] for r in marked.groupBy("y").count().collect()}
-    ones, zeros, total = n.get(1, 0), n.get(0, 0), sum(n.values())
-    if ones and zeros:
-        a, b, c, d = F.col("ones"), F.col("zeros"), ones - F.col("ones"), zeros - F.col("zeros")
-        chi = F.pow(a * d - b * c, F.lit(2)) * float(ones + zeros) / ((a + b) * (c + d + 1e-9) * float(ones) * float(zeros))
-        chosen = counts.withColumn("chi", chi).where((F.col("chi") > 20) & (a * zeros > b * ones)).orderBy(F.desc("chi"), "term").limit(most_terms).collect()
-    else:
-        chosen = []
+    labelled = staged(marked.where("y >= 0"), "labelled")
+    n = {r["y"]: r["count"] for r in labelled.groupBy("y").count().collect()}
+    ones, zeros = n.get(1, 0), n.get(0, 0)
     base = (ones + 0.5) / (ones + zeros + 1)
+    nothing = Examples(np.zeros(1, np.int64), np.zeros(1), [], base, 1.0, k)
+    if not ones or not zeros:
+        return nothing
+    many = labelled.where("y = 1").select("text").mapInArrow(_candidates, "term long, ones long").groupBy("term").agg(F.sum("ones").alias("ones")).where("ones >= 5")
+    terms = np.sort(np.array([r["term"] for r in many.orderBy(F.desc("ones"), "term").limit(most_candidates).collect()], np.int64))  # bounded by most_candidates
+    if not len(terms):
+        return nothing
+    shared = context.broadcast(TermIndex(terms))
+    counted = marked.select("text", "y").mapInArrow(_counts(shared), "at int, n long, ones long, zeros long").groupBy("at").agg(*(F.sum(c).alias(c) for c in ("n", "ones", "zeros")))
+    a, b, c, d = F.col("ones"), F.col("zeros"), ones - F.col("ones"), zeros - F.col("zeros")
+    chi = F.pow((a * d - b * c).cast("double"), F.lit(2)) * float(ones + zeros) / ((a + b) * (c + d + 1e-9) * float(ones) * float(zeros))
+    chosen = counted.withColumn("chi", chi).where((F.col("chi") > 20) & (a * zeros > b * ones)).orderBy(F.desc("chi"), "at").limit(most_terms).collect()
     if not chosen:
-        return Examples(np.zeros(1, np.int64), np.zeros(1), [], base, 1.0, k)
-    chosen = sorted(chosen, key=lambda r: r["term"])
-    terms = np.array([r["term"] for r in chosen], np.int64)
-    idf = np.log((total + 1) / (np.array([r["n"] for r in chosen]) + 0.5))
+        return nothing
+    chosen = sorted(chosen, key=lambda r: r["at"])
+    index = TermIndex(terms[[r["at"] for r in chosen]])
+    idf = np.log((marked.count() + 1) / (np.array([r["n"] for r in chosen]) + 0.5))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
             for w in each_chunk(batch.column(1), NOT_LETTER, lower=True):
-                m, found = w.last - w.first, _find(w, terms)
-                lists = [(x := found[w.at[d] : w.at[d + 1]])[x >= 0].tolist() for d in range(m)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, m), batch.column(2).slice(at, m), pa.array(lists, pa.list_(pa.int32()))], ["_k", "y", "at"])
+                m = w.last - w.first
+                own, term = index.of(w)
+                cut = np.searchsorted(own, np.arange(m + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, m), batch.column(2).slice(at, m), pa.ListArray.from_arrays(pa.array(cut), pa.array(term.astype(np.int32)))], ["_k", "y", "at"])
                 at += m
 
     kind = docs.schema[key].dataType.simpleString()
-    labelled = staged(marked.where("y >= 0").select("_k", "text", "y").mapInArrow(vectors, f"_k {kind}, y int, at array<int>"), "labelled")
-    with_terms = {r["y"]: r["count"] for r in labelled.where("size(at) > 0").groupBy("y").count().collect()}
+    found = staged(labelled.select("_k", "text", "y").mapInArrow(vectors, f"_k {kind}, y int, at array<int>"), "found")
+    with_terms = {r["y"]: r["count"] for r in found.where("size(at) > 0").groupBy("y").count().collect()}
     bare1, bare0 = ones - with_terms.get(1, 0), zeros - with_terms.get(0, 0)
-    model = Examples(terms, idf, [], (bare1 + base) / (bare1 + bare0 + 1), 0.2, k)
+    model = Examples(index.terms, idf, [], (bare1 + base) / (bare1 + bare0 + 1), 0.2, k)
     rows = []
     for y in (0, 1):
-        some = labelled.where(f"size(at) > 0 and y = {y}").orderBy(F.xxhash64("_k"), "_k").limit(most_examples).collect()  # bounded by most_examples
+        some = found.where(f"size(at) > 0 and y = {y}").orderBy(F.xxhash64("_k"), "_k").limit(most_examples).collect()  # bounded by most_examples
         for r in some:
             t, x = model.vector(np.array(r["at"]))
             rows.append((int(r["_k"] or 0), float(y), with_terms[y] / len(some), t.tolist(), x.tolist()))
-    return Examples(terms, idf, rows, model.empty, model.vote, k)
+    return Examples(index.terms, idf, rows, model.empty, model.vote, k)
 
 
 def score(docs: DataFrame, model: Examples, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -168,10 +223,9 @@ def score(docs: DataFrame, model: Examples, key: str = "doc_id", text: str = "te
         for batch in batches:
             out = []
             for w in each_chunk(batch.column(text), NOT_LETTER, lower=True):
-                found = _find(w, m.terms) if len(m.ids) else np.full(len(w.hash), -1)
-                hit = np.flatnonzero(found >= 0)
-                cut = np.searchsorted(hit, w.at)
-                out += [m.score(found[hit[a:b]]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+                own, term = m.index.of(w)
+                cut = np.searchsorted(own, np.arange(w.last - w.first + 1))
+                out += [m.score(term[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
             cols = [*zip(*out, strict=True)] if out else [[], [], []]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cols[0], pa.float64()), pa.array(cols[1], pa.list_(pa.int64())), pa.array(cols[2], pa.list_(pa.float64()))], [*names, "score", "evidence", "cosines"])
 

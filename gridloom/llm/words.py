@@ -57,6 +57,13 @@ class Words(NamedTuple):
     start: np.ndarray
     end: np.ndarray
     data: np.ndarray
+    sums: np.ndarray
+
+    def prefixes(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the first n bytes of words of n bytes or more, and which words those are."""
+        long = np.flatnonzero(self.end - self.start >= n)
+        a = self.start[long]
+        return mix((self.sums[a + n] - self.sums[a]) * powers(len(self.data) + 1)[1][a] + np.uint64(0x51ED270B + n)), long
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -97,7 +104,7 @@ def words(data: np.ndarray, offsets: np.ndarray, i: int, j: int, separator=SPACE
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
     value = mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
-    return Words(i, j, value, np.searchsorted(start, edges), start, end, part)
+    return Words(i, j, value, np.searchsorted(start, edges), start, end, part, sums)
 
 
 def each_chunk(column: pa.Array, separator=SPACE, lower: bool = False, limit: int = CHUNK) -> Iterator[Words]:
