@@ -3,42 +3,64 @@
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-CACHE_WORDS = 300_000
+#: Words that a Python worker remembers, over all its tasks.
+CACHE_WORDS = 1_000_000
 
 
-class WordTokens:
-    """Token ids of texts, word by word with a bounded memory of words.
+class WordTokens(dict):
+    """Token ids of words, with a bounded memory; of texts, word by word.
 
-    The tokenizer drops white space and never joins what it separates, so a text's ids are its words' ids in turn.
+    The tokenizer drops white space and never joins what it separates, so a text's ids are its words' ids in turn; nor
+    does it join letters with the marks behind them. Words of Latin letters alone go straight to the tokenizer's model,
+    in lower case and its byte alphabet; any other word goes through the whole tokenizer.
     """
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
         self.end = np.array([end_id], "<u4").tobytes()
+        letters = [chr(c) for c in (*range(97, 123), *range(0xDF, 0xF7), *range(0xF8, 0x100))]
+        alphabet = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.map = {ord(c): alphabet.pre_tokenize_str(c)[0][0] for c in letters}
+        self.plain = re.compile(f"([{''.join(letters)}]+)([!-/:-@\\[-`{{-~]*)").fullmatch
+        self.model = self.tokenizer.model.tokenize
+
+    def __missing__(self, w: bytes) -> bytes:
+        t = w.decode()
+        if (m := self.plain(t.lower())) and len(t) < 100:
+            if m[2]:
+                ids = self[m[1].encode()] + self[m[2].encode()]
+            else:
+                ids = b"".join([x.id.to_bytes(4, "little") for x in self.model(t.lower().translate(self.map))])
+        else:
+            ids = np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+        self[w] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids and the end id, as little-endian 32-bit integers."""
-        split = [t.encode().split() for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        new = list(set().union(*split) - self.known.keys())
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, ws)) + self.end for ws in split]
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        get = self.__getitem__
+        return [b"".join(map(get, t.encode().split())) + self.end for t in texts]
+
+
+@lru_cache(1)
+def word_tokens(path: str, end_id: int) -> WordTokens:
+    return WordTokens(path, end_id)
 
 
 def balanced(sizes: list[int], k: int) -> list[list[int]]:
@@ -94,7 +116,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 4096,
     x = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(tokenizer, end_id)
+        tokens = word_tokens(tokenizer, end_id)
         sequence = TaskContext.get().partitionId() << 40
         rests: list[tuple] = []
         out: list[tuple] = []
