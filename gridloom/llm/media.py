@@ -186,7 +186,7 @@ def sniff(df: DataFrame, content: str, declared: str | None = None, keep: list[s
     base = df.select(*dict.fromkeys([*keep, content]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             kinds, ends, inner = [], [], []
             for b in batch.column(content).to_pylist():
                 found = found_media(b or b"")
@@ -208,6 +208,13 @@ def carve(df: DataFrame, content: str) -> DataFrame:
     return x.select(*df.columns, F.col("_m.type").alias("carved_type"), F.col("_m.start").alias("carved_start"), F.col("_m.end").alias("carved_end"), F.expr(f"substring({content}, int(_m.start) + 1, int(_m.end - _m.start))").alias("carved"))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches, so that few contents are held at a time."""
+    for batch in batches:
+        for at in range(0, max(1, len(batch)), rows):
+            yield batch.slice(at, rows)
+
+
 def wav(payload: bytes, rate: int = 8000) -> bytes:
     """A mono WAV file of 8-bit samples."""
     n = len(payload)
@@ -230,7 +237,7 @@ def store_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """(key, n_bytes, media): each text's UTF-8 bytes, padded with 0 to a positive multiple of 64, as 8-bit WAV samples."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             raw = [(t or "").encode() for t in batch.column(1).to_pylist()]
             media = [wav(b + b"\0" * ((-len(b) % 64) if b else 64)) for b in raw]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, raw), pa.int64()), pa.array(media, pa.binary())], [key, "n_bytes", "media"])
@@ -247,7 +254,7 @@ def digest(media: DataFrame, key: str = "doc_id") -> DataFrame:
     import numpy as np
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for k, n, b, kind, inner in zip(*(batch.column(c).to_pylist() for c in (key, "n_bytes", "media", "sniffed_type", "embedded")), strict=True):
                 s = wav_samples(b)

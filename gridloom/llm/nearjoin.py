@@ -207,4 +207,16 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_ngram_jaccard_join": op1_ngram_jaccard_join}
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_ngram_jaccard_join": r"""
+WITH RECURSIVE w AS (SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS gram FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+s AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT s.a, s.b FROM s JOIN n x ON s.a = x.doc_id JOIN n y ON s.b = y.doc_id WHERE s.both >= 0.8 * (x.n + y.n - s.both)),
+r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.b FROM r JOIN l ON r.y = l.a)
+SELECT d.doc_id, (SELECT min(y) FROM r WHERE r.x = d.doc_id) AS class_id, (SELECT count(*) FROM l WHERE l.a = d.doc_id) AS n_links,
+  CASE WHEN d.doc_id IN (SELECT doc_id FROM n) THEN (SELECT count(*) FROM documents e WHERE e.text = d.text) ELSE 1 END AS copies
+FROM documents d
+"""
+}

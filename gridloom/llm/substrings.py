@@ -262,4 +262,16 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op9_substring_dedup": op9_substring_dedup}
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op9_substring_dedup": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS j FROM w),
+k AS (SELECT doc_id, j, ws[j] AS word, CASE WHEN j + 49 <= len(ws) THEN md5(array_to_string(ws[j:j + 49], ' ')) END AS win FROM p),
+f AS (SELECT win, min(doc_id) AS first_doc FROM k WHERE win IS NOT NULL GROUP BY win HAVING count(DISTINCT doc_id) > 1),
+h AS (SELECT k.doc_id, k.j, k.word, coalesce(f.first_doc < k.doc_id, false) AS hit FROM k LEFT JOIN f ON k.win = f.win),
+c AS (SELECT doc_id, j, word, max(hit::INT) OVER (PARTITION BY doc_id ORDER BY j ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM h),
+a AS (SELECT doc_id, count(*) AS n_words, sum(gone)::BIGINT AS n_removed, coalesce(string_agg(word, ' ' ORDER BY j) FILTER (WHERE gone = 0), '') AS kept FROM c GROUP BY doc_id)
+SELECT d.doc_id, coalesce(a.n_words, 0) AS n_words, coalesce(a.n_removed, 0) AS n_removed, sha256(coalesce(a.kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN a ON d.doc_id = a.doc_id
+"""
+}
