@@ -160,9 +160,9 @@ def a02(spark, d):
     return stats.summary(obs(spark, d)).where("var = 'log_tp'").select("var", r6("min"), r6("max"), r6("mean"), r6("std", digits=4))
 
 
-@query("a03_percentiles", f"WITH {OBS}, p AS (SELECT var, cell_id, unnest(range(1, 101)) AS percentile, unnest(quantile_cont(value, [x / 100 for x in range(1, 101)])) AS value FROM obs GROUP BY var, cell_id) SELECT var, cell_id, CAST(percentile AS INTEGER) AS percentile, round(value, 6) AS value FROM p")
+@query("a03_percentiles", f"WITH {OBS}, p AS (SELECT var, cell_id, unnest(range(1, 101)) AS percentile, unnest(quantile_cont(value, [x / 100 for x in range(1, 101)])) AS value FROM obs GROUP BY var, cell_id) SELECT var, cell_id, CAST(percentile AS INTEGER) AS percentile, round(value, 9) AS value FROM p")
 def a03(spark, d):
-    return stats.percentiles(obs(spark, d), "var", "cell_id").select("var", "cell_id", "percentile", r6("value"))
+    return stats.percentiles(obs(spark, d), "var", "cell_id").select("var", "cell_id", "percentile", r6("value", digits=9))
 
 
 MISSING = f"{OBS}, {SPINE}, k AS (SELECT time, var, count(value) AS n FROM obs GROUP BY ALL), m AS (SELECT v.var, s.time, coalesce(k.n, 0) AS n FROM spine s CROSS JOIN {LIST} v LEFT JOIN k ON k.time = s.time AND k.var = v.var WHERE coalesce(k.n, 0) < 24)"
