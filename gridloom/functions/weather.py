@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,27 +65,28 @@ def nan_to_null(x: Column) -> Column:
     return F.when(~F.isnan(x), x)
 
 
-def albers(lon: Column, lat: Column) -> tuple[Column, Column]:
-    """x and y in metres of the conterminous-US equal-area conic projection (standard parallels 29.5 and 45.5, origin 23 N
-    96 W, GRS 80 ellipsoid)."""
-    import math
-
+def albers_constants() -> dict[str, float]:
+    """Of the conterminous-US equal-area conic projection: standard parallels 29.5 and 45.5 N, origin 23 N 96 W, GRS 80."""
     a, e2 = 6378137.0, 0.0066943800229  # fixed values of the ellipsoid
     e = math.sqrt(e2)
 
-    def area(s):
-        if isinstance(s, float):
-            return (1 - e2) * (s / (1 - e2 * s * s) - math.log((1 - e * s) / (1 + e * s)) / (2 * e))
-        return (1 - e2) * (s / (1 - e2 * s * s) - F.log((1 - e * s) / (1 + e * s)) / (2 * e))
+    def area(deg: float) -> float:
+        s = math.sin(math.radians(deg))
+        return (1 - e2) * (s / (1 - e2 * s * s) - math.log((1 - e * s) / (1 + e * s)) / (2 * e))
 
     def width(deg: float) -> float:
         return math.cos(math.radians(deg)) / math.sqrt(1 - e2 * math.sin(math.radians(deg)) ** 2)
 
-    m1, m2 = width(29.5), width(45.5)
-    q0, q1, q2 = (area(math.sin(math.radians(d))) for d in (23.0, 29.5, 45.5))
-    n = (m1 * m1 - m2 * m2) / (q2 - q1)
-    c = m1 * m1 + n * q1
-    rho0 = a * math.sqrt(c - n * q0) / n
-    rho = a * F.sqrt(c - n * area(F.sin(F.radians(lat)))) / n
-    theta = n * F.radians(lon + 96.0)
-    return rho * F.sin(theta), rho0 - rho * F.cos(theta)
+    n = (width(29.5) ** 2 - width(45.5) ** 2) / (area(45.5) - area(29.5))
+    c = width(29.5) ** 2 + n * area(29.5)
+    return {"a": a, "e": e, "e2": e2, "n": n, "c": c, "rho0": a * math.sqrt(c - n * area(23.0)) / n}
+
+
+def albers(lon: Column, lat: Column) -> tuple[Column, Column]:
+    """x and y in metres of the equal-area projection."""
+    k = albers_constants()
+    s = F.sin(F.radians(lat))
+    area = (1 - k["e2"]) * (s / (1 - k["e2"] * s * s) - F.log((1 - k["e"] * s) / (1 + k["e"] * s)) / (2 * k["e"]))
+    rho = k["a"] * F.sqrt(k["c"] - k["n"] * area) / k["n"]
+    theta = k["n"] * F.radians(lon + 96.0)
+    return rho * F.sin(theta), k["rho0"] - rho * F.cos(theta)

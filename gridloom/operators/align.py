@@ -103,7 +103,7 @@ def merge_levels(levels: DataFrame, surface: DataFrame, group: str = "grp", *key
 def runs(df: DataFrame, index: str, *keys: str) -> DataFrame:
     """Contiguous runs of whole numbers: (keys, pos_start, pos_end, idx_start, idx_end), ends left out."""
     w = Window.partitionBy(*keys).orderBy(index)
-    x = df.select(*keys, index).distinct().withColumn("_pos", F.row_number().over(w) - 1)
+    x = df.select(*keys, index).distinct().withColumn("_pos", F.row_number().over(w).cast("long") - 1)
     x = x.groupBy(*keys, (F.col(index) - F.col("_pos")).alias("_island"))
     out = x.agg(F.min("_pos").alias("pos_start"), (F.max("_pos") + 1).alias("pos_end"), F.min(index).alias("idx_start"), (F.max(index) + 1).alias("idx_end"))
     return out.drop("_island")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import products
+from .observations import SLOTTED
 from .views import GRID, OBS, SPINE, WIDE, at, cycles, frames, grid, obs, r6, register, regular_grid
 
 QUERIES: dict = {}
@@ -38,13 +39,20 @@ def forecast_month(spark, d):
     return x.select(at(), "cell_id", r6("value", digits=4), "units")
 
 
-@query("q03_frames_to_slots")
+@query(
+    "q03_frames_to_slots",
+    f"""WITH {SLOTTED}, h AS (SELECT *, row_number() OVER (PARTITION BY slot, cell_id ORDER BY gap, ts DESC) AS r FROM s WHERE gap <= 120000000),
+v AS (SELECT slot, cell_id, CASE WHEN value >= -90 THEN value END AS value FROM h WHERE r = 1),
+p AS (SELECT unnest(range(0, 11)) AS dst, round(0.1::DOUBLE / 0.3::DOUBLE, 9) AS t, round(0.1::DOUBLE / 0.45::DOUBLE, 9) AS u),
+c AS (SELECT dst, a * 12 + dst + b AS src, (CASE a WHEN 1 THEN t ELSE 1 - t END) * (CASE b WHEN 1 THEN u ELSE 1 - u END) AS w FROM p, (SELECT unnest([0, 1]) AS a), (SELECT unnest([0, 1]) AS b))
+SELECT strftime(slot, '%Y-%m-%d %H:%M:%S') AS slot, dst AS cell_id, round(CASE WHEN count(value) = 4 THEN sum(value * w) END, 4) AS value FROM v JOIN c ON v.cell_id = c.src GROUP BY ALL""",
+)
 def frames_to_slots(spark, d):
     g = regular_grid(spark, d).where("y < 2")
-    small = g.where("x < 12").withColumn("cell_id", F.col("y") * 12 + F.col("x"))
+    small = g.where("x < 12").withColumn("cell_id", (F.col("y") * 12 + F.col("x")).cast("long"))
     points = small.select(F.col("cell_id").alias("dst_cell"), (F.col("latitude") + 0.1).alias("latitude"), (F.col("longitude") + 0.1).alias("longitude"))
     x = products.frames_to_slots(frames(spark, d), small, points)
-    return x.select(at("slot"), "cell_id", r6("value"))
+    return x.select(at("slot"), "cell_id", r6("value", digits=4))
 
 
 @query("q04_statistics", f"WITH {OBS}, {GRID}, b AS (SELECT o.* FROM obs o JOIN grid USING (cell_id) WHERE latitude BETWEEN 38 AND 48 AND longitude BETWEEN 278 AND 292 AND time >= '2024-01-02' AND time < '2024-01-29') SELECT var, round(min(value), 6) AS min, round(max(value), 6) AS max, round(avg(value), 6) AS mean, round(stddev_pop(value), 4) AS std FROM (SELECT var, value FROM b UNION ALL SELECT 'log_tp', log10(1 + value) FROM b WHERE var = 'tp') GROUP BY var")

@@ -128,7 +128,14 @@ def a14(spark, d):
     return x.select(*(r6(c, digits=4) for c in x.columns))
 
 
-@query("f26_scale_ratio")
+def _spacing_sql(t: str) -> str:
+    """Medians of the spacing of a grid table, as <t>_m."""
+    near = f"SELECT *, lead(latitude) OVER wx AS lat_x, lead(longitude) OVER wx AS lon_x, lead(latitude) OVER wy AS lat_y, lead(longitude) OVER wy AS lon_y FROM {t} WINDOW wx AS (PARTITION BY y ORDER BY x), wy AS (PARTITION BY x ORDER BY y)"
+    d = lambda c: f"SELECT median({HAV}) AS d FROM (SELECT {_h('latitude', 'longitude', f'lat_{c}', f'lon_{c}')} AS h FROM {t}_n)"
+    return f"{t}_n AS ({near}), {t}_m AS (SELECT x.d AS dx, sqrt(x.d * y.d) AS eff FROM ({d('x')}) x, ({d('y')}) y)"
+
+
+@query("f26_scale_ratio", f"WITH {REGULAR}, coarse AS (SELECT cell_id, y // 2 AS y, x // 2 AS x, latitude, longitude FROM regular WHERE y % 2 = 0 AND x % 2 = 0), {_spacing_sql('regular')}, {_spacing_sql('coarse')} SELECT round(c.eff / r.eff, 3) AS scale_eff, round(c.dx / r.dx, 3) AS scale_dx FROM coarse_m c, regular_m r")
 def f26(spark, d):
     g = regular_grid(spark, d)
     coarse = select.stride(g, 2, 2).select("cell_id", F.expr("y div 2").cast("int").alias("y"), F.expr("x div 2").cast("int").alias("x"), "latitude", "longitude")
@@ -195,7 +202,12 @@ def j15(spark, d):
     return x.select("cell_id", r6("slope"), r6("orog"))
 
 
-@query("f25_equal_area_bins")
+K = weather.albers_constants()
+ALBERS = GRID + f""", s AS (SELECT *, sin(radians(latitude)) AS s FROM grid), q AS (SELECT *, {1 - K['e2']!r} * (s / (1 - {K['e2']!r} * s * s) - ln((1 - {K['e']!r} * s) / (1 + {K['e']!r} * s)) / {2 * K['e']!r}) AS q, {K['n']!r} * radians(longitude - 360 + 96) AS theta FROM s),
+a AS (SELECT *, {K['a']!r} * sqrt({K['c']!r} - {K['n']!r} * q) / {K['n']!r} AS rho FROM q)"""
+
+
+@query("f25_equal_area_bins", f"WITH {ALBERS} SELECT CAST(floor(rho * sin(theta) / 100000) AS BIGINT) AS bx, CAST(floor(({K['rho0']!r} - rho * cos(theta)) / 100000) AS BIGINT) AS by, round(avg(field), 6) AS field FROM a GROUP BY ALL")
 def f25(spark, d):
     x = regrid.equal_distance_bins(grid(spark, d), "field", 100_000.0, F.col("longitude") - 360)
     return x.select("bx", "by", r6("field"))
