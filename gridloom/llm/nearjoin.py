@@ -164,8 +164,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall
     Two documents are linked when their sets of n consecutive words (words: what white space separates, unchanged) have
     a Jaccard similarity of at least this. class_id: the smallest key that links reach; n_links: other rows linked
     directly, exact copies included; copies: rows of the same text. Texts of fewer than n words have one gram, all their
-    words; texts without words link with nothing, not even with each other. Null text: empty. Rows of null key are left
-    out of links. Rows that repeat a key are copies of each other when their texts are. Empty table: no rows.
+    words; texts without words link with equal ones only. Null text: empty. Rows of null key are left out of links. Rows that repeat a key are copies of each other when their texts are. Empty table: no rows.
 
     Copies are one representative. MinHash bands, as many as the recall at the similarity asks for, are shuffled by hash;
     documents that share a band are joined in candidate clusters, and within a cluster, full sets are compared by an inverted index. Clusters
@@ -174,7 +173,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall
     bands, rows = bands_for(similarity, recall)
     base = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     signed_docs = staged(base.mapInArrow(_signatures(n, bands, rows), "doc long, digest binary, bands array<long>"), "signatures")
-    reps = staged(signed_docs.where("doc is not null and size(bands) > 0").groupBy("digest").agg(F.min("doc").alias("rep"), F.count("*").alias("m"), F.first("bands").alias("bands")), "reps")
+    reps = staged(signed_docs.where("doc is not null").groupBy("digest").agg(F.min("doc").alias("rep"), F.count("*").alias("m"), F.first("bands").alias("bands")), "reps")
     banded = reps.select("rep", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("rep").alias("lead"), F.count("*").alias("c")).where("c > 1").select("band", "lead")
     clusters = components(banded.join(shared, "band").where("rep <> lead").select("rep", "lead"), "rep", "lead")
@@ -192,8 +191,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall
     classes = components(links.where("rep <> joined"), "rep", "joined")
     counted = links.groupBy("rep").agg(F.sum("links").alias("links")).join(classes.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "links", "component")
     of_rep = reps.select("digest", "rep", "m").join(counted, "rep", "left")
-    out = signed_docs.select("doc", "digest", (F.size("bands") > 0).alias("worded")).join(of_rep, "digest", "left")
-    mine = F.col("worded") & F.col("doc").isNotNull() & F.col("rep").isNotNull()
+    out = signed_docs.select("doc", "digest").join(of_rep, "digest", "left")
+    mine = F.col("doc").isNotNull()
     return out.select(
         F.col("doc").alias(key),
         F.when(mine, F.coalesce("component", "rep")).otherwise(F.col("doc")).alias("class_id"),
@@ -213,10 +212,11 @@ WITH RECURSIVE w AS (SELECT doc_id, text, regexp_extract_all(coalesce(text, ''),
 g AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS gram FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
 s AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
-l AS (SELECT s.a, s.b FROM s JOIN n x ON s.a = x.doc_id JOIN n y ON s.b = y.doc_id WHERE s.both >= 0.8 * (x.n + y.n - s.both)),
+l AS (SELECT s.a, s.b FROM s JOIN n x ON s.a = x.doc_id JOIN n y ON s.b = y.doc_id WHERE s.both >= 0.8 * (x.n + y.n - s.both)
+  UNION ALL SELECT a.doc_id, b.doc_id FROM w a JOIN w b ON coalesce(a.text, '') = coalesce(b.text, '') AND a.doc_id <> b.doc_id WHERE len(a.ws) = 0),
 r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.b FROM r JOIN l ON r.y = l.a)
 SELECT d.doc_id, (SELECT min(y) FROM r WHERE r.x = d.doc_id) AS class_id, (SELECT count(*) FROM l WHERE l.a = d.doc_id) AS n_links,
-  CASE WHEN d.doc_id IN (SELECT doc_id FROM n) THEN (SELECT count(*) FROM documents e WHERE e.text = d.text) ELSE 1 END AS copies
+  (SELECT count(*) FROM documents e WHERE coalesce(e.text, '') = coalesce(d.text, '')) AS copies
 FROM documents d
 """
 }
