@@ -100,8 +100,8 @@ def keep_bitmaps(docs: DataFrame, key: str = "doc_id", text: str = "text", least
 def kept_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 10) -> DataFrame:
     """docs with _n_lines, _n_dropped and _kept: the text of the lines that stay, by the documents' bitmaps."""
     x = docs.withColumn("_doc", F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))))
-    maps = keep_bitmaps(docs, key, text, least).groupBy("doc").agg(F.max("keep").alias("_keep")).where(F.col("_keep").isNotNull())
-    x = x.join(maps, F.col("_doc") == F.col("doc"), "left").drop("doc", "_doc")
+    maps = keep_bitmaps(docs, key, text, least).groupBy("doc").agg(F.max("keep").alias("_keep")).withColumnRenamed("doc", "_doc")
+    x = x.join(maps, "_doc").drop("_doc")
     names = [c for c in x.columns if c != "_keep"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
