@@ -32,7 +32,8 @@ def targets(sizes: DataFrame, share: float, cap: float) -> DataFrame:
     x = x.withColumn("full", F.coalesce(F.sum("most").over(up.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))).withColumn("left", F.sum("w").over(up.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
     x = x.withColumn("level", (F.col("budget") - F.col("full")) / F.col("left")).withColumn("stops", F.col("level") * F.col("w") >= F.col("most"))
     # the level of the first source that doesn't stop holds for all after it
-    x = x.withColumn("final", F.min(F.when(~F.col("stops"), F.struct(F.col("most") / F.col("w"), F.col("level")))).over(Window.partitionBy())["level"])
+    x = x.withColumn("place", F.row_number().over(up))
+    x = x.withColumn("final", F.min(F.when(~F.col("stops"), F.struct("place", "level"))).over(Window.partitionBy())["level"])
     return x.select("source", "source_size", F.when(F.col("stops"), F.col("most")).otherwise(F.least("most", F.col("final") * F.col("w"))).alias("target"))
 
 
@@ -122,8 +123,8 @@ s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 s1 AS (SELECT *, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::DOUBLE AS w, 3.0::DOUBLE * source_size AS most, (sum(source_size) OVER ())::DOUBLE AS budget FROM s0),
 s2 AS (SELECT *, coalesce(sum(most) OVER (ORDER BY most / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS f,
   sum(w) OVER (ORDER BY most / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS l FROM s1),
-s3 AS (SELECT *, (budget - f) / l AS level, (budget - f) / l * w >= most AS stops FROM s2),
-s4 AS (SELECT *, (arg_min(level, most / w) FILTER (WHERE NOT stops) OVER ()) AS final FROM s3),
+s3 AS (SELECT *, (budget - f) / l AS level, (budget - f) / l * w >= most AS stops, row_number() OVER (ORDER BY most / w, source NULLS LAST) AS place FROM s2),
+s4 AS (SELECT *, (arg_min(level, place) FILTER (WHERE NOT stops) OVER ()) AS final FROM s3),
 goal AS (SELECT source, source_size, CASE WHEN stops THEN most ELSE least(most, final * w) END AS target FROM s4),
 g AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM goal),
 g1 AS (SELECT *, target - whole * source_size AS rest FROM g),
