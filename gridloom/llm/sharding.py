@@ -15,8 +15,8 @@ def ring_owners(shards: int, virtual_nodes: int, cells_bits: int) -> list[int]:
     """Shard that owns each of 2^cells_bits equal cells of the ring: that of the next virtual node clockwise."""
     n = 1 << cells_bits
     taken: dict[int, int] = {}
-    for v in range(virtual_nodes):
-        for s in range(shards):
+    for s in range(shards):  # a shard more leaves the others' nodes where they are
+        for v in range(virtual_nodes):
             at = int.from_bytes(hashlib.blake2b(f"{s}/{v}".encode(), digest_size=8).digest(), "big") >> (64 - cells_bits)
             while at in taken and len(taken) < n:
                 at = (at + 1) % n
