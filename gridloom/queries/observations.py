@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import units, weather
 from ..operators import align, audit, select, stats
-from ..sources import store
+from ..sources import sinks, store
 from .views import CELLS, END, FRAMES, OBS, SPINE, START, TIME, WIDE, at, frames, obs, obs_wide, r6, register
 
 QUERIES: dict = {}
@@ -366,3 +366,24 @@ def u05(spark, d):
     from ..functions.derived import derive_when_complete
 
     return derive_when_complete(obs(spark, d), "si10", 200).select(at(), "cell_id", r6("value", "si10"))
+
+
+@query("x01_incremental_ingest", f"WITH {SLOTTED}, h AS (SELECT *, row_number() OVER (PARTITION BY slot, cell_id ORDER BY gap, ts DESC) AS r FROM s WHERE gap <= 120000000) SELECT strftime(slot, '%Y-%m-%d %H:%M:%S') AS slot, cell_id, value FROM h WHERE r = 1")
+def x01(spark, d):
+    """Frames that have arrived go through slots into a store by a stream that ends when nothing is left."""
+    from ..streaming.frames import ingest
+
+    root = sinks.scratch(spark, "ingest")
+    kept = store.Store(spark, f"{root}/store", store.Axis(START, "2024-01-31 00:00:00", "5 minutes"))
+    put = lambda df: kept.upsert(df.select(F.lit("radar").alias("product"), F.lit("rate").alias("var"), F.col("slot").alias("time"), "cell_id", "value"))
+    frames(spark, d).write.parquet(f"{root}/landed")
+    arriving = spark.readStream.schema(frames(spark, d).schema).parquet(f"{root}/landed")
+    ingest(arriving, put, f"{root}/checkpoint").awaitTermination()
+    return kept.open("radar").select(at("time").alias("slot"), "cell_id", F.round(F.col("value").cast("double"), 2).alias("value"))
+
+
+@query("w13_audit_output", f"WITH {MISSING} SELECT var, {TIME}, n FROM m WHERE var = 'tp'")
+def w13(spark, d):
+    path = sinks.scratch(spark, "audit")
+    sinks.write_result(audit.missing_times(obs(spark, d), spine(spark), CELLS, ["tp"]).select("var", at(), "n"), path)
+    return spark.read.parquet(path)

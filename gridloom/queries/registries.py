@@ -8,7 +8,7 @@ from ..functions import names
 from ..operators import registry as reg
 from ..operators import select
 from ..plans import windows
-from ..sources import tables
+from ..sources import sinks, tables
 from .views import CATALOG, REGISTRY, at, catalog, register, registry, table
 
 QUERIES: dict = {}
@@ -246,3 +246,25 @@ def s25(spark, d):
 def s23(spark, d):
     o = table(spark, d, "orders")
     return o.select("o_orderkey", windows.layout_prefix(F.add_months(F.to_date("o_orderdate"), 264), F.lit(6)).alias("prefix"))
+
+
+@query("w14_registry_csv", f"WITH {REGISTRY} SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, target_var, family, level, run_type, source_var FROM registry")
+def w14(spark, d):
+    path = sinks.scratch(spark, "registry")
+    sinks.write_registry(registry(spark, d).select("p_partkey", "target_var", "family", "level", "run_type", "source_var"), path)
+    return tables.registry_csv(spark, path)
+
+
+@query("w16_description_text", f"WITH {REGISTRY} SELECT 'v' || p_partkey AS var, long_name AS description, family AS long_name, 'm s**-1' AS units FROM registry")
+def w16(spark, d):
+    path = sinks.scratch(spark, "descriptions")
+    r = registry(spark, d).select(F.concat(F.lit("v"), "p_partkey").alias("var"), F.col("long_name").alias("description"), F.col("family").alias("long_name"), F.lit("m s**-1").alias("units"))
+    sinks.write_descriptions(r, path)
+    return tables.description_blocks(spark, path)
+
+
+@query("s11_catalog_csv", f"WITH {CATALOG} SELECT * FROM catalog")
+def s11(spark, d):
+    path = sinks.scratch(spark, "catalog")
+    sinks.write_result(catalog(spark, d), path, "csv")
+    return tables.catalog_csv(spark, path)
