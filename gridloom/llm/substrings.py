@@ -16,12 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .staging import staged
-from .words import Words, grams, mix, ranges, signed, sliding_min, text_bytes, words
+from .words import Words, grams, mix, powers, ranges, signed, sliding_min, text_bytes, words
 
 #: Words of the grams whose smallest hash names a window's shard.
 GRAM = 8
-#: A shard of more passages than this is divided by whole windows, each its own shard.
-HOT = 1000
+#: A shard of more different passages than this is divided by whole windows, each its own shard.
+HOT = 2000
 
 
 class SuffixAutomaton:
@@ -97,12 +97,16 @@ def _shards(window: int):
             data, offsets = text_bytes(batch.column(1))
             docs = batch.column(0).to_numpy(zero_copy_only=False)
             for i, j in ranges(offsets):
-                keys, at = [], []
-                for d, _, key, _ in _runs(words(data, offsets, i, j), window):
-                    keys.append(np.unique(key))
-                    at.append(np.full(len(keys[-1]), docs[i + d], np.int64))
+                keys, passages, at = [], [], []
+                for d, h, key, start in _runs(words(data, offsets, i, j), window):
+                    up, down = powers(len(h) + 1)
+                    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up[:-1])])
+                    first, end = start[:-1], start[1:] + window - 1
+                    keys.append(key)
+                    passages.append(mix((sums[end] - sums[first]) * down[first] + (end - first).astype(np.uint64)))
+                    at.append(np.full(len(key), docs[i + d], np.int64))
                 if keys:
-                    yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(keys))), pa.array(np.concatenate(at))], ["shard", "doc"])
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(keys))), pa.array(signed(np.concatenate(passages))), pa.array(np.concatenate(at))], ["shard", "passage", "doc"])
 
     return run
 
@@ -207,9 +211,10 @@ def removed_windows(docs: DataFrame, window: int = 50) -> DataFrame:
 
     found: a bitmap of them, or null for all of them.
     """
-    shards = staged(docs.mapInArrow(_shards(window), "shard long, doc long"), "shards")
-    shared = shards.groupBy("shard").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count("*").alias("n")).where("a < b").select("shard", (F.col("n") > HOT).alias("hot"))
-    of_doc = shards.join(shared, "shard").groupBy("doc").agg(F.collect_set(F.struct("shard", "hot")).alias("shared"))
+    shards = staged(docs.mapInArrow(_shards(window), "shard long, passage long, doc long"), "shards")
+    different = shards.groupBy("shard", "passage").agg(F.min("doc").alias("a"), F.max("doc").alias("b"))
+    shared = different.groupBy("shard").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.count("*").alias("n")).where("a < b").select("shard", (F.col("n") > HOT).alias("hot"))
+    of_doc = shards.select("shard", "doc").join(shared, "shard").groupBy("doc").agg(F.collect_set(F.struct("shard", "hot")).alias("shared"))
     passages = docs.join(of_doc, "doc").select("doc", "text", "shared").mapInArrow(_passages(window), PASSAGES)
     texts = passages.groupBy("shard", "c1", "c2", "words").agg(F.min("doc").alias("first"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -224,8 +229,8 @@ def drop_repeats(docs: DataFrame, window: int = 50, key: str = "doc_id", text: s
 
     A word goes when it lies in a window of consecutive words that also starts in a document of smaller key. Null or
     short texts (fewer words than a window) keep all. Rows that repeat a key are one document and must repeat its text.
-    A null key is smaller than any other. Empty table: no rows. Passages of shards of many documents are compared window by window,
-    by 128-bit hashes, so that no automaton grows with a hot passage.
+    A null key is smaller than any other. Empty table: no rows. Shards of very many different passages are compared window by
+    window, by 128-bit hashes, so that no automaton grows with a hot passage.
     """
     base = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.col(text).alias("text"))
     hits = removed_windows(base, window).groupBy("doc").agg(F.collect_set(F.struct("t0", "n", "found")).alias("hits"))
