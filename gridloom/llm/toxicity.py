@@ -18,8 +18,8 @@ BLOCK = 64
 class Examples:
     """Labelled examples in block-max inverted lists: postings by term in blocks of examples, with each block's maximum."""
 
-    def __init__(self, terms: np.ndarray, idf: np.ndarray, vectors: list[tuple[int, float, float, list[int], list[float]]], empty: float, vote: float, k: int):
-        self.index, self.idf, self.empty, self.vote, self.k = TermIndex(terms), idf, empty, vote, k
+    def __init__(self, index: TermIndex, idf: np.ndarray, vectors: list[tuple[int, float, float, list[int], list[float]]], empty: float, vote: float, k: int):
+        self.index, self.idf, self.empty, self.vote, self.k = index, idf, empty, vote, k
         self.ids = np.array([v[0] for v in vectors], np.int64)
         self.label = np.array([v[1] for v in vectors])
         self.share = np.array([v[2] for v in vectors])  # how many labelled documents the example stands for
@@ -35,13 +35,12 @@ class Examples:
             self.top[t] = np.zeros(self.blocks)
             np.maximum.at(self.top[t], e // BLOCK, x)
             self.postings[t] = [(e[e // BLOCK == b] % BLOCK, x[e // BLOCK == b]) if self.top[t][b] else None for b in range(self.blocks)]
-        self.known: dict[tuple, tuple[float, list[int], list[float]]] = {}
+        self.known: dict[bytes, tuple[float, list[int], list[float]]] = {}
 
     def vector(self, term_index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Unit TF-IDF weights of a document's terms (1 + log of the count, times idf)."""
-        t, n = np.unique(term_index, return_counts=True)
-        x = (1 + np.log(n)) * self.idf[t]
-        return t, x / np.sqrt((x * x).sum())
+        """Unit TF-IDF weights of a document's features: counts are in the features, so each weighs its idf."""
+        x = self.idf[term_index]
+        return term_index, x / np.sqrt((x * x).sum())
 
     def nearest(self, t: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine (ties: the smaller place) and their cosines, exactly.
@@ -71,7 +70,7 @@ class Examples:
         """Share of toxic votes, and the evidence: examples and cosines."""
         if not len(term_index) or not len(self.ids):
             return self.empty, [], []
-        key = tuple(sorted(term_index.tolist()))
+        key = term_index.tobytes()
         if key not in self.known:
             at, cos = self.nearest(*self.vector(term_index))
             votes = cos**4 * self.share[at]
@@ -84,6 +83,7 @@ class Examples:
 
 #: Bytes of word beginnings that are terms beside the words.
 PREFIXES = (4, 5, 6, 7, 8)
+LEVELS = 3
 
 
 def _terms(w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -94,23 +94,33 @@ def _terms(w: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 class TermIndex:
-    """Places of terms in a sorted list of them; a table of hash beginnings turns most others away."""
+    """Places of terms in a sorted list of them; a table of hash beginnings turns most others away.
 
-    def __init__(self, terms: np.ndarray):
+    A feature is a term seen once, twice or three times and more: feature = place + (times - 1) x terms. columns numbers
+    the chosen features, with -1 for the others; all by default.
+    """
+
+    def __init__(self, terms: np.ndarray, columns: np.ndarray | None = None):
         self.terms = terms
+        self.columns = np.arange(LEVELS * len(terms)) if columns is None else columns
+        self.width = int(self.columns.max(initial=-1)) + 1
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[terms.view(np.uint64) >> np.uint64(44)] = True
 
     def of(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
-        """(document in the chunk, place of the term) of each listed term, by document."""
+        """(document in the chunk, column) of each chosen feature, each once, by document."""
         t, own = _terms(w)
         some = np.flatnonzero(self.maybe[t.view(np.uint64) >> np.uint64(44)])
         t, own = t[some], own[some]
         at = np.minimum(np.searchsorted(self.terms, t), len(self.terms) - 1)
         hit = self.terms[at] == t
-        at, own = at[hit], own[hit]
-        order = np.argsort(own, kind="stable")
-        return own[order], at[order]
+        m = len(self.terms)
+        pair, n = np.unique(own[hit] * m + at[hit], return_counts=True)
+        own, at = np.divmod(np.concatenate([pair[n > k] for k in range(LEVELS)]), m)
+        column = self.columns[at + np.repeat(np.arange(LEVELS) * m, [int((n > k).sum()) for k in range(LEVELS)])]
+        own, column = own[column >= 0], column[column >= 0]
+        order = np.lexsort((column, own))
+        return own[order], column[order]
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,49 +139,51 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(n)], ["term", "ones"])
 
 
-def _counts(shared):
-    """Documents that hold each listed term: all, labelled 1, labelled 0; one row for each term and partition."""
+def _counts(shared, labelled: bool):
+    """Documents that hold each listed term: (at, ones, zeros) by label in the second column, or (at, n) of all; one row
+    for each term and partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
-        m = len(index.terms)
-        sums = np.zeros((3, m), np.int64)
+        m = index.width
+        sums = np.zeros((2 if labelled else 1, m), np.int64)
         for batch in batches:
-            label, at = batch.column(1).to_numpy(zero_copy_only=False), 0
+            at, label = 0, batch.column(1).to_numpy(zero_copy_only=False) if labelled else None
             for w in each_chunk(batch.column(0), NOT_LETTER, lower=True):
                 own, term = index.of(w)
-                own, term = np.divmod(np.unique(own * m + term), m)
-                y = label[at + own]
-                for k, some in enumerate((slice(None), y == 1, y == 0)):
+                for k, some in enumerate((label[at + own] == 1, label[at + own] == 0) if labelled else (slice(None),)):
                     sums[k] += np.bincount(term[some], minlength=m)
                 at += w.last - w.first
-        some = np.flatnonzero(sums[0])
+        some = np.flatnonzero(sums.any(0))
         if len(some):
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *(pa.array(x[some]) for x in sums)], ["at", "n", "ones", "zeros"])
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *(pa.array(x[some]) for x in sums)], ["at", "ones", "zeros"] if labelled else ["at", "n"])
 
     return run
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-    most_candidates: int = 65_536, most_terms: int = 512, most_examples: int = 2000, k: int = 15,
+    most_labels: int = 40_000, most_candidates: int = 65_536, most_terms: int = 512, most_examples: int = 2000, k: int = 15,
 ) -> Examples:
     """Examples from labelled documents (labels: key and label, 0 or 1; other values and nulls are ignored).
 
-    Terms are runs of letters, A-Z in lower case, and the runs' first 4 to 8 bytes. Terms of 5 labelled toxic documents or more, the
-    most_candidates most frequent there, are counted in all documents, by label too; the most_terms with the largest
-    chi-square above 20 that are commoner in toxic documents make the vectors. most_examples bounds the examples of each
-    label, those with the smallest key hashes that hold any term; each stands for its share of the labelled ones.
-    Documents without terms get the toxic share of labelled documents without terms.
+    most_labels bounds the labels used, those with the smallest key hashes, so that they can be broadcast to the texts.
+    Terms are runs of letters, A-Z in lower case, and the runs' first 4 to 8 bytes. Terms of 5 labelled toxic documents
+    or more, the most_candidates most frequent there, are candidates; their features (a term seen once, twice, three
+    times) are counted by label; the most_terms with the largest chi-square above 20 that are commoner in toxic documents
+    make the vectors, weighted by their counts in all documents.
+    most_examples bounds the examples of each label, those with the smallest key hashes that hold any term; each stands
+    for its share of the labelled ones. Documents without terms get the toxic share of labelled documents without terms.
     """
     context = docs.sparkSession.sparkContext
-    known = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(key).alias("_k")).agg(F.max(F.col(label).cast("int")).alias("y"))
-    marked = docs.select(F.col(key).alias("_k"), F.col(text).alias("text")).join(known, "_k", "left").select("_k", "text", F.coalesce("y", F.lit(-1)).alias("y"))
-    labelled = staged(marked.where("y >= 0"), "labelled")
+    known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("_k"), F.col(label).cast("int").alias("y"))
+    known = known.orderBy(F.xxhash64("_k"), "_k", "y").limit(most_labels).groupBy("_k").agg(F.max("y").alias("y"))  # bounded by most_labels
+    texts = docs.select(F.col(key).alias("_k"), F.col(text).alias("text"))
+    labelled = staged(texts.join(F.broadcast(known), "_k").select("_k", "text", "y"), "labelled")
     n = {r["y"]: r["count"] for r in labelled.groupBy("y").count().collect()}
     ones, zeros = n.get(1, 0), n.get(0, 0)
     base = (ones + 0.5) / (ones + zeros + 1)
-    nothing = Examples(np.zeros(1, np.int64), np.zeros(1), [], base, 1.0, k)
+    nothing = Examples(TermIndex(np.zeros(1, np.int64)), np.zeros(LEVELS), [], base, 1.0, k)
     if not ones or not zeros:
         return nothing
     many = labelled.where("y = 1").select("text").mapInArrow(_candidates, "term long, ones long").groupBy("term").agg(F.sum("ones").alias("ones")).where("ones >= 5")
@@ -179,15 +191,22 @@ def fit(
     if not len(terms):
         return nothing
     shared = context.broadcast(TermIndex(terms))
-    counted = marked.select("text", "y").mapInArrow(_counts(shared), "at int, n long, ones long, zeros long").groupBy("at").agg(*(F.sum(c).alias(c) for c in ("n", "ones", "zeros")))
+    counted = labelled.select("text", "y").mapInArrow(_counts(shared, True), "at int, ones long, zeros long").groupBy("at").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
     a, b, c, d = F.col("ones"), F.col("zeros"), ones - F.col("ones"), zeros - F.col("zeros")
     chi = F.pow((a * d - b * c).cast("double"), F.lit(2)) * float(ones + zeros) / ((a + b) * (c + d + 1e-9) * float(ones) * float(zeros))
     chosen = counted.withColumn("chi", chi).where((F.col("chi") > 20) & (a * zeros > b * ones)).orderBy(F.desc("chi"), "at").limit(most_terms).collect()
     if not chosen:
         return nothing
-    chosen = sorted(chosen, key=lambda r: r["at"])
-    index = TermIndex(terms[[r["at"] for r in chosen]])
-    idf = np.log((marked.count() + 1) / (np.array([r["n"] for r in chosen]) + 0.5))
+    feature = np.array(sorted(r["at"] for r in chosen))
+    used, place = np.unique(feature % len(terms), return_inverse=True)
+    columns = np.full(LEVELS * len(used), -1)
+    columns[place + feature // len(terms) * len(used)] = np.arange(len(feature))
+    index = TermIndex(terms[used], columns)
+    every = texts.select("text").mapInArrow(_counts(context.broadcast(index), False), "at int, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    n = np.zeros(index.width)
+    for r in every.collect():  # one a chosen feature
+        n[r["at"]] = r["n"]
+    idf = np.log((docs.count() + 1) / (n + 0.5))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,14 +222,14 @@ def fit(
     found = staged(labelled.select("_k", "text", "y").mapInArrow(vectors, f"_k {kind}, y int, at array<int>"), "found")
     with_terms = {r["y"]: r["count"] for r in found.where("size(at) > 0").groupBy("y").count().collect()}
     bare1, bare0 = ones - with_terms.get(1, 0), zeros - with_terms.get(0, 0)
-    model = Examples(index.terms, idf, [], (bare1 + base) / (bare1 + bare0 + 1), 0.2, k)
+    model = Examples(index, idf, [], (bare1 + base) / (bare1 + bare0 + 1), 0.2, k)
     rows = []
     for y in (0, 1):
         some = found.where(f"size(at) > 0 and y = {y}").orderBy(F.xxhash64("_k"), "_k").limit(most_examples).collect()  # bounded by most_examples
         for r in some:
             t, x = model.vector(np.array(r["at"]))
             rows.append((int(r["_k"] or 0), float(y), with_terms[y] / len(some), t.tolist(), x.tolist()))
-    return Examples(index.terms, idf, rows, model.empty, model.vote, k)
+    return Examples(index, idf, rows, model.empty, model.vote, k)
 
 
 def score(docs: DataFrame, model: Examples, key: str = "doc_id", text: str = "text") -> DataFrame:
