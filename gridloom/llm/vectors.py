@@ -57,7 +57,7 @@ class Quantiser:
         return [((residual[:, a:b, None] - book.T[None]) ** 2).sum(1) for (a, b), book in zip(zip(self.cuts, self.cuts[1:], strict=False), self.books, strict=True)]
 
     def probes(self, x: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
-        """(vector, list) of every list whose cell lies within reach of the vector: no neighbour within it is missed."""
+        """(vector, list) of every list whose cell begins within reach of the vector."""
         c = self.centres
         gaps = ((c**2).sum(1)[:, None] + (c**2).sum(1) - 2 * c @ c.T).clip(0) ** 0.5
         d2 = (x**2).sum(1)[:, None] + (c**2).sum(1) - 2 * x @ c.T
@@ -77,15 +77,17 @@ def unit(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         return x[good] / norm[good, None], good
 
 
-def near_vectors(table: DataFrame, cosine: float = 0.95, sample_rows: int = 20_000, most_lists: int = 1024, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def near_vectors(table: DataFrame, cosine: float = 0.95, sample_rows: int = 20_000, most_lists: int = 1024, spread: float = 2.0, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(key, n_links, component_id, kept) for every row.
 
     Two vectors are linked when their cosine in double precision is at least this. Vectors that are null, zero, of another
     length than most, or hold null or non-finite components link with nothing. Equal vectors count once, with their number.
     The index (coarse centres and codebooks) is fitted on at most sample_rows vectors, those with the smallest hashes;
-    every vector is indexed. A query probes all lists whose cells lie within the distance that the cosine allows, and
-    passes the codes whose table-lookup distance, less the code's own error, lies within it, so probing and coding miss
-    no link but for rounding; passed vectors are ranked by exact cosine. Lists of more than BLOCK vectors are split.
+    every vector is indexed. With r the distance that the cosine allows, a step of r in any direction goes r / sqrt(dim)
+    toward a given cell on average; a query probes all lists whose cells begin within spread times that, with no cap on
+    their number (spread = sqrt(dim) probes all that can hold a neighbour). It passes the codes whose table-lookup
+    distance, less the code's own error, lies within r, so coding misses nothing; passed vectors are ranked by exact
+    cosine. Tests measure the recall against brute force. Lists of more than BLOCK vectors are split.
     Rows that repeat a key count as vectors of their own. Null keys are left out of links. Empty table: no rows.
     """
     spark = table.sparkSession
@@ -99,17 +101,17 @@ def near_vectors(table: DataFrame, cosine: float = 0.95, sample_rows: int = 20_0
     sample, _ = unit(pa.array([r[0] for r in distinct.orderBy(F.xxhash64("rep")).limit(sample_rows).select("v").collect()], pa.list_(pa.float64())))  # bounded by sample_rows
     counted = rows.select("id", "good", "v")
     if n:
-        index = Quantiser(sample, max(1, min(most_lists, len(sample) // 8 or 1, int(4 * n**0.5))))
+        index = Quantiser(sample, max(1, min(most_lists, len(sample) // 8 or 1, int(2 * n**0.5))))
         reach = float(np.sqrt(2 - 2 * cosine)) + 1e-9
         shared = spark.sparkContext.broadcast(index)  # centres and codebooks: bounded by most_lists
 
         def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for at in range(0, len(batch), 2048):
-                    part = batch.slice(at, 2048)
+                for at in range(0, len(batch), 512):
+                    part = batch.slice(at, 512)
                     x, good = unit(part.column("v"))
                     q = shared.value
-                    who, where = q.probes(x, reach)
+                    who, where = q.probes(x, spread * reach / dim**0.5)
                     own = _nearest(x, q.centres)
                     ids = part.column("rep").to_numpy(zero_copy_only=False)[good]
                     ms = part.column("m").to_numpy(zero_copy_only=False)[good]
