@@ -46,3 +46,25 @@ def statistics(obs: DataFrame, grid: DataFrame, start: str, end: str, box: Box)
     """Summaries of the observations in a box and period."""
     cells = select.crop_box(grid, *box).select("cell_id")
     return stats.summary(select.time_range(obs, start, end).join(cells, "cell_id", "left_semi"))
+
+
+def pressure_columns(levels: DataFrame, variables: list[str], wanted: list[int], surface_level: int, surface_name: str) -> DataFrame:
+    """(time, cell_id, <var>_<level>hpa ..., surface): pressure levels as columns, beside the surface variable."""
+    upper = stats.pivot_levels(select.select_levels(levels.where(F.col("var").isin(variables)), wanted), variables, wanted)
+    surface = levels.where((F.col("level") == surface_level) & (F.col("var") == "t")).select("time", "cell_id", F.col("value").alias(surface_name))
+    return align.merge_first(upper, surface, "time", "cell_id")
+
+
+def mesh_month(cycles: DataFrame, mask: DataFrame, month: str, var: str, units: str) -> DataFrame:
+    """(time, cell_id, value, units) of the masked nodes of a mesh: cycles by valid time, one month, in canonical units."""
+    x = select.crop_mask(align.valid_time(cycles, month=month), mask)
+    return convert(x.select("time", "cell_id", F.lit(var).alias("var"), "value", F.lit(units).alias("units")))
+
+
+def gap_report(obs: DataFrame, spine: DataFrame, n_cells: int, variables: list[str]) -> DataFrame:
+    """(var, year, n_times, n_missing): times of the axis, and those at which any cell lacks a value."""
+    from ..operators import audit
+
+    missing = audit.missing_by_year(audit.missing_times(obs, spine, n_cells, variables))
+    covered = audit.coverage_by_year(spine)
+    return missing.join(F.broadcast(covered), "year").select("var", "year", "n_times", "n_missing")

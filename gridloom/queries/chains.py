@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import products
-from .observations import SLOTTED
-from .views import GRID, OBS, SPINE, WIDE, at, cycles, frames, grid, obs, r6, register, regular_grid
+from .observations import MISSING, SLOTTED, spine
+from .views import CYCLES, GRID, LEVELS, OBS, SPINE, WIDE, at, cycles, frames, grid, levels, obs, r6, register, regular_grid
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -59,3 +59,21 @@ def frames_to_slots(spark, d):
 def statistics(spark, d):
     x = products.statistics(obs(spark, d), grid(spark, d), "2024-01-02", "2024-01-28", (38.0, 48.0, -82.0, -68.0))
     return x.select("var", r6("min"), r6("max"), r6("mean"), r6("std", digits=4))
+
+
+@query("q05_pressure_columns", f"WITH {LEVELS}, u AS (SELECT time, cell_id, max(CASE WHEN var = 'u' AND level = 500 THEN value END) AS u_500hpa, max(CASE WHEN var = 'u' AND level = 850 THEN value END) AS u_850hpa, max(CASE WHEN var = 'v' AND level = 500 THEN value END) AS v_500hpa, max(CASE WHEN var = 'v' AND level = 850 THEN value END) AS v_850hpa FROM levels WHERE var IN ('u', 'v') AND level IN (500, 850) GROUP BY ALL), s AS (SELECT time, cell_id, value AS t2m FROM levels WHERE level = 1000 AND var = 't') SELECT strftime(coalesce(u.time, s.time), '%Y-%m-%d %H:%M:%S') AS time, coalesce(u.cell_id, s.cell_id) AS cell_id, round(u_500hpa, 6) AS u_500hpa, round(u_850hpa, 6) AS u_850hpa, round(v_500hpa, 6) AS v_500hpa, round(v_850hpa, 6) AS v_850hpa, round(t2m, 6) AS t2m FROM u FULL JOIN s ON u.time = s.time AND u.cell_id = s.cell_id")
+def pressure_columns(spark, d):
+    x = products.pressure_columns(levels(spark, d), ["u", "v"], [500, 850], 1000, "t2m")
+    return x.select(at(), "cell_id", *(r6(c) for c in x.columns if c not in ("time", "cell_id")))
+
+
+@query("q06_mesh_month", f"WITH {CYCLES}, {GRID} SELECT strftime(init_time + to_hours(lead_hour), '%Y-%m-%d %H:%M:%S') AS time, cell_id, round(value * 100, 4) AS value, 'Pa' AS units FROM cycles WHERE strftime(init_time + to_hours(lead_hour), '%Y-%m') = '1998-02' AND cell_id IN (SELECT cell_id FROM grid WHERE field > 0)")
+def mesh_month(spark, d):
+    mask = grid(spark, d).select("cell_id", (F.col("field") > 0).alias("mask"))
+    x = products.mesh_month(cycles(spark, d), mask, "1998-02", "sp", "hPa")
+    return x.select(at(), "cell_id", r6("value", digits=4), "units")
+
+
+@query("q07_gap_report", f"WITH {MISSING} SELECT var, CAST(year(time) AS INTEGER) AS year, 720::BIGINT AS n_times, count(*) AS n_missing FROM m GROUP BY ALL")
+def gap_report(spark, d):
+    return products.gap_report(obs(spark, d), spine(spark), 24, ["u10", "v10", "tp"])
