@@ -77,10 +77,10 @@ def j03(spark, d):
     return align.merge_levels(ml, sfc).select(at(), "cell_id", r6("u"), r6("t2m"))
 
 
-@query("w06_level_upsert", f"WITH {LEVELS}, n AS (SELECT time, cell_id, var, level, value / 2 AS value FROM levels WHERE level = 700 AND var = 'v'), o AS (SELECT time, cell_id, var, level, value FROM levels WHERE var = 'v') SELECT level, count(*) AS n, round(sum(value), 2) AS total FROM (SELECT * FROM n UNION ALL SELECT * FROM o WHERE level <> 700) GROUP BY ALL")
+@query("w06_level_upsert", f"WITH {LEVELS}, n AS (SELECT time, cell_id, var, level, value / 2 AS value FROM levels WHERE level = 700 AND var = 'v'), o AS (SELECT time, cell_id, var, level, value FROM levels WHERE var = 'v') SELECT level, count(*) AS n, round(sum(value), 4) AS total FROM (SELECT * FROM n UNION ALL SELECT * FROM o WHERE level <> 700) GROUP BY ALL")
 def w06(spark, d):
     from ..sources.store import replaced
 
     x = levels(spark, d).where("var = 'v'")
     out = replaced(x, x.where("level = 700").withColumn("value", F.col("value") / 2), "time", "cell_id", "var", "level")
-    return out.groupBy("level").agg(F.count("*").alias("n"), r6(F.sum("value"), "total", 2))
+    return out.groupBy("level").agg(F.count("*").alias("n"), r6(F.sum("value"), "total", 4))

@@ -15,7 +15,7 @@ def connect(d: str) -> duckdb.DuckDBPyConnection:
 
 
 def text(v) -> str:
-    if v is None or v != v or v is pd.NaT or v is pd.NA:
+    if v is None or v is pd.NA or v is pd.NaT or v != v:
         return "null"
     if isinstance(v, bool) or type(v).__name__.startswith("bool"):
         return str(bool(v))
