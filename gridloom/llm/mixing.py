@@ -78,7 +78,7 @@ def _threshold(sized: DataFrame, state: DataFrame, nearest: bool) -> DataFrame:
         shift -= LEVEL_BITS
         near = edge.select(F.col("source").alias("s"), "prefix")
         inside = x.join(near, F.col("source").eqNullSafe(F.col("s")) & (F.shiftrightunsigned("h", shift + LEVEL_BITS) == F.col("prefix")))
-        edge = _boundary(inside.groupBy("source", F.shiftrightunsigned("h", shift).alias("bucket")).agg(F.sum("size").alias("n")), edge)
+        edge = staged(_boundary(inside.groupBy("source", F.shiftrightunsigned("h", shift).alias("bucket")).agg(F.sum("size").alias("n")), edge), "edge")  # one row a source
     last = x.join(edge.select(F.col("source").alias("s"), "prefix"), F.col("source").eqNullSafe(F.col("s")) & (F.shiftrightunsigned("h", shift) == F.col("prefix")))
     cut = _cut(last.groupBy("source", F.col("h").alias("bucket")).agg(F.sum("size").alias("n")), edge, shift, nearest)
     return ask.join(cut, ask["s"].eqNullSafe(cut["source"]), "left").select(
