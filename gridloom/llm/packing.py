@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 #: Words that a Python worker remembers, over all its tasks.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 
 
 class WordTokens(dict):
