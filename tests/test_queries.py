@@ -1,4 +1,4 @@
-"""Every query of the reference's operators against its SQL."""
+"""Every query of the weather operators against its SQL."""
 
 import pytest
 
