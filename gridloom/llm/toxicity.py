@@ -1,4 +1,4 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted lists, distance-weighted votes."""
+"""Toxicity by nearest labelled examples: exact cosine of label-weighted TF-IDF over all terms of the examples, distance-weighted votes."""
 
 from __future__ import annotations
 
@@ -13,77 +13,99 @@ from .staging import staged
 from .words import NOT_LETTER, Words, each_chunk, signed
 
 BLOCK = 64
+#: A term that more than this part of the examples hold has a row of the matrix; its list is longer than a product is dear.
+DENSE = 16
+#: Postings of documents that are scored at once.
+MOST_WORK = 1 << 22
 
 
 class Examples:
-    """Labelled examples in block-max inverted lists: postings by term in blocks of examples, with each block's maximum."""
+    """Labelled examples in inverted lists by term; lists longer than 1/DENSE of the examples are rows of a matrix beside."""
 
-    def __init__(self, index: TermIndex, idf: np.ndarray, vectors: list[tuple[int, float, float, list[int], list[float]]], empty: float, vote: float, k: int):
-        self.index, self.idf, self.empty, self.vote, self.k = index, idf, empty, vote, k
+    def __init__(self, index: TermIndex, weights: np.ndarray, vectors: list[tuple[int, float, float, list[int], list[float]]], empty: float, vote: float, k: int):
+        self.index, self.weights, self.empty, self.vote, self.k = index, weights, empty, vote, k
         self.ids = np.array([v[0] for v in vectors], np.int64)
         self.label = np.array([v[1] for v in vectors])
         self.share = np.array([v[2] for v in vectors])  # how many labelled documents the example stands for
-        self.blocks = -(-len(vectors) // BLOCK)
-        self.postings: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = {}
-        self.top: dict[int, np.ndarray] = {}
-        by_term: dict[int, list[tuple[int, float]]] = {}
-        for e, v in enumerate(vectors):
-            for t, x in zip(v[3], v[4], strict=True):
-                by_term.setdefault(t, []).append((e, x))
-        for t, posts in by_term.items():
-            e, x = np.array([p[0] for p in posts]), np.array([p[1] for p in posts])
-            self.top[t] = np.zeros(self.blocks)
-            np.maximum.at(self.top[t], e // BLOCK, x)
-            self.postings[t] = [(e[e // BLOCK == b] % BLOCK, x[e // BLOCK == b]) if self.top[t][b] else None for b in range(self.blocks)]
-        self.known: dict[bytes, tuple[float, list[int], list[float]]] = {}
-
-    def vector(self, term_index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Unit TF-IDF weights of a document's features: counts are in the features, so each weighs its idf."""
-        x = self.idf[term_index]
-        return term_index, x / np.sqrt((x * x).sum())
+        term = np.concatenate([np.zeros(0, np.int64), *(np.asarray(v[3], np.int64) for v in vectors)])
+        order = np.argsort(term, kind="stable")
+        self.at = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(weights)))])  # term t has postings at[t]..at[t+1]-1
+        self.example = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(v[3]) for v in vectors])[order]
+        self.value = np.concatenate([np.zeros(0), *(np.asarray(v[4], float) for v in vectors)])[order]
+        self.dense: tuple[np.ndarray, np.ndarray] | None = None
+
+    @property
+    def postings(self) -> dict[int, list[tuple[np.ndarray, np.ndarray] | None]]:
+        """Each term's list by blocks of BLOCK examples: places in the block, and weights."""
+        out = {}
+        for t in np.flatnonzero(np.diff(self.at)).tolist():
+            e, x = self.example[self.at[t] : self.at[t + 1]], self.value[self.at[t] : self.at[t + 1]]
+            cut = np.searchsorted(e, np.arange(0, len(self.ids) + BLOCK, BLOCK))
+            out[t] = [(e[a:b] % BLOCK, x[a:b]) if a < b else None for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        return out
+
+    def vectors(self, own: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, term, weight) by document from all occurrences: (1 + log of the count) times the term's weight, of length 1."""
+        pair, n = np.unique(own * self.index.width + at, return_counts=True)
+        own, t = np.divmod(pair, self.index.width)
+        x = (1 + np.log(n)) * self.weights[t]
+        return own, t, x / np.sqrt(np.bincount(own, x * x))[own]
+
+    def vector(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(term, weight) of one document."""
+        return self.vectors(np.zeros(len(at), np.int64), at)[1:]
+
+    def cosines(self, own: np.ndarray, t: np.ndarray, x: np.ndarray, m: int) -> np.ndarray:
+        """Cosines of m documents with all examples."""
+        count, n = np.diff(self.at), len(self.ids)
+        if self.dense is None:  # built where it is used
+            row = np.cumsum(count * DENSE > n) - 1
+            row[count * DENSE <= n] = -1
+            full = np.zeros((row.max(initial=-1) + 1, n))
+            own_row = np.repeat(row, count)
+            full[own_row[own_row >= 0], self.example[own_row >= 0]] = self.value[own_row >= 0]
+            self.dense = row, full
+        row, full = self.dense
+        long = row[t] >= 0
+        part = np.zeros((m, len(full)))
+        part[own[long], row[t[long]]] = x[long]
+        out = part @ full
+        own, t, x = own[~long], t[~long], x[~long]
+        size = count[t]
+        at = np.repeat(self.at[t] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        return out + np.bincount(np.repeat(own * n, size) + self.example[at], np.repeat(x, size) * self.value[at], m * n).reshape(m, n)
+
+    def best(self, cos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The k examples of largest cosine above 0 (ties: the smaller place) and their cosines."""
+        least = np.partition(cos, -self.k)[-self.k] if len(cos) > self.k else 0
+        some = np.flatnonzero((cos > 0) & (cos >= least - 1e-11))
+        some = some[np.lexsort((some, -np.round(cos[some], 12)))[: self.k]]
+        return some, cos[some]
 
     def nearest(self, t: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of largest cosine (ties: the smaller place) and their cosines, exactly.
-
-        Blocks are opened in order of their bound, the sum of the terms' maxima there; the rest are skipped once k
-        cosines exceed the next bound.
-        """
-        bound = np.zeros(self.blocks)
-        mine = [(int(term), w) for term, w in zip(t, x, strict=True) if int(term) in self.top]
-        for term, w in mine:
-            bound += w * self.top[term]
-        best_at, best = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) >= self.k and best[self.k - 1] > bound[b] + 1e-12:
-                break
-            score = np.zeros(BLOCK)
-            for term, w in mine:
-                if (p := self.postings[term][b]) is not None:
-                    score[p[0]] += w * p[1]
-            hit = np.flatnonzero(score)
-            best_at, best = np.concatenate([best_at, hit + b * BLOCK]), np.concatenate([best, score[hit]])
-            order = np.lexsort((best_at, -np.round(best, 12)))[: self.k]
-            best_at, best = best_at[order], best[order]
-        return best_at, best
-
-    def score(self, term_index: np.ndarray) -> tuple[float, list[int], list[float]]:
-        """Share of toxic votes, and the evidence: examples and cosines."""
-        if not len(term_index) or not len(self.ids):
-            return self.empty, [], []
-        key = term_index.tobytes()
-        if key not in self.known:
-            at, cos = self.nearest(*self.vector(term_index))
-            votes = cos**4 * self.share[at]
-            score = float((votes @ self.label[at] + self.vote * self.empty) / (votes.sum() + self.vote))
-            if len(self.known) > 50_000:
-                self.known.clear()
-            self.known[key] = (score, self.ids[at].tolist(), cos.tolist())
-        return self.known[key]
+        """The k examples nearest to one document and their cosines, exactly."""
+        return self.best(self.cosines(np.zeros(len(t), np.int64), t, x, 1)[0])
+
+    def scores(self, own: np.ndarray, at: np.ndarray, m: int) -> Iterator[tuple[float, list[int], list[float]]]:
+        """For each of m documents: share of toxic votes, and the evidence: examples and cosines."""
+        if not len(self.ids):
+            yield from [(self.empty, [], [])] * m
+            return
+        own, t, x = self.vectors(own, at)
+        cut = np.searchsorted(own, np.arange(m + 1))
+        work = np.concatenate([[0], np.cumsum(np.diff(self.at)[t])])[cut]
+        a = 0
+        while a < m:
+            b = max(a + 1, min(a + BLOCK, int(np.searchsorted(work, work[a] + MOST_WORK, "right")) - 1))
+            s = slice(cut[a], cut[b])
+            for e, cos in map(self.best, self.cosines(own[s] - a, t[s], x[s], b - a)):
+                votes = cos**4 * self.share[e]
+                yield (float((votes @ self.label[e] + self.vote * self.empty) / (votes.sum() + self.vote)) if len(e) else self.empty), self.ids[e].tolist(), cos.tolist()
+            a = b
 
 
 #: Bytes of word beginnings that are terms beside the words.
 PREFIXES = (4, 5, 6, 7, 8)
-LEVELS = 3
 
 
 def _terms(w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -94,49 +116,22 @@ def _terms(w: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 class TermIndex:
-    """Places of terms in a sorted list of them; a table of hash beginnings turns most others away.
+    """Places of terms in a sorted list of them."""
 
-    A feature is a term seen once, twice or three times and more: feature = place + (times - 1) x terms. columns numbers
-    the chosen features, with -1 for the others; all by default.
-    """
-
-    def __init__(self, terms: np.ndarray, columns: np.ndarray | None = None):
+    def __init__(self, terms: np.ndarray):
         self.terms = terms
-        self.columns = np.arange(LEVELS * len(terms)) if columns is None else columns
-        self.width = int(self.columns.max(initial=-1)) + 1
-        self.maybe = np.zeros(1 << 20, bool)
-        self.maybe[terms.view(np.uint64) >> np.uint64(44)] = True
+        self.width = len(terms)
 
     def of(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
-        """(document in the chunk, column) of each chosen feature, each once, by document."""
+        """(document in the chunk, place) of each occurrence of a listed term."""
+        if not self.width:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         t, own = _terms(w)
-        some = np.flatnonzero(self.maybe[t.view(np.uint64) >> np.uint64(44)])
-        t, own = t[some], own[some]
-        at = np.minimum(np.searchsorted(self.terms, t), len(self.terms) - 1)
-        hit = self.terms[at] == t
-        m = len(self.terms)
-        pair, n = np.unique(own[hit] * m + at[hit], return_counts=True)
-        own, at = np.divmod(np.concatenate([pair[n > k] for k in range(LEVELS)]), m)
-        column = self.columns[at + np.repeat(np.arange(LEVELS) * m, [int((n > k).sum()) for k in range(LEVELS)])]
-        own, column = own[column >= 0], column[column >= 0]
-        order = np.lexsort((column, own))
-        return own[order], column[order]
-
-
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents that hold a term, one row for each term and batch."""
-    for batch in batches:
-        terms = []
-        for w in each_chunk(batch.column(0), NOT_LETTER, lower=True):
-            t, own = _terms(w)
-            order = np.lexsort((own, t))
-            t, own = t[order], own[order]
-            new = np.ones(len(t), bool)
-            new[1:] = (t[1:] != t[:-1]) | (own[1:] != own[:-1])
-            terms.append(t[new])
-        if terms:
-            t, n = np.unique(np.concatenate(terms), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(n)], ["term", "ones"])
+        t, back = np.unique(t, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.terms, t), self.width - 1)
+        at[self.terms[at] != t] = -1
+        at = at[back]
+        return own[at >= 0], at[at >= 0]
 
 
 def _counts(shared, labelled: bool):
@@ -150,7 +145,7 @@ def _counts(shared, labelled: bool):
         for batch in batches:
             at, label = 0, batch.column(1).to_numpy(zero_copy_only=False) if labelled else None
             for w in each_chunk(batch.column(0), NOT_LETTER, lower=True):
-                own, term = index.of(w)
+                own, term = np.divmod(np.unique(np.stack(index.of(w)).T @ np.array([m, 1])), m)
                 for k, some in enumerate((label[at + own] == 1, label[at + own] == 0) if labelled else (slice(None),)):
                     sums[k] += np.bincount(term[some], minlength=m)
                 at += w.last - w.first
@@ -161,19 +156,50 @@ def _counts(shared, labelled: bool):
     return run
 
 
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Terms of each document and how often they occur."""
+    for batch in batches:
+        at = 0
+        for w in each_chunk(batch.column(1), NOT_LETTER, lower=True):
+            t, own = _terms(w)
+            terms, back = np.unique(t, return_inverse=True)
+            pair, n = np.unique(own * max(1, len(terms)) + back, return_counts=True)
+            own, t = np.divmod(pair, max(1, len(terms)))
+            m = w.last - w.first
+            cut = pa.array(np.searchsorted(own, np.arange(m + 1)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(cut, pa.array(x)) for x in (terms[t], n.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, m), batch.column(2).slice(at, m), *lists], ["_k", "y", "terms", "n"])
+            at += m
+
+
+def _bare(shared):
+    """Labels of the documents without any listed term."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for w in each_chunk(batch.column(0), NOT_LETTER, lower=True):
+                m = w.last - w.first
+                some = np.flatnonzero(np.bincount(shared.value.of(w)[0], minlength=m) == 0)
+                yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(some + at))], ["y"])
+                at += m
+
+    return run
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-    most_labels: int = 40_000, most_candidates: int = 65_536, most_terms: int = 512, most_examples: int = 2000, k: int = 15,
+    most_labels: int = 40_000, most_examples: int = 2000, k: int = 15,
 ) -> Examples:
     """Examples from labelled documents (labels: key and label, 0 or 1; other values and nulls are ignored).
 
     most_labels bounds the labels used, those with the smallest key hashes, so that they can be broadcast to the texts.
-    Terms are runs of letters, A-Z in lower case, and the runs' first 4 to 8 bytes. Terms of 5 labelled toxic documents
-    or more, the most_candidates most frequent there, are candidates; their features (a term seen once, twice, three
-    times) are counted by label; the most_terms with the largest chi-square above 20 that are commoner in toxic documents
-    make the vectors, weighted by their counts in all documents.
-    most_examples bounds the examples of each label, those with the smallest key hashes that hold any term; each stands
-    for its share of the labelled ones. Documents without terms get the toxic share of labelled documents without terms.
+    most_examples bounds the examples of each label, those with the smallest key hashes that hold any letter; each stands
+    for its share of the labelled ones.
+    Terms are runs of letters, A-Z in lower case, and the runs' first 4 to 8 bytes. All terms of the examples make the
+    vectors: (1 + log of the count in the text) x idf over all documents x root of chi-square over the labelled ones. So a
+    term weighs nothing only where its part of toxic and of other documents is the same, as when all of them hold it.
+    Documents without weighing terms get the toxic share of labelled documents without them.
     """
     context = docs.sparkSession.sparkContext
     known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("_k"), F.col(label).cast("int").alias("y"))
@@ -183,58 +209,47 @@ def fit(
     n = {r["y"]: r["count"] for r in labelled.groupBy("y").count().collect()}
     ones, zeros = n.get(1, 0), n.get(0, 0)
     base = (ones + 0.5) / (ones + zeros + 1)
-    nothing = Examples(TermIndex(np.zeros(1, np.int64)), np.zeros(LEVELS), [], base, 1.0, k)
+    nothing = Examples(TermIndex(np.zeros(0, np.int64)), np.zeros(0), [], base, 1.0, k)
     if not ones or not zeros:
         return nothing
-    many = labelled.where("y = 1").select("text").mapInArrow(_candidates, "term long, ones long").groupBy("term").agg(F.sum("ones").alias("ones")).where("ones >= 5")
-    terms = np.sort(np.array([r["term"] for r in many.orderBy(F.desc("ones"), "term").limit(most_candidates).collect()], np.int64))  # bounded by most_candidates
+    kind = docs.schema[key].dataType.simpleString()
+    bags = []
+    for y in (0, 1):
+        some = labelled.where((F.col("y") == y) & F.col("text").rlike(r"[A-Za-z]|[^\x00-\x7F]")).orderBy(F.xxhash64("_k"), "_k").limit(most_examples)  # bounded by most_examples
+        x = some.select("_k", "text", "y").mapInArrow(_bags, f"_k {kind}, y int, terms array<long>, n array<int>").toArrow()
+        bags += zip(x["_k"].to_pylist(), x["y"].to_pylist(), *([v.values.to_numpy() for v in x[c]] for c in ("terms", "n")), strict=True)
+    terms = np.unique(np.concatenate([np.zeros(0, np.int64), *(b[2] for b in bags)]))
     if not len(terms):
         return nothing
     shared = context.broadcast(TermIndex(terms))
-    counted = labelled.select("text", "y").mapInArrow(_counts(shared, True), "at int, ones long, zeros long").groupBy("at").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
-    a, b, c, d = F.col("ones"), F.col("zeros"), ones - F.col("ones"), zeros - F.col("zeros")
-    chi = F.pow((a * d - b * c).cast("double"), F.lit(2)) * float(ones + zeros) / ((a + b) * (c + d + 1e-9) * float(ones) * float(zeros))
-    chosen = counted.withColumn("chi", chi).where((F.col("chi") > 20) & (a * zeros > b * ones)).orderBy(F.desc("chi"), "at").limit(most_terms).collect()
-    if not chosen:
+    a, b, every = (np.zeros(len(terms)) for _ in range(3))
+    counted = labelled.select("text", "y").mapInArrow(_counts(shared, True), "at int, ones long, zeros long").groupBy("at").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros")).toArrow()  # one a term
+    a[counted["at"].to_numpy()], b[counted["at"].to_numpy()] = counted["ones"].to_numpy(), counted["zeros"].to_numpy()
+    counted = texts.select("text").mapInArrow(_counts(shared, False), "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # one a term
+    every[counted["at"].to_numpy()] = counted["n"].to_numpy()
+    c, d = ones - a, zeros - b
+    chi = (a * d - b * c) ** 2 * (ones + zeros) / np.maximum((a + b) * (c + d) * ones * zeros, 1e-9)
+    weights = np.log((docs.count() + 1) / (every + 0.5)) * np.sqrt(chi)
+    index = TermIndex(terms[weights > 0])
+    if not index.width:
         return nothing
-    feature = np.array(sorted(r["at"] for r in chosen))
-    used, place = np.unique(feature % len(terms), return_inverse=True)
-    columns = np.full(LEVELS * len(used), -1)
-    columns[place + feature // len(terms) * len(used)] = np.arange(len(feature))
-    index = TermIndex(terms[used], columns)
-    every = texts.select("text").mapInArrow(_counts(context.broadcast(index), False), "at int, n long").groupBy("at").agg(F.sum("n").alias("n"))
-    n = np.zeros(index.width)
-    for r in every.collect():  # one a chosen feature
-        n[r["at"]] = r["n"]
-    idf = np.log((docs.count() + 1) / (n + 0.5))
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = 0
-            for w in each_chunk(batch.column(1), NOT_LETTER, lower=True):
-                m = w.last - w.first
-                own, term = index.of(w)
-                cut = np.searchsorted(own, np.arange(m + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, m), batch.column(2).slice(at, m), pa.ListArray.from_arrays(pa.array(cut), pa.array(term.astype(np.int32)))], ["_k", "y", "at"])
-                at += m
-
-    kind = docs.schema[key].dataType.simpleString()
-    found = staged(labelled.select("_k", "text", "y").mapInArrow(vectors, f"_k {kind}, y int, at array<int>"), "found")
-    with_terms = {r["y"]: r["count"] for r in found.where("size(at) > 0").groupBy("y").count().collect()}
-    bare1, bare0 = ones - with_terms.get(1, 0), zeros - with_terms.get(0, 0)
-    model = Examples(index, idf, [], (bare1 + base) / (bare1 + bare0 + 1), 0.2, k)
+    bare = {r["y"]: r["count"] for r in labelled.select("text", "y").mapInArrow(_bare(context.broadcast(index)), "y int").groupBy("y").count().collect()}
+    model = Examples(index, weights[weights > 0], [], (bare.get(1, 0) + base) / (sum(bare.values()) + 1), 0.2, k)
     rows = []
-    for y in (0, 1):
-        some = found.where(f"size(at) > 0 and y = {y}").orderBy(F.xxhash64("_k"), "_k").limit(most_examples).collect()  # bounded by most_examples
-        for r in some:
-            t, x = model.vector(np.array(r["at"]))
-            rows.append((int(r["_k"] or 0), float(y), with_terms[y] / len(some), t.tolist(), x.tolist()))
-    return Examples(index, idf, rows, model.empty, model.vote, k)
+    for key_, y, t, n_ in bags:
+        at = np.minimum(np.searchsorted(index.terms, t), index.width - 1)
+        hit = index.terms[at] == t
+        if hit.any():
+            x = (1 + np.log(n_[hit])) * model.weights[at[hit]]
+            rows.append((int(key_ or 0), float(y), 1.0, at[hit], x / np.sqrt((x * x).sum())))
+    kept = {y: sum(r[1] == y for r in rows) for y in (0, 1)}
+    rows = [(r[0], r[1], ((ones if r[1] else zeros) - bare.get(int(r[1]), 0)) / kept[int(r[1])], r[3], r[4]) for r in rows]
+    return Examples(index, model.weights, rows, model.empty, model.vote, k)
 
 
 def score(docs: DataFrame, model: Examples, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with score (0 to 1), evidence (nearest examples' keys) and cosines. Null text counts as empty: no terms."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by most_terms and most_examples
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the terms of most_examples
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,9 +257,7 @@ def score(docs: DataFrame, model: Examples, key: str = "doc_id", text: str = "te
         for batch in batches:
             out = []
             for w in each_chunk(batch.column(text), NOT_LETTER, lower=True):
-                own, term = m.index.of(w)
-                cut = np.searchsorted(own, np.arange(w.last - w.first + 1))
-                out += [m.score(term[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+                out += m.scores(*m.index.of(w), w.last - w.first)
             cols = [*zip(*out, strict=True)] if out else [[], [], []]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cols[0], pa.float64()), pa.array(cols[1], pa.list_(pa.int64())), pa.array(cols[2], pa.list_(pa.float64()))], [*names, "score", "evidence", "cosines"])
 

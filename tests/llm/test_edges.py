@@ -361,6 +361,20 @@ def test_toxicity(spark):
     assert toxicity.score(empty(spark), toxicity.fit(empty(spark), labels)).count() == 0
 
 
+def test_toxicity_weighs_rare_words(spark):
+    rng = np.random.default_rng(16)
+    word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, 12))
+    common, rare = [word() for _ in range(60)], [word() for _ in range(60)]
+    text = lambda k: " ".join([*rng.choice(common, 12), *(rare[3 * k : 3 * k + 3] if k is not None else [])])
+    # each rare word is in two labelled toxic texts and in one without label
+    rows = [(i, text(i // 2 if i < 40 else None), "en", "s", 0) for i in range(400)] + [(1000 + k, text(k), "en", "s", 0) for k in range(20)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(i, 1, int(i < 40)) for i in range(400)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.score(docs, toxicity.fit(docs, labels)).where("doc_id >= 1000").collect()}
+    for k in range(20):
+        assert set(got[1000 + k]["evidence"][:2]) == {2 * k, 2 * k + 1} and got[1000 + k]["score"] >= 0.5
+
+
 def test_nearest_examples_are_exact():
     rng = np.random.default_rng(7)
     vectors_ = []
