@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ class Examples:
         self.value = np.concatenate([np.zeros(0), *(np.asarray(v[4], float) for v in vectors)])[order]
         self.dense: tuple[np.ndarray, np.ndarray] | None = None
 
-    @property
+    @cached_property
     def postings(self) -> dict[int, list[tuple[np.ndarray, np.ndarray] | None]]:
         """Each term's list by blocks of BLOCK examples: places in the block, and weights."""
         out = {}
