@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -11,39 +10,50 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .staging import staged
-from .words import NOT_LETTER, Words, each_chunk, signed
+from .words import NOT_LETTER, Words, each_chunk, mix, signed
 
-BLOCK = 64
-#: A term that more than this part of the examples hold has a row of the matrix; its list is longer than a product is dear.
-DENSE = 16
-#: Postings of documents that are scored at once.
-MOST_WORK = 1 << 22
+#: Examples of a block, whose largest weight of a term bounds what the term adds to any of them.
+BLOCK = 32
+#: Blocks of largest bound that are scored first.
+FIRST = 4
+#: A term that more than this part of the examples hold has its list cut in blocks; shorter lists are added up whole.
+DENSE = 32
+#: Documents, and postings of short lists, that are scored at once.
+MOST_DOCS, MOST_WORK = 256, 1 << 22
+PIVOTS = 64
 
 
 class Examples:
-    """Labelled examples in inverted lists by term; lists longer than 1/DENSE of the examples are rows of a matrix beside."""
+    """Labelled examples in block-max inverted lists by term; examples of like terms share a block."""
 
-    def __init__(self, index: TermIndex, weights: np.ndarray, vectors: list[tuple[int, float, float, list[int], list[float]]], empty: float, vote: float, k: int):
-        self.index, self.weights, self.empty, self.vote, self.k = index, weights, empty, vote, k
-        self.ids = np.array([v[0] for v in vectors], np.int64)
-        self.label = np.array([v[1] for v in vectors])
-        self.share = np.array([v[2] for v in vectors])  # how many labelled documents the example stands for
+    def __init__(self, index: TermIndex, weights: np.ndarray, vectors: list[tuple[int, float, float, list[int], list[float]]], empty: float, vote: float, k: int, slope: float = 1.0, shift: float = 0.0):
+        self.index, self.weights, self.empty, self.vote, self.k, self.slope, self.shift = index, weights, empty, vote, k, slope, shift
         term = np.concatenate([np.zeros(0, np.int64), *(np.asarray(v[3], np.int64) for v in vectors)])
-        order = np.argsort(term, kind="stable")
+        value = np.concatenate([np.zeros(0, np.float32), *(np.asarray(v[4], np.float32) for v in vectors)])
+        example = np.repeat(np.arange(len(vectors)), [len(v[3]) for v in vectors])
+        place = np.empty(len(vectors), np.int64)
+        by = _alike([(v[3], v[4]) for v in vectors], len(weights))
+        place[by] = np.arange(len(vectors))
+        self.ids = np.array([vectors[i][0] for i in by], np.int64)
+        self.label = np.array([vectors[i][1] for i in by])
+        self.share = np.array([vectors[i][2] for i in by])  # how many labelled documents the example stands for
+        order = np.lexsort((place[example], term))
         self.at = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(weights)))])  # term t has postings at[t]..at[t+1]-1
-        self.example = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(v[3]) for v in vectors])[order]
-        self.value = np.concatenate([np.zeros(0), *(np.asarray(v[4], float) for v in vectors)])[order]
-        self.dense: tuple[np.ndarray, np.ndarray] | None = None
-
-    @cached_property
-    def postings(self) -> dict[int, list[tuple[np.ndarray, np.ndarray] | None]]:
-        """Each term's list by blocks of BLOCK examples: places in the block, and weights."""
-        out = {}
-        for t in np.flatnonzero(np.diff(self.at)).tolist():
-            e, x = self.example[self.at[t] : self.at[t + 1]], self.value[self.at[t] : self.at[t + 1]]
-            cut = np.searchsorted(e, np.arange(0, len(self.ids) + BLOCK, BLOCK))
-            out[t] = [(e[a:b] % BLOCK, x[a:b]) if a < b else None for a, b in zip(cut[:-1], cut[1:], strict=True)]
-        return out
+        self.example, self.value = place[example[order]].astype(np.int32), value[order]
+        self.blocked: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+
+    def blocks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(each term's long list or -1, weights by block, list and place, their largest by list and block), built where it is used."""
+        if self.blocked is None:
+            count, n = np.diff(self.at), -(-len(self.ids) // BLOCK)
+            long = count * DENSE > len(self.ids)
+            row = np.where(long, np.cumsum(long) - 1, -1)
+            full = np.zeros((n, int(long.sum()), BLOCK), np.float32)
+            of = np.repeat(row, count)
+            some = of >= 0
+            full[self.example[some] // BLOCK, of[some], self.example[some] % BLOCK] = self.value[some]
+            self.blocked = row, full, full.max(2, initial=0.0).T.astype(float)
+        return self.blocked
 
     def vectors(self, own: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, term, weight) by document from all occurrences: (1 + log of the count) times the term's weight, of length 1."""
@@ -56,25 +66,43 @@ class Examples:
         """(term, weight) of one document."""
         return self.vectors(np.zeros(len(at), np.int64), at)[1:]
 
-    def cosines(self, own: np.ndarray, t: np.ndarray, x: np.ndarray, m: int) -> np.ndarray:
-        """Cosines of m documents with all examples."""
-        count, n = np.diff(self.at), len(self.ids)
-        if self.dense is None:  # built where it is used
-            row = np.cumsum(count * DENSE > n) - 1
-            row[count * DENSE <= n] = -1
-            full = np.zeros((row.max(initial=-1) + 1, n))
-            own_row = np.repeat(row, count)
-            full[own_row[own_row >= 0], self.example[own_row >= 0]] = self.value[own_row >= 0]
-            self.dense = row, full
-        row, full = self.dense
+    def cosines(self, own: np.ndarray, t: np.ndarray, x: np.ndarray, m: int, but: np.ndarray | None = None) -> np.ndarray:
+        """Cosines of m documents with the examples that can be among the k nearest, exactly; -1 for the others.
+
+        Short lists are added up; with the long lists' largest weights in a block they bound what its examples reach. The
+        blocks of largest bound give each document's k-th cosine so far, and all blocks whose bound lies below that are
+        passed over. but: of each document, the example to leave out.
+        """
+        row, full, most = self.blocks()
+        n = len(full) * BLOCK
         long = row[t] >= 0
-        part = np.zeros((m, len(full)))
+        part = np.zeros((m, full.shape[1]))
         part[own[long], row[t[long]]] = x[long]
-        out = part @ full
         own, t, x = own[~long], t[~long], x[~long]
-        size = count[t]
-        at = np.repeat(self.at[t] - np.cumsum(size) + size, size) + np.arange(size.sum())
-        return out + np.bincount(np.repeat(own * n, size) + self.example[at], np.repeat(x, size) * self.value[at], m * n).reshape(m, n)
+        size = np.diff(self.at)[t]
+        at = np.repeat(self.at[t] - np.cumsum(size) + size, size)
+        at += np.arange(len(at))
+        cell, add = np.repeat(own * n, size), np.repeat(x, size)
+        cell += self.example[at]
+        add *= self.value[at]
+        short = np.bincount(cell, add, m * n).reshape(m, -1, BLOCK)
+        if but is not None:
+            short[np.arange(m), but // BLOCK, but % BLOCK] = -np.inf
+        bound = part @ most + short.max(2) + 1e-9
+        out = np.full(short.shape, -1.0)
+        first = np.argsort(-bound, 1, kind="stable")[:, :FIRST]
+        ask = np.zeros(bound.shape, bool)
+        np.put_along_axis(ask, first, True, 1)
+        for again in (False, True):
+            for b in np.flatnonzero(ask.any(0)).tolist():
+                who = np.flatnonzero(ask[:, b])
+                out[who, b] = part[who] @ full[b].astype(float) + short[who, b]
+            if again or n <= FIRST * BLOCK:
+                break
+            k = min(self.k, FIRST * BLOCK)
+            least = np.partition(np.take_along_axis(out, first[:, :, None], 1).reshape(m, -1), -k, 1)[:, -k]
+            ask = (bound >= least[:, None]) & ~ask
+        return out.reshape(m, -1)
 
     def best(self, cos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine above 0 (ties: the smaller place) and their cosines."""
@@ -87,23 +115,69 @@ class Examples:
         """The k examples nearest to one document and their cosines, exactly."""
         return self.best(self.cosines(np.zeros(len(t), np.int64), t, x, 1)[0])
 
-    def scores(self, own: np.ndarray, at: np.ndarray, m: int) -> Iterator[tuple[float, list[int], list[float]]]:
-        """For each of m documents: share of toxic votes, and the evidence: examples and cosines."""
-        if not len(self.ids):
-            yield from [(self.empty, [], [])] * m
-            return
-        own, t, x = self.vectors(own, at)
+    def voted(self, e: np.ndarray, cos: np.ndarray) -> float:
+        """Share of toxic votes."""
+        votes = cos**4 * self.share[e]
+        return float((votes @ self.label[e] + self.vote * self.empty) / (votes.sum() + self.vote)) if len(e) else self.empty
+
+    def calibrated(self, share: float) -> float:
+        """The probability that goes with a share of votes."""
+        p = min(max(share, 1e-6), 1 - 1e-6)
+        return float(1 / (1 + np.exp(-(self.slope * np.log(p / (1 - p)) + self.shift))))
+
+    def each(self, own: np.ndarray, t: np.ndarray, x: np.ndarray, m: int, but: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each of m documents its nearest examples and their cosines; a document's terms follow one another."""
+        row = self.blocks()[0]
         cut = np.searchsorted(own, np.arange(m + 1))
-        work = np.concatenate([[0], np.cumsum(np.diff(self.at)[t])])[cut]
+        work = np.concatenate([[0], np.cumsum(np.where(row[t] < 0, np.diff(self.at)[t], 0))])[cut]
         a = 0
         while a < m:
-            b = max(a + 1, min(a + BLOCK, int(np.searchsorted(work, work[a] + MOST_WORK, "right")) - 1))
+            b = max(a + 1, min(a + MOST_DOCS, int(np.searchsorted(work, work[a] + MOST_WORK, "right")) - 1))
             s = slice(cut[a], cut[b])
-            for e, cos in map(self.best, self.cosines(own[s] - a, t[s], x[s], b - a)):
-                votes = cos**4 * self.share[e]
-                yield (float((votes @ self.label[e] + self.vote * self.empty) / (votes.sum() + self.vote)) if len(e) else self.empty), self.ids[e].tolist(), cos.tolist()
+            yield from map(self.best, self.cosines(own[s] - a, t[s], x[s], b - a, None if but is None else but[a:b]))
             a = b
 
+    def scores(self, own: np.ndarray, at: np.ndarray, m: int) -> Iterator[tuple[float, list[int], list[float]]]:
+        """For each of m documents: its score, and the evidence: examples and cosines."""
+        if not len(self.ids):
+            yield from [(self.empty, [], [])] * m
+            return
+        for e, cos in self.each(*self.vectors(own, at), m):
+            yield self.calibrated(self.voted(e, cos)) if len(e) else self.empty, self.ids[e].tolist(), cos.tolist()
+
+    def calibrate(self) -> None:
+        """Fit slope and shift of a logistic curve over shares of votes, each example's from the others, by Newton steps.
+
+        Examples count as much as the labelled documents they stand for. A weak prior holds slope 1 and shift 0.
+        """
+        own = self.example.astype(np.int64)
+        order = np.argsort(own, kind="stable")
+        t = np.repeat(np.arange(len(self.at) - 1), np.diff(self.at))[order]
+        found = self.each(own[order], t, self.value[order], len(self.ids), np.arange(len(self.ids)))
+        share = np.clip([self.voted(e, cos) for e, cos in found], 1e-6, 1 - 1e-6)
+        z = np.stack([np.log(share / (1 - share)), np.ones(len(share))], 1)
+        weight = self.share / self.share.mean()
+        w, prior, hold = np.array([1.0, 0.0]), np.array([1.0, 0.0]), 1.0
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-(z @ w)))
+            step = np.linalg.solve((z * (weight * p * (1 - p))[:, None]).T @ z + hold * np.eye(2), z.T @ (weight * (p - self.label)) + hold * (w - prior))
+            w = w - np.clip(step, -1, 1)
+            if np.abs(step).max() < 1e-9:
+                break
+        self.slope, self.shift = (float(w[0]), float(w[1])) if w[0] > 0 else (1.0, 0.0)
+        self.blocked = None  # not sent along
+
+
+def _alike(vectors: list[tuple[list[int], list[float]]], width: int) -> np.ndarray:
+    """Examples in the order of the pivot (every n / PIVOTS-th example) that they are nearest to, and of that cosine."""
+    n = len(vectors)
+    pivots = range(0, n, max(1, n // PIVOTS))
+    full = np.zeros((width, len(pivots)), np.float32)
+    for k, i in enumerate(pivots):
+        full[vectors[i][0], k] = vectors[i][1]
+    cos = np.array([np.asarray(x) @ full[t] for t, x in vectors]).reshape(n, len(pivots))
+    return np.lexsort((np.arange(n), -cos.max(1), cos.argmax(1))) if n else np.zeros(0, np.int64)
+
 
 #: Bytes of word beginnings that are terms beside the words.
 PREFIXES = (4, 5, 6, 7, 8)
@@ -127,12 +201,18 @@ class TermIndex:
         """(document in the chunk, place) of each occurrence of a listed term."""
         if not self.width:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        t, own = _terms(w)
-        t, back = np.unique(t, return_inverse=True)
+        u, first, back = np.unique(w.hash, return_index=True, return_inverse=True)
+        parts = [(u, np.arange(len(u))), *((h, k) for h, k in (w.prefixes(n, first) for n in PREFIXES))]
+        t, word = signed(np.concatenate([p[0] for p in parts])), np.concatenate([p[1] for p in parts])
+        order = np.argsort(t)  # sorted ones are found faster
+        t, word = t[order], word[order]
         at = np.minimum(np.searchsorted(self.terms, t), self.width - 1)
-        at[self.terms[at] != t] = -1
-        at = at[back]
-        return own[at >= 0], at[at >= 0]
+        known = self.terms[at] == t
+        order = np.argsort(word[known], kind="stable")
+        at, begin = at[known][order], np.concatenate([[0], np.cumsum(np.bincount(word[known], minlength=len(u)))])
+        size = np.diff(begin)[back]
+        own = np.repeat(np.repeat(np.arange(w.last - w.first), np.diff(w.at)), size)
+        return own, at[np.repeat(begin[back] - np.cumsum(size) + size, size) + np.arange(size.sum())]
 
 
 def _counts(shared, labelled: bool):
@@ -200,7 +280,10 @@ def fit(
     Terms are runs of letters, A-Z in lower case, and the runs' first 4 to 8 bytes. All terms of the examples make the
     vectors: (1 + log of the count in the text) x idf over all documents x root of chi-square over the labelled ones. So a
     term weighs nothing only where its part of toxic and of other documents is the same, as when all of them hold it.
-    Documents without weighing terms get the toxic share of labelled documents without them.
+    Documents without weighing terms get the toxic share of labelled documents without them; all others get the share of
+    their nearest examples' votes, put through a logistic curve that is fitted on the examples, each scored by the others.
+    Rows that repeat a key count once each; a key with labels 0 and 1 is 1. Null texts are empty. An empty table, or labels
+    of one kind only, give a model without examples, whose score is the share of toxic labels.
     """
     context = docs.sparkSession.sparkContext
     known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("_k"), F.col(label).cast("int").alias("y"))
@@ -245,11 +328,17 @@ def fit(
             rows.append((int(key_ or 0), float(y), 1.0, at[hit], x / np.sqrt((x * x).sum())))
     kept = {y: sum(r[1] == y for r in rows) for y in (0, 1)}
     rows = [(r[0], r[1], ((ones if r[1] else zeros) - bare.get(int(r[1]), 0)) / kept[int(r[1])], r[3], r[4]) for r in rows]
-    return Examples(index, model.weights, rows, model.empty, model.vote, k)
+    model = Examples(index, model.weights, rows, model.empty, model.vote, k)
+    model.calibrate()
+    return model
 
 
 def score(docs: DataFrame, model: Examples, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with score (0 to 1), evidence (nearest examples' keys) and cosines. Null text counts as empty: no terms."""
+    """docs with score (0 to 1), evidence (nearest examples' keys) and cosines, in place of columns of these names.
+
+    Null text counts as empty: no terms. Repeated rows stay, each scored. Empty table: no rows.
+    """
+    docs = docs.drop(*({"score", "evidence", "cosines"} - {key, text}))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the terms of most_examples
     names = docs.columns
 

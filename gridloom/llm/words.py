@@ -59,10 +59,11 @@ class Words(NamedTuple):
     data: np.ndarray
     sums: np.ndarray
 
-    def prefixes(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the first n bytes of words of n bytes or more, and which words those are."""
-        long = np.flatnonzero(self.end - self.start >= n)
-        a = self.start[long]
+    def prefixes(self, n: int, some: np.ndarray | slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the first n bytes of (some) words of n bytes or more, and which of these those are."""
+        start = self.start[some]
+        long = np.flatnonzero(self.end[some] - start >= n)
+        a = start[long]
         return mix((self.sums[a + n] - self.sums[a]) * powers(len(self.data) + 1)[1][a] + np.uint64(0x51ED270B + n)), long
 
 

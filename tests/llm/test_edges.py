@@ -384,8 +384,8 @@ def test_nearest_examples_are_exact():
         vectors_.append((i, float(i % 2), 1.0, t.tolist(), (x / np.sqrt((x * x).sum())).tolist()))
     e = toxicity.Examples(toxicity.TermIndex(np.arange(30)), np.ones(30), vectors_, 0.1, 1.0, 10)
     dense = np.zeros((700, 30))
-    for i, _, _, t, x in vectors_:
-        dense[i, t] = x
+    for i, k in enumerate(e.ids.tolist()):
+        dense[i, vectors_[k][3]] = vectors_[k][4]
     for _ in range(100):
         t, x = e.vector(np.unique(rng.integers(0, 30, rng.integers(1, 8))))
         at, cos = e.nearest(t, x)

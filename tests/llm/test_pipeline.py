@@ -32,16 +32,14 @@ def nearest_by_hand(model, columns):
     if not len(columns):
         return model.empty
     dense = np.zeros((len(model.ids), model.index.width))
-    for t, blocks in model.postings.items():
-        for b, p in enumerate(blocks):
-            if p is not None:
-                dense[b * toxicity.BLOCK + p[0], t] = p[1]
+    dense[model.example, np.repeat(np.arange(model.index.width), np.diff(model.at))] = model.value
     t, x = model.vector(columns)
     cos = np.round(dense[:, t] @ x, 12)
     at = np.lexsort((np.arange(len(cos)), -cos))[: model.k]
     at = at[cos[at] > 0]
     votes = cos[at] ** 4 * model.share[at]
-    return float((votes @ model.label[at] + model.vote * model.empty) / (votes.sum() + model.vote))
+    share = (votes @ model.label[at] + model.vote * model.empty) / (votes.sum() + model.vote)
+    return 1 / (1 + np.exp(-(model.slope * np.log(share / (1 - share)) + model.shift)))
 
 
 def test_stages(spark):
