@@ -85,7 +85,7 @@ class Examples:
         cell, add = np.repeat(own * n, size), np.repeat(x, size)
         cell += self.example[at]
         add *= self.value[at]
-        short = np.bincount(cell, add, m * n).reshape(m, -1, BLOCK)
+        short = np.bincount(cell, add, m * n).astype(float).reshape(m, -1, BLOCK)
         if but is not None:
             short[np.arange(m), but // BLOCK, but % BLOCK] = -np.inf
         bound = part @ most + short.max(2) + 1e-9
