@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,3 +34,17 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         if now[0] == now[1] and live.join(live.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
             break  # every node has one neighbour, and that one has none above it: stars
     return live.select(F.col("u").alias("node"), F.col("v").alias("component")).union(live.select("v", "v").distinct())
+
+
+def labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest place that links (a, b) among n places reach from each: the same for the links of one task."""
+    own = np.arange(n)
+    while True:
+        low = np.minimum(own[a], own[b])
+        now = own.copy()
+        np.minimum.at(now, a, low)
+        np.minimum.at(now, b, low)
+        now = now[now]
+        if (now == own).all():
+            return own
+        own = now

@@ -435,3 +435,21 @@ def test_lm_probabilities_sum_to_one(spark):
     y = int(model.cls[s[2]]) if known[2] else model.weights.shape[1] - 1
     total += math.exp(model.log_classes(model.features(h, first))[2, y]) * (50 + 0.1) / model.mass[y]
     assert math.isclose(total, 1.0, rel_tol=1e-4) and probe.count() == 13
+
+
+def test_near_duplicates_of_one_key_with_different_texts(spark):
+    rows = [(5, BASE), (5, LONG), (11, LONG + " end"), (7, BASE), (5, LONG)]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA).repartition(3)
+    got = sorted((r["doc_id"], r["class_id"], r["n_links"], r["copies"]) for r in nearjoin.near_duplicates(df).collect())
+    assert got == [(5, 5, 1, 2), (5, 5, 2, 2), (5, 5, 2, 2), (7, 5, 1, 2), (11, 5, 2, 1)]
+
+
+def test_components(spark):
+    from gridloom.llm.components import components
+
+    path = [(i, i + 1) for i in range(60)]
+    others = [(100, 200), (200, 300), (300, 100), (5, 5), (None, 3), (400, None), (7, 6)] + [(1000, k) for k in range(1001, 1200)]
+    got = dict(map(tuple, components(spark.createDataFrame(path + others, "a long, b long"), "a", "b").collect()))
+    want = {i: 0 for i in range(61)} | {100: 100, 200: 100, 300: 100} | {k: 1000 for k in range(1000, 1200)}
+    assert got == want
+    assert components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
