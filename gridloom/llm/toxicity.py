@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .staging import staged
+from .staging import release, staged
 from .words import NOT_LETTER, Words, each_chunk, mix, signed
 
 #: Examples of a block, whose largest weight of a term bounds what the term adds to any of them.
@@ -28,10 +28,11 @@ class Examples:
 
     def __init__(self, index: TermIndex, weights: np.ndarray, vectors: list[tuple[int, float, float, list[int], list[float]]], empty: float, vote: float, k: int, slope: float = 1.0, shift: float = 0.0):
         self.index, self.weights, self.empty, self.vote, self.k, self.slope, self.shift = index, weights, empty, vote, k, slope, shift
-        term = np.concatenate([np.zeros(0, np.int64), *(np.asarray(v[3], np.int64) for v in vectors)])
+        self.sent = None
+        term = np.concatenate([np.zeros(0, np.int32), *(np.asarray(v[3], np.int32) for v in vectors)])
         value = np.concatenate([np.zeros(0, np.float32), *(np.asarray(v[4], np.float32) for v in vectors)])
-        example = np.repeat(np.arange(len(vectors)), [len(v[3]) for v in vectors])
-        place = np.empty(len(vectors), np.int64)
+        example = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(v[3]) for v in vectors])
+        place = np.empty(len(vectors), np.int32)
         by = _alike([(v[3], v[4]) for v in vectors], len(weights))
         place[by] = np.arange(len(vectors))
         self.ids = np.array([vectors[i][0] for i in by], np.int64)
@@ -39,9 +40,18 @@ class Examples:
         self.share = np.array([vectors[i][2] for i in by])  # how many labelled documents the example stands for
         order = np.lexsort((place[example], term))
         self.at = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(weights)))])  # term t has postings at[t]..at[t+1]-1
-        self.example, self.value = place[example[order]].astype(np.int32), value[order]
+        self.example, self.value = place[example[order]], value[order]
         self.blocked: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "sent": None, "blocked": None}
+
+    def shared(self, spark: SparkSession):
+        """The model as sent to the executors, once; bounded by the terms of the examples."""
+        if self.sent is None:
+            self.sent = spark.sparkContext.broadcast(self)
+        return self.sent
+
     def blocks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(each term's long list or -1, weights by block, list and place, their largest by list and block), built where it is used."""
         if self.blocked is None:
@@ -62,6 +72,13 @@ class Examples:
         x = (1 + np.log(n)) * self.weights[t]
         return own, t, x / np.sqrt(np.bincount(own, x * x))[own]
 
+    def weighed(self, terms: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(term, weight) of a bag of terms by hash and their counts."""
+        at = np.minimum(np.searchsorted(self.index.terms, terms), self.index.width - 1)
+        hit = self.index.terms[at] == terms
+        x = (1 + np.log(n[hit])) * self.weights[at[hit]]
+        return at[hit], x / np.sqrt((x * x).sum() or 1.0)
+
     def vector(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(term, weight) of one document."""
         return self.vectors(np.zeros(len(at), np.int64), at)[1:]
@@ -145,37 +162,37 @@ class Examples:
         for e, cos in self.each(*self.vectors(own, at), m):
             yield self.calibrated(self.voted(e, cos)) if len(e) else self.empty, self.ids[e].tolist(), cos.tolist()
 
-    def calibrate(self) -> None:
-        """Fit slope and shift of a logistic curve over shares of votes, each example's from the others, by Newton steps.
+    def calibrate(self, share: np.ndarray, label: np.ndarray) -> None:
+        """Fit slope and shift of a logistic curve over examples' shares of votes, each from the others, by Newton steps.
 
         Examples count as much as the labelled documents they stand for. A weak prior holds slope 1 and shift 0.
         """
-        own = self.example.astype(np.int64)
-        order = np.argsort(own, kind="stable")
-        t = np.repeat(np.arange(len(self.at) - 1), np.diff(self.at))[order]
-        found = self.each(own[order], t, self.value[order], len(self.ids), np.arange(len(self.ids)))
-        share = np.clip([self.voted(e, cos) for e, cos in found], 1e-6, 1 - 1e-6)
+        share = np.clip(share, 1e-6, 1 - 1e-6)
         z = np.stack([np.log(share / (1 - share)), np.ones(len(share))], 1)
-        weight = self.share / self.share.mean()
+        of = {float(y): float(s) for y, s in zip(self.label, self.share, strict=True)}
+        weight = np.array([of[y] for y in label.tolist()])
+        weight /= weight.mean()
         w, prior, hold = np.array([1.0, 0.0]), np.array([1.0, 0.0]), 1.0
         for _ in range(50):
             p = 1 / (1 + np.exp(-(z @ w)))
-            step = np.linalg.solve((z * (weight * p * (1 - p))[:, None]).T @ z + hold * np.eye(2), z.T @ (weight * (p - self.label)) + hold * (w - prior))
+            step = np.linalg.solve((z * (weight * p * (1 - p))[:, None]).T @ z + hold * np.eye(2), z.T @ (weight * (p - label)) + hold * (w - prior))
             w = w - np.clip(step, -1, 1)
             if np.abs(step).max() < 1e-9:
                 break
         self.slope, self.shift = (float(w[0]), float(w[1])) if w[0] > 0 else (1.0, 0.0)
-        self.blocked = None  # not sent along
 
 
 def _alike(vectors: list[tuple[list[int], list[float]]], width: int) -> np.ndarray:
     """Examples in the order of the pivot (every n / PIVOTS-th example) that they are nearest to, and of that cosine."""
     n = len(vectors)
     pivots = range(0, n, max(1, n // PIVOTS))
-    full = np.zeros((width, len(pivots)), np.float32)
-    for k, i in enumerate(pivots):
-        full[vectors[i][0], k] = vectors[i][1]
-    cos = np.array([np.asarray(x) @ full[t] for t, x in vectors]).reshape(n, len(pivots))
+    cos = np.zeros((n, len(pivots)))
+    for at in range(0, len(pivots), 16):  # few at a time hold little memory
+        full = np.zeros((width, 16), np.float32)
+        for k, i in enumerate(pivots[at : at + 16]):
+            full[vectors[i][0], k] = vectors[i][1]
+        for i, (t, x) in enumerate(vectors):
+            cos[i, at : at + 16] = (np.asarray(x, np.float32) @ full[t])[: len(pivots) - at]
     return np.lexsort((np.arange(n), -cos.max(1), cos.argmax(1))) if n else np.zeros(0, np.int64)
 
 
@@ -253,6 +270,26 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at += m
 
 
+def _left_out(shared):
+    """(y, share) of the examples among bags: each one's share of votes from examples of other keys; none without a term."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        place = {k: i for i, k in enumerate(m.ids.tolist())}
+        for batch in batches:
+            rows = []
+            for key, y, t, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                at, x = m.weighed(t.values.to_numpy(), n.values.to_numpy())
+                if len(at):
+                    rows.append((float(y), at, x, place[int(key or 0)]))
+            own = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
+            cat = lambda k, none: np.concatenate([np.zeros(0, none), *(r[k] for r in rows)])  # noqa: B023, E731
+            found = m.each(own, cat(1, np.int64), cat(2, float), len(rows), np.array([r[3] for r in rows], np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.float64()), pa.array([m.voted(e, cos) for e, cos in found], pa.float64())], ["y", "share"])
+
+    return run
+
+
 def _bare(shared):
     """Labels of the documents without any listed term."""
 
@@ -297,11 +334,11 @@ def fit(
     if not ones or not zeros:
         return nothing
     kind = docs.schema[key].dataType.simpleString()
-    bags = []
-    for y in (0, 1):
-        some = labelled.where((F.col("y") == y) & F.col("text").rlike(r"[A-Za-z]|[^\x00-\x7F]")).orderBy(F.xxhash64("_k"), "_k").limit(most_examples)  # bounded by most_examples
-        x = some.select("_k", "text", "y").mapInArrow(_bags, f"_k {kind}, y int, terms array<long>, n array<int>").toArrow()
-        bags += zip(x["_k"].to_pylist(), x["y"].to_pylist(), *([v.values.to_numpy() for v in x[c]] for c in ("terms", "n")), strict=True)
+    of = lambda y: labelled.where((F.col("y") == y) & F.col("text").rlike(r"[A-Za-z]|[^\x00-\x7F]")).orderBy(F.xxhash64("_k"), "_k").limit(most_examples)
+    chosen = of(0).unionByName(of(1)).select("_k", "text", "y")  # bounded by most_examples
+    held = staged(chosen.mapInArrow(_bags, f"_k {kind}, y int, terms array<long>, n array<int>").repartition(16), "bags")
+    x = held.toArrow()
+    bags = [*zip(x["_k"].to_pylist(), x["y"].to_pylist(), *([v.values.to_numpy() for v in x[c]] for c in ("terms", "n")), strict=True)]
     terms = np.unique(np.concatenate([np.zeros(0, np.int64), *(b[2] for b in bags)]))
     if not len(terms):
         return nothing
@@ -321,15 +358,17 @@ def fit(
     model = Examples(index, weights[weights > 0], [], (bare.get(1, 0) + base) / (sum(bare.values()) + 1), 0.2, k)
     rows = []
     for key_, y, t, n_ in bags:
-        at = np.minimum(np.searchsorted(index.terms, t), index.width - 1)
-        hit = index.terms[at] == t
-        if hit.any():
-            x = (1 + np.log(n_[hit])) * model.weights[at[hit]]
-            rows.append((int(key_ or 0), float(y), 1.0, at[hit], x / np.sqrt((x * x).sum())))
+        at, v = model.weighed(t, n_)
+        if len(at):
+            rows.append((int(key_ or 0), float(y), 1.0, at.astype(np.int32), v.astype(np.float32)))
+    del bags, x
     kept = {y: sum(r[1] == y for r in rows) for y in (0, 1)}
     rows = [(r[0], r[1], ((ones if r[1] else zeros) - bare.get(int(r[1]), 0)) / kept[int(r[1])], r[3], r[4]) for r in rows]
     model = Examples(index, model.weights, rows, model.empty, model.vote, k)
-    model.calibrate()
+    del rows
+    known = held.mapInArrow(_left_out(model.shared(docs.sparkSession)), "y double, share double").toArrow()  # bounded by most_examples
+    model.calibrate(known["share"].to_numpy(), known["y"].to_numpy())
+    release(held, labelled)
     return model
 
 
@@ -339,11 +378,12 @@ def score(docs: DataFrame, model: Examples, key: str = "doc_id", text: str = "te
     Null text counts as empty: no terms. Repeated rows stay, each scored. Empty table: no rows.
     """
     docs = docs.drop(*({"score", "evidence", "cosines"} - {key, text}))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the terms of most_examples
+    shared, slope, shift = model.shared(docs.sparkSession), model.slope, model.shift
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
+        m.slope, m.shift = slope, shift
         for batch in batches:
             out = []
             for w in each_chunk(batch.column(text), NOT_LETTER, lower=True):
