@@ -2,12 +2,12 @@
 
 Automata of all shards broadcast to all documents would cost the square of the corpus, so passages are routed: the
 smallest hash of the short word grams in a window names its shard. Equal windows have equal shards, wherever they are;
-each shard's automaton is built where its passages meet.
+each shard's automaton is built where its passages meet. Shards of many passages are divided by a further smallest hash
+of the window's grams, and so on; equal windows stay together at every level.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,8 +20,11 @@ from .words import Words, grams, mix, powers, ranges, signed, sliding_min, text_
 
 #: Words of the grams whose smallest hash names a window's shard.
 GRAM = 8
-#: A shard of more different passages than this is divided by whole windows, each its own shard.
-HOT = 2000
+#: Different passages of a shard that one automaton takes; a shard of more is divided at the next level.
+MOST = 2000
+#: At the last level a shard is one window and its passages are equal.
+LEVELS = 4
+ROW = ["doc", "a", "b"]
 
 
 class SuffixAutomaton:
@@ -80,81 +83,86 @@ class SuffixAutomaton:
         return out
 
 
-def _runs(w: Words, window: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(document, its words' hashes, shard of each run of windows of one shard, first window of each run and the end)."""
-    for d in range(w.last - w.first):
-        h = w.hash[w.at[d] : w.at[d + 1]]
-        if len(h) >= window:
-            least = sliding_min(grams(h, GRAM), window - GRAM + 1)
-            cut = np.flatnonzero(least[1:] != least[:-1]) + 1
-            start = np.concatenate([[0], cut])
-            yield d, h, least[start], np.append(start, len(least))
+def window_shards(h: np.ndarray, window: int, level: int) -> list[np.ndarray]:
+    """Shards of each window of a document's words (hashes), at each level up to this."""
+    size = min(GRAM, window)
+    g = grams(h, size)
+    out = [sliding_min(g, window - size + 1)]
+    for k in range(1, level + 1):
+        finer = grams(h, window) if k == LEVELS else sliding_min(mix(g + np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)), window - size + 1)
+        out.append(mix(out[-1] * np.uint64(0xD6E8FEB86659FD93) + finer))
+    return out
 
 
-def _shards(window: int):
+def _runs(w: Words, d: int, window: int, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of one document: shards of runs of windows of one shard, their shards a level above, first windows, ends, and hashes of the runs' words."""
+    h = w.hash[w.at[d] : w.at[d + 1]]
+    shards = window_shards(h, window, level)
+    key = shards[-1]
+    start = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
+    end = np.append(start[1:], len(key))
+    up, down = powers(len(h) + 1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up[:-1])])
+    last = end + window - 1
+    passage = mix((sums[last] - sums[start]) * down[start] + (last - start).astype(np.uint64))
+    return signed(key[start]), signed(shards[max(0, level - 1)][start]), start, end, signed(passage)
+
+
+ROUTED = "shard long, passage long, doc long, a long, b long, level int, t0 int, n int"
+
+
+def _route(window: int, level: int):
+    """Runs of windows of one shard of (doc, a, b, text), and from level 1 on of those in the shards listed in hot alone."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
-            docs = batch.column(0).to_numpy(zero_copy_only=False)
+            data, offsets = text_bytes(batch.column(3))
+            rows = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)]
             for i, j in ranges(offsets):
-                keys, passages, at = [], [], []
-                for d, h, key, start in _runs(words(data, offsets, i, j), window):
-                    up, down = powers(len(h) + 1)
-                    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up[:-1])])
-                    first, end = start[:-1], start[1:] + window - 1
-                    keys.append(key)
-                    passages.append(mix((sums[end] - sums[first]) * down[first] + (end - first).astype(np.uint64)))
-                    at.append(np.full(len(key), docs[i + d], np.int64))
-                if keys:
-                    yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(keys))), pa.array(signed(np.concatenate(passages))), pa.array(np.concatenate(at))], ["shard", "passage", "doc"])
+                w = words(data, offsets, i, j)
+                out: list[list] = [[] for _ in range(5)]
+                for d in np.flatnonzero(np.diff(w.at) >= window).tolist():
+                    key, above, start, end, passage = _runs(w, d, window, level)
+                    some = np.isin(above, batch.column(4)[i + d].values.to_numpy()) if level else slice(None)
+                    for column, x in zip(out, (key[some], passage[some], start[some], (end - start)[some], np.full(len(key[some]), i + d)), strict=True):
+                        column.append(x)
+                if out[0]:
+                    key, passage, t0, n, at = map(np.concatenate, out)
+                    columns = [key, passage, *(r[at] for r in rows), np.full(len(at), level, np.int32), t0.astype(np.int32), n.astype(np.int32)]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], [x.split()[0] for x in ROUTED.split(", ")])
 
     return run
 
 
-PASSAGES = "shard long, c1 long, c2 long, doc long, t0 int, n int, words string"
-
-
-def _passages(window: int):
-    """Passages of the shards that a document shares: runs of windows with their words, or single windows of hot shards."""
+def _words_of(window: int):
+    """(shard, passage, doc, words) of the passages that a row (doc, text, owned: level, shard, passage) owns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
-            docs = batch.column(0).to_numpy(zero_copy_only=False)
-            shared = batch.column(2)
-            lists, hots = shared.offsets.to_numpy(), shared.flatten()
-            hot_flags, names = hots.field("hot").to_numpy(zero_copy_only=False), hots.field("shard").to_numpy(zero_copy_only=False)
+            docs, owned = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2)
             for i, j in ranges(offsets, 1 << 19):
                 w = words(data, offsets, i, j)
-                out: list[list] = [[] for _ in range(7)]
-                for d, h, key, start in _runs(w, window):
-                    lo, hi = lists[i + d], lists[i + d + 1]
-                    order = np.argsort(names[lo:hi])
-                    mine, hot = names[lo:hi][order], hot_flags[lo:hi][order]
-                    k = signed(key)
-                    at = np.minimum(np.searchsorted(mine, k), len(mine) - 1)
-                    is_shared = mine[at] == k
-                    first = w.at[d]
-                    for r in np.flatnonzero(is_shared & ~hot[at]).tolist():
-                        t, end = int(start[r]), int(start[r + 1])
-                        lo_b, hi_b = w.start[first + t], w.end[first + end + window - 2]
-                        text = b" ".join(w.data[lo_b:hi_b].tobytes().split())
-                        c = hashlib.blake2b(text, digest_size=16).digest()
-                        for col, v in zip(out, (int(k[r]), int.from_bytes(c[:8], "big", signed=True), int.from_bytes(c[8:], "big", signed=True), int(docs[i + d]), t, end - t, text.decode()), strict=True):
-                            col.append(v)
-                    if (is_shared & hot[at]).any():  # single windows, by 128 bits of their words' hashes
-                        places = np.concatenate([np.arange(start[r], start[r + 1]) for r in np.flatnonzero(is_shared & hot[at])])
-                        a, b = signed(grams(h, window))[places], signed(grams(mix(h + np.uint64(1)), window, 0xD6E8FEB86659FD93))[places]
-                        for col, v in zip(out, (a.tolist(), a.tolist(), b.tolist(), [int(docs[i + d])] * len(a), places.tolist(), [1] * len(a), [None] * len(a)), strict=True):
-                            col.extend(v)
+                out: list[list] = [[] for _ in range(4)]
+                for d in range(j - i):
+                    mine = owned[i + d].values
+                    level, shard, passage = (mine.field(c).to_numpy(zero_copy_only=False) for c in ("level", "shard", "passage"))
+                    for k in np.unique(level).tolist():
+                        wanted = {*zip(shard[level == k].tolist(), passage[level == k].tolist(), strict=True)}
+                        key, _, start, end, runs = _runs(w, d, window, k)
+                        for s, p, t, e in zip(key.tolist(), runs.tolist(), start.tolist(), end.tolist(), strict=True):
+                            if (s, p) in wanted:
+                                wanted.discard((s, p))
+                                lo, hi = w.start[w.at[d] + t], w.end[w.at[d] + e + window - 2]
+                                for column, x in zip(out, (s, p, int(docs[i + d]), b" ".join(w.data[lo:hi].tobytes().split()).decode()), strict=True):
+                                    column.append(x)
                 if out[0]:
-                    kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.string()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], [x.split()[0] for x in PASSAGES.split(", ")])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, [pa.int64()] * 3 + [pa.string()], strict=True)], ["shard", "passage", "doc", "words"])
 
     return run
 
 
-FOUND = "shard long, c1 long, c2 long, first long, found binary"
+FOUND = "shard long, passage long, first long, found binary"
 
 
 def _match(window: int):
@@ -165,7 +173,7 @@ def _match(window: int):
         if len(rows) == 1:
             return [None]
         automaton, ids, waiting = SuffixAutomaton(), {}, []
-        for k, (_, _, _, doc, text) in enumerate(rows):
+        for k, (_, _, doc, text) in enumerate(rows):
             sequence = [ids.setdefault(x, len(ids)) for x in text.encode().split()]
             if waiting and waiting[-1][0] != doc:
                 for _, s in waiting:
@@ -187,9 +195,9 @@ def _match(window: int):
                 j = i + 1
                 while j < len(done) and done[j][0] == done[i][0]:
                     j += 1
-                found += shard_rows(done[i:j]) if done[i][4] is not None else [None] * (j - i)
+                found += shard_rows(done[i:j])
                 i = j
-            cols = [*zip(*(r[:4] for r in done), strict=True)]
+            cols = [*zip(*(r[:3] for r in done), strict=True)]
             return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), pa.array(found, pa.binary())], [x.split()[0] for x in FOUND.split(", ")])
 
         for batch in batches:
@@ -207,34 +215,44 @@ def _match(window: int):
 
 
 def removed_windows(docs: DataFrame, window: int = 50) -> DataFrame:
-    """(doc, t0, n, found) for docs (doc, text): of n windows from word t0 on, those that a smaller document has.
+    """(doc, a, b, t0, n, found) for docs (doc, a, b, text): of n windows from word t0 on, those that a smaller document has.
 
-    found: a bitmap of them, or null for all of them.
+    found: a bitmap of them, or null for all of them. Equal passages of a shard are one, of the smallest document that has
+    it; the shard's automaton takes them in the order of these documents.
     """
-    shards = staged(docs.mapInArrow(_shards(window), "shard long, passage long, doc long"), "shards")
-    different = shards.groupBy("shard", "passage").agg(F.min("doc").alias("a"), F.max("doc").alias("b"))
-    shared = different.groupBy("shard").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.count("*").alias("n")).where("a < b").select("shard", (F.col("n") > HOT).alias("hot"))
-    of_doc = shards.select("shard", "doc").join(shared, "shard").groupBy("doc").agg(F.collect_set(F.struct("shard", "hot")).alias("shared"))
-    passages = docs.join(of_doc, "doc").select("doc", "text", "shared").mapInArrow(_passages(window), PASSAGES)
-    texts = passages.groupBy("shard", "c1", "c2", "words").agg(F.min("doc").alias("first"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = texts.repartition(n, "shard").sortWithinPartitions("shard", "first", "c1", "c2").select("shard", "c1", "c2", "first", "words")
-    found = ordered.mapInArrow(_match(window), FOUND)
-    hits = passages.drop("words").join(found, ["shard", "c1", "c2"]).where("doc > first or found is not null")
-    return hits.select("doc", "t0", "n", F.when(F.col("doc") <= F.col("first"), F.col("found")).alias("found"))
+    rows = staged(docs.mapInArrow(_route(window, 0), ROUTED), "runs")
+    hits, level = None, 0
+    while True:
+        different = rows.groupBy("shard", "passage").agg(F.min(F.struct(*ROW)).alias("owner"), F.max("doc").alias("last"))
+        shards = different.groupBy("shard").agg(F.min("owner.doc").alias("first"), F.max("last").alias("last"), F.count("*").alias("n")).where("first < last")
+        shards = staged(shards.select("shard", (F.col("n") > (MOST if level < LEVELS else 1 << 62)).alias("hot")), "shards")
+        owned = different.join(shards.where("not hot").select("shard"), "shard").groupBy("owner").agg(F.collect_list(F.struct(F.lit(level).alias("level"), "shard", "passage")).alias("owned"))
+        texts = docs.join(owned.select("owner.*", "owned"), ROW).select("doc", "text", "owned").mapInArrow(_words_of(window), "shard long, passage long, doc long, words string")
+        ordered = texts.repartition(n, "shard").sortWithinPartitions("shard", "doc", "passage")
+        found = staged(ordered.mapInArrow(_match(window), FOUND), "found")
+        of_level = rows.join(found, ["shard", "passage"]).where("doc > first or found is not null").select(*ROW, "t0", "n", F.when(F.col("doc") <= F.col("first"), F.col("found")).alias("found"))
+        hits = of_level if hits is None else hits.unionByName(of_level)
+        hot = shards.where("hot").select("shard")
+        if hot.isEmpty():
+            return hits
+        level += 1
+        crowded = rows.join(hot, "shard").groupBy(*ROW).agg(F.collect_set("shard").alias("hot"))
+        rows = staged(docs.join(crowded, ROW).select(*ROW, "text", "hot").mapInArrow(_route(window, level), ROUTED), "runs")
 
 
 def drop_repeats(docs: DataFrame, window: int = 50, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_words, n_removed, kept) for every row; kept: the words that stay, joined by one space.
 
     A word goes when it lies in a window of consecutive words that also starts in a document of smaller key. Null or
-    short texts (fewer words than a window) keep all. Rows that repeat a key are one document and must repeat its text.
-    A null key is smaller than any other. Empty table: no rows. Shards of very many different passages are compared window by
-    window, by 128-bit hashes, so that no automaton grows with a hot passage.
+    short texts (fewer words than a window) keep all. Rows that repeat a key are documents of that key, whatever their
+    texts: none of them removes anything of another. A null key is smaller than any other. Extra columns are left out.
+    Empty table: no rows. Shards of many different passages are divided, so that no automaton grows with a hot passage.
     """
-    base = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.col(text).alias("text"))
-    hits = removed_windows(base, window).groupBy("doc").agg(F.collect_set(F.struct("t0", "n", "found")).alias("hits"))
-    rows = base.join(hits, "doc", "left")
+    whole = F.coalesce(F.col(text), F.lit(""))
+    base = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.xxhash64(whole).alias("a"), F.xxhash64(F.lit("second"), whole).alias("b"), F.col(text).alias("text"))
+    hits = removed_windows(base, window).groupBy(*ROW).agg(F.collect_set(F.struct("t0", "n", "found")).alias("hits"))
+    rows = base.join(hits, ROW, "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

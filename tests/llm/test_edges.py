@@ -270,9 +270,9 @@ def test_substrings(spark):
     assert substrings.drop_repeats(empty(spark)).count() == 0
 
 
-@pytest.mark.parametrize("hot", [2000, 3])
-def test_substrings_random(spark, monkeypatch, hot):
-    monkeypatch.setattr(substrings, "HOT", hot)
+@pytest.mark.parametrize("most", [2000, 3, 1])
+def test_substrings_random(spark, monkeypatch, most):
+    monkeypatch.setattr(substrings, "MOST", most)
     rng = np.random.default_rng(5)
     passages = [[f"p{k}_{j % 40}" for j in range(rng.integers(20, 90))] for k in range(12)]
     rows = []
@@ -453,3 +453,10 @@ def test_components(spark):
     want = {i: 0 for i in range(61)} | {100: 100, 200: 100, 300: 100} | {k: 1000 for k in range(1000, 1200)}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def test_substrings_of_one_key_with_different_texts(spark):
+    other = " ".join(f"own{i}" for i in range(90))
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in [(1, BASE), (5, BASE), (5, other), (5, BASE + " " + other), (5, BASE)]], SCHEMA).repartition(3)
+    got = sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in substrings.drop_repeats(df).collect())
+    assert got == sorted([(1, 120, 0, BASE), (5, 120, 120, ""), (5, 120, 120, ""), (5, 90, 0, other), (5, 210, 120, other)])
