@@ -35,3 +35,12 @@ def release(*tables: DataFrame) -> None:
     for df in tables:
         path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.staged_at)
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with as many underscores in front as make them differ from all columns, whatever their case."""
+    taken = {c.lower() for c in df.columns}
+    mark = ""
+    while any(mark + n in taken for n in names):
+        mark += "_"
+    return [mark + n for n in names]

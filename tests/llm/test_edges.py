@@ -35,7 +35,7 @@ def extra(df):
     """Columns whose names the operators use inside."""
     from pyspark.sql import functions as F
 
-    return df.withColumns({c: F.lit(1) for c in ("doc", "h", "size", "rank", "words", "label", "bands", "rep", "hits", "cell", "key", "drops", "_k", "shard", "media", "y", "term")})
+    return df.withColumns({c: F.lit(1) for c in ("doc", "h", "size", "rank", "words", "label", "bands", "rep", "hits", "cell", "key", "drops", "_k", "shard", "media", "y", "term", "a", "b", "_a", "keep", "_KEEP", "_kept", "_doc", "score", "evidence", "id", "owned", "list", "unit")})
 
 
 def test_sharding(spark):
@@ -460,3 +460,10 @@ def test_substrings_of_one_key_with_different_texts(spark):
     df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in [(1, BASE), (5, BASE), (5, other), (5, BASE + " " + other), (5, BASE)]], SCHEMA).repartition(3)
     got = sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in substrings.drop_repeats(df).collect())
     assert got == sorted([(1, 120, 0, BASE), (5, 120, 120, ""), (5, 120, 120, ""), (5, 90, 0, other), (5, 210, 120, other)])
+
+
+def test_line_dedup_of_one_key_with_different_texts(spark):
+    rows = [(5, "line number one of five\nline number two of five"), (5, "own first line here\nown second line here\nline number one of five"), (1, "line number one of five\nb"), (9, "own second line here")]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA).repartition(3)
+    got = sorted((r["doc_id"], r["_n_lines"], r["_n_dropped"], r["_kept"]) for r in linededup.kept_lines(df).collect())
+    assert got == sorted([(1, 2, 0, rows[2][1]), (5, 2, 1, "line number two of five"), (5, 3, 1, "own first line here\nown second line here"), (9, 1, 1, "")])
