@@ -9,11 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .components import components
+from .components import components, labels
+from .nearjoin import _groups, _starts
 from .staging import staged
 
 #: Vectors of one block of a large inverted list.
-BLOCK = 2048
+BLOCK = 512
 
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
@@ -33,19 +34,32 @@ def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 
 class Quantiser:
-    """Coarse centres and codebooks of the residuals' subspaces, fitted on a sample of unit vectors."""
+    """Coarse centres at two levels and codebooks of the rest's subspaces, fitted on a sample of unit vectors.
 
-    def __init__(self, sample: np.ndarray, lists: int, subspaces: int = 8, codes: int = 64, seed: int = 7):
+    A list is a centre and one of the finer centres, which all centres share; with one finer centre, it is 0.
+    """
+
+    def __init__(self, sample: np.ndarray, lists: int, finer: int = 1, subspaces: int = 8, codes: int = 64, seed: int = 7):
         rng = np.random.default_rng(seed)
         dim = sample.shape[1]
         self.cuts = [int(c) for c in np.linspace(0, dim, min(subspaces, dim) + 1)]
         self.centres = _kmeans(sample, lists, rng)
         rest = sample - self.centres[_nearest(sample, self.centres)]
+        self.fine = _kmeans(rest, finer, rng) if finer > 1 else np.zeros((1, dim))
+        rest = rest - self.fine[_nearest(rest, self.fine)]
         self.books = [_kmeans(rest[:, a:b], codes, rng) for a, b in zip(self.cuts, self.cuts[1:], strict=False)]
 
+    def home(self, x: np.ndarray) -> np.ndarray:
+        """Each vector's own list."""
+        c = _nearest(x, self.centres)
+        return c * len(self.fine) + _nearest(x - self.centres[c], self.fine)
+
+    def centre(self, lists: np.ndarray) -> np.ndarray:
+        return self.centres[lists // len(self.fine)] + self.fine[lists % len(self.fine)]
+
     def code(self, x: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes of vectors' residuals to their lists' centres, and the distances between residuals and codes."""
-        rest = x - self.centres[own]
+        rest = x - self.centre(own)
         codes = np.stack([_nearest(rest[:, a:b], book) for (a, b), book in zip(zip(self.cuts, self.cuts[1:], strict=False), self.books, strict=True)], 1).astype(np.uint8)
         return codes, np.linalg.norm(rest - self.decoded(codes), axis=1)
 
@@ -58,77 +72,101 @@ class Quantiser:
 
     def probes(self, x: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
         """(vector, list) of every list whose cell begins within reach of the vector."""
-        c = self.centres
-        gaps = ((c**2).sum(1)[:, None] + (c**2).sum(1) - 2 * c @ c.T).clip(0) ** 0.5
-        d2 = (x**2).sum(1)[:, None] + (c**2).sum(1) - 2 * x @ c.T
-        own = d2.argmin(1)
-        ahead = d2 - d2[np.arange(len(x)), own][:, None]  # a cell begins at the plane half way between its centre and the own
-        return np.nonzero(ahead <= 2 * gaps[own] * reach + 1e-9)
+        who, c = np.nonzero(_within(x, self.centres, reach))
+        if len(self.fine) == 1:
+            return who, c
+        again, f = np.nonzero(_within(x[who] - self.centres[c], self.fine, reach))
+        return who[again], c[again] * len(self.fine) + f
+
+    def reaches(self, x: np.ndarray, lists: np.ndarray, reach: float) -> np.ndarray:
+        """Does each vector probe this list?"""
+        c, f = np.divmod(lists, len(self.fine))
+        at = np.arange(len(x))
+        return _within(x, self.centres, reach)[at, c] & _within(x - self.centres[c], self.fine, reach)[at, f]
+
+
+def _within(x: np.ndarray, c: np.ndarray, reach: float) -> np.ndarray:
+    """Does a centre's cell begin within reach? It begins at the plane half way between the centre and the vector's own."""
+    gaps = ((c**2).sum(1)[:, None] + (c**2).sum(1) - 2 * c @ c.T).clip(0) ** 0.5
+    d2 = (x**2).sum(1)[:, None] + (c**2).sum(1) - 2 * x @ c.T
+    own = d2.argmin(1)
+    return d2 - d2[np.arange(len(x)), own][:, None] <= 2 * gaps[own] * reach + 1e-9
+
+
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Unit vectors in double precision, of rows that are finite and not 0; the largest component is 1 before the norm is taken."""
+    x = x.astype(np.float64)
+    x /= np.abs(x).max(1, initial=0.0, keepdims=True)
+    return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def unit(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Unit vectors in double precision of the rows that have one, and which rows those are."""
-    rows = values.to_pylist()
-    dim = max((len(r) for r in rows if r), default=0)
-    x = np.array([[np.nan if v is None else v for v in r] if r and len(r) == dim else [np.nan] * dim for r in rows], np.float64).reshape(len(rows), dim)
-    with np.errstate(all="ignore"):
-        norm = np.sqrt((x * x).sum(1))
-        good = np.isfinite(x).all(1) & np.isfinite(norm) & (norm > 0)
-        return x[good] / norm[good, None], good
+def matrix(values: pa.Array, kind=np.float64) -> np.ndarray:
+    """Lists of one length, without nulls, as rows."""
+    values = values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
+    return values.flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(len(values), -1)
 
 
 def near_vectors(table: DataFrame, cosine: float = 0.95, sample_rows: int = 20_000, most_lists: int = 1024, spread: float = 2.0, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(key, n_links, component_id, kept) for every row.
 
     Two vectors are linked when their cosine in double precision is at least this. Vectors that are null, zero, of another
-    length than most, or hold null or non-finite components link with nothing. Equal vectors count once, with their number.
+    length than most, or hold null or non-finite components link with nothing; very large and small ones are scaled
+    before their norm is taken. Equal vectors count once, with their number.
     The index (coarse centres and codebooks) is fitted on at most sample_rows vectors, those with the smallest hashes;
-    every vector is indexed. With r the distance that the cosine allows, a step of r in any direction goes r / sqrt(dim)
-    toward a given cell on average; a query probes all lists whose cells begin within spread times that, with no cap on
-    their number (spread = sqrt(dim) probes all that can hold a neighbour). It passes the codes whose table-lookup
-    distance, less the code's own error, lies within r, so coding misses nothing; passed vectors are ranked by exact
-    cosine. Tests measure the recall against brute force. Lists of more than BLOCK vectors are split.
-    Rows that repeat a key count as vectors of their own. Null keys are left out of links. Empty table: no rows.
+    every vector is indexed. There are twice as many lists as the root of the number of vectors: up to most_lists centres,
+    and beyond that each is divided by finer centres. With r the distance that the cosine allows, a step of r in any
+    direction goes r / sqrt(dim) toward a given cell on average; a query probes all lists whose cells begin within spread
+    times that, with no cap on their number (spread = sqrt(dim) probes all that can hold a neighbour). It passes the codes
+    whose table-lookup distance, less the code's own error, lies within r, so coding misses nothing; passed vectors are
+    ranked by exact cosine. A link counts for both its vectors, also where only one of them probes the other's list.
+    Tests measure the recall against brute force. Lists of more than BLOCK vectors are split.
+    Rows that repeat a key count as vectors of their own. Null keys are left out of links. Extra columns are left out.
+    Empty table: no rows.
     """
     spark = table.sparkSession
-    base = table.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    kind = np.float32 if table.schema[vector].dataType.simpleString() == "array<float>" else np.float64
+    base = table.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<float>" if kind == np.float32 else "array<double>").alias("v"))
     length = base.where("v is not null and size(v) > 0").groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
     dim = length["d"] if length else 0
     valid = F.col("id").isNotNull() & (F.size("v") == dim) & F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists("v", lambda c: c != 0)
     rows = base.withColumn("good", F.coalesce(valid, F.lit(False)) & F.lit(dim > 0))
     distinct = staged(rows.where("good").groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("m")), "vectors")
     n = distinct.count()
-    sample, _ = unit(pa.array([r[0] for r in distinct.orderBy(F.xxhash64("rep")).limit(sample_rows).select("v").collect()], pa.list_(pa.float64())))  # bounded by sample_rows
     counted = rows.select("id", "good", "v")
     if n:
-        index = Quantiser(sample, max(1, min(most_lists, len(sample) // 8 or 1, int(2 * n**0.5))))
+        sample = scaled(matrix(distinct.orderBy(F.xxhash64("rep"), "rep").limit(sample_rows).select("v").toArrow()["v"]))  # bounded by sample_rows
+        wanted = int(2 * n**0.5)
+        lists = max(1, min(most_lists, len(sample) // 8, wanted))
+        index = Quantiser(sample, lists, max(1, min(len(sample) // 8, -(-wanted // lists)) if wanted > most_lists else 1))
         reach = float(np.sqrt(2 - 2 * cosine)) + 1e-9
-        shared = spark.sparkContext.broadcast(index)  # centres and codebooks: bounded by most_lists
+        step = spread * reach / dim**0.5
+        shared = spark.sparkContext.broadcast(index)  # centres and codebooks: bounded by most_lists and sample_rows
 
         def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            q = shared.value
             for batch in batches:
                 for at in range(0, len(batch), 512):
                     part = batch.slice(at, 512)
-                    x, good = unit(part.column("v"))
-                    q = shared.value
-                    who, where = q.probes(x, spread * reach / dim**0.5)
-                    own = _nearest(x, q.centres)
-                    ids = part.column("rep").to_numpy(zero_copy_only=False)[good]
-                    ms = part.column("m").to_numpy(zero_copy_only=False)[good]
-                    raw = [r.tobytes() for r in x]
-                    yield pa.RecordBatch.from_arrays([pa.array(where.astype(np.int32)), pa.array(ids[who]), pa.array(ms[who]), pa.array(own[who] == where), pa.array([raw[k] for k in who.tolist()], pa.binary())], ["list", "rep", "m", "home", "unit"])
-
-        placed = staged(distinct.mapInArrow(place, "list int, rep long, m long, home boolean, unit binary"), "placed")
-        sizes = {r["list"]: (r["homes"], r["queries"]) for r in placed.groupBy("list").agg(F.sum(F.col("home").cast("int")).alias("homes"), F.count("*").alias("queries")).collect()}  # most_lists rows
+                    raw = matrix(part.column("v"), kind)
+                    x = scaled(raw)
+                    who, where = q.probes(x, step)
+                    own = q.home(x)
+                    ids, ms = (part.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "m"))
+                    data = [r.tobytes() for r in raw]
+                    yield pa.RecordBatch.from_arrays([pa.array(where), pa.array(ids[who]), pa.array(ms[who]), pa.array(own[who]), pa.array([data[k] for k in who.tolist()], pa.binary())], ["list", "rep", "m", "home", "v"])
+
+        placed = staged(distinct.mapInArrow(place, "list long, rep long, m long, home long, v binary"), "placed")
         # every list is cut in blocks of members and blocks of queries; a pair of blocks is a group
-        cut = spark.createDataFrame([(k, max(1, -(-h // BLOCK)), max(1, -(-c // BLOCK))) for k, (h, c) in sizes.items()], "list int, hs int, qs int")
-        both = placed.join(F.broadcast(cut), "list")
-        mine = lambda c, salt: F.pmod(F.xxhash64("rep", F.lit(salt)), F.col(c)).cast("int")
-        members = both.where("home").select("list", mine("hs", 1).alias("h"), F.explode(F.sequence(F.lit(0), F.col("qs") - 1)).alias("q"), F.lit(True).alias("member"), "rep", "m", "unit")
-        queries = both.select("list", F.explode(F.sequence(F.lit(0), F.col("hs") - 1)).alias("h"), mine("qs", 2).alias("q"), F.lit(False).alias("member"), "rep", "m", "unit")
+        mine = F.col("home") == F.col("list")
+        blocks = lambda n: F.greatest(F.lit(1), F.ceil(n / BLOCK).cast("int"))
+        cut = staged(placed.groupBy("list").agg(blocks(F.sum(mine.cast("int"))).alias("hs"), blocks(F.count("*")).alias("qs")), "cut")
+        both = placed.join(cut, "list")
+        block = lambda c, salt: F.pmod(F.xxhash64("rep", F.lit(salt)), F.col(c)).cast("int")
+        members = both.where(mine).select("list", block("hs", 1).alias("h"), F.explode(F.sequence(F.lit(0), F.col("qs") - 1)).alias("q"), F.lit(1).alias("member"), "rep", "m", "home", "v")
+        queries = both.select("list", F.explode(F.sequence(F.lit(0), F.col("hs") - 1)).alias("h"), block("qs", 2).alias("q"), F.lit(0).alias("member"), "rep", "m", "home", "v")
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         dealt = members.unionByName(queries).repartition(parts, "list", "h", "q").sortWithinPartitions("list", "h", "q", F.desc("member"))
-        links = staged(dealt.mapInArrow(_rank(shared, cosine, reach), "rep long, links long, joined long"), "links")
+        links = staged(dealt.mapInArrow(_rank(shared, cosine, reach, step, kind), "rep long, links long, joined long"), "links")
         classes = components(links.where("rep <> joined"), "rep", "joined").withColumnRenamed("node", "rep")
         found = links.groupBy("rep").agg(F.sum("links").alias("links")).join(classes, "rep", "left")
         found = distinct.join(found, "rep", "left").select("v", "rep", "m", "links", "component")
@@ -142,64 +180,41 @@ def near_vectors(table: DataFrame, cosine: float = 0.95, sample_rows: int = 20_0
     )
 
 
-def _rank(shared, cosine: float, reach: float):
-    """Stream groups of members, then queries: links of each query by exact cosine, and a forest of those linked."""
+def _rank(shared, cosine: float, reach: float, step: float, kind):
+    """Of groups of members, then queries (list, h, q, member, rep, m, home, v): links by exact cosine, and a forest of those linked."""
 
-    def group(rows: list[tuple]) -> Iterator[tuple[int, int, int]]:
+    def group(own: int, ids: np.ndarray, weight: np.ndarray, home: np.ndarray, x: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         q = shared.value
-        n = sum(r[3] for r in rows)
-        if not n:
-            return
-        ids = np.array([r[4] for r in rows])
-        weight = np.array([r[5] for r in rows])
-        x = np.frombuffer(b"".join(r[6] for r in rows), np.float64).reshape(len(rows), -1)
-        member, centre = x[:n], q.centres[rows[0][0]]
-        codes, error = q.code(member, np.full(n, rows[0][0]))
-        parent = {}
-
-        def root(v: int) -> int:
-            while parent.setdefault(v, v) != v:
-                parent[v] = parent[parent[v]]
-                v = parent[v]
-            return v
-
-        counts: dict[int, int] = {}
-        for at in range(n, len(rows), 256):
+        codes, error = q.code(x[:n], np.full(n, own))
+        nodes, node = np.unique(ids, return_inverse=True)
+        counts, ends = np.zeros(len(nodes), np.int64), []
+        centre = q.centre(np.array([own]))
+        for at in range(n, len(ids), 256):
             ask = x[at : at + 256]
             d2 = np.zeros((len(ask), n))
             for k, table in enumerate(q.tables(ask - centre)):
                 d2 += table[:, codes[:, k]]
             a, b = np.nonzero(np.sqrt(d2) <= reach + error + 1e-9)
-            sure = np.einsum("ij,ij->i", ask[a], member[b]) >= cosine
+            sure = (np.einsum("ij,ij->i", ask[a], x[b]) >= cosine) & (ids[at + a] != ids[b])
             a, b = a[sure] + at, b[sure]
-            other = ids[a] != ids[b]
-            a, b = a[other], b[other]
-            got = np.bincount(a - at, weight[b], len(ask)).astype(np.int64)
-            for k in np.flatnonzero(got).tolist():
-                counts[int(ids[at + k])] = int(got[k])
-            for u, v in zip(ids[a].tolist(), ids[b].tolist(), strict=True):
-                u, v = root(u), root(v)
-                if u != v:
-                    parent[max(u, v)] = min(u, v)
-        for v in list(parent):
-            yield v, counts.get(v, 0), root(v)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        out: list[tuple] = []
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if rows and rows[0][:3] != row[:3]:
-                    out += group(rows)
-                    rows = []
-                rows.append(row)
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["rep", "links", "joined"])
-                out = []
-        if rows and (out := [*group(rows)]):
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["rep", "links", "joined"])
-
-    return run
+            np.add.at(counts, node[a], weight[b])
+            one = ~q.reaches(x[b], home[a], step)  # these members don't ask for the query where it lives
+            np.add.at(counts, node[b[one]], weight[a[one]])
+            ends.append((node[a], node[b]))
+        a, b = (np.concatenate([np.zeros(0, np.int64), *(e[k] for e in ends)]) for k in (0, 1))
+        low = labels(len(nodes), a, b)
+        some = np.unique(np.concatenate([a, b]))
+        return nodes[some], counts[some], nodes[low[some]]
+
+    def f(columns: list) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        lists, h, q, member, rep, m, home, v = columns
+        start = _starts(lists, h, q)
+        for lo, hi in zip(start[:-1].tolist(), start[1:].tolist(), strict=True):
+            if n := int(member[lo:hi].sum()):
+                x = scaled(np.frombuffer(b"".join(v[lo:hi].to_pylist()), kind).reshape(hi - lo, -1))
+                yield group(int(lists[lo]), rep[lo:hi], m[lo:hi], home[lo:hi], x, n)
+
+    return _groups(f, 3, ["rep", "links", "joined"])
 
 
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

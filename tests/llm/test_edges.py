@@ -467,3 +467,22 @@ def test_line_dedup_of_one_key_with_different_texts(spark):
     df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA).repartition(3)
     got = sorted((r["doc_id"], r["_n_lines"], r["_n_dropped"], r["_kept"]) for r in linededup.kept_lines(df).collect())
     assert got == sorted([(1, 2, 0, rows[2][1]), (5, 2, 1, "line number two of five"), (5, 3, 1, "own first line here\nown second line here"), (9, 1, 1, "")])
+
+
+def test_vectors_of_extreme_size(spark):
+    rows = [(1, [1e200, 1e200]), (2, [1e200, 1.1e200]), (3, [1e-200, 1e-200]), (4, [-1e-320, 0.0]), (5, [5.0, 5.5]), (6, [-2.0, 0.0])]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (1, 4), 5: (3, 1), 6: (1, 4)}
+
+
+@pytest.mark.parametrize("spread", [2.0, 8.0])
+def test_vectors_in_lists_of_two_levels(spark, spread):
+    rng = np.random.default_rng(14)
+    centres = rng.normal(size=(300, 64))
+    x = np.concatenate([centres + 0.2 * rng.normal(size=centres.shape) for _ in range(4)]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {r["vec_id"]: r["n_links"] for r in vectors.near_vectors(df, most_lists=6, spread=spread).collect()}
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    true = (u @ u.T >= 0.95).sum(1) - 1
+    found = np.array([got[i] for i in range(len(x))])
+    assert (found <= true).all() and found.sum() >= (1.0 if spread == 8.0 else 0.95) * true.sum() > 1000
