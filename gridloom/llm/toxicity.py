@@ -14,13 +14,15 @@ from .words import NOT_LETTER, Words, each_chunk, mix, signed
 
 #: Examples of a block, whose largest weight of a term bounds what the term adds to any of them.
 BLOCK = 32
-#: Blocks of largest bound that are scored first.
-FIRST = 4
+#: Blocks of largest bound that are scored before the next ones, in turn; then come all others that can hold a neighbour.
+FIRST = (4, 12)
+#: What sums in single precision can be off by.
+SLACK = 2e-5
 #: A term that more than this part of the examples hold has its list cut in blocks; shorter lists are added up whole.
 DENSE = 32
 #: Documents, and postings of short lists, that are scored at once.
 MOST_DOCS, MOST_WORK = 256, 1 << 22
-PIVOTS = 64
+PIVOTS = 192
 
 
 class Examples:
@@ -41,7 +43,7 @@ class Examples:
         order = np.lexsort((place[example], term))
         self.at = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(weights)))])  # term t has postings at[t]..at[t+1]-1
         self.example, self.value = place[example[order]], value[order]
-        self.blocked: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+        self.blocked: tuple[np.ndarray, ...] | None = None
 
     def __getstate__(self) -> dict:
         return {**self.__dict__, "sent": None, "blocked": None}
@@ -52,8 +54,8 @@ class Examples:
             self.sent = spark.sparkContext.broadcast(self)
         return self.sent
 
-    def blocks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(each term's long list or -1, weights by block, list and place, their largest by list and block), built where it is used."""
+    def blocks(self) -> tuple[np.ndarray, ...]:
+        """Each term's long list or -1, weights by block, list and place, and their largest by list and block; built where they are used."""
         if self.blocked is None:
             count, n = np.diff(self.at), -(-len(self.ids) // BLOCK)
             long = count * DENSE > len(self.ids)
@@ -62,7 +64,7 @@ class Examples:
             of = np.repeat(row, count)
             some = of >= 0
             full[self.example[some] // BLOCK, of[some], self.example[some] % BLOCK] = self.value[some]
-            self.blocked = row, full, full.max(2, initial=0.0).T.astype(float)
+            self.blocked = row, full, full.max(2, initial=0.0).T.copy()
         return self.blocked
 
     def vectors(self, own: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,18 +85,21 @@ class Examples:
         """(term, weight) of one document."""
         return self.vectors(np.zeros(len(at), np.int64), at)[1:]
 
-    def cosines(self, own: np.ndarray, t: np.ndarray, x: np.ndarray, m: int, but: np.ndarray | None = None) -> np.ndarray:
-        """Cosines of m documents with the examples that can be among the k nearest, exactly; -1 for the others.
+    def search(self, own: np.ndarray, t: np.ndarray, x: np.ndarray, m: int, but: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each of m documents its k nearest examples of cosine above 0 (ties: the smaller place) and their exact cosines.
 
         Short lists are added up; with the long lists' largest weights in a block they bound what its examples reach. The
-        blocks of largest bound give each document's k-th cosine so far, and all blocks whose bound lies below that are
-        passed over. but: of each document, the example to leave out.
+        blocks of largest bound give each document's k-th cosine so far, and blocks whose bound lies below that are passed
+        over. Long lists are summed in single precision; examples that are below by no more than that can be off are
+        candidates, whose cosines are taken again in double precision. but: of each document, the example to leave out.
         """
         row, full, most = self.blocks()
         n = len(full) * BLOCK
         long = row[t] >= 0
-        part = np.zeros((m, full.shape[1]))
-        part[own[long], row[t[long]]] = x[long]
+        rows, weights = row[t[long]], x[long]
+        cut = np.searchsorted(own[long], np.arange(m + 1))
+        part = np.zeros((m, full.shape[1]), np.float32)
+        part[own[long], rows] = weights
         own, t, x = own[~long], t[~long], x[~long]
         size = np.diff(self.at)[t]
         at = np.repeat(self.at[t] - np.cumsum(size) + size, size)
@@ -105,32 +110,44 @@ class Examples:
         short = np.bincount(cell, add, m * n).astype(float).reshape(m, -1, BLOCK)
         if but is not None:
             short[np.arange(m), but // BLOCK, but % BLOCK] = -np.inf
-        bound = part @ most + short.max(2) + 1e-9
-        out = np.full(short.shape, -1.0)
-        first = np.argsort(-bound, 1, kind="stable")[:, :FIRST]
-        ask = np.zeros(bound.shape, bool)
-        np.put_along_axis(ask, first, True, 1)
-        for again in (False, True):
+        bound = part @ most + short.max(2) + SLACK
+        out = np.full(short.shape, -1, np.float32)
+        order = np.argsort(-bound, 1, kind="stable")
+        best, done = np.full((m, self.k), -1, np.float32), 0
+        for size in (*FIRST, bound.shape[1]):
+            at = order[:, done : done + size]
+            ask = np.zeros(bound.shape, bool)
+            np.put_along_axis(ask, at, np.take_along_axis(bound, at, 1) >= best[:, :1] - SLACK, 1)
             for b in np.flatnonzero(ask.any(0)).tolist():
                 who = np.flatnonzero(ask[:, b])
-                out[who, b] = part[who] @ full[b].astype(float) + short[who, b]
-            if again or n <= FIRST * BLOCK:
-                break
-            k = min(self.k, FIRST * BLOCK)
-            least = np.partition(np.take_along_axis(out, first[:, :, None], 1).reshape(m, -1), -k, 1)[:, -k]
-            ask = (bound >= least[:, None]) & ~ask
-        return out.reshape(m, -1)
-
-    def best(self, cos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of largest cosine above 0 (ties: the smaller place) and their cosines."""
-        least = np.partition(cos, -self.k)[-self.k] if len(cos) > self.k else 0
-        some = np.flatnonzero((cos > 0) & (cos >= least - 1e-11))
-        some = some[np.lexsort((some, -np.round(cos[some], 12)))[: self.k]]
-        return some, cos[some]
+                out[who, b] = part[who] @ full[b] + short[who, b]
+            done += size
+            both = np.concatenate([best, np.take_along_axis(out, at[:, :, None], 1).reshape(m, -1)], 1)
+            best = np.sort(np.partition(both, -self.k, 1)[:, -self.k :], 1)  # ascending
+        for i, least in zip(range(m), np.maximum(best[:, 0] - SLACK, -0.5), strict=True):
+            b, e = np.nonzero(out[i] >= least)
+            mine = slice(cut[i], cut[i + 1])
+            cos = full[b[:, None], rows[None, mine], e[:, None]] @ weights[mine] + short[i, b, e]
+            at = b * BLOCK + e
+            some = np.lexsort((at, -np.round(cos, 12)))[: self.k]
+            some = some[cos[some] > 0]
+            yield at[some], cos[some]
+
+    def each(self, own: np.ndarray, t: np.ndarray, x: np.ndarray, m: int, but: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same for any number of documents, whose terms follow one another."""
+        row = self.blocks()[0]
+        cut = np.searchsorted(own, np.arange(m + 1))
+        work = np.concatenate([[0], np.cumsum(np.where(row[t] < 0, np.diff(self.at)[t], 0))])[cut]
+        a = 0
+        while a < m:
+            b = max(a + 1, min(a + MOST_DOCS, int(np.searchsorted(work, work[a] + MOST_WORK, "right")) - 1))
+            s = slice(cut[a], cut[b])
+            yield from self.search(own[s] - a, t[s], x[s], b - a, None if but is None else but[a:b])
+            a = b
 
     def nearest(self, t: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The k examples nearest to one document and their cosines, exactly."""
-        return self.best(self.cosines(np.zeros(len(t), np.int64), t, x, 1)[0])
+        return next(self.each(np.zeros(len(t), np.int64), t, x, 1))
 
     def voted(self, e: np.ndarray, cos: np.ndarray) -> float:
         """Share of toxic votes."""
@@ -142,18 +159,6 @@ class Examples:
         p = min(max(share, 1e-6), 1 - 1e-6)
         return float(1 / (1 + np.exp(-(self.slope * np.log(p / (1 - p)) + self.shift))))
 
-    def each(self, own: np.ndarray, t: np.ndarray, x: np.ndarray, m: int, but: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each of m documents its nearest examples and their cosines; a document's terms follow one another."""
-        row = self.blocks()[0]
-        cut = np.searchsorted(own, np.arange(m + 1))
-        work = np.concatenate([[0], np.cumsum(np.where(row[t] < 0, np.diff(self.at)[t], 0))])[cut]
-        a = 0
-        while a < m:
-            b = max(a + 1, min(a + MOST_DOCS, int(np.searchsorted(work, work[a] + MOST_WORK, "right")) - 1))
-            s = slice(cut[a], cut[b])
-            yield from map(self.best, self.cosines(own[s] - a, t[s], x[s], b - a, None if but is None else but[a:b]))
-            a = b
-
     def scores(self, own: np.ndarray, at: np.ndarray, m: int) -> Iterator[tuple[float, list[int], list[float]]]:
         """For each of m documents: its score, and the evidence: examples and cosines."""
         if not len(self.ids):
@@ -196,6 +201,8 @@ def _alike(vectors: list[tuple[list[int], list[float]]], width: int) -> np.ndarr
     return np.lexsort((np.arange(n), -cos.max(1), cos.argmax(1))) if n else np.zeros(0, np.int64)
 
 
+#: Words whose terms a worker remembers.
+MOST_SEEN = 1 << 17
 #: Bytes of word beginnings that are terms beside the words.
 PREFIXES = (4, 5, 6, 7, 8)
 
@@ -213,23 +220,56 @@ class TermIndex:
     def __init__(self, terms: np.ndarray):
         self.terms = terms
         self.width = len(terms)
+        self.seen = np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.int64)
+
+    def __getstate__(self) -> dict:
+        return {"terms": self.terms, "width": self.width, "seen": (np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.int64))}
+
+    def of_words(self, w: Words, u: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each distinct word's places begin in seen, and how many there are. Words met before in this worker are remembered."""
+        known, begin, places = self.seen
+        at = np.minimum(np.searchsorted(known, u), max(0, len(known) - 1))
+        new = np.flatnonzero(known[at] != u) if len(known) else np.arange(len(u))
+        if len(new):
+            parts = [(u[new], np.arange(len(new))), *((h, k) for h, k in (w.prefixes(n, first[new]) for n in PREFIXES))]
+            t, word = signed(np.concatenate([p[0] for p in parts])), np.concatenate([p[1] for p in parts])
+            order = np.argsort(t)  # sorted ones are found faster
+            t, word = t[order], word[order]
+            found = np.minimum(np.searchsorted(self.terms, t), self.width - 1)
+            hit = self.terms[found] == t
+            order = np.argsort(word[hit], kind="stable")
+            size = np.bincount(word[hit], minlength=len(new))
+            if len(known) > MOST_SEEN:
+                known, begin, places = known[:0], begin[:1], places[:0]
+            both = np.concatenate([known, u[new]])
+            begin, size = np.concatenate([begin[:-1], len(places) + np.cumsum(size) - size]), np.concatenate([np.diff(begin), size])
+            places = np.concatenate([places, found[hit][order]])
+            order = np.argsort(both)
+            known, (places, begin) = both[order], _taken(places, begin[order], size[order])
+            self.seen = known, begin, places
+            at = np.searchsorted(known, u)
+            if (known[np.minimum(at, len(known) - 1)] != u).any():  # forgotten meanwhile
+                self.seen = known[:0], begin[:1], places[:0]
+                return self.of_words(w, u, first)
+        return begin[at], begin[at + 1] - begin[at]
 
     def of(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
         """(document in the chunk, place) of each occurrence of a listed term."""
         if not self.width:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         u, first, back = np.unique(w.hash, return_index=True, return_inverse=True)
-        parts = [(u, np.arange(len(u))), *((h, k) for h, k in (w.prefixes(n, first) for n in PREFIXES))]
-        t, word = signed(np.concatenate([p[0] for p in parts])), np.concatenate([p[1] for p in parts])
-        order = np.argsort(t)  # sorted ones are found faster
-        t, word = t[order], word[order]
-        at = np.minimum(np.searchsorted(self.terms, t), self.width - 1)
-        known = self.terms[at] == t
-        order = np.argsort(word[known], kind="stable")
-        at, begin = at[known][order], np.concatenate([[0], np.cumsum(np.bincount(word[known], minlength=len(u)))])
-        size = np.diff(begin)[back]
+        begin, size = self.of_words(w, u, first)
+        size = size[back]
         own = np.repeat(np.repeat(np.arange(w.last - w.first), np.diff(w.at)), size)
-        return own, at[np.repeat(begin[back] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+        return own, _taken(self.seen[2], begin[back], size)[0]
+
+
+def _taken(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of values one after the other, and where they begin and end now."""
+    end = np.cumsum(size)
+    at = np.repeat(begin - end + size, size)
+    at += np.arange(len(at))
+    return values[at], np.concatenate([[0], end])
 
 
 def _counts(shared, labelled: bool):
