@@ -27,9 +27,9 @@ STEP = 8192
 
 @dataclass(frozen=True)
 class Model:
-    """Bounded by head words, classes and feature buckets, whatever the corpus."""
+    """Head words, classes and feature buckets; as many words and buckets as twice the root of the training tokens."""
 
-    keys: np.ndarray  # hashes of head words by slot
+    keys: np.ndarray  # hashes of head words by slot, each in the first free one from its own on
     counts: np.ndarray  # their counts by slot
     cls: np.ndarray  # their classes by slot
     mass: np.ndarray  # smoothed mass of each class; the last is that of all other words
@@ -45,7 +45,15 @@ class Model:
     def slots(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Slot of each word, and whether it is a head word."""
         s = (h >> self.slot_shift).astype(np.int64)
-        return s, self.keys[s] == h
+        known, taken = self.keys[s] == h, self.counts[s] > 0
+        known &= taken
+        left = np.flatnonzero(taken & ~known)
+        while len(left):
+            s[left] = (s[left] + 1) % len(self.keys)
+            hit, taken = self.keys[s[left]] == h[left], self.counts[s[left]] > 0
+            known[left[hit & taken]] = True
+            left = left[taken & ~hit]
+        return s, known
 
     def features(self, h: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Buckets of the four features of each token; first: where documents begin. Histories don't cross documents."""
@@ -59,7 +67,7 @@ class Model:
             back.append(x)
         one, two, three = back
         marks = [one, one * np.uint64(0x9E3779B97F4A7C15) + two, two, three]
-        return np.stack([mix(m + np.uint64(k * 0x1000193 + 1)) % size for k, m in enumerate(marks)]).astype(np.uint16)
+        return np.stack([mix(m + np.uint64(k * 0x1000193 + 1)) % size for k, m in enumerate(marks)]).astype(np.uint16 if size <= 1 << 16 else np.uint32)
 
     def log_classes(self, f: np.ndarray) -> np.ndarray:
         """Natural logs of the classes' probabilities, by token."""
@@ -94,23 +102,36 @@ def _bias(mass: np.ndarray) -> np.ndarray:
     return np.where(mass <= 0, -30.0, np.log(np.maximum(mass, 1e-9) / max(mass.sum(), 1e-9))).astype(np.float32)
 
 
-def _head(counts: DataFrame, head_words: int, slot_bits: int, classes: int, buckets: int) -> Model:
+def _slotted(words: np.ndarray, bits: int) -> np.ndarray:
+    """A slot for each word: its own by its first bits, or the first free one behind."""
+    slot, taken = (words >> np.uint64(64 - bits)).astype(np.int64), np.zeros(1 << bits, bool)
+    left = np.arange(len(words))
+    while len(left):
+        first = np.zeros(len(left), bool)
+        first[np.unique(slot[left], return_index=True)[1]] = True
+        first &= ~taken[slot[left]]
+        taken[slot[left[first]]] = True
+        left = left[~first]
+        slot[left] = (slot[left] + 1) % len(taken)
+    return slot
+
+
+def _head(counts: DataFrame, head_words: int | None, slot_bits: int | None, classes: int, buckets: int | None) -> Model:
     total, distinct = counts.agg(F.sum("n"), F.count("*")).first()
     total, distinct = total or 0, distinct or 0
-    top = counts.orderBy(F.desc("n"), "word").limit(head_words).collect()  # bounded by head_words
+    grown = 1 << max(4, round(float(np.log2(2 * max(1, total) ** 0.5))))
+    head_words, buckets = head_words or grown, buckets or grown
+    slot_bits = slot_bits or (4 * head_words - 1).bit_length()
+    top = counts.orderBy(F.desc("n"), "word").limit(head_words).toArrow()  # bounded by head_words
     keys, n, cls = np.zeros(1 << slot_bits, np.uint64), np.zeros(1 << slot_bits, np.int64), np.full(1 << slot_bits, classes - 1, np.int8)
-    words = np.array([r["word"] for r in top], np.int64).view(np.uint64)
-    count = np.array([r["n"] for r in top], np.int64)
-    slot = (words >> np.uint64(64 - slot_bits)).astype(np.int64)
-    _, won = np.unique(slot, return_index=True)  # a slot goes to its commonest word; the others count as tail
-    won.sort()
-    keys[slot[won]], n[slot[won]] = words[won], count[won]
-    keys[(keys == 0)] = np.uint64(1)
-    share = np.cumsum(count[won]) - count[won] / 2
-    own = np.minimum((share / max(1, count[won].sum()) * (classes - 1)).astype(np.int8), classes - 2) if len(won) else np.zeros(0, np.int8)
-    cls[slot[won]] = own
-    mass = np.bincount(own, count[won] + SMOOTH, classes)
-    mass[-1] = total - count[won].sum() + SMOOTH * (distinct - len(won) + 1)
+    words, count = top["word"].to_numpy().view(np.uint64), top["n"].to_numpy()
+    slot = _slotted(words, slot_bits)
+    keys[slot], n[slot] = words, count
+    share = np.cumsum(count) - count / 2
+    own = np.minimum((share / max(1, count.sum()) * (classes - 1)).astype(np.int8), classes - 2)
+    cls[slot] = own
+    mass = np.bincount(own, count + SMOOTH, classes).astype(float)
+    mass[-1] = total - count.sum() + SMOOTH * (distinct - len(words) + 1)
     return Model(keys, n, cls, mass, int(total), int(distinct), _bias(mass), np.zeros((buckets, classes), np.float32))
 
 
@@ -193,19 +214,22 @@ def _train(shared, rate: float):
                         seen[rows] += np.diff(np.append(at, len(own)))
         rows = np.flatnonzero(seen)
         if len(rows):
-            yield pa.RecordBatch.from_arrays([pa.array(rows.astype(np.int32)), pa.array(seen[rows]), *(pa.array(w[rows, c].astype(np.float64)) for c in range(classes))], ["bucket", "n", *(f"w{c}" for c in range(classes))])
+            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(seen[rows]), *(pa.array(w[rows, c].astype(np.float64)) for c in range(classes))], ["bucket", "n", *(f"w{c}" for c in range(classes))])
 
     return run
 
 
-def fit(docs: DataFrame, text: str = "text", head_words: int = 16_384, slot_bits: int = 18, classes: int = 16, buckets: int = 1 << 14, rounds: int = 1, rate: float = 0.1) -> tuple[Model, DataFrame]:
+def fit(docs: DataFrame, text: str = "text", head_words: int | None = None, slot_bits: int | None = None, classes: int = 16, buckets: int | None = None, rounds: int = 1, rate: float = 0.1) -> tuple[Model, DataFrame]:
     """The model of all given documents, and their words' counts (word, n).
 
     Counts are of all documents, added up before and after one shuffle; so are the contexts of head words, by which
     these are classed. In each round every partition makes gradient
     steps over all its documents from the same weights, and the partitions' weights are averaged by how often each saw a
-    feature. Only the commonest head_words words, their contexts and
-    buckets x classes sums come to the driver.
+    feature, so the weights depend a little on how the input is split. Only the commonest head_words words, their contexts
+    and buckets x classes sums come to the driver. head_words and buckets grow with the input: the power of two next to
+    twice the root of its tokens, so that a partition's weights stay small beside its documents; counts of all words grow
+    with them and stay a table. Null texts are an end alone; repeated rows count each; extra columns are left out; an empty
+    table gives a model of total 0.
     """
     spark, some = docs.sparkSession, docs.select(text)
     counts = staged(some.mapInArrow(_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "counts")
@@ -218,7 +242,7 @@ def fit(docs: DataFrame, text: str = "text", head_words: int = 16_384, slot_bits
         model = _classed(model, contexts)
     for _ in range(rounds if model.total else 0):
         shared = spark.sparkContext.broadcast(model)
-        parts = some.mapInArrow(_train(shared, rate), "bucket int, n long, " + ", ".join(f"{c} double" for c in names))
+        parts = some.mapInArrow(_train(shared, rate), "bucket long, n long, " + ", ".join(f"{c} double" for c in names))
         rows = parts.groupBy("bucket").agg(*((F.sum(F.col("n") * F.col(c)) / F.sum("n")).cast("float").alias(c) for c in names)).collect()  # one a bucket
         weights = model.weights.copy()
         weights[[r[0] for r in rows]] = np.array([r[1:] for r in rows], np.float32)

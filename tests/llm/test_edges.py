@@ -486,3 +486,114 @@ def test_vectors_in_lists_of_two_levels(spark, spread):
     true = (u @ u.T >= 0.95).sum(1) - 1
     found = np.array([got[i] for i in range(len(x))])
     assert (found <= true).all() and found.sum() >= (1.0 if spread == 8.0 else 0.95) * true.sum() > 1000
+
+
+def score_by_hand(model, counts, text):
+    """The log10 probability of a text word by word, in plain Python."""
+    import pyarrow as pa
+
+    mask, classes = (1 << 64) - 1, model.weights.shape[1]
+    cls = {int(k): int(c) for k, c, n in zip(model.keys, model.cls, model.counts, strict=True) if n}
+    (_, _, h, _), = lm.tokens(pa.array([text]))
+    h = [int(x) for x in h]
+
+    def mixed(x):
+        x ^= x >> 31
+        x = x * 0xBF58476D1CE4E5B9 & mask
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & mask
+        return x ^ x >> 30
+
+    total = 0.0
+    for i, word in enumerate(h):
+        one, two, three = (h[i - k] if i >= k else 0 for k in (1, 2, 3))
+        z = [float(b) for b in model.bias]
+        for k, mark in enumerate([one, one * 0x9E3779B97F4A7C15 + two, two, three]):
+            w = model.weights[mixed((mark + k * 0x1000193 + 1) & mask) % len(model.weights)]
+            z = [a + float(b) for a, b in zip(z, w, strict=True)]
+        own = cls.get(word, classes - 1)
+        total += (z[own] - math.log(sum(math.exp(x) for x in z))) / math.log(10)
+        total += math.log10((counts.get(word, 0) + 0.1) / model.mass[own])
+    return total
+
+
+@pytest.mark.parametrize("buckets", [64, 1 << 17])
+def test_lm_scores_are_those_of_plain_softmax(spark, buckets):
+    docs = documents(spark)
+    model, counts = lm.fit(docs, slot_bits=6, head_words=60, classes=4, buckets=buckets)
+    assert np.count_nonzero(model.counts) == 60 and np.abs(model.weights).max() > 0.01
+    n = {r["word"] & (1 << 64) - 1: r["n"] for r in counts.collect()}
+    got = {r["doc_id"]: r["score"] for r in lm.score(docs, model, counts).collect()}
+    for i, text in enumerate(TEXTS):
+        if text is None or len(text) < 5000:
+            assert math.isclose(got[i], score_by_hand(model, n, text), rel_tol=1e-4)
+
+
+def test_lm_grows_with_its_input(spark):
+    of = lambda n: lm.fit(spark.createDataFrame([(1, " ".join(f"w{i % 500}" for i in range(n)))], "doc_id long, text string"), rounds=1)[0]
+    small, large = of(1000), of(16_000)
+    assert len(large.weights) == 4 * len(small.weights) and np.count_nonzero(large.counts) > np.count_nonzero(small.counts)
+
+
+def test_held_out_and_law(spark, data):
+    from gridloom.llm import catalog
+
+    for name, parts in (("op5_toxicity", 5), ("op8_lm_scoring", 10)):
+        rows = catalog.queries()[name](spark, data).collect()
+        assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % parts == 0) for r in rows) and any(r["held_out"] for r in rows)
+        assert name != "op5_toxicity" or all(r["predicted"] == int(r["score"] >= 0.5) and 0 <= r["score"] <= 1 for r in rows)
+    assert {(r["law"], r["grown_shard"]) for r in catalog.queries()["op2_sharding"](spark, data).collect()} == {("rows", None)}
+
+
+def test_lm_base_scores_by_hand(spark, data):
+    from gridloom.llm import catalog
+
+    lower = bytes.maketrans(linededup.UPPER.encode(), linededup.UPPER.lower().encode())
+    toks = {r["doc_id"]: [*(r["text"] or "").encode().translate(lower).split(), None] for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
+    c = collections.Counter(x for i, t in toks.items() if zlib.crc32(str(i).encode()) % 10 for x in t)
+    n, v = sum(c.values()), len(c)
+    for r in catalog.queries()["op8_lm_scoring"](spark, data).collect():
+        t = toks[r["doc_id"]]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(t), sum(c[x] > 0 for x in t), n)
+        assert math.isclose(r["base_score"], sum(math.log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in t), rel_tol=1e-9)
+
+
+def shards_by_hand(ids, shards, virtual_nodes=64, cells_bits=14):
+    """Shard of each of distinct ids: the ring walked key by key."""
+    import xxhash
+
+    def spark_hash(*values):
+        seed = 42
+        for v in values:
+            seed = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else v.to_bytes(8, "little", signed=True), seed=seed)
+        return seed
+
+    owners = sharding.ring_owners(shards, virtual_nodes, cells_bits)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    keys = sorted((spark_hash("ring", i) >> 64 - cells_bits, signed(spark_hash("order", i)), i) for i in ids)
+    room = [len(ids) // shards + (s < len(ids) % shards) for s in range(shards)]
+    out, over = {}, []
+    for cell, _, i in keys:
+        if room[owners[cell]]:
+            out[i] = owners[cell]
+            room[owners[cell]] -= 1
+        else:
+            over.append((cell, i))
+    for cell, i in over:
+        while not room[owners[cell]]:
+            cell = (cell + 1) % len(owners)
+        out[i] = owners[cell]
+        room[owners[cell]] -= 1
+    return out
+
+
+def test_sharding_by_hand(spark, data):
+    ids = [r["doc_id"] for r in spark.read.parquet(f"{data}/documents.parquet").collect()]
+    got = {r["doc_id"]: r["shard"] for r in sharding.shard(spark.read.parquet(f"{data}/documents.parquet")).collect()}
+    assert got == shards_by_hand(ids, 16)
+
+
+def test_one_more_shard_moves_few(spark):
+    df = spark.range(20_000).select("id", *[__import__("pyspark").sql.functions.lit("t").alias("text")])
+    of = lambda n: {r["id"]: r["shard"] for r in sharding.shard(df, n, key="id").collect()}
+    a, b = of(16), of(17)
+    assert sum(a[i] != b[i] for i in a) < 0.2 * len(a)
