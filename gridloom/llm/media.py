@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -26,14 +27,41 @@ MAGIC = {
     "audio/flac": b"fLaC",
     "audio/ogg": b"OggS",
 }
+#: What ends a PDF, and a ZIP archive's directory. Fixed values.
+ENDS = {"eof": b"%%EOF", "startxref": b"startxref", "directory": b"PK\x05\x06"}
 
 
-def _png(b: bytes, i: int) -> tuple[str, int] | None:
+class Seen:
+    """What one pass over a payload found: where ends begin, and where chains of sub-blocks lead."""
+
+    def __init__(self) -> None:
+        self.ends: dict[str, list[int]] = {k: [] for k in ENDS}
+        self.chains: dict[int, int] = {}
+
+    def next(self, kind: str, i: int) -> int:
+        """The first end of this kind from i on, or -1."""
+        at = self.ends[kind]
+        k = bisect_left(at, i)
+        return at[k] if k < len(at) else -1
+
+    def chain(self, b: bytes, p: int) -> int:
+        """Behind the sub-blocks (a length, then so many bytes) from p on; steps that were taken before aren't again."""
+        path = []
+        while p not in self.chains and p < len(b) and b[p]:
+            path.append(p)
+            p += 1 + b[p]
+        end = self.chains.get(p, p + 1)
+        for q in path:
+            self.chains[q] = end
+        return end
+
+
+def _png(b: bytes, i: int, seen: Seen) -> tuple[str, int] | None:
     p, first = i + 8, True
     while p + 12 <= len(b):
         n, kind = int.from_bytes(b[p : p + 4], "big"), b[p + 4 : p + 8]
         end = p + 12 + n
-        if end > len(b) or first and kind != b"IHDR" or zlib.crc32(b[p + 4 : end - 4]) != int.from_bytes(b[end - 4 : end], "big"):
+        if end > len(b) or first and (kind != b"IHDR" or n != 13) or zlib.crc32(b[p + 4 : end - 4]) != int.from_bytes(b[end - 4 : end], "big"):
             return None
         if kind == b"IEND":
             return "image/png", end
@@ -41,30 +69,24 @@ def _png(b: bytes, i: int) -> tuple[str, int] | None:
     return None
 
 
-def _gif(b: bytes, i: int) -> tuple[str, int] | None:
+def _gif(b: bytes, i: int, seen: Seen) -> tuple[str, int] | None:
     if b[i + 4 : i + 6] not in (b"7a", b"9a") or i + 13 > len(b):
         return None
     table = lambda flags: 3 << ((flags & 7) + 1) if flags & 0x80 else 0
     p = i + 13 + table(b[i + 10])
-
-    def blocks(p: int) -> int:
-        while p < len(b) and b[p]:
-            p += 1 + b[p]
-        return p + 1
-
     while p < len(b):
         if b[p] == 0x3B:
             return "image/gif", p + 1
         if b[p] == 0x21:
-            p = blocks(p + 2)
+            p = seen.chain(b, p + 2)
         elif b[p] == 0x2C and p + 10 <= len(b):
-            p = blocks(p + 10 + table(b[p + 9]) + 1)
+            p = seen.chain(b, p + 10 + table(b[p + 9]) + 1)
         else:
             return None
     return None
 
 
-def _jpeg(b: bytes, i: int) -> tuple[str, int] | None:
+def _jpeg(b: bytes, i: int, seen: Seen) -> tuple[str, int] | None:
     p = i + 2
     while p + 4 <= len(b) and b[p] == 0xFF:
         marker = b[p + 1]
@@ -82,7 +104,7 @@ def _jpeg(b: bytes, i: int) -> tuple[str, int] | None:
     return ("image/jpeg", p + 2) if b[p : p + 2] == b"\xff\xd9" else None
 
 
-def _bmp(b: bytes, i: int) -> tuple[str, int] | None:
+def _bmp(b: bytes, i: int, seen: Seen) -> tuple[str, int] | None:
     if i + 54 > len(b):
         return None
     size, reserved, offset, header, _, _, planes, depth = struct.unpack_from("<IIIIiiHH", b, i + 2)
@@ -90,7 +112,7 @@ def _bmp(b: bytes, i: int) -> tuple[str, int] | None:
     return ("image/bmp", i + size) if ok else None
 
 
-def _riff(b: bytes, i: int) -> tuple[str, int] | None:
+def _riff(b: bytes, i: int, seen: Seen) -> tuple[str, int] | None:
     if i + 12 > len(b):
         return None
     end = i + 8 + int.from_bytes(b[i + 4 : i + 8], "little")
@@ -105,20 +127,20 @@ def _riff(b: bytes, i: int) -> tuple[str, int] | None:
     return (kind, end) if p == end and (kind != "audio/wav" or {b"fmt ", b"data"} <= {*names}) else None
 
 
-def _pdf(b: bytes, i: int) -> tuple[str, int] | None:
-    end = b.find(b"%%EOF", i)
-    return ("application/pdf", end + 5) if b[i + 5 : i + 6].isdigit() and end > 0 and b.find(b"startxref", i, end) > 0 else None
+def _pdf(b: bytes, i: int, seen: Seen) -> tuple[str, int] | None:
+    end, index = seen.next("eof", i), seen.next("startxref", i)
+    return ("application/pdf", end + 5) if b[i + 5 : i + 6].isdigit() and 0 < index < end else None
 
 
-def _zip(b: bytes, i: int) -> tuple[str, int] | None:
-    p = b.find(b"PK\x05\x06", i)
+def _zip(b: bytes, i: int, seen: Seen) -> tuple[str, int] | None:
+    p = seen.next("directory", i)
     if p < 0 or p + 22 > len(b):
         return None
     size, offset, comment = struct.unpack_from("<IIH", b, p + 12)
     return ("application/zip", p + 22 + comment) if i + offset + size == p and p + 22 + comment <= len(b) and b[i + offset : i + offset + 4] == b"PK\x01\x02" else None
 
 
-def _gzip(b: bytes, i: int) -> tuple[str, int] | None:
+def _gzip(b: bytes, i: int, seen: Seen) -> tuple[str, int] | None:
     try:
         inflate, p = zlib.decompressobj(31), i
         while p < len(b) and not inflate.eof:  # inflated a piece at a time, so that no long text is held
@@ -129,11 +151,11 @@ def _gzip(b: bytes, i: int) -> tuple[str, int] | None:
         return None
 
 
-def _flac(b: bytes, i: int) -> tuple[str, int] | None:
+def _flac(b: bytes, i: int, seen: Seen) -> tuple[str, int] | None:
     return ("audio/flac", len(b)) if b[i + 4 : i + 5] in (b"\x00", b"\x80") and b[i + 5 : i + 8] == b"\x00\x00\x22" and i + 42 <= len(b) else None
 
 
-def _ogg(b: bytes, i: int) -> tuple[str, int] | None:
+def _ogg(b: bytes, i: int, seen: Seen) -> tuple[str, int] | None:
     p = i
     while b[p : p + 4] == b"OggS" and p + 27 <= len(b):
         lengths = b[p + 27 : p + 27 + b[p + 26]]
@@ -146,7 +168,7 @@ def _ogg(b: bytes, i: int) -> tuple[str, int] | None:
     return None
 
 
-VALID: dict[str, Callable[[bytes, int], tuple[str, int] | None]] = {
+VALID: dict[str, Callable[[bytes, int, Seen], tuple[str, int] | None]] = {
     "image/png": _png, "image/gif": _gif, "image/jpeg": _jpeg, "image/bmp": _bmp, "riff": _riff,
     "application/pdf": _pdf, "application/zip": _zip, "application/gzip": _gzip, "audio/flac": _flac, "audio/ogg": _ogg,
 }
@@ -154,9 +176,9 @@ VALID: dict[str, Callable[[bytes, int], tuple[str, int] | None]] = {
 
 @lru_cache(1)
 def automaton() -> ahocorasick.Automaton:
-    """Of all magic bytes, one character a byte."""
+    """Of all magic bytes and ends, one character a byte."""
     a = ahocorasick.Automaton()
-    for kind, magic in MAGIC.items():
+    for kind, magic in {**MAGIC, **ENDS}.items():
         a.add_word(magic.decode("latin-1"), (kind, len(magic)))
     a.make_automaton()
     return a
@@ -164,11 +186,11 @@ def automaton() -> ahocorasick.Automaton:
 
 def found_media(b: bytes) -> list[tuple[str, int, int]]:
     """(type, start, end) of all media whose structure holds, by start; what lies inside raw samples counts too."""
-    found = []
+    seen, starts = Seen(), []
     for last, (kind, n) in automaton().iter(b.decode("latin-1")):
-        if hit := VALID[kind](b, last - n + 1):
-            found.append((hit[0], last - n + 1, hit[1]))
-    return sorted(found, key=lambda x: x[1])
+        (seen.ends[kind] if kind in ENDS else starts).append(last - n + 1 if kind in ENDS else (last - n + 1, kind))
+    hits = ((i, VALID[kind](b, i, seen)) for i, kind in starts)
+    return sorted(((hit[0], i, hit[1]) for i, hit in hits if hit), key=lambda x: x[1])
 
 
 SNIFFED = "sniffed_type string, media_end long, embedded array<struct<type: string, start: long, end: long>>"
@@ -230,7 +252,7 @@ def wav_samples(b: bytes) -> bytes:
     return b[p + 8 : p + 8 + int.from_bytes(b[p + 4 : p + 8], "little")]
 
 
-DIGEST = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+DIGEST = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, corrected boolean, carved array<struct<type: string, start: long, end: long, sha256: string>>"
 
 
 def store_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -250,21 +272,25 @@ def digest(media: DataFrame, key: str = "doc_id") -> DataFrame:
     """The digest columns of sniffed media: samples read back through the file's structure, and what was sniffed.
 
     feature: sniffed type, samples, their mean, number of sign-like crossings of the mean's level and the embedded types.
+    corrected: whether the declared type was another. carved: type, place and SHA-256 of each embedded medium's bytes.
     """
     import numpy as np
 
+    names = [key, *(x.split()[0] for x in DIGEST.split(", ") if x.split()[0] not in ("start:", "end:", "sha256:"))]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        carved = pa.list_(pa.struct([("type", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("sha256", pa.string())]))
         for batch in slices(batches):
             rows = []
-            for k, n, b, kind, inner in zip(*(batch.column(c).to_pylist() for c in (key, "n_bytes", "media", "sniffed_type", "embedded")), strict=True):
+            for k, n, b, kind, inner, corrected in zip(*(batch.column(c).to_pylist() for c in (key, "n_bytes", "media", "sniffed_type", "embedded", "corrected")), strict=True):
                 s = wav_samples(b)
                 x = np.frombuffer(s, np.uint8)
                 crossings = int(np.count_nonzero(np.diff((x >= 128).view(np.int8))))
                 feature = f"{kind};n={len(s)};mean={int(x.sum())}/{len(s)};max={int(x.max())};crossings={crossings};embedded={','.join(f'{m["type"]}@{m["start"]}' for m in inner)}"
-                rows.append((k, n, len(s), hashlib.sha256(s).hexdigest(), zlib.crc32(s[-64:]), len(b), hashlib.sha256(b).hexdigest(), feature))
-            names = [key, *(x.split()[0] for x in DIGEST.split(", "))]
-            types = [batch.schema.field(key).type, pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [()] * 8, types, strict=True)], names)
+                parts = [{**m, "sha256": hashlib.sha256(b[m["start"] : m["end"]]).hexdigest()} for m in inner]
+                rows.append((k, n, len(s), hashlib.sha256(s).hexdigest(), zlib.crc32(s[-64:]), len(b), hashlib.sha256(b).hexdigest(), feature, corrected, parts))
+            types = [batch.schema.field(key).type, pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_(), carved]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [()] * 10, types, strict=True)], names)
 
     return media.mapInArrow(run, f"{media.schema[key].simpleString().replace(':', ' ', 1)}, {DIGEST}")
 

@@ -187,14 +187,32 @@ def test_sniffing(spark):
 
 def test_media_round_trip(spark):
     stored = media.store_texts(extra(documents(spark)))
-    got = media.digest(media.sniff(stored, "media")).collect()
+    sniffed = lambda df: media.sniff(df.selectExpr("*", "'text/plain' declared"), "media", "declared")
+    got = media.digest(sniffed(stored)).collect()
     assert len(got) == 22
     for r in got:
         b = (TEXTS[r["doc_id"]] or "").encode()
         p = b + b"\0" * ((-len(b) % 64) if b else 64)
         assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(b), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]))
-        assert r["media_bytes"] == len(p) + 44 and r["feature"].startswith("audio/wav;")
-    assert media.digest(media.sniff(media.store_texts(empty(spark)), "media")).count() == 0
+        assert r["media_bytes"] == len(p) + 44 and r["feature"].startswith("audio/wav;") and r["corrected"] and r["carved"] == []
+    assert media.digest(sniffed(media.store_texts(empty(spark)))).count() == 0
+    pdf = media_files()["application/pdf"].decode()
+    text = f"before {pdf} between {pdf} GIF89a"
+    (row,) = media.digest(sniffed(media.store_texts(spark.createDataFrame([(1, text, "en", "s", 0)], SCHEMA)))).collect()
+    assert [(m["type"], m["end"] - m["start"], m["sha256"]) for m in row["carved"]] == [("application/pdf", len(pdf), hashlib.sha256(pdf.encode()).hexdigest())] * 2
+
+
+@pytest.mark.parametrize("piece", [b"%PDF-1", b"PK\x03\x04", b"GIF89aabcdefg!x"])
+def test_sniffing_takes_time_in_proportion(piece):
+    import time
+
+    def took(n):
+        began = time.process_time()
+        media.found_media(piece * n)
+        return time.process_time() - began
+
+    took(1000)
+    assert took(80_000) < 12 * max(took(20_000), 0.02)
 
 
 def jaccard_by_hand(rows, n=5, similarity=0.8):

@@ -117,3 +117,14 @@ def jaccard_by_hand_fast(rows, n=5, similarity=0.8):
 def test_fast_classes_are_those_of_all_pairs():
     rows = [(k, " ".join(f"w{(j * (k % 3 + 1)) % 40}" for j in range(60 + k % 2))) for k in range(12)]
     assert {i: c for i, c, _ in jaccard_by_hand(rows)} == jaccard_by_hand_fast(rows)
+
+
+MEDIA = """
+WITH p AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+q AS (SELECT doc_id, octet_length(b) AS n, b || from_hex(repeat('00', CAST(greatest(64, (octet_length(b) + 63) // 64 * 64) - octet_length(b) AS INTEGER))) AS p FROM p)
+SELECT doc_id, n AS n_bytes, octet_length(p) AS payload_bytes, sha256(p) AS payload_sha256, octet_length(p) + 44 AS media_bytes FROM q
+"""
+
+
+def test_media_against_sql(spark, data):
+    same(lambda spark, d: catalog.queries()["op7_media"](spark, d).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "media_bytes"), MEDIA, spark, data)
