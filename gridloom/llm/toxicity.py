@@ -20,8 +20,8 @@ FIRST = (4, 12)
 SLACK = 2e-5
 #: A term that more than this part of the examples hold has its list cut in blocks; shorter lists are added up whole.
 DENSE = 32
-#: Documents, and postings of short lists, that are scored at once.
-MOST_DOCS, MOST_WORK = 256, 1 << 22
+#: Documents that are scored at once, and postings of short lists that are added up at once.
+MOST_DOCS, MOST_WORK = 512, 1 << 19
 PIVOTS = 192
 
 
@@ -101,13 +101,17 @@ class Examples:
         part = np.zeros((m, full.shape[1]), np.float32)
         part[own[long], rows] = weights
         own, t, x = own[~long], t[~long], x[~long]
-        size = np.diff(self.at)[t]
-        at = np.repeat(self.at[t] - np.cumsum(size) + size, size)
-        at += np.arange(len(at))
-        cell, add = np.repeat(own * n, size), np.repeat(x, size)
-        cell += self.example[at]
-        add *= self.value[at]
-        short = np.bincount(cell, add, m * n).astype(float).reshape(m, -1, BLOCK)
+        size, at = self.at[t + 1] - self.at[t], np.searchsorted(own, np.arange(m + 1))
+        short, a = np.zeros((m, n)), 0
+        work = np.concatenate([[0], np.cumsum(size)])[at]
+        while a < m:
+            b = max(a + 1, int(np.searchsorted(work, work[a] + MOST_WORK, "right")) - 1)
+            s = slice(at[a], at[b])
+            add = _taken(self.value, self.at[t[s]], size[s])[0] * np.repeat(x[s], size[s])
+            cell = np.repeat((own[s] - a) * n, size[s]) + _taken(self.example, self.at[t[s]], size[s])[0]
+            short[a:b] = np.bincount(cell, add, (b - a) * n).reshape(b - a, n)
+            a = b
+        short = short.reshape(m, -1, BLOCK)
         if but is not None:
             short[np.arange(m), but // BLOCK, but % BLOCK] = -np.inf
         bound = part @ most + short.max(2) + SLACK
@@ -135,15 +139,11 @@ class Examples:
 
     def each(self, own: np.ndarray, t: np.ndarray, x: np.ndarray, m: int, but: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The same for any number of documents, whose terms follow one another."""
-        row = self.blocks()[0]
         cut = np.searchsorted(own, np.arange(m + 1))
-        work = np.concatenate([[0], np.cumsum(np.where(row[t] < 0, np.diff(self.at)[t], 0))])[cut]
-        a = 0
-        while a < m:
-            b = max(a + 1, min(a + MOST_DOCS, int(np.searchsorted(work, work[a] + MOST_WORK, "right")) - 1))
+        for a in range(0, m, MOST_DOCS):
+            b = min(a + MOST_DOCS, m)
             s = slice(cut[a], cut[b])
             yield from self.search(own[s] - a, t[s], x[s], b - a, None if but is None else but[a:b])
-            a = b
 
     def nearest(self, t: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The k examples nearest to one document and their cosines, exactly."""
@@ -283,7 +283,8 @@ def _counts(shared, labelled: bool):
         for batch in batches:
             at, label = 0, batch.column(1).to_numpy(zero_copy_only=False) if labelled else None
             for w in each_chunk(batch.column(0), NOT_LETTER, lower=True):
-                own, term = np.divmod(np.unique(np.stack(index.of(w)).T @ np.array([m, 1])), m)
+                own, term = index.of(w)
+                own, term = np.divmod(np.unique(own * m + term), m)
                 for k, some in enumerate((label[at + own] == 1, label[at + own] == 0) if labelled else (slice(None),)):
                     sums[k] += np.bincount(term[some], minlength=m)
                 at += w.last - w.first
