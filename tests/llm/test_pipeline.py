@@ -128,3 +128,43 @@ SELECT doc_id, n AS n_bytes, octet_length(p) AS payload_bytes, sha256(p) AS payl
 
 def test_media_against_sql(spark, data):
     same(lambda spark, d: catalog.queries()["op7_media"](spark, d).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "media_bytes"), MEDIA, spark, data)
+
+
+def test_stages_at_the_edges(spark, tmp_path):
+    """Nulls in every column, empty and long texts, repeats, ties and columns with names that the operators use."""
+    from pyspark.sql import functions as F
+
+    from test_edges import LONG, SCHEMA, TEXTS
+
+    rows = [(i, t, "en", [None, "s1", "s2"][i % 3], len(t or "")) for i, t in enumerate(TEXTS)]
+    rows += [rows[5], rows[12], rows[5], (5, LONG + " other", None, None, None), (None, None, None, None, None), (None, "no key at all", "en", "s1", 13)]
+    names = ("score", "evidence", "cosines", "_keep", "_kept", "_doc", "_n_lines", "doc", "a", "b", "taken", "size", "_times", "_id", "id", "h", "key", "start")
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3).withColumns({c: F.lit("x") for c in names})
+    labels = [(i, 1, int(i % 4 == 0)) for i in range(len(TEXTS))] + [(None, 1, 1), (3, None, None), (10_000, 0, 1)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    stages = dict(corpus_pipeline.STAGES)
+    counted = lambda df: collections.Counter(tuple(r) for r in df.select(*corpus_pipeline.COLUMNS).collect())
+
+    clean = stages["toxicity"](spark, docs, str(tmp_path))
+    assert clean.columns == list(corpus_pipeline.COLUMNS) and counted(clean) <= counted(docs)
+
+    lined = stages["line_dedup"](spark, docs, "")
+    assert lined.columns == list(corpus_pipeline.COLUMNS) and lined.count() == len(rows)
+    assert lined.where("doc_id = 5 and text like '% other'").count() == 1 and lined.where("doc_id is null and text = 'no key at all'").count() == 1
+
+    single = stages["near_copies"](spark, docs, "")
+    ids = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in single.collect())
+    classes = {i: c for i, c, _ in jaccard_by_hand([(i, t) for i, t in enumerate(TEXTS)])}
+    kept = [i for i, c in classes.items() if i == c]
+    kept = [i for i in kept if i not in (10, 11)]  # document 5's other text joins these to 5
+    assert ids == sorted([(False, i) for i in kept] + [(False, 5)] + [(True, 0)] * 2)
+
+    mixed = counted(stages["mixing"](spark, docs, ""))
+    assert set(mixed) <= set(counted(docs)) and all(mixed[r] == n for r, n in counted(docs).items() if not (r[1] or "").split())
+
+    packed = stages["packing"](spark, docs, "").collect()
+    assert collections.Counter(r["doc_id"] for r in packed if r["start"] == 0) == collections.Counter(r[0] for r in rows)
+    empty = spark.createDataFrame([], docs.schema)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, empty, str(tmp_path))
+        assert out.count() == 0 and (name == "packing" or out.columns == list(corpus_pipeline.COLUMNS))
