@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .staging import staged
+from .staging import release, staged
 from .words import Words, grams, mix, powers, ranges, signed, sliding_min, text_bytes, words
 
 #: Words of the grams whose smallest hash names a window's shard.
@@ -23,8 +23,11 @@ GRAM = 8
 #: Different passages of a shard that one automaton takes; a shard of more is divided at the next level.
 MOST = 2000
 #: At the last level a shard is one window and its passages are equal.
-LEVELS = 4
-ROW = ["doc", "a", "b"]
+LEVELS = 2
+#: Crowded shards whose names are sent to all tasks; more of them are joined to the documents.
+MOST_HOT = 1 << 20
+#: A row's own identity: its key and 64 bits of its text.
+ROW = ["doc", "a"]
 
 
 class SuffixAutomaton:
@@ -108,28 +111,32 @@ def _runs(w: Words, d: int, window: int, level: int) -> tuple[np.ndarray, np.nda
     return signed(key[start]), signed(shards[max(0, level - 1)][start]), start, end, signed(passage)
 
 
-ROUTED = "shard long, passage long, doc long, a long, b long, level int, t0 int, n int"
+ROUTED = "shard long, passage long, doc long, a long, at long"
 
 
-def _route(window: int, level: int):
-    """Runs of windows of one shard of (doc, a, b, text), and from level 1 on of those in the shards listed in hot alone."""
+def _route(window: int, level: int, hot=None):
+    """Runs of windows of one shard of (doc, a, text), and from level 1 on of those in hot shards alone, which are broadcast
+    or listed in a fourth column. at: first window and number of windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_bytes(batch.column(3))
-            rows = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)]
+            data, offsets = text_bytes(batch.column(2))
+            rows = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(2)]
             for i, j in ranges(offsets):
                 w = words(data, offsets, i, j)
-                out: list[list] = [[] for _ in range(5)]
+                out: list[list] = [[] for _ in range(4)]
                 for d in np.flatnonzero(np.diff(w.at) >= window).tolist():
                     key, above, start, end, passage = _runs(w, d, window, level)
-                    some = np.isin(above, batch.column(4)[i + d].values.to_numpy()) if level else slice(None)
-                    for column, x in zip(out, (key[some], passage[some], start[some], (end - start)[some], np.full(len(key[some]), i + d)), strict=True):
+                    if level:
+                        names = hot.value if hot else batch.column(3)[i + d].values.to_numpy()
+                        at = np.minimum(np.searchsorted(names, above), len(names) - 1)
+                        some = names[at] == above
+                        key, start, end, passage = key[some], start[some], end[some], passage[some]
+                    for column, x in zip(out, (key, passage, start << 32 | end - start, np.full(len(key), i + d)), strict=True):
                         column.append(x)
                 if out[0]:
-                    key, passage, t0, n, at = map(np.concatenate, out)
-                    columns = [key, passage, *(r[at] for r in rows), np.full(len(at), level, np.int32), t0.astype(np.int32), n.astype(np.int32)]
-                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], [x.split()[0] for x in ROUTED.split(", ")])
+                    key, passage, at, own = map(np.concatenate, out)
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, (key, passage, *(r[own] for r in rows), at))], [x.split()[0] for x in ROUTED.split(", ")])
 
     return run
 
@@ -214,31 +221,46 @@ def _match(window: int):
     return run
 
 
+def _shared_runs(docs: DataFrame, window: int) -> DataFrame:
+    """Runs of the shards that different documents share, with their level."""
+    spark, out, level = docs.sparkSession, None, 0
+    rows = staged(docs.mapInArrow(_route(window, 0), ROUTED), "runs")
+    while True:
+        shared = rows.groupBy("shard").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").select("shard")
+        mine = staged(rows.join(shared, "shard").withColumn("level", F.lit(level)), "shared")
+        release(rows)
+        sizes = mine.groupBy("shard", "passage").agg(F.lit(1).alias("n")).groupBy("shard").agg(F.sum("n").alias("n"))
+        hot = staged(sizes.where(F.col("n") > MOST).select("shard"), "hot")
+        n = 0 if level == LEVELS else hot.count()
+        kept = mine.join(hot, "shard", "left_anti") if n else mine
+        out = kept if out is None else out.unionByName(kept)
+        if not n:
+            return staged(out, "shared")
+        level += 1
+        if n <= MOST_HOT:
+            names = spark.sparkContext.broadcast(np.sort(hot.toArrow()["shard"].to_numpy()))  # bounded by MOST_HOT
+            again = docs.mapInArrow(_route(window, level, names), ROUTED)
+        else:
+            crowded = mine.join(hot, "shard").groupBy(*ROW).agg(F.sort_array(F.collect_set("shard")).alias("hot"))
+            again = docs.join(crowded, ROW).select(*ROW, "text", "hot").mapInArrow(_route(window, level), ROUTED)
+        rows = staged(again, "runs")
+
+
 def removed_windows(docs: DataFrame, window: int = 50) -> DataFrame:
-    """(doc, a, b, t0, n, found) for docs (doc, a, b, text): of n windows from word t0 on, those that a smaller document has.
+    """(doc, a, at, found) for docs (doc, a, text): of a run of windows, those that a smaller document has.
 
-    found: a bitmap of them, or null for all of them. Equal passages of a shard are one, of the smallest document that has
-    it; the shard's automaton takes them in the order of these documents.
+    at: first window << 32, and number of windows; found: a bitmap of them, or null for all. Equal passages of a shard are
+    one, of the smallest document that has it; the shard's automaton takes them in the order of these documents.
     """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = staged(docs.mapInArrow(_route(window, 0), ROUTED), "runs")
-    hits, level = None, 0
-    while True:
-        different = rows.groupBy("shard", "passage").agg(F.min(F.struct(*ROW)).alias("owner"), F.max("doc").alias("last"))
-        shards = different.groupBy("shard").agg(F.min("owner.doc").alias("first"), F.max("last").alias("last"), F.count("*").alias("n")).where("first < last")
-        shards = staged(shards.select("shard", (F.col("n") > (MOST if level < LEVELS else 1 << 62)).alias("hot")), "shards")
-        owned = different.join(shards.where("not hot").select("shard"), "shard").groupBy("owner").agg(F.collect_list(F.struct(F.lit(level).alias("level"), "shard", "passage")).alias("owned"))
-        texts = docs.join(owned.select("owner.*", "owned"), ROW).select("doc", "text", "owned").mapInArrow(_words_of(window), "shard long, passage long, doc long, words string")
-        ordered = texts.repartition(n, "shard").sortWithinPartitions("shard", "doc", "passage")
-        found = staged(ordered.mapInArrow(_match(window), FOUND), "found")
-        of_level = rows.join(found, ["shard", "passage"]).where("doc > first or found is not null").select(*ROW, "t0", "n", F.when(F.col("doc") <= F.col("first"), F.col("found")).alias("found"))
-        hits = of_level if hits is None else hits.unionByName(of_level)
-        hot = shards.where("hot").select("shard")
-        if hot.isEmpty():
-            return hits
-        level += 1
-        crowded = rows.join(hot, "shard").groupBy(*ROW).agg(F.collect_set("shard").alias("hot"))
-        rows = staged(docs.join(crowded, ROW).select(*ROW, "text", "hot").mapInArrow(_route(window, level), ROUTED), "runs")
+    rows = _shared_runs(docs, window)
+    owners = rows.groupBy("level", "shard", "passage").agg(F.min(F.struct(*ROW)).alias("owner"))
+    owned = owners.groupBy("owner").agg(F.collect_list(F.struct("level", "shard", "passage")).alias("owned")).select("owner.*", "owned")
+    texts = docs.join(owned, ROW).select("doc", "text", "owned").mapInArrow(_words_of(window), "shard long, passage long, doc long, words string")
+    ordered = texts.repartition(n, "shard").sortWithinPartitions("shard", "doc", "passage")
+    found = staged(ordered.mapInArrow(_match(window), FOUND), "found")
+    hits = rows.join(found, ["shard", "passage"]).where("doc > first or found is not null")
+    return hits.select(*ROW, "at", F.when(F.col("doc") <= F.col("first"), F.col("found")).alias("found"))
 
 
 def drop_repeats(docs: DataFrame, window: int = 50, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -250,8 +272,8 @@ def drop_repeats(docs: DataFrame, window: int = 50, key: str = "doc_id", text: s
     Empty table: no rows. Shards of many different passages are divided, so that no automaton grows with a hot passage.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    base = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.xxhash64(whole).alias("a"), F.xxhash64(F.lit("second"), whole).alias("b"), F.col(text).alias("text"))
-    hits = removed_windows(base, window).groupBy(*ROW).agg(F.collect_set(F.struct("t0", "n", "found")).alias("hits"))
+    base = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.xxhash64(whole).alias("a"), F.col(text).alias("text"))
+    hits = removed_windows(base, window).groupBy(*ROW).agg(F.collect_set(F.struct("at", "found")).alias("hits"))
     rows = base.join(hits, ROW, "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,7 +284,8 @@ def drop_repeats(docs: DataFrame, window: int = 50, key: str = "doc_id", text: s
                 if hits.is_valid and len(hits.values):
                     edge = np.zeros(len(ws) + 1, np.int32)
                     v = hits.values
-                    for t0, n, found in zip(v.field("t0").to_pylist(), v.field("n").to_pylist(), v.field("found").to_pylist(), strict=True):
+                    for at, found in zip(v.field("at").to_pylist(), v.field("found").to_pylist(), strict=True):
+                        t0, n = at >> 32, at & (1 << 32) - 1
                         at = t0 + (np.arange(n) if found is None else np.flatnonzero(np.unpackbits(np.frombuffer(found, np.uint8), count=n)))
                         np.add.at(edge, at, 1)
                         np.subtract.at(edge, at + window, 1)
