@@ -28,7 +28,7 @@ def normal_level(text: Column) -> Column:
 def modes(text: Column) -> Column:
     """Array of run types: both gives anl and fcst; anything else than these is an error."""
     m = F.lower(clean_text(text))
-    wrong = F.raise_error(F.concat(F.lit("Unsupported analysis or forecast value: "), m)).cast("array<string>")
+    wrong = F.raise_error(F.concat(F.lit("Neither anl, fcst nor both: "), m)).cast("array<string>")
     return F.when(m == "both", F.array(F.lit("anl"), F.lit("fcst"))).when(m.isin("anl", "fcst"), F.array(m)).otherwise(wrong)
 
 
@@ -41,11 +41,13 @@ def target_var(attrs: Column, source_var: Column) -> Column:
     return F.coalesce(first_attr(attrs, "GRIB_cfVarName", "cfVarName", "cf_var_name", "short_name", "GRIB_shortName"), source_var)
 
 
-def dimensions(rank: Column, run_type: Column) -> Column:
-    """Names of an array's dimensions where it doesn't say."""
+def dimensions(rank: Column, run_type: Column, attrs: Column | None = None) -> Column:
+    """Names of an array's dimensions: those that its JSON attributes state, else by its rank and run type."""
     numbered = F.transform(F.sequence(F.lit(0), rank - 1), lambda i: F.concat(F.lit("dim_"), i.cast("string")))
+    stated = F.lit(None).cast("array<string>") if attrs is None else F.from_json(F.get_json_object(attrs, "$._ARRAY_DIMENSIONS"), "array<string>")
     return (
-        F.when((run_type == "anl") & (rank == 2), F.array(F.lit("y"), F.lit("x")))
+        F.when(F.size(stated) > 0, stated)
+        .when((run_type == "anl") & (rank == 2), F.array(F.lit("y"), F.lit("x")))
         .when((run_type == "fcst") & (rank == 3), F.array(F.lit("forecast_step"), F.lit("y"), F.lit("x")))
         .when(rank > 0, numbered)
         .otherwise(F.array().cast("array<string>"))
@@ -91,7 +93,7 @@ def archive_path(family: Column, time: Column, run_type: Column) -> Column:
     return F.concat(F.lit("archive/"), family, F.lit("/"), day, F.lit("/"), day, F.lit("_"), F.date_format(time, "HH"), F.lit("z_"), run_type, F.lit(".zarr"))
 
 
-def parse_index_spec(spec: str, largest: int) -> list[int]:
+def index_list(spec: str, largest: int) -> list[int]:
     """'0-5,10' as sorted numbers; any beyond 0..largest is an error."""
     out: set[int] = set()
     for part in (p.strip() for p in spec.split(",")):
@@ -100,7 +102,7 @@ def parse_index_spec(spec: str, largest: int) -> list[int]:
             raise ValueError(f"Not an index or range: {part!r}")
         out |= set(range(int(m[1]), int(m[2] or m[1]) + 1))
     if wrong := sorted(i for i in out if not 0 <= i <= largest):
-        raise ValueError(f"Index out of range (0-{largest}): {wrong}")
+        raise ValueError(f"The catalogue ends at {largest}: no rows {wrong}")
     return sorted(out)
 
 

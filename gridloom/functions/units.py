@@ -90,22 +90,30 @@ def source_units(units: Column, var: Column, fallback: dict[str, str], override:
 def convert(obs: DataFrame, units: str = "units", strict: bool = True) -> DataFrame:
     """obs (var, value, units) in canonical units, with long_name and units set. An unknown conversion is an error, or
     (not strict) a null value."""
-    factor = conversion_factor(F.col("var"), F.col(units))
-    if strict:
-        text = F.concat(F.lit("No unit conversion for "), F.col("var"), F.lit(": "), F.col(units))
-        factor = F.when(factor.isNull(), F.raise_error(text).cast("double")).otherwise(factor)
+    factor = strict_factor(F.col("var"), F.col(units)) if strict else conversion_factor(F.col("var"), F.col(units))
     return obs.withColumns({"value": F.col("value") * factor, "long_name": target_long_name(F.col("var"))}).withColumn(units, target_units(F.col("var")))
 
 
+def strict_factor(var: Column, units: Column) -> Column:
+    """The factor, or an error where none is known."""
+    factor = conversion_factor(var, units)
+    return F.when(factor.isNull(), F.raise_error(F.concat(F.lit("No factor to canonical units for "), var, F.lit(": "), units)).cast("double")).otherwise(factor)
+
+
 def unconvertible(obs: DataFrame, units: str = "units") -> DataFrame:
     """Distinct (var, units) that convert() would refuse."""
     return obs.select("var", units).distinct().where(conversion_factor(F.col("var"), F.col(units)).isNull())
 
 
-def stamped(df: DataFrame) -> DataFrame:
-    """A wide table whose known variables' columns carry their canonical units and long name as metadata."""
-    known = {v: {"units": u, "long_name": n} for v, n, u in VAR_META}
-    return df.select(*(F.col(c).alias(c, metadata=known[c]) if c in known else F.col(c) for c in df.columns))
+def stamped(df: DataFrame, source: dict[str, str] | None = None) -> DataFrame:
+    """A wide table whose known variables' columns carry their canonical units, long name and missing value as metadata.
+
+    source: units that columns are in; their values are converted, and an unknown conversion is an error. Metadata is JSON,
+    which has no NaN, so the missing value is that word; missing values themselves are null.
+    """
+    known = {v: {"units": u, "long_name": n, "_FillValue": "NaN", "missing_value": "NaN"} for v, n, u in VAR_META}
+    value = lambda c: F.col(c) * strict_factor(F.lit(c), F.lit(source[c])) if source and source.get(c) else F.col(c)
+    return df.select(*(value(c).alias(c, metadata=known[c]) if c in known else F.col(c) for c in df.columns))
 
 
 def meta_table(spark: SparkSession) -> DataFrame:

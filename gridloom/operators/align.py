@@ -16,7 +16,10 @@ def without_leap_days(spine: DataFrame) -> DataFrame:
 
 
 def reindex(df: DataFrame, spine: DataFrame, *keys: str) -> DataFrame:
-    """A row for each time of the spine, for each value of the other keys that df has; times off the axis vanish."""
+    """A row for each time of the spine, for each value of the other keys that df has; times off the axis vanish.
+
+    The complete axis is the result, so spine and distinct keys are crossed: rows are their product, whatever df holds.
+    """
     if keys:
         spine = spine.join(df.select(*keys).distinct())
     return spine.join(df, ["time", *keys], "left")
@@ -64,10 +67,21 @@ def nearest_in_time(frames: DataFrame, slots: DataFrame, tolerance: int, step: i
     return found.where(gap <= tolerance * 1_000_000).groupBy("slot", *keys).agg(best.alias("_best")).select("slot", *keys, "_best.*")
 
 
-def valid_time(cycles: DataFrame, init: str = "init_time", lead: str = "lead_hour", month: str | None = None) -> DataFrame:
-    """Forecast cycles by valid time (init + lead hours), those of one month (yyyy-MM) if asked."""
-    out = cycles.withColumn("time", F.timestamp_seconds(F.unix_seconds(init) + F.col(lead) * 3600)).drop(init, lead)
-    return out if month is None else out.where(F.date_format("time", "yyyy-MM") == month)
+def valid_time(cycles: DataFrame, init: str = "init_time", lead: str = "lead_hour", month: str | None = None, longest: int | None = None) -> DataFrame:
+    """Forecast cycles by valid time (init + lead hours), those of one month (yyyy-MM) if asked.
+
+    Leads aren't negative, so cycles after the month aren't read; with longest, the longest lead there is, neither are those
+    that end before it.
+    """
+    valid = F.timestamp_seconds(F.unix_seconds(init) + F.col(lead) * 3600)
+    if month is not None:
+        start = F.lit(f"{month}-01 00:00:00").cast("timestamp")
+        end = F.lit(f"{int(month[:4]) + (month[5:] == '12'):04d}-{int(month[5:]) % 12 + 1:02d}-01 00:00:00").cast("timestamp")
+        cycles = cycles.where(F.col(init) < end)
+        if longest is not None:
+            cycles = cycles.where(F.col(init) >= start - F.expr(f"interval {longest} hours"))
+        cycles = cycles.where((valid >= start) & (valid < end))
+    return cycles.withColumn("time", valid).drop(init, lead)
 
 
 def prefer_valid_time(df: DataFrame, valid: str = "valid_time") -> DataFrame:

@@ -49,9 +49,15 @@ def missing_days(obs: DataFrame, days: DataFrame, time: str = "time") -> DataFra
     return days.join(have, "day", "left_anti")
 
 
-def missing_chunks(positions: DataFrame, present: DataFrame, chunk: int, index: str = "idx") -> DataFrame:
-    """Chunks of a request's axis positions that aren't present (chunk)."""
-    return positions.select(F.floor(F.col(index) / chunk).alias("chunk")).distinct().join(present.select("chunk").distinct(), "chunk", "left_anti")
+def missing_chunks(positions: DataFrame, present: DataFrame, chunk: int, index: str = "idx", keys: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, chunk): chunks of a request's axis positions that aren't present, for each value of the keys that present has.
+
+    Chunks of the axis and keys are crossed, as all of them may be missing.
+    """
+    wanted, have = positions.select(F.floor(F.col(index) / chunk).alias("chunk")).distinct(), present.select(*keys, "chunk").distinct()
+    if keys:
+        wanted = have.select(*keys).distinct().join(wanted)
+    return wanted.select(*keys, "chunk").join(have, [*keys, "chunk"], "left_anti")
 
 
 def slots_per_day(frames: DataFrame, slot: str = "slot") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.names import clean_text, dimensions, modes, normal_level, offered, target_var, truthy
+from ..functions.names import clean_text, dimensions, first_attr, modes, normal_level, offered, target_var, truthy
 
 KEY = ("target_var", "family", "level", "run_type")
 
@@ -84,10 +84,15 @@ def source_name(explicit: Column, mapped: Column, fallback: Column, own: Column)
     return F.coalesce(*(F.nullif(F.trim(c), F.lit("")) for c in (explicit, mapped, fallback)), own)
 
 
+DOCUMENTED = ("documented_long_name", "documented_units", "first_version_available", "documentation_notes")
+
+
 def documented(docs: DataFrame, registry: DataFrame) -> DataFrame:
     """Documentation rows, one a run type, with how many registry rows match them and what these say.
 
-    docs: doc_id, documented_level, source_var, analysis_or_forecast; registry: level, source_var, run_type, family, long_name.
+    docs: doc_id, documented_level, source_var, analysis_or_forecast, and where they are there documented_long_name,
+    documented_units, first_version_available and documentation_notes, which stay as cleaned text (else empty);
+    registry: level, source_var, run_type, family, long_name.
     """
     r = registry.select(
         normal_level(F.col("level")).alias("normalized_level"), clean_text(F.col("source_var")).alias("source_var"), F.lower(clean_text(F.col("run_type"))).alias("run_type"),
@@ -100,28 +105,43 @@ def documented(docs: DataFrame, registry: DataFrame) -> DataFrame:
     level = clean_text(F.col("documented_level"))
     d = docs.select(
         clean_text(F.col("doc_id").cast("string")).alias("doc_id"), level.alias("documented_level"), normal_level(F.col("documented_level")).alias("normalized_level"),
-        clean_text(F.col("source_var")).alias("source_var"), F.explode(modes(F.col("analysis_or_forecast"))).alias("run_type"),
+        clean_text(F.col("source_var")).alias("source_var"), F.lower(clean_text(F.col("analysis_or_forecast"))).alias("analysis_or_forecast"), F.explode(modes(F.col("analysis_or_forecast"))).alias("run_type"),
+        *((clean_text(F.col(c)) if c in docs.columns else F.lit("")).alias(c) for c in DOCUMENTED),
     )
     out = d.join(r, ["normalized_level", "source_var", "run_type"], "left")
     text = lambda c: F.coalesce(c, F.lit("")).alias(c)
     return out.select(
-        "doc_id", "documented_level", "normalized_level", (F.col("documented_level") != F.col("normalized_level")).cast("int").alias("level_alias_applied"), "source_var", "run_type",
+        "doc_id", "documented_long_name", "documented_level", "normalized_level", (F.col("documented_level") != F.col("normalized_level")).cast("int").alias("level_alias_applied"), "source_var", "documented_units", "first_version_available", "analysis_or_forecast", "run_type", "documentation_notes",
         F.coalesce("n", F.lit(0)).alias("matched_source_registry_rows"), text("matched_families"), text("matched_registry_levels"), text("matched_registry_long_names"),
     )
 
 
 def discover(listing: DataFrame) -> DataFrame:
-    """Registry rows of a metadata listing (family, level, source_var, run_type, rank, attrs as JSON).
+    """Registry rows, all text, of an archive's arrays: root, family, level, source_var, run_type, attrs (JSON), shape, chunks, dtype.
 
-    Unreadable attributes give a row of blanks with readable 0.
+    Of attributes that can have several names, the first that isn't blank counts. attrs_json: the attributes whose names
+    don't begin with an underscore, by name. Arrays whose attributes can't be read give a row of blanks that isn't offered
+    and says so in its notes.
     """
-    bad = F.try_parse_json("attrs").isNull()
-    long_name = F.coalesce(F.get_json_object("attrs", "$.long_name"), F.get_json_object("attrs", "$.GRIB_name"), F.lit(""))
+    attr = lambda *keys: F.coalesce(first_attr(F.col("attrs"), *keys), F.lit(""))
     target = target_var(F.col("attrs"), F.col("source_var"))
-    x = listing.select("family", "level", "source_var", "run_type", "rank", "attrs", target.alias("target_var"), long_name.alias("long_name"), F.coalesce(F.get_json_object("attrs", "$.units"), F.lit("")).alias("units"), (~bad).cast("int").alias("readable"))
-    return x.select(
-        "target_var", "long_name", "units", "family", "level", "source_var", "run_type", F.array_join(dimensions(F.col("rank"), F.col("run_type")), ",").alias("dims"),
-        offered(F.col("target_var"), F.col("source_var"), F.col("long_name")).alias("include_in_cli"), "readable",
+    group = F.concat_ws("/", "root", "level", "source_var")
+    known = F.map_filter(F.from_json("attrs", "map<string,string>"), lambda k, _: ~F.startswith(k, F.lit("_")))
+    read = {
+        "target_var": target, "long_name": attr("long_name", "GRIB_name"), "units": attr("units", "GRIB_units"),
+        "include_in_cli": offered(target, F.col("source_var"), attr("long_name", "GRIB_name")).cast("string"),
+        "short_name": attr("GRIB_shortName", "short_name"), "cf_var_name": attr("GRIB_cfVarName", "cfVarName", "cf_var_name"), "standard_name": attr("standard_name", "GRIB_cfName"),
+        "coordinates": attr("coordinates"), "dims": F.array_join(dimensions(F.size("shape"), F.col("run_type"), F.col("attrs")), ","),
+        "shape": F.to_json("shape"), "chunks": F.to_json("chunks"), "dtype": F.col("dtype"), "ndim": F.size("shape").cast("string"),
+        "attrs_json": F.to_json(F.map_from_entries(F.array_sort(F.map_entries(known)))),
+    }
+    bad = F.try_parse_json("attrs").isNull()
+    of = lambda c: F.when(bad, "0" if c == "include_in_cli" else "").otherwise(read[c]).alias(c)
+    return listing.select(
+        of("target_var"), of("long_name"), of("units"), "family", "level", "source_var", F.col("run_type").alias("mode"), of("include_in_cli"),
+        F.when(bad, "Failed to read attributes").otherwise("").alias("notes"), "run_type", F.col("source_var").alias("variable"),
+        *map(of, ("short_name", "cf_var_name", "standard_name", "coordinates", "dims", "shape", "chunks", "dtype", "ndim")),
+        group.alias("group_path"), F.concat_ws("/", group, "level").alias("array_group"), F.concat_ws("/", group, "level", "source_var").alias("array_path"), of("attrs_json"),
     )
 
 

@@ -37,9 +37,8 @@ def box_bounds(grid: DataFrame, west: float, east: float) -> DataFrame:
 
 def crop_box(df: DataFrame, south: float, north: float, west: float, east: float, grid: DataFrame | None = None) -> DataFrame:
     """Rows with latitude and longitude in the box, both ends included. grid: where to see how longitudes count."""
-    bounds = box_bounds(df if grid is None else grid, west, east)  # one row
-    inside = F.col("latitude").between(south, north) & F.col("longitude").between(F.col("_west"), F.col("_east"))
-    return df.where(F.col("latitude").between(south, north)).join(F.broadcast(bounds), inside).drop("_west", "_east")
+    bounds = box_bounds(df if grid is None else grid, west, east).first()  # one row of a grid; literals reach the scan
+    return df.where(F.col("latitude").between(south, north) & F.col("longitude").between(bounds["_west"], bounds["_east"]))
 
 
 def crop_rectangle(grid: DataFrame, south: float, north: float, west: float, east: float) -> DataFrame:
@@ -118,19 +117,13 @@ def clip_period(start: Column, end: Column, first: Column, last: Column) -> tupl
     return F.greatest(start, first), F.least(end, last)
 
 
-def near(a: Column, b: Column) -> Column:
-    """Equal within 1e-8 + 1e-5 |b|."""
-    return F.abs(a - b) <= 1e-8 + 1e-5 * F.abs(b)
-
-
 def select_levels(df: DataFrame, levels: list[float], strict: bool = True, level: str = "level") -> DataFrame:
     """Rows of the levels, matched within a tolerance. With strict, a level that no row has is an error."""
-    wanted = F.array(*(F.lit(float(x)) for x in sorted(set(levels))))
-    if strict:
-        have = [r[0] for r in df.select(F.col(level).cast("double")).distinct().where(F.col(level).isNotNull()).collect()]  # a product's levels are few
-        if missing := [x for x in levels if not any(abs(h - x) <= 1e-8 + 1e-5 * abs(x) for h in have)]:
-            raise ValueError(f"Levels not found: {missing}")
-    return df.where(F.exists(wanted, lambda w: near(F.col(level).cast("double"), w)))
+    have = [r[0] for r in df.select(level).distinct().where(F.col(level).isNotNull()).collect()]  # a product's levels are few
+    close = lambda h, x: abs(float(h) - x) <= 1e-8 + 1e-5 * abs(x)
+    if strict and (missing := [x for x in levels if not any(close(h, x) for h in have)]):
+        raise ValueError(f"Levels not found: {missing}")
+    return df.where(F.col(level).isin([h for h in have if any(close(h, x) for x in levels)]))  # literals reach the scan
 
 
 def infer_group(dims: Column) -> Column:
@@ -165,6 +158,14 @@ def expand_dependencies(wanted: list[str], deps: dict[str, list[str]], keep: boo
     return out
 
 
+def with_dependencies(wanted: Column, deps: dict[str, list[str]], keep: bool = True) -> Column:
+    """The same for a column of lists of variables."""
+    parts = F.create_map(*(F.lit(x) for x in (y for v, p in deps.items() for y in (v, ",".join(p))))) if deps else None
+    of = lambda v: F.split(F.try_element_at(parts, v), ",") if deps else F.lit(None).cast("array<string>")
+    own = lambda v: F.array(v) if keep else F.when(of(v).isNull(), F.array(v)).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.flatten(F.transform(wanted, lambda v: F.concat(F.coalesce(of(v), F.array().cast("array<string>")), own(v)))))
+
+
 def single_type(types: dict[str, str], names: list[str]) -> str:
     """The one source type of the variables; several are an error."""
     found = sorted({types[n] for n in names})

@@ -32,21 +32,26 @@ def block_mean(grid: DataFrame, k: int, field: str) -> DataFrame:
     return x.groupBy(F.floor(F.col("y") / k).alias("y"), F.floor(F.col("x") / k).alias("x")).agg(F.avg(field).alias(field))
 
 
-def spacing(grid: DataFrame) -> DataFrame:
-    """One row: median, 10th and 90th percentile of the distances (km) along x and y, and sqrt of the medians' product."""
+def spacing(grid: DataFrame, approximate: bool = False) -> DataFrame:
+    """One row: median, 10th and 90th percentile of the distances (km) along x and y, and sqrt of the medians' product.
+
+    Exact percentiles bring the different distances together in one task, which is meant for grids; approximate ones
+    (within 1/10,000 of the rank) keep summaries of fixed size, for meshes of any number of nodes.
+    """
     n = neighbours(grid)
     x = n.select(
         haversine_km(F.col("latitude"), F.col("longitude"), F.col("lat_x"), F.col("lon_x")).alias("dx"),
         haversine_km(F.col("latitude"), F.col("longitude"), F.col("lat_y"), F.col("lon_y")).alias("dy"),
     )
-    q = x.agg(*(F.expr(f"percentile({c}, array(0.1D, 0.5D, 0.9D))").alias(c) for c in ("dx", "dy")))
+    of = "percentile_approx({0}, array(0.1D, 0.5D, 0.9D), 10000)" if approximate else "percentile({0}, array(0.1D, 0.5D, 0.9D))"
+    q = x.agg(*(F.expr(of.format(c)).alias(c) for c in ("dx", "dy")))
     out = [q[c][k].alias(f"{c}_{name}") for c in ("dx", "dy") for k, name in enumerate(("p10", "med", "p90"))]
     return q.select(*out, F.sqrt(q["dx"][1] * q["dy"][1]).alias("eff"))
 
 
-def scale_ratio(a: DataFrame, b: DataFrame) -> DataFrame:
+def scale_ratio(a: DataFrame, b: DataFrame, approximate: bool = False) -> DataFrame:
     """One row: how many times coarser the first grid is, by spacing and by effective scale."""
-    x, y = spacing(a), spacing(b)
+    x, y = spacing(a, approximate), spacing(b, approximate)
     left, right = x.select(F.col("eff").alias("a"), F.col("dx_med").alias("ax")), y.select(F.col("eff").alias("b"), F.col("dx_med").alias("bx"))
     return left.join(F.broadcast(right)).select((F.col("a") / F.col("b")).alias("scale_eff"), (F.col("ax") / F.col("bx")).alias("scale_dx"))
 

@@ -16,7 +16,7 @@ Box = tuple[float, float, float, float]
 def daily_wind(obs: DataFrame, grid: DataFrame, start: str, end: str, box: Box) -> DataFrame:
     """(day, cell_id, si10, u10, v10, n_hours, status): daily means in a box, hours without both winds counted as missing.
 
-    Cells of the box and hours of the axis are few; observations meet the cells once and are counted by day, so the
+    Cells of the box and days of the axis are few, and their product is the result; observations meet the cells once and are counted by day, so the
     complete axis is laid beside daily rows, not hourly ones.
     """
     cells = select.crop_box(grid, *box).select("cell_id")
@@ -30,9 +30,9 @@ def daily_wind(obs: DataFrame, grid: DataFrame, start: str, end: str, box: Box)
     return full.select("day", "cell_id", "si10", "u10", "v10", n.alias("n_hours"), status.alias("status"))
 
 
-def forecast_month(cycles: DataFrame, month: str, var: str, units: str) -> DataFrame:
+def forecast_month(cycles: DataFrame, month: str, var: str, units: str, longest: int | None = None) -> DataFrame:
     """(time, cell_id, var, value, units, long_name) of forecast cycles by valid time, in canonical units."""
-    x = align.valid_time(cycles, month=month).select("time", "cell_id", F.lit(var).alias("var"), "value", F.lit(units).alias("units"))
+    x = align.valid_time(cycles, month=month, longest=longest).select("time", "cell_id", F.lit(var).alias("var"), "value", F.lit(units).alias("units"))
     return convert(x)
 
 
@@ -55,9 +55,9 @@ def pressure_columns(levels: DataFrame, variables: list[str], wanted: list[int],
     return align.merge_first(upper, surface, "time", "cell_id")
 
 
-def mesh_month(cycles: DataFrame, mask: DataFrame, month: str, var: str, units: str) -> DataFrame:
+def mesh_month(cycles: DataFrame, mask: DataFrame, month: str, var: str, units: str, longest: int | None = None) -> DataFrame:
     """(time, cell_id, value, units) of the masked nodes of a mesh: cycles by valid time, one month, in canonical units."""
-    x = select.crop_mask(align.valid_time(cycles, month=month), mask)
+    x = select.crop_mask(align.valid_time(cycles, month=month, longest=longest), mask)
     return convert(x.select("time", "cell_id", F.lit(var).alias("var"), "value", F.lit(units).alias("units")))
 
 

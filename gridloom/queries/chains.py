@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..plans import products
 from .observations import MISSING, SLOTTED, spine
-from .views import CYCLES, GRID, LEVELS, OBS, SPINE, WIDE, at, cycles, frames, grid, levels, obs, r6, register, regular_grid
+from .views import CYCLES, GRID, LEVELS, OBS, SPINE, WIDE, at, cycles, frames, grid, lat_step, levels, obs, r6, register, regular_grid
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -35,7 +35,7 @@ v AS (SELECT init_time + to_hours(lead_hour) AS time, cell_id, value FROM c)
 SELECT strftime(time, '%Y-%m-%d %H:%M:%S') AS time, cell_id, round(value * 1000, 4) AS value, 'kg m**-2' AS units FROM v WHERE strftime(time, '%Y-%m') = '1997-07'""",
 )
 def forecast_month(spark, d):
-    x = products.forecast_month(cycles(spark, d), "1997-07", "tp", "m")
+    x = products.forecast_month(cycles(spark, d), "1997-07", "tp", "m", longest=3)
     return x.select(at(), "cell_id", r6("value", digits=4), "units")
 
 
@@ -43,14 +43,14 @@ def forecast_month(spark, d):
     "q03_frames_to_slots",
     f"""WITH {SLOTTED}, h AS (SELECT *, row_number() OVER (PARTITION BY slot, cell_id ORDER BY gap, ts DESC) AS r FROM s WHERE gap <= 120000000),
 v AS (SELECT slot, cell_id, CASE WHEN value >= -90 THEN value END AS value FROM h WHERE r = 1),
-p AS (SELECT unnest(range(0, 11)) AS dst, round(0.1::DOUBLE / 0.3::DOUBLE, 9) AS t, round(0.1::DOUBLE / 0.45::DOUBLE, 9) AS u),
+p AS (SELECT unnest(range(0, 11)) AS dst, round(1.0::DOUBLE / 3.0::DOUBLE, 9) AS t, round(0.1::DOUBLE / 0.45::DOUBLE, 9) AS u),
 c AS (SELECT dst, a * 12 + dst + b AS src, (CASE a WHEN 1 THEN t ELSE 1 - t END) * (CASE b WHEN 1 THEN u ELSE 1 - u END) AS w FROM p, (SELECT unnest([0, 1]) AS a), (SELECT unnest([0, 1]) AS b))
 SELECT strftime(slot, '%Y-%m-%d %H:%M:%S') AS slot, dst AS cell_id, round(CASE WHEN count(value) = 4 THEN sum(value * w) END, 4) AS value FROM v JOIN c ON v.cell_id = c.src GROUP BY ALL""",
 )
 def frames_to_slots(spark, d):
     g = regular_grid(spark, d).where("y < 2")
     small = g.where("x < 12").withColumn("cell_id", (F.col("y") * 12 + F.col("x")).cast("long"))
-    points = small.select(F.col("cell_id").alias("dst_cell"), (F.col("latitude") + 0.1).alias("latitude"), (F.col("longitude") + 0.1).alias("longitude"))
+    points = small.select(F.col("cell_id").alias("dst_cell"), (F.col("latitude") + lat_step(spark, d) / 3).alias("latitude"), (F.col("longitude") + 0.1).alias("longitude"))
     x = products.frames_to_slots(frames(spark, d), small, points)
     return x.select(at("slot"), "cell_id", r6("value", digits=4))
 
@@ -70,7 +70,7 @@ def pressure_columns(spark, d):
 @query("q06_mesh_month", f"WITH {CYCLES}, {GRID} SELECT strftime(init_time + to_hours(lead_hour), '%Y-%m-%d %H:%M:%S') AS time, cell_id, round(value * 100, 4) AS value, 'Pa' AS units FROM cycles WHERE strftime(init_time + to_hours(lead_hour), '%Y-%m') = '1998-02' AND cell_id IN (SELECT cell_id FROM grid WHERE field > 0)")
 def mesh_month(spark, d):
     mask = grid(spark, d).select("cell_id", (F.col("field") > 0).alias("mask"))
-    x = products.mesh_month(cycles(spark, d), mask, "1998-02", "sp", "hPa")
+    x = products.mesh_month(cycles(spark, d), mask, "1998-02", "sp", "hPa", longest=3)
     return x.select(at(), "cell_id", r6("value", digits=4), "units")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import weather
 from ..operators import align, regrid, select, stats
 from ..sources import tables
-from .views import GRID, OBS, REGULAR, grid, obs, r6, register, regular_grid
+from .views import GRID, OBS, REGULAR, grid, lat_step, obs, r6, register, regular_grid
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -155,21 +155,21 @@ def o07(spark, d):
 
 @query(
     "j12_bilinear_regrid",
-    f"""WITH {REGULAR}, e AS (SELECT max(y) AS ny, max(x) AS nx FROM regular), p AS (SELECT cell_id AS dst, round((latitude + 0.1 - 39) / 0.3, 9) AS fy, round((longitude + 0.2 - 276) / 0.45, 9) AS fx FROM regular),
+    f"""WITH {REGULAR}, e AS (SELECT max(y) AS ny, max(x) AS nx FROM regular), p AS (SELECT cell_id AS dst, round((latitude + dy / 3 - 39) / dy, 9) AS fy, round((longitude + 0.2 - 276) / 0.45, 9) AS fx FROM regular, gy),
 i AS (SELECT *, least(floor(fy), ny - 1) AS iy, least(floor(fx), nx - 1) AS ix FROM p, e WHERE fy BETWEEN 0 AND ny AND fx BETWEEN 0 AND nx),
 c AS (SELECT dst, iy + a AS y, ix + b AS x, (CASE a WHEN 1 THEN fy - iy ELSE 1 - (fy - iy) END) * (CASE b WHEN 1 THEN fx - ix ELSE 1 - (fx - ix) END) AS w FROM i, (SELECT unnest([0, 1]) AS a), (SELECT unnest([0, 1]) AS b))
 SELECT dst AS cell_id, round(CASE WHEN count(field) = 4 THEN sum(field * w) END, 5) AS value FROM c JOIN regular r ON r.y = c.y AND r.x = c.x GROUP BY dst""",
 )
 def j12(spark, d):
     g = regular_grid(spark, d)
-    points = g.select(F.col("cell_id").alias("dst_cell"), (F.col("latitude") + 0.1).alias("latitude"), (F.col("longitude") + 0.2).alias("longitude"))
+    points = g.select(F.col("cell_id").alias("dst_cell"), (F.col("latitude") + lat_step(spark, d) / 3).alias("latitude"), (F.col("longitude") + 0.2).alias("longitude"))
     x = regrid.regrid(g.select("cell_id", F.col("field").alias("value")), regrid.bilinear_weights(g, points))
     return x.select("cell_id", r6("value", digits=5))
 
 
 @query(
     "j13_strided_weights",
-    f"""WITH {REGULAR}, {OBS}, e AS (SELECT max(y) AS ny, max(x) AS nx FROM regular), p AS (SELECT cell_id AS dst, round((latitude - 39) / 0.3, 9) AS fy, round((longitude - 276) / 0.45, 9) AS fx FROM regular WHERE y % 2 = 0 AND x % 2 = 0),
+    f"""WITH {REGULAR}, {OBS}, e AS (SELECT max(y) AS ny, max(x) AS nx FROM regular), p AS (SELECT cell_id AS dst, round((latitude - 39) / dy, 9) AS fy, round((longitude - 276) / 0.45, 9) AS fx FROM regular, gy WHERE y % 2 = 0 AND x % 2 = 0),
 i AS (SELECT *, least(floor(fy), ny - 1) AS iy, least(floor(fx), nx - 1) AS ix FROM p, e),
 c AS (SELECT dst, r.cell_id AS src, (CASE a WHEN 1 THEN fy - iy ELSE 1 - (fy - iy) END) * (CASE b WHEN 1 THEN fx - ix ELSE 1 - (fx - ix) END) AS w FROM i, (SELECT unnest([0, 1]) AS a), (SELECT unnest([0, 1]) AS b), regular r WHERE r.y = iy + a AND r.x = ix + b)
 SELECT strftime(o.time, '%Y-%m-%d %H:%M:%S') AS time, dst AS cell_id, round(CASE WHEN count(o.value) = 4 THEN sum(o.value * w) END, 5) AS value FROM obs o JOIN c ON o.cell_id = c.src WHERE o.var = 'u10' GROUP BY ALL""",
@@ -183,10 +183,10 @@ def j13(spark, d):
     return x.select(at(), "cell_id", r6("value", digits=5))
 
 
-@query("j12_nearest_on_mesh", f"WITH {GRID}, p AS (SELECT cell_id AS dst, latitude + 0.07 AS la, longitude - 0.1 AS lo FROM grid WHERE cell_id % 5 = 0), h AS (SELECT dst, cell_id, {_h('la', 'lo', 'latitude', 'longitude')} AS h FROM p JOIN grid ON abs(latitude - la) < 2 AND abs(longitude - lo) < 2), r AS (SELECT dst, cell_id, row_number() OVER (PARTITION BY dst ORDER BY {HAV}, cell_id) AS k FROM h) SELECT dst AS dst_cell, cell_id AS src_cell FROM r WHERE k = 1")
+@query("j12_nearest_on_mesh", f"WITH {GRID}, p AS (SELECT cell_id AS dst, latitude + 0.07 AS la, longitude - 0.1 AS lo FROM grid), h AS (SELECT dst, cell_id, {_h('la', 'lo', 'latitude', 'longitude')} AS h FROM p JOIN grid ON abs(latitude - la) < 2 AND abs(longitude - lo) < 2), r AS (SELECT dst, cell_id, row_number() OVER (PARTITION BY dst ORDER BY {HAV}, cell_id) AS k FROM h) SELECT dst AS dst_cell, cell_id AS src_cell FROM r WHERE k = 1")
 def j12n(spark, d):
     g = grid(spark, d)
-    points = g.where("cell_id % 5 = 0").select(F.col("cell_id").alias("dst_cell"), (F.col("latitude") + 0.07).alias("latitude"), (F.col("longitude") - 0.1).alias("longitude"))
+    points = g.select(F.col("cell_id").alias("dst_cell"), (F.col("latitude") + 0.07).alias("latitude"), (F.col("longitude") - 0.1).alias("longitude"))
     return regrid.nearest_weights(g, points, 1.0).select("dst_cell", "src_cell")
 
 

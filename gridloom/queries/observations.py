@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import units, weather
 from ..operators import align, audit, select, stats
 from ..sources import sinks, store
-from .views import CELLS, END, FRAMES, OBS, SPINE, START, TIME, WIDE, at, frames, obs, obs_wide, r6, register
+from .views import CELLS, END, FRAMES, GRID, OBS, SPINE, START, TIME, WIDE, at, frames, grid, obs, obs_wide, r6, register
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -21,9 +21,17 @@ def spine(spark) -> DataFrame:
     return align.axis(spark, START, END)
 
 
-@query("s01_scan_store", f"WITH {OBS} SELECT var, {TIME}, cell_id, round(value, 6) AS value FROM obs WHERE var IN ('u10', 'v10') AND time >= '2024-01-05' AND time < '2024-01-21'")
+def stored(spark, d, x: DataFrame) -> store.Store:
+    """A new store of observations."""
+    kept = store.Store(spark, f"{sinks.scratch(spark, 'stations')}/store", store.Axis(START, END))
+    kept.upsert(x.withColumn("product", F.lit("station")))
+    return kept
+
+
+@query("s01_scan_store", f"WITH {OBS} SELECT var, {TIME}, cell_id, round(CAST(CAST(value AS FLOAT) AS DOUBLE), 3) AS value FROM obs WHERE var IN ('u10', 'v10') AND time >= '2024-01-05' AND time < '2024-01-21'")
 def s01(spark, d):
-    return select.time_range(obs(spark, d).where(F.col("var").isin("u10", "v10")), "2024-01-05", "2024-01-20").select("var", at(), "cell_id", r6("value"))
+    x = stored(spark, d, obs(spark, d)).open("station", ["u10", "v10"])
+    return select.time_range(x, "2024-01-05", "2024-01-20").select("var", at(), "cell_id", r6(F.col("value").cast("double"), "value", 3))
 
 
 @query("s05_concat_preprocess", f"WITH {OBS} SELECT var, cell_id, count(*) AS n, round(sum(value), 6) AS total FROM obs WHERE cell_id < 12 GROUP BY ALL")
@@ -33,9 +41,9 @@ def s05(spark, d):
     return select.preprocess_each(parts, lambda p: p.where("cell_id < 12")).groupBy("var", "cell_id").agg(F.count("*").alias("n"), r6(F.sum("value"), "total"))
 
 
-@query("s08_missing_frames", f"WITH {OBS}, {SPINE} SELECT strftime(s.time, '%Y-%m-%d %H:%M:%S') AS time, round(o.value, 6) AS value FROM spine s LEFT JOIN obs o ON s.time = o.time AND o.var = 'tp' AND o.cell_id = 3")
+@query("s08_missing_frames", f"WITH {OBS}, {SPINE} SELECT v.var, c.cell_id, strftime(s.time, '%Y-%m-%d %H:%M:%S') AS time, round(o.value, 6) AS value FROM spine s CROSS JOIN (SELECT DISTINCT var, cell_id FROM obs) c JOIN (SELECT DISTINCT var FROM obs) v ON v.var = c.var LEFT JOIN obs o ON s.time = o.time AND o.var = c.var AND o.cell_id = c.cell_id")
 def s08(spark, d):
-    return align.reindex(obs(spark, d).where("var = 'tp' and cell_id = 3").select("time", "value"), spine(spark)).select(at(), r6("value"))
+    return align.reindex(obs(spark, d), spine(spark), "var", "cell_id").select("var", "cell_id", at(), r6("value"))
 
 
 @query("s19_first_step_with_data", f"WITH {OBS} SELECT var, strftime(min(time), '%Y-%m-%d %H:%M:%S') AS first_time FROM obs WHERE value IS NOT NULL GROUP BY var")
@@ -57,12 +65,33 @@ def w03(spark, d):
 @query(
     "w05_keyed_upsert",
     f"""WITH {OBS}, n AS (SELECT var, time, cell_id, value + 1 AS value FROM obs WHERE time >= '2024-01-15' AND var = 'u10'), o AS (SELECT var, time, cell_id, value FROM obs WHERE time < '2024-01-17')
-SELECT var, {TIME}, cell_id, round(value, 6) AS value FROM (SELECT * FROM n UNION ALL SELECT * FROM o WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.var = o.var AND n.time = o.time AND n.cell_id = o.cell_id))""",
+SELECT var, {TIME}, cell_id, round(CAST(CAST(value AS FLOAT) AS DOUBLE), 3) AS value FROM (SELECT * FROM n UNION ALL SELECT * FROM o WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.var = o.var AND n.time = o.time AND n.cell_id = o.cell_id))""",
 )
 def w05(spark, d):
     x = obs(spark, d)
     new = x.where("var = 'u10' and time >= timestamp'2024-01-15 00:00:00'").withColumn("value", F.col("value") + 1)
-    return store.replaced(x.where("time < timestamp'2024-01-17 00:00:00'"), new, "var", "time", "cell_id").select("var", at(), "cell_id", r6("value"))
+    kept = stored(spark, d, x.where("time < timestamp'2024-01-17 00:00:00'"))
+    kept.upsert(new.withColumn("product", F.lit("station")))
+    return kept.open("station").select("var", at(), "cell_id", r6(F.col("value").cast("double"), "value", 3))
+
+
+@query("w02_ensure_store", f"WITH {OBS}, {GRID} SELECT var, '{START}' AS start, '{END}' AS end, (SELECT count(*) FROM grid) AS n_cells, 720 AS n_times FROM obs GROUP BY var")
+def w02(spark, d):
+    """Stores are ensured for each variable, the first of which creates it, all twice."""
+    kept = store.Store(spark, f"{sinks.scratch(spark, 'ensured')}/store", store.Axis(START, END))
+    for _ in range(2):
+        for r in obs(spark, d).select("var").distinct().orderBy("var").collect():  # variables are few
+            kept.ensure("station", r["var"], lambda: grid(spark, d))
+    sizes = kept.grid().agg(F.count("*").alias("n_cells")).join(spine(spark).agg(F.count("*").cast("int").alias("n_times")))
+    return kept.described().join(F.broadcast(sizes)).select("var", "start", "end", "n_cells", "n_times")
+
+
+@query("w12_rechunk", f"WITH {OBS} SELECT var, count(*) AS n, round(sum(value), 4) AS total, 4 AS n_files FROM obs GROUP BY var")
+def w12(spark, d):
+    path = sinks.scratch(spark, "chunks")
+    store.rechunk(obs(spark, d), 4, "time").write.parquet(path)
+    x = spark.read.parquet(path).select("var", "value", F.col("_metadata.file_path").alias("file"))
+    return x.groupBy("var").agg(F.count("*").alias("n"), r6(F.sum("value"), "total", 4), F.count_distinct("file").cast("int").alias("n_files"))
 
 
 @query("w08_off_axis_times", f"WITH {FRAMES} SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS time, count(*) AS n FROM (SELECT DISTINCT ts FROM frames WHERE ts <> date_trunc('hour', ts)) GROUP BY ALL")
@@ -219,11 +248,11 @@ def a10(spark, d):
     return audit.missing_days(x, days, "ts").select(F.date_format("day", "yyyy-MM-dd").alias("day"))
 
 
-@query("a11_missing_chunks", f"WITH {OBS}, {SPINE}, q AS (SELECT DISTINCT CAST(epoch(time - TIMESTAMP '2024-01-01') AS BIGINT) // 21600 AS chunk FROM spine) SELECT chunk FROM q WHERE chunk NOT IN (SELECT CAST(epoch(time - TIMESTAMP '2024-01-01') AS BIGINT) // 21600 FROM obs WHERE var = 'tp' AND cell_id = 5)")
+@query("a11_missing_chunks", f"WITH {OBS}, {SPINE}, q AS (SELECT DISTINCT CAST(epoch(time - TIMESTAMP '2024-01-01') AS BIGINT) // 21600 AS chunk FROM spine), h AS (SELECT DISTINCT var, cell_id, CAST(epoch(time - TIMESTAMP '2024-01-01') AS BIGINT) // 21600 AS chunk FROM obs), k AS (SELECT DISTINCT var, cell_id FROM h) SELECT k.var, k.cell_id, q.chunk FROM k CROSS JOIN q ANTI JOIN h ON h.var = k.var AND h.cell_id = k.cell_id AND h.chunk = q.chunk")
 def a11(spark, d):
     idx = align.position(F.col("time"), START, 3600)
-    have = obs(spark, d).where("var = 'tp' and cell_id = 5").select(F.floor(idx / 6).alias("chunk"))
-    return audit.missing_chunks(spine(spark).select(idx.alias("idx")), have, 6)
+    have = obs(spark, d).select("var", "cell_id", F.floor(idx / 6).alias("chunk"))
+    return audit.missing_chunks(spine(spark).select(idx.alias("idx")), have, 6, keys=("var", "cell_id"))
 
 
 @query("a12_slots_per_day", f"WITH {SLOTTED} SELECT strftime(slot, '%Y-%m-%d') AS day, count(DISTINCT slot) AS n_slots FROM s WHERE gap <= 120000000 AND value >= -90 GROUP BY ALL")
@@ -337,9 +366,13 @@ def f12(spark, d):
     return x.groupBy("var", "cell_id", units.source_units(F.col("units"), F.col("var"), {"u10": "m s-1"}, F.col("override")).alias("source_units")).agg(F.count("*").alias("n"))
 
 
-@query("f13_attributes", f"WITH {OBS} SELECT var, CASE var WHEN 'tp' THEN 'kg m**-2' ELSE 'm s**-1' END AS units, CASE var WHEN 'tp' THEN 'total precipitation' WHEN 'u10' THEN '10 m eastward wind' ELSE '10 m northward wind' END AS long_name, count(*) AS n FROM obs GROUP BY var")
+@query("f13_attributes", f"WITH {OBS} SELECT var, CASE var WHEN 'tp' THEN 'kg m**-2' ELSE 'm s**-1' END AS units, CASE var WHEN 'tp' THEN 'total precipitation' WHEN 'u10' THEN '10 m eastward wind' ELSE '10 m northward wind' END AS long_name, 'NaN' AS missing_value, count(*) AS n, round(sum(value * CASE var WHEN 'tp' THEN 1000 ELSE 1 END), 4) AS total FROM obs GROUP BY var")
 def f13(spark, d):
-    return obs(spark, d).join(F.broadcast(units.meta_table(spark)), "var").groupBy("var", "units", "long_name").agg(F.count("*").alias("n"))
+    """The attributes that columns carry once they are stamped, and their values in canonical units."""
+    x = units.stamped(obs_wide(spark, d), {"tp": "m", "u10": "m/s"})
+    attrs = [(v, *(x.schema[v].metadata[k] for k in ("units", "long_name", "missing_value"))) for v in VARS]
+    of = F.broadcast(spark.createDataFrame(attrs, "var string, units string, long_name string, missing_value string"))  # a row for each variable
+    return stats.long(x, VARS).join(of, "var").groupBy("var", "units", "long_name", "missing_value").agg(F.count("*").alias("n"), r6(F.sum("value"), "total", 4))
 
 
 @query("t11_decode_time", "WITH e AS (SELECT event_id, user_id FROM events) SELECT event_id, strftime(CASE user_id % 3 WHEN 0 THEN make_timestamp(1704067200000000 + event_id * 1000000) WHEN 1 THEN TIMESTAMP '2018-01-01' + to_minutes(event_id) ELSE TIMESTAMP '2018-01-01' + to_hours(event_id) END, '%Y-%m-%d %H:%M:%S') AS time FROM e")
@@ -375,7 +408,7 @@ def x01(spark, d):
 
     root = sinks.scratch(spark, "ingest")
     kept = store.Store(spark, f"{root}/store", store.Axis(START, "2024-01-31 00:00:00", "5 minutes"))
-    put = lambda df: kept.upsert(df.select(F.lit("radar").alias("product"), F.lit("rate").alias("var"), F.col("slot").alias("time"), "cell_id", "value"))
+    put = lambda df: kept.upsert(df.select(F.lit("radar").alias("product"), F.lit("rate").alias("var"), F.col("slot").alias("time"), "cell_id", "value", "frame_time"), nearest=True)
     frames(spark, d).write.parquet(f"{root}/landed")
     arriving = spark.readStream.schema(frames(spark, d).schema).parquet(f"{root}/landed")
     ingest(arriving, put, f"{root}/checkpoint").awaitTermination()

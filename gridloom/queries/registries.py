@@ -28,11 +28,11 @@ def s10(spark, d):
     return reg.without_blanks(x, "var_name", "source_var")
 
 
-@query("j07_registry_lookup", f"WITH {REGISTRY}, u AS (SELECT target_var, family, level, run_type, min(source_var) AS source_var FROM registry GROUP BY ALL), s AS (SELECT DISTINCT target_var, family, level, run_type FROM registry WHERE size < 10) SELECT s.*, u.source_var FROM s JOIN u USING (target_var, family, level, run_type)")
+@query("j07_registry_lookup", f"WITH {REGISTRY}, u AS (SELECT target_var, family, level, run_type, min(source_var) AS source_var FROM registry GROUP BY ALL), s AS (SELECT DISTINCT target_var, family, level, run_type FROM registry) SELECT s.*, u.source_var FROM s JOIN u USING (target_var, family, level, run_type)")
 def j07(spark, d):
     r = registry(spark, d)
     unique = r.groupBy(*KEY).agg(F.min("source_var").alias("source_var"))
-    return reg.resolve(r.where("size < 10").select(*KEY).distinct(), unique)
+    return reg.resolve(r.select(*KEY).distinct(), unique)
 
 
 @query("j08_group_lookup", f"WITH {REGISTRY}, r AS (SELECT target_var AS var_name, source_var, CASE size % 4 WHEN 0 THEN '' WHEN 1 THEN 'sl' WHEN 2 THEN 'any' ELSE 'pl' END AS grp FROM registry), q AS (SELECT DISTINCT target_var AS var_name, unnest(['sl', 'pl']) AS grp FROM registry) SELECT q.var_name, q.grp, max(r.source_var) AS source_var, count(DISTINCT r.source_var) AS n FROM q JOIN r ON q.var_name = r.var_name AND (r.grp IN ('', 'any', 'all') OR r.grp = q.grp) GROUP BY ALL")
@@ -51,35 +51,61 @@ def j09(spark, d):
     return registry(spark, d).select("p_partkey", reg.source_name(e, m, f, F.col("target_var")).alias("source"))
 
 
-DOCS = REGISTRY + """, docs AS (SELECT p_partkey AS doc_id, level AS documented_level, source_var, run_type AS analysis_or_forecast FROM registry WHERE size % 4 = 0),
-x AS (SELECT doc_id, documented_level, source_var, unnest(CASE analysis_or_forecast WHEN 'both' THEN ['anl', 'fcst'] ELSE [analysis_or_forecast] END) AS run_type FROM docs),
+DOCS = REGISTRY + """, docs AS (SELECT p_partkey AS doc_id, level AS documented_level, source_var, run_type AS analysis_or_forecast, 'about ' || long_name AS about FROM registry),
+x AS (SELECT doc_id, documented_level, source_var, about, analysis_or_forecast, unnest(CASE analysis_or_forecast WHEN 'both' THEN ['anl', 'fcst'] ELSE [analysis_or_forecast] END) AS run_type FROM docs),
 r AS (SELECT level, source_var, run_type, count(*) AS n, string_agg(DISTINCT family, ',' ORDER BY family) AS fam, string_agg(DISTINCT level, ',' ORDER BY level) AS lev FROM registry GROUP BY ALL)"""
 
 
-@query("j10_documented", f"WITH {DOCS} SELECT CAST(doc_id AS VARCHAR) AS doc_id, x.source_var, x.run_type, coalesce(n, 0) AS matched, coalesce(fam, '') AS families, coalesce(lev, '') AS levels FROM x LEFT JOIN r ON x.documented_level = r.level AND x.source_var = r.source_var AND x.run_type = r.run_type")
+@query("j10_documented", f"WITH {DOCS} SELECT CAST(doc_id AS VARCHAR) AS doc_id, x.source_var, x.run_type, coalesce(n, 0) AS matched, coalesce(fam, '') AS families, coalesce(lev, '') AS levels, about, analysis_or_forecast AS stated FROM x LEFT JOIN r ON x.documented_level = r.level AND x.source_var = r.source_var AND x.run_type = r.run_type")
 def j10(spark, d):
     r = registry(spark, d)
-    docs = r.where("size % 4 = 0").select(F.col("p_partkey").alias("doc_id"), F.col("level").alias("documented_level"), "source_var", F.col("run_type").alias("analysis_or_forecast"))
+    docs = r.select(F.col("p_partkey").alias("doc_id"), F.col("level").alias("documented_level"), "source_var", F.col("run_type").alias("analysis_or_forecast"), F.concat(F.lit(" about  "), "long_name").alias("documented_long_name"))
     x = reg.documented(docs, r)
-    return x.select("doc_id", "source_var", "run_type", F.col("matched_source_registry_rows").alias("matched"), F.col("matched_families").alias("families"), F.col("matched_registry_levels").alias("levels"))
+    return x.select("doc_id", "source_var", "run_type", F.col("matched_source_registry_rows").alias("matched"), F.col("matched_families").alias("families"), F.col("matched_registry_levels").alias("levels"), F.col("documented_long_name").alias("about"), F.col("analysis_or_forecast").alias("stated"))
 
 
-ATTRS = REGISTRY + """, a AS (SELECT p_partkey, family, level, source_var, run_type, CAST(size % 4 AS INTEGER) AS rank,
-  CASE size % 3 WHEN 0 THEN '{"short_name": "' || target_var || '", "units": "m"}' WHEN 1 THEN '{"GRIB_cfVarName": " ", "long_name": "Orography of ' || target_var || '"}' ELSE '{"long_name": "x"}' END AS attrs, target_var AS name, size FROM registry)"""
+ATTRS = REGISTRY + """, a AS (SELECT p_partkey, family, level, source_var, run_type, CAST(size % 4 AS INTEGER) AS rank, target_var AS name, size FROM registry)"""
 
 
 def _attrs(spark, d):
-    s = F.col("size") % 3
-    text = F.when(s == 0, F.concat(F.lit('{"short_name": "'), "target_var", F.lit('", "units": "m"}'))).when(s == 1, F.concat(F.lit('{"GRIB_cfVarName": " ", "long_name": "Orography of '), "target_var", F.lit('"}'))).otherwise('{"long_name": "x"}')
-    return registry(spark, d).select("p_partkey", "family", "level", "source_var", "run_type", (F.col("size") % 4).cast("int").alias("rank"), text.alias("attrs"), "size")
-
-
-@query("s15_discover_registry", f"WITH {ATTRS} SELECT CASE WHEN size % 3 = 0 THEN name ELSE source_var END AS target_var, CASE size % 3 WHEN 0 THEN '' WHEN 1 THEN 'Orography of ' || name ELSE 'x' END AS long_name, CASE WHEN size % 3 = 0 THEN 'm' ELSE '' END AS units, family, level, source_var, run_type, CASE WHEN run_type = 'anl' AND rank = 2 THEN 'y,x' WHEN run_type = 'fcst' AND rank = 3 THEN 'forecast_step,y,x' WHEN rank = 1 THEN 'dim_0' WHEN rank = 2 THEN 'dim_0,dim_1' WHEN rank = 3 THEN 'dim_0,dim_1,dim_2' ELSE '' END AS dims, CASE WHEN size % 3 = 1 THEN 0 ELSE 1 END AS include_in_cli, 1 AS readable FROM a")
+    """Arrays of an archive by the size of a part: attributes as text, shape and chunks; every fourth names its dimensions."""
+    s, k = F.col("size") % 3, F.col("size") % 4
+    named = F.when(k == 3, '"_ARRAY_DIMENSIONS": ["time", "y", "x"], ').otherwise("")
+    text = (
+        F.when(s == 0, F.concat(F.lit("{"), named, F.lit('"short_name": "'), "target_var", F.lit('", "units": "m", "long_name": " ", "GRIB_name": "by GRIB"}')))
+        .when(s == 1, F.concat(F.lit("{"), named, F.lit('"GRIB_cfVarName": " ", "GRIB_units": "K", "long_name": "Orography of '), "target_var", F.lit('"}')))
+        .otherwise(F.concat(F.lit("{"), named, F.lit('"long_name": "x", "GRIB_cfName": "std", "coordinates": "lat lon", "GRIB_shortName": "sn"}')))
+    )
+    text = F.when(F.col("p_partkey") % 13 == 0, "{not readable").otherwise(text)
+    shape = F.transform(F.sequence(F.lit(1), k), lambda i: i.cast("int") * 10)
+    shape = F.when(k == 0, F.array().cast("array<int>")).otherwise(shape)
+    return registry(spark, d).select(
+        "p_partkey", "family", "level", "source_var", "run_type", text.alias("attrs"), F.lit("root").alias("root"), shape.alias("shape"),
+        F.transform(shape, lambda i: (i / 10).cast("int")).alias("chunks"), F.lit("<f4").alias("dtype"), "size",
+    )
+
+
+DISCOVERED = """SELECT p_partkey % 13 = 0 AS bad, p_partkey, family, level, source_var, run_type, size,
+  CASE size % 3 WHEN 0 THEN name WHEN 1 THEN source_var ELSE 'sn' END AS target, CASE size % 3 WHEN 0 THEN 'by GRIB' WHEN 1 THEN 'Orography of ' || name ELSE 'x' END AS ln,
+  CASE size % 3 WHEN 0 THEN 'm' WHEN 1 THEN 'K' ELSE '' END AS un,
+  CASE WHEN rank = 3 THEN 'time,y,x' WHEN run_type = 'anl' AND rank = 2 THEN 'y,x' WHEN rank = 1 THEN 'dim_0' WHEN rank = 2 THEN 'dim_0,dim_1' ELSE '' END AS di, rank, name FROM a"""
+
+
+@query("s15_discover_registry", f"""WITH {ATTRS}, x AS ({DISCOVERED})
+SELECT CASE WHEN bad THEN '' ELSE target END AS target_var, CASE WHEN bad THEN '' ELSE ln END AS long_name, CASE WHEN bad THEN '' ELSE un END AS units, family, level, source_var, run_type AS mode,
+  CASE WHEN bad OR size % 3 = 1 THEN '0' ELSE '1' END AS include_in_cli, CASE WHEN bad THEN 'Failed to read attributes' ELSE '' END AS notes, run_type, source_var AS variable,
+  CASE WHEN bad THEN '' WHEN size % 3 = 0 THEN name WHEN size % 3 = 2 THEN 'sn' ELSE '' END AS short_name, '' AS cf_var_name, CASE WHEN NOT bad AND size % 3 = 2 THEN 'std' ELSE '' END AS standard_name,
+  CASE WHEN NOT bad AND size % 3 = 2 THEN 'lat lon' ELSE '' END AS coordinates, CASE WHEN bad THEN '' ELSE di END AS dims,
+  CASE WHEN bad THEN '' ELSE ['[]', '[10]', '[10,20]', '[10,20,30]'][1 + rank] END AS shape, CASE WHEN bad THEN '' ELSE ['[]', '[1]', '[1,2]', '[1,2,3]'][1 + rank] END AS chunks,
+  CASE WHEN bad THEN '' ELSE '<f4' END AS dtype, CASE WHEN bad THEN '' ELSE CAST(rank AS VARCHAR) END AS ndim,
+  'root/' || level || '/' || source_var AS group_path, 'root/' || level || '/' || source_var || '/' || level AS array_group, 'root/' || level || '/' || source_var || '/' || level || '/' || source_var AS array_path,
+  CASE WHEN bad THEN '' WHEN size % 3 = 0 THEN '{{"GRIB_name":"by GRIB","long_name":" ","short_name":"' || name || '","units":"m"}}' WHEN size % 3 = 1 THEN '{{"GRIB_cfVarName":" ","GRIB_units":"K","long_name":"Orography of ' || name || '"}}'
+    ELSE '{{"GRIB_cfName":"std","GRIB_shortName":"sn","coordinates":"lat lon","long_name":"x"}}' END AS attrs_json FROM x""")
 def s15(spark, d):
     return reg.discover(_attrs(spark, d))
 
 
-@query("f18_first_attribute", f"WITH {ATTRS} SELECT p_partkey, CASE WHEN size % 3 = 0 THEN name ELSE source_var END AS target_var FROM a")
+@query("f18_first_attribute", f"WITH {ATTRS} SELECT p_partkey, CASE WHEN p_partkey % 13 = 0 THEN source_var WHEN size % 3 = 0 THEN name WHEN size % 3 = 2 THEN 'sn' ELSE source_var END AS target_var FROM a")
 def f18(spark, d):
     return _attrs(spark, d).select("p_partkey", names.target_var(F.col("attrs"), F.col("source_var")).alias("target_var"))
 
@@ -128,7 +154,9 @@ def s18(spark, d):
 @query("s27_variable_blocks", f"WITH {REGISTRY} SELECT source_var || '_' || p_partkey AS var, long_name AS description, family AS long_name, '' AS units FROM registry")
 def s27(spark, d):
     r = registry(spark, d).select(F.concat_ws("_", "source_var", "p_partkey").alias("var"), F.col("long_name").alias("description"), F.col("family").alias("long_name"), F.lit("").alias("units"))
-    return tables.description_text(r).select(*tables.described(F.col("value")))
+    path = sinks.scratch(spark, "blocks")
+    sinks.write_descriptions(r, path)
+    return tables.description_blocks(spark, path)
 
 
 @query("p15_infer_group", f"WITH {REGISTRY} SELECT p_partkey, CASE size % 3 WHEN 0 THEN 'ml' WHEN 1 THEN 'pl' ELSE 'sl' END AS grp FROM registry")
@@ -170,13 +198,10 @@ def o03(spark, d):
     return reg.sorted_registry(registry(spark, d), "family", "run_type", "level", "source_var", "p_partkey").limit(20).select("p_partkey", "family", "level")
 
 
-@query("o08_sort_nulls_last", f"WITH {REGISTRY} SELECT p_partkey, f AS family, row_number() OVER (ORDER BY f NULLS LAST, p_partkey) AS place FROM (SELECT p_partkey, CASE WHEN size % 5 <> 0 THEN family END AS f FROM registry) ORDER BY 3 LIMIT 500")
+@query("o08_sort_nulls_last", f"WITH {REGISTRY} SELECT p_partkey, f AS family, row_number() OVER (ORDER BY f NULLS LAST, p_partkey) AS place FROM (SELECT p_partkey, CASE WHEN size % 5 <> 0 THEN family END AS f FROM registry)")
 def o08(spark, d):
     x = registry(spark, d).select("p_partkey", F.when(F.col("size") % 5 != 0, F.col("family")).alias("family"))
-    x = reg.sorted_registry(x, "family", "p_partkey").limit(500)
-    from pyspark.sql import Window
-
-    return x.withColumn("place", F.row_number().over(Window.orderBy(F.col("family").asc_nulls_last(), "p_partkey")).cast("long"))
+    return sinks.numbered(x, "family", "p_partkey")
 
 
 @query("p21_catalog_filter", f"WITH {CATALOG} SELECT index, source_id FROM catalog WHERE (index BETWEEN 0 AND 5 OR index = 8) AND experiment_id = 'historical'")
@@ -205,15 +230,15 @@ def t03(spark, d):
     return out
 
 
-@query("t02_month_windows", "WITH o AS (SELECT o_custkey, min(o_orderdate) AS a, max(o_orderdate) AS z FROM orders WHERE o_custkey < 40 GROUP BY ALL), m AS (SELECT o_custkey, a, z, unnest(generate_series(date_trunc('month', a)::TIMESTAMP, date_trunc('month', z)::TIMESTAMP, INTERVAL 1 MONTH)) AS m FROM o) SELECT o_custkey, strftime(m, '%Y-%m') AS label, strftime(greatest(m, a), '%Y-%m-%d %H:%M:%S') AS win_start, strftime(least(m + INTERVAL 1 MONTH - INTERVAL 1 HOUR, z), '%Y-%m-%d %H:%M:%S') AS win_end FROM m")
+@query("t02_month_windows", "WITH o AS (SELECT o_custkey, min(o_orderdate) AS a, max(o_orderdate) AS z FROM orders GROUP BY ALL), m AS (SELECT o_custkey, a, z, unnest(generate_series(date_trunc('month', a)::TIMESTAMP, date_trunc('month', z)::TIMESTAMP, INTERVAL 1 MONTH)) AS m FROM o) SELECT o_custkey, strftime(m, '%Y-%m') AS label, strftime(greatest(m, a), '%Y-%m-%d %H:%M:%S') AS win_start, strftime(least(m + INTERVAL 1 MONTH - INTERVAL 1 HOUR, z), '%Y-%m-%d %H:%M:%S') AS win_end FROM m")
 def t02(spark, d):
-    o = table(spark, d, "orders").where("o_custkey < 40").groupBy("o_custkey").agg(F.min("o_orderdate").alias("start"), F.max("o_orderdate").alias("end"))
+    o = table(spark, d, "orders").groupBy("o_custkey").agg(F.min("o_orderdate").alias("start"), F.max("o_orderdate").alias("end"))
     return windows.month_windows(o).select("o_custkey", "label", at("win_start"), at("win_end"))
 
 
-@query("t04_day_windows", "WITH o AS (SELECT user_id, min(ts) AS a, max(ts) AS z FROM events WHERE user_id < 20 GROUP BY ALL) SELECT user_id, strftime(d, '%Y-%m-%d 00:00:00') AS day_start, strftime(d, '%Y-%m-%d 23:00:00') AS day_end FROM (SELECT user_id, unnest(generate_series(date_trunc('day', a)::TIMESTAMP, date_trunc('day', z)::TIMESTAMP, INTERVAL 1 DAY)) AS d FROM o)")
+@query("t04_day_windows", "WITH o AS (SELECT user_id, min(ts) AS a, max(ts) AS z FROM events GROUP BY ALL) SELECT user_id, strftime(d, '%Y-%m-%d 00:00:00') AS day_start, strftime(d, '%Y-%m-%d 23:00:00') AS day_end FROM (SELECT user_id, unnest(generate_series(date_trunc('day', a)::TIMESTAMP, date_trunc('day', z)::TIMESTAMP, INTERVAL 1 DAY)) AS d FROM o)")
 def t04(spark, d):
-    o = table(spark, d, "events").where("user_id < 20").groupBy("user_id").agg(F.min("ts").alias("start"), F.max("ts").alias("end"))
+    o = table(spark, d, "events").groupBy("user_id").agg(F.min("ts").alias("start"), F.max("ts").alias("end"))
     return windows.day_windows(o).select("user_id", at("day_start"), at("day_end"))
 
 
@@ -228,12 +253,12 @@ def s20(spark, d):
     return windows.download_plan(catalog(spark, d), "year", ["tas", "pr"], "https://example.org")
 
 
-@query("p23_dependencies", "WITH q AS (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'u10,v10,si10' WHEN 1 THEN 'lsp,cp,tp' ELSE 't2m' END AS need FROM orders) SELECT o_orderkey, need FROM q")
+@query("p23_dependencies", "SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'u10,v10,si10,lsp,cp,tp' WHEN 1 THEN 't2m,u10,v10,si10' ELSE 't2m' END AS need FROM orders")
 def p23(spark, d):
     deps = {"si10": ["u10", "v10"], "tp": ["lsp", "cp"]}
     k = F.col("o_orderkey") % 3
-    need = [",".join(select.expand_dependencies([v], deps)) for v in ("si10", "tp", "t2m")]
-    return table(spark, d, "orders").select("o_orderkey", F.when(k == 0, need[0]).when(k == 1, need[1]).otherwise(need[2]).alias("need"))
+    asked = names.list_items(F.when(k == 0, "si10, tp").when(k == 1, "t2m u10,si10").otherwise("t2m"))
+    return table(spark, d, "orders").select("o_orderkey", F.array_join(select.with_dependencies(asked, deps), ",").alias("need"))
 
 
 @query("s25_tiles", "WITH b AS (SELECT c_custkey, CAST(c_custkey % 300 - 150 AS BIGINT) AS west, CAST(c_custkey % 100 - 50 AS BIGINT) AS south FROM customer), t AS (SELECT c_custkey, unnest(generate_series(CAST(floor(south / 30) * 30 AS BIGINT), CAST(floor((south + 25) / 30) * 30 AS BIGINT), 30)) AS la, west FROM b), u AS (SELECT c_custkey, la, unnest(generate_series(CAST(floor(west / 30) * 30 AS BIGINT), CAST(floor((west + 35) / 30) * 30 AS BIGINT), 30)) AS lo FROM t) SELECT c_custkey, CASE WHEN la < 0 THEN 's' ELSE 'n' END || lpad(CAST(abs(la) AS VARCHAR), 2, '0') || CASE WHEN lo < 0 THEN 'w' ELSE 'e' END || lpad(CAST(abs(lo) AS VARCHAR), 3, '0') AS tile FROM u")

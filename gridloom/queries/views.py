@@ -81,15 +81,20 @@ def levels(spark: SparkSession, d: str) -> DataFrame:
     return x.groupBy(F.col("l_shipdate").alias("time"), (F.col("l_suppkey") % 10).alias("cell_id"), var.alias("var"), level.alias("level")).agg(F.avg("l_extendedprice").alias("value"))
 
 
+def lat_step(spark: SparkSession, d: str) -> float:
+    """Degrees between rows of the grid: all of its rows, however many, lie in 11 degrees."""
+    return 11.0 / ((table(spark, d, "customer").agg(F.max(F.expr("c_custkey div 40"))).first()[0] or 0) + 1)
+
+
 def grid(spark: SparkSession, d: str) -> DataFrame:
-    """(cell_id, y, x, latitude, longitude, field) from customer: a slightly skewed grid."""
-    c = table(spark, d, "customer").where("c_custkey < 1480")
+    """(cell_id, y, x, latitude, longitude, field) from customer: a slightly skewed grid of 40 columns."""
+    c, dy = table(spark, d, "customer"), lat_step(spark, d)
     g = c.select(F.col("c_custkey").alias("cell_id"), F.expr("cast(c_custkey div 40 as int)").alias("y"), (F.col("c_custkey") % 40).cast("int").alias("x"), F.col("c_acctbal").alias("field"))
-    return g.select("cell_id", "y", "x", (F.lit(39.0) + F.lit(0.3) * F.col("y") + F.lit(0.01) * F.col("x")).alias("latitude"), (F.lit(276.0) + F.lit(0.45) * F.col("x")).alias("longitude"), "field")
+    return g.select("cell_id", "y", "x", (F.lit(39.0) + F.lit(dy) * F.col("y") + F.lit(0.01) * F.col("x")).alias("latitude"), (F.lit(276.0) + F.lit(0.45) * F.col("x")).alias("longitude"), "field")
 
 
 def regular_grid(spark: SparkSession, d: str) -> DataFrame:
-    return grid(spark, d).withColumn("latitude", F.lit(39.0) + F.lit(0.3) * F.col("y"))
+    return grid(spark, d).withColumn("latitude", F.lit(39.0) + F.lit(lat_step(spark, d)) * F.col("y"))
 
 
 def registry(spark: SparkSession, d: str) -> DataFrame:
@@ -138,11 +143,12 @@ LEVELS = """
 levels AS (SELECT l_shipdate AS time, l_suppkey % 10 AS cell_id, CASE l_returnflag WHEN 'A' THEN 'u' WHEN 'N' THEN 'v' ELSE 't' END AS var,
   [500, 700, 850, 925, 1000][1 + l_linenumber % 5] AS level, avg(l_extendedprice) AS value FROM lineitem GROUP BY ALL)"""
 GRID = """
+gy AS (SELECT 11.0::DOUBLE / (max(c_custkey // 40) + 1) AS dy FROM customer),
 grid AS (SELECT c_custkey AS cell_id, CAST(c_custkey // 40 AS INTEGER) AS y, CAST(c_custkey % 40 AS INTEGER) AS x,
-  39.0::DOUBLE + 0.3::DOUBLE * (c_custkey // 40) + 0.01::DOUBLE * (c_custkey % 40) AS latitude, 276.0::DOUBLE + 0.45::DOUBLE * (c_custkey % 40) AS longitude,
-  c_acctbal AS field FROM customer WHERE c_custkey < 1480)"""
+  39.0::DOUBLE + dy * (c_custkey // 40) + 0.01::DOUBLE * (c_custkey % 40) AS latitude, 276.0::DOUBLE + 0.45::DOUBLE * (c_custkey % 40) AS longitude,
+  c_acctbal AS field FROM customer, gy)"""
 REGULAR = GRID + """,
-regular AS (SELECT cell_id, y, x, 39.0::DOUBLE + 0.3::DOUBLE * y AS latitude, longitude, field FROM grid)"""
+regular AS (SELECT cell_id, y, x, 39.0::DOUBLE + dy * y AS latitude, longitude, field FROM grid, gy)"""
 REGISTRY = """
 registry AS (SELECT p_partkey, p_name AS target_var, p_type AS family, p_brand AS level, CASE p_size % 3 WHEN 0 THEN 'both' WHEN 1 THEN 'anl' ELSE 'fcst' END AS run_type,
   'v' || (p_partkey % 97) AS source_var, p_type || ' ' || p_name AS long_name, p_size AS size FROM part)"""

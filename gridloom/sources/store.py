@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +17,7 @@ from ..operators.audit import off_axis
 
 OBS = T.StructType([
     T.StructField("product", T.StringType()), T.StructField("grp", T.StringType()), T.StructField("var", T.StringType()), T.StructField("time", T.TimestampType()),
-    T.StructField("level", T.IntegerType()), T.StructField("cell_id", T.LongType()), T.StructField("value", T.FloatType()),
+    T.StructField("level", T.IntegerType()), T.StructField("cell_id", T.LongType()), T.StructField("value", T.FloatType()), T.StructField("frame_time", T.TimestampType()),
 ])
 KEYS = ("product", "grp", "var", "time", "level", "cell_id")
 PARTITIONS = ("product", "var", "year", "month")
@@ -41,10 +43,24 @@ class Axis:
         return self.extended(end).spine(spark).join(self.spine(spark), "time", "left_anti")
 
 
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table at a path, or an empty one where nothing is."""
+    try:
+        df = spark.read.schema(schema).parquet(path)
+        df.schema  # noqa: B018 - where sessions are remote, the path is looked up here
+        return df
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 class Store:
     """Observations under one path, partitioned by product, variable, year and month.
 
     Values that aren't there are absent rows; reindexing on the axis shows them. One writer at a time for a partition.
+    frame_time: when a value was seen, where that isn't its time. A descriptor beside the data (ensure) holds the axis and
+    the variables, and the grid lies beside it.
     """
 
     def __init__(self, spark: SparkSession, path: str, times: Axis):
@@ -54,10 +70,7 @@ class Store:
         """All rows, or those of some partitions; nothing is read of the others."""
         kept = T.StructType([f for f in OBS.fields if f.name not in PARTITIONS])
         schema = T.StructType([*kept.fields, T.StructField("product", T.StringType()), T.StructField("var", T.StringType()), T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        if not hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop):
-            return self.spark.createDataFrame([], schema)
-        df = self.spark.read.schema(schema).parquet(self.path)
+        df = _read(self.spark, self.path, schema)
         if product is not None:
             df = df.where(F.col("product") == product)
         return df if variables is None else df.where(F.col("var").isin(variables))
@@ -66,23 +79,55 @@ class Store:
         if times != self.times:
             raise ValueError(f"The store's axis is {self.times}, not {times}")
 
-    def upsert(self, new: DataFrame) -> None:
-        """Put rows in place of those of the same keys; times off the axis are an error.
+    def described(self) -> DataFrame:
+        """(product, var, start, end, step): the axis, once a variable; empty where there is no descriptor."""
+        return _read(self.spark, f"{self.path}.descriptor", T.StructType([T.StructField(c, T.StringType()) for c in ("product", "var", "start", "end", "step")]))
+
+    def grid(self) -> DataFrame:
+        """The grid that the store was created with."""
+        return self.spark.read.parquet(f"{self.path}.grid")
 
-        Only partitions that get rows are read and written; they are staged first, as a partition can't be read and
-        overwritten at once. Running it again changes nothing.
+    def ensure(self, product: str, var: str, grid: Callable[[], DataFrame]) -> Store:
+        """Create the store's descriptor and grid, or check the axis against the stored one and add the variable.
+
+        Another axis than the stored one is an error. grid is called only where there is no store yet. Running it again
+        changes nothing.
+        """
+        have = self.described().collect()  # a row for each variable
+        for r in have:
+            if (stored := Axis(r["start"], r["end"], r["step"])) != self.times:
+                raise ValueError(f"The stored axis is {stored}, not {self.times}")
+        if not have:
+            grid().write.mode("overwrite").parquet(f"{self.path}.grid")
+        if (product, var) not in {(r["product"], r["var"]) for r in have}:
+            row = [(product, var, self.times.start, self.times.end, self.times.step)]
+            self.spark.createDataFrame(row, "product string, var string, start string, end string, step string").write.mode("append").parquet(f"{self.path}.descriptor")
+        return self
+
+    def upsert(self, new: DataFrame, nearest: bool = False) -> None:
+        """Put rows in place of those of the same keys; times off the axis and keys that new repeats are errors.
+
+        nearest: of a key's old and new rows, the one whose frame_time is nearest to its time stays, of equally near ones the
+        later; so batches may come in any order. Only partitions that get rows are read and written, by day and by a million
+        cells; they are staged first, as a partition can't be read and overwritten at once. Running it again changes nothing.
         """
         if not off_axis(new, self.times.spine(self.spark)).isEmpty():
             raise ValueError("Times off the store's axis")
         new = new.select(*(F.col(f.name).cast(f.dataType).alias(f.name) if f.name in new.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in OBS.fields))
+        if (again := new.groupBy(*KEYS).count().where("count > 1").first()) is not None:
+            raise ValueError(f"Repeated key: {again}")
         new = new.withColumns({"year": F.year("time"), "month": F.month("time")})
         touched = new.select(*PARTITIONS).distinct()
-        old = self.open().join(F.broadcast(touched), [*PARTITIONS], "left_semi")
-        same = [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in KEYS]
-        rest = old.alias("o").join(new.select(*KEYS).alias("n"), same, "left_anti")
-        both = rest.select(*new.columns).unionByName(new)
+        old = self.open().join(F.broadcast(touched), [*PARTITIONS], "left_semi")  # a row for each month of a variable
+        if nearest:
+            gap = F.abs(F.unix_micros("frame_time") - F.unix_micros("time"))
+            best = F.min_by(F.struct("value", "frame_time"), F.struct(F.coalesce(gap, F.lit(1 << 62)), -F.unix_micros("frame_time"), "value"))
+            both = old.select(*new.columns).unionByName(new).groupBy(*KEYS, "year", "month").agg(best.alias("best")).select(*KEYS, "year", "month", "best.*")
+        else:
+            same = [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in KEYS]
+            both = old.alias("o").join(new.select(*KEYS).alias("n"), same, "left_anti").select(*new.columns).unionByName(new)
         stage = f"{self.path}.staging-{uuid.uuid4().hex}"
-        both.repartition(*PARTITIONS).sortWithinPartitions(*PARTITIONS, "time", "cell_id").write.parquet(stage)
+        both.repartition(*PARTITIONS, F.dayofmonth("time"), F.floor(F.col("cell_id") / 1_000_000)).sortWithinPartitions(*PARTITIONS, "time", "cell_id").write.parquet(stage)
         staged = self.spark.read.schema(both.schema).parquet(stage)
         staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(self.path)
         fs = self.spark._jvm.org.apache.hadoop.fs.Path(stage)
@@ -108,4 +153,5 @@ def merged(parts: list[DataFrame], files: int | None = None) -> DataFrame:
 
 
 def rechunk(df: DataFrame, n: int, *keys: str) -> DataFrame:
+    """In n files by the keys, sorted by time and cell."""
     return df.repartition(n, *keys).sortWithinPartitions("time", "cell_id")

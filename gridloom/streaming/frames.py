@@ -27,10 +27,11 @@ def slot_stream(frames: DataFrame, late: str = "10 minutes", tolerance: int = 12
 def ingest(frames: DataFrame, write: Callable[[DataFrame], None], checkpoint: str, clean: Callable[[DataFrame], DataFrame] | None = None):
     """Run all that has arrived through slots and an upsert, once a batch; started again, it takes only what is new.
 
-    Upserts are keyed, so that a batch that is repeated after a failure changes nothing.
+    What is written has the frames' own times as frame_time, so that an upsert by the nearest (Store.upsert) keeps a nearer
+    frame of an earlier batch. Upserts are keyed, so that a batch that is repeated after a failure changes nothing.
     """
 
     def batch(df: DataFrame, _: int) -> None:
-        write(snapped_frames(clean(df) if clean else df))
+        write(snapped_frames((clean(df) if clean else df).withColumn("frame_time", F.col("ts"))))
 
     return frames.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

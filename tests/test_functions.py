@@ -51,9 +51,13 @@ def test_convert(spark):
     bad = spark.createDataFrame([("tp", 2.0, "inch")], "var string, value double, units string")
     assert units.unconvertible(bad).count() == 1
     assert units.convert(bad, strict=False).first().value is None
-    with pytest.raises(Exception, match="No unit conversion"):
+    with pytest.raises(Exception, match="No factor"):
         units.convert(bad).collect()
-    assert units.stamped(df.select(F.lit(1).alias("u10"))).schema["u10"].metadata["units"] == "m s**-1"
+    wide = units.stamped(df.where("value = 2").select(F.lit(1.0).alias("u10"), F.lit(3.0).alias("sp"), F.lit(2.0).alias("tp"), F.lit(5).alias("other")), {"sp": "hPa", "tp": ""})
+    assert wide.schema["u10"].metadata == {"units": "m s**-1", "long_name": "10 m eastward wind", "_FillValue": "NaN", "missing_value": "NaN"} and not wide.schema["other"].metadata
+    assert tuple(wide.first()) == (1.0, 300.0, 2.0, 5)
+    with pytest.raises(Exception, match="No factor"):
+        units.stamped(df.select(F.lit(3.0).alias("sp")), {"sp": "bar"}).collect()
 
 
 def test_time_codes(spark):
@@ -71,10 +75,12 @@ def test_names(spark):
     assert one(spark, names.normal_level(F.col("t")), t="0.1_sigma_layer") == "0.1_sigma_level"
     assert one(spark, names.list_items(F.col("t")), t=" a,b  a,, c") == ["a", "b", "c"]
     assert one(spark, names.dimensions(F.col("r"), F.col("t")), r=0, t="anl") == []
-    assert names.parse_index_spec("0-5,10, 7", 10) == [0, 1, 2, 3, 4, 5, 7, 10]
-    with pytest.raises(ValueError, match="out of range"):
-        names.parse_index_spec("9-12", 10)
-    with pytest.raises(Exception, match="Unsupported"):
+    stated = names.dimensions(F.col("r"), F.col("t"), F.col("a"))
+    assert one(spark, stated, r=2, t="anl", a='{"_ARRAY_DIMENSIONS": ["lat", "lon"]}') == ["lat", "lon"] and one(spark, stated, r=2, t="anl", a='{"_ARRAY_DIMENSIONS": []}') == ["y", "x"]
+    assert names.index_list("0-5,10, 7", 10) == [0, 1, 2, 3, 4, 5, 7, 10]
+    with pytest.raises(ValueError, match="ends at 10"):
+        names.index_list("9-12", 10)
+    with pytest.raises(Exception, match="Neither"):
         one(spark, names.modes(F.col("t")), t="none")
     assert one(spark, names.time_of_name(F.col("p")), p="x/no-time") is None
     assert one(spark, names.hour_of_name(F.col("p")), p="a/t06z.grb") == 6 and one(spark, names.hour_of_name(F.col("p")), p="s.2019010107.pcp_01h") == 7

@@ -47,10 +47,13 @@ def test_levels(spark):
         select.squeeze(df, "level")
 
 
-def test_dependencies():
+def test_dependencies(spark):
     deps = {"si10": ["u10", "v10"], "wdir10": ["u10", "v10"]}
     assert select.expand_dependencies(["si10", "wdir10", "tp"], deps) == ["u10", "v10", "si10", "wdir10", "tp"]
     assert select.expand_dependencies(["si10", "tp"], deps, keep=False) == ["u10", "v10", "tp"]
+    listed = spark.createDataFrame([(["si10", "wdir10", "tp"],), ([],)], "v array<string>")
+    assert [r[0] for r in listed.select(select.with_dependencies(F.col("v"), deps)).collect()] == [["u10", "v10", "si10", "wdir10", "tp"], []]
+    assert listed.select(select.with_dependencies(F.col("v"), deps, keep=False)).first()[0] == ["u10", "v10", "tp"]
     assert select.single_type({"a": "x", "b": "x"}, ["a", "b"]) == "x"
     with pytest.raises(ValueError, match="several"):
         select.single_type({"a": "x", "b": "y"}, ["a", "b"])
@@ -109,9 +112,42 @@ def test_store(spark, tmp_path):
     other = store.Store(spark, str(tmp_path / "o"), s.times)
     s.copy_to(other, "2024-01-01 00:00:00", "2024-01-31 23:00:00", ["u10"])
     assert other.open().count() == 2
+    with pytest.raises(ValueError, match="Repeated"):
+        s.upsert(obs([("p", "u10", "2024-01-01 00:00:00", 1, 9.0), ("p", "u10", "2024-01-01 00:00:00", 1, 8.0)]))
     assert s.times.extended("2024-01-05 00:00:00") == s.times and s.times.added(spark, "2024-03-01 01:00:00").count() == 2
 
 
+def test_stores_are_ensured(spark, tmp_path):
+    calls = []
+    template = lambda: calls.append(1) or grid(spark)
+    of = lambda end: store.Store(spark, str(tmp_path / "s"), store.Axis("2024-01-01 00:00:00", end))
+    for var in ("u10", "v10", "u10"):
+        s = of("2024-01-02 00:00:00").ensure("p", var, template)
+    assert sorted(r["var"] for r in s.described().collect()) == ["u10", "v10"] and s.grid().count() == 20 and calls == [1]
+    with pytest.raises(ValueError, match="stored axis"):
+        of("2024-01-03 00:00:00").ensure("p", "u10", template)
+
+
+def test_nearest_frame_stays_over_batches(spark, tmp_path):
+    s = store.Store(spark, str(tmp_path / "store"), store.Axis("2024-01-01 00:00:00", "2024-01-01 23:55:00", "5 minutes"))
+    put = lambda df: s.upsert(df.select(F.lit("radar").alias("product"), F.lit("rate").alias("var"), F.col("slot").alias("time"), "cell_id", "value", "frame_time"), nearest=True)
+    landed = [[("2024-01-01 00:05:05", 1, 1.0), ("2024-01-01 00:11:00", 1, 5.0)], [("2024-01-01 00:06:40", 1, 9.0), ("2024-01-01 00:10:20", 1, 6.0), ("2024-01-01 00:15:00", 2, 7.0)]]
+    for rows in landed:
+        frame_table(spark, rows).write.mode("append").parquet(str(tmp_path / "in"))
+        stream.ingest(spark.readStream.schema("ts timestamp, cell_id long, value double").parquet(str(tmp_path / "in")), put, str(tmp_path / "ck")).awaitTermination(120)
+    got = {(str(r[0]), r[1], r[2]) for r in s.open().select(F.col("time").cast("string"), "cell_id", "value").collect()}
+    want = {(str(r[0]), r[1], r[2]) for r in align.snapped_frames(frame_table(spark, sum(landed, []))).select(F.col("slot").cast("string"), "cell_id", "value").collect()}
+    assert got == want and len(got) == 3
+
+
+def test_numbered(spark):
+    from gridloom.sources import sinks
+
+    df = spark.createDataFrame([(None if k % 5 == 0 else f"f{k % 7}", k) for k in range(500)], "family string, k int").repartition(6)
+    got = sinks.numbered(df, "family", "k").orderBy("place").collect()
+    assert [r["place"] for r in got] == list(range(1, 501)) and [(r["family"], r["k"]) for r in got] == sorted(((r["family"], r["k"]) for r in got), key=lambda r: (r[0] is None, r[0] or "", r[1]))
+
+
 def test_audits(spark):
     spine = align.axis(spark, "2024-01-01 00:00:00", "2024-01-01 03:00:00")
     obs = spark.createDataFrame([("u10", "2024-01-01 00:00:00", 1, 1.0), ("u10", "2024-01-01 00:00:00", 2, 1.0), ("u10", "2024-01-01 01:00:00", 1, 1.0)], "var string, t string, cell_id long, value double").withColumn("time", F.to_timestamp("t"))
@@ -192,6 +228,8 @@ def test_percentiles_and_extent(spark):
     df = spark.createDataFrame([("a", float(i)) for i in range(101)], "var string, value double")
     got = {r.percentile: r.value for r in stats.percentiles(df, "var").collect()}
     assert got[1] == 1 and got[50] == 50 and got[100] == 100
+    exact, near = stats.spacing(grid(spark, 30, 30)).first(), stats.spacing(grid(spark, 30, 30), approximate=True).first()
+    assert all(abs(a - b) < 0.03 * a for a, b in zip(exact, near, strict=True))
     g = grid(spark, 5, 5)
     assert stats.block_mean(g.withColumn("f", F.col("x").cast("double")), 2, "f").count() == 4
 
