@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .components import components, labels
 from .staging import staged
-from .words import each_chunk, grams, mix, signed
+from .words import distinct, each_chunk, grams, mix, signed
 
 #: Members of one block of a large bucket or cluster; blocks are compared in pairs.
 BLOCK = 256
@@ -29,7 +29,7 @@ def shingle_sets(hashes: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray
     sets = []
     for d in range(len(at) - 1):
         h = hashes[at[d] : at[d + 1]]
-        sets.append(np.unique(grams(h, min(n, len(h))) + np.uint64(len(h) if len(h) < n else 0)) if len(h) else h[:0])
+        sets.append(distinct(grams(h, min(n, len(h))) + np.uint64(len(h) if len(h) < n else 0)) if len(h) else h[:0])
     return (np.concatenate(sets) if sets else hashes[:0]), np.cumsum([0, *map(len, sets)])
 
 

@@ -126,11 +126,15 @@ def _route(window: int, level: int, hot=None):
                 w = words(data, offsets, i, j)
                 out: list[list] = [[] for _ in range(4)]
                 for d in np.flatnonzero(np.diff(w.at) >= window).tolist():
-                    key, above, start, end, passage = _runs(w, d, window, level)
                     if level:
                         names = hot.value if hot else batch.column(3)[i + d].values.to_numpy()
-                        at = np.minimum(np.searchsorted(names, above), len(names) - 1)
-                        some = names[at] == above
+                        is_hot = lambda x: names[np.minimum(np.searchsorted(names, x), len(names) - 1)] == x  # noqa: B023, E731
+                        before = signed(window_shards(w.hash[w.at[d] : w.at[d + 1]], window, level - 1)[-1])
+                        if not is_hot(before[np.append(True, before[1:] != before[:-1])]).any():
+                            continue
+                    key, above, start, end, passage = _runs(w, d, window, level)
+                    if level:
+                        some = is_hot(above)
                         key, start, end, passage = key[some], start[some], end[some], passage[some]
                     for column, x in zip(out, (key, passage, start << 32 | end - start, np.full(len(key), i + d)), strict=True):
                         column.append(x)
@@ -226,9 +230,10 @@ def _shared_runs(docs: DataFrame, window: int) -> DataFrame:
     spark, out, level = docs.sparkSession, None, 0
     rows = staged(docs.mapInArrow(_route(window, 0), ROUTED), "runs")
     while True:
-        shared = rows.groupBy("shard").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").select("shard")
-        mine = staged(rows.join(shared, "shard").withColumn("level", F.lit(level)), "shared")
-        release(rows)
+        # written, so that the join of a crowded shard's runs is one that Spark can split
+        names = staged(rows.groupBy("shard").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").select("shard"), "names")
+        mine = staged(rows.join(names, "shard").withColumn("level", F.lit(level)), "shared")
+        release(rows, names)
         sizes = mine.groupBy("shard", "passage").agg(F.lit(1).alias("n")).groupBy("shard").agg(F.sum("n").alias("n"))
         hot = staged(sizes.where(F.col("n") > MOST).select("shard"), "hot")
         n = 0 if level == LEVELS else hot.count()

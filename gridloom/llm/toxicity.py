@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .staging import release, staged
-from .words import NOT_LETTER, Words, each_chunk, mix, signed
+from .words import NOT_LETTER, Words, distinct, each_chunk, signed
 
 #: Examples of a block, whose largest weight of a term bounds what the term adds to any of them.
 BLOCK = 32
@@ -284,7 +284,7 @@ def _counts(shared, labelled: bool):
             at, label = 0, batch.column(1).to_numpy(zero_copy_only=False) if labelled else None
             for w in each_chunk(batch.column(0), NOT_LETTER, lower=True):
                 own, term = index.of(w)
-                own, term = np.divmod(np.unique(own * m + term), m)
+                own, term = np.divmod(distinct(own * m + term), m)
                 for k, some in enumerate((label[at + own] == 1, label[at + own] == 0) if labelled else (slice(None),)):
                     sums[k] += np.bincount(term[some], minlength=m)
                 at += w.last - w.first

@@ -139,6 +139,14 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[w - 1 : w - 1 + n])
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The different values in order, by sorting, which is faster here than the hash table of np.unique."""
+    x = np.sort(x)
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:] != x[:-1]
+    return x[new]
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     """64-bit hashes as Spark's long."""
     return x.view(np.int64)

@@ -288,9 +288,10 @@ def test_substrings(spark):
     assert substrings.drop_repeats(empty(spark)).count() == 0
 
 
-@pytest.mark.parametrize("most", [2000, 3, 1])
-def test_substrings_random(spark, monkeypatch, most):
+@pytest.mark.parametrize(("most", "sent"), [(2000, 1 << 20), (3, 1 << 20), (1, 0)])
+def test_substrings_random(spark, monkeypatch, most, sent):
     monkeypatch.setattr(substrings, "MOST", most)
+    monkeypatch.setattr(substrings, "MOST_HOT", sent)
     rng = np.random.default_rng(5)
     passages = [[f"p{k}_{j % 40}" for j in range(rng.integers(20, 90))] for k in range(12)]
     rows = []
