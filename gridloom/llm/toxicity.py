@@ -31,18 +31,16 @@ class Examples:
     def __init__(self, index: TermIndex, weights: np.ndarray, vectors: list[tuple[int, float, float, list[int], list[float]]], empty: float, vote: float, k: int, slope: float = 1.0, shift: float = 0.0):
         self.index, self.weights, self.empty, self.vote, self.k, self.slope, self.shift = index, weights, empty, vote, k, slope, shift
         self.sent = None
+        vectors = [vectors[i] for i in _alike([(v[3], v[4]) for v in vectors], len(weights))]
+        self.ids = np.array([v[0] for v in vectors], np.int64)
+        self.label = np.array([v[1] for v in vectors])
+        self.share = np.array([v[2] for v in vectors])  # how many labelled documents the example stands for
         term = np.concatenate([np.zeros(0, np.int32), *(np.asarray(v[3], np.int32) for v in vectors)])
-        value = np.concatenate([np.zeros(0, np.float32), *(np.asarray(v[4], np.float32) for v in vectors)])
-        example = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(v[3]) for v in vectors])
-        place = np.empty(len(vectors), np.int32)
-        by = _alike([(v[3], v[4]) for v in vectors], len(weights))
-        place[by] = np.arange(len(vectors))
-        self.ids = np.array([vectors[i][0] for i in by], np.int64)
-        self.label = np.array([vectors[i][1] for i in by])
-        self.share = np.array([vectors[i][2] for i in by])  # how many labelled documents the example stands for
-        order = np.lexsort((place[example], term))
         self.at = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(weights)))])  # term t has postings at[t]..at[t+1]-1
-        self.example, self.value = place[example[order]], value[order]
+        order = np.argsort(term, kind="stable")
+        del term
+        self.example = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(v[3]) for v in vectors])[order]
+        self.value = np.concatenate([np.zeros(0, np.float32), *(np.asarray(v[4], np.float32) for v in vectors)])[order]
         self.blocked: tuple[np.ndarray, ...] | None = None
 
     def __getstate__(self) -> dict:
@@ -380,7 +378,9 @@ def fit(
     held = staged(chosen.mapInArrow(_bags, f"_k {kind}, y int, terms array<long>, n array<int>").repartition(16), "bags")
     x = held.toArrow()
     bags = [*zip(x["_k"].to_pylist(), x["y"].to_pylist(), *([v.values.to_numpy() for v in x[c]] for c in ("terms", "n")), strict=True)]
-    terms = np.unique(np.concatenate([np.zeros(0, np.int64), *(b[2] for b in bags)]))
+    terms = np.zeros(0, np.int64)
+    for at in range(0, len(bags), 256):  # few at a time hold little memory
+        terms = distinct(np.concatenate([terms, *(b[2] for b in bags[at : at + 256])]))
     if not len(terms):
         return nothing
     shared = context.broadcast(TermIndex(terms))
@@ -395,6 +395,7 @@ def fit(
     index = TermIndex(terms[weights > 0])
     if not index.width:
         return nothing
+    shared.destroy()
     bare = {r["y"]: r["count"] for r in labelled.select("text", "y").mapInArrow(_bare(context.broadcast(index)), "y int").groupBy("y").count().collect()}
     model = Examples(index, weights[weights > 0], [], (bare.get(1, 0) + base) / (sum(bare.values()) + 1), 0.2, k)
     rows = []
@@ -403,6 +404,7 @@ def fit(
         if len(at):
             rows.append((int(key_ or 0), float(y), 1.0, at.astype(np.int32), v.astype(np.float32)))
     del bags, x
+    pa.default_memory_pool().release_unused()
     kept = {y: sum(r[1] == y for r in rows) for y in (0, 1)}
     rows = [(r[0], r[1], ((ones if r[1] else zeros) - bare.get(int(r[1]), 0)) / kept[int(r[1])], r[3], r[4]) for r in rows]
     model = Examples(index, model.weights, rows, model.empty, model.vote, k)
