@@ -27,7 +27,7 @@ STEP = 8192
 
 @dataclass(frozen=True)
 class Model:
-    """Head words, classes and feature buckets; as many words and buckets as twice the root of the training tokens."""
+    """Head words, classes and feature buckets; as many words and buckets as grown() tells for the training tokens."""
 
     keys: np.ndarray  # hashes of head words by slot, each in the first free one from its own on
     counts: np.ndarray  # their counts by slot
@@ -102,6 +102,11 @@ def _bias(mass: np.ndarray) -> np.ndarray:
     return np.where(mass <= 0, -30.0, np.log(np.maximum(mass, 1e-9) / max(mass.sum(), 1e-9))).astype(np.float32)
 
 
+def grown(tokens: int) -> int:
+    """Head words and feature buckets for so many training tokens: the power of two next to 8192 and the tokens' root."""
+    return 1 << round(float(np.log2(8192 + tokens**0.5)))
+
+
 def _slotted(words: np.ndarray, bits: int) -> np.ndarray:
     """A slot for each word: its own by its first bits, or the first free one behind."""
     slot, taken = (words >> np.uint64(64 - bits)).astype(np.int64), np.zeros(1 << bits, bool)
@@ -119,8 +124,7 @@ def _slotted(words: np.ndarray, bits: int) -> np.ndarray:
 def _head(counts: DataFrame, head_words: int | None, slot_bits: int | None, classes: int, buckets: int | None) -> Model:
     total, distinct = counts.agg(F.sum("n"), F.count("*")).first()
     total, distinct = total or 0, distinct or 0
-    grown = 1 << max(4, round(float(np.log2(2 * max(1, total) ** 0.5))))
-    head_words, buckets = head_words or grown, buckets or grown
+    head_words, buckets = head_words or grown(total), buckets or grown(total)
     slot_bits = slot_bits or (4 * head_words - 1).bit_length()
     top = counts.orderBy(F.desc("n"), "word").limit(head_words).toArrow()  # bounded by head_words
     keys, n, cls = np.zeros(1 << slot_bits, np.uint64), np.zeros(1 << slot_bits, np.int64), np.full(1 << slot_bits, classes - 1, np.int8)
@@ -226,8 +230,8 @@ def fit(docs: DataFrame, text: str = "text", head_words: int | None = None, slot
     these are classed. In each round every partition makes gradient
     steps over all its documents from the same weights, and the partitions' weights are averaged by how often each saw a
     feature, so the weights depend a little on how the input is split. Only the commonest head_words words, their contexts
-    and buckets x classes sums come to the driver. head_words and buckets grow with the input: the power of two next to
-    twice the root of its tokens, so that a partition's weights stay small beside its documents; counts of all words grow
+    and buckets x classes sums come to the driver. head_words and buckets grow with the root of the input's tokens (grown),
+    so that a partition's weights stay small beside its documents; counts of all words grow
     with them and stay a table. Null texts are an end alone; repeated rows count each; extra columns are left out; an empty
     table gives a model of total 0.
     """

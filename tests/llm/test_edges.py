@@ -548,9 +548,9 @@ def test_lm_scores_are_those_of_plain_softmax(spark, buckets):
 
 
 def test_lm_grows_with_its_input(spark):
-    of = lambda n: lm.fit(spark.createDataFrame([(1, " ".join(f"w{i % 500}" for i in range(n)))], "doc_id long, text string"), rounds=1)[0]
-    small, large = of(1000), of(16_000)
-    assert len(large.weights) == 4 * len(small.weights) and np.count_nonzero(large.counts) > np.count_nonzero(small.counts)
+    assert [lm.grown(n) for n in (0, 80_000_000, 5_000_000_000, 10**13)] == [8192, 16_384, 65_536, 4_194_304]
+    model = lm.fit(spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(20_000)))], "doc_id long, text string"))[0]
+    assert len(model.weights) == np.count_nonzero(model.counts) == 8192 and len(model.keys) == 32_768
 
 
 def test_held_out_and_law(spark, data):
