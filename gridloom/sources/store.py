@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,12 +112,18 @@ class Store:
         later; so batches may come in any order. Only partitions that get rows are read and written, by day and by a million
         cells; they are staged first, as a partition can't be read and overwritten at once. Running it again changes nothing.
         """
+        new = new.select(*(F.col(f.name).cast(f.dataType).alias(f.name) if f.name in new.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in OBS.fields))
+        new = new.withColumns({"year": F.year("time"), "month": F.month("time")}).persist(StorageLevel.DISK_ONLY)  # made once
+        try:
+            self._put(new, nearest)
+        finally:
+            new.unpersist()
+
+    def _put(self, new: DataFrame, nearest: bool) -> None:
         if not off_axis(new, self.times.spine(self.spark)).isEmpty():
             raise ValueError("Times off the store's axis")
-        new = new.select(*(F.col(f.name).cast(f.dataType).alias(f.name) if f.name in new.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in OBS.fields))
         if (again := new.groupBy(*KEYS).count().where("count > 1").first()) is not None:
             raise ValueError(f"Repeated key: {again}")
-        new = new.withColumns({"year": F.year("time"), "month": F.month("time")})
         touched = new.select(*PARTITIONS).distinct()
         old = self.open().join(F.broadcast(touched), [*PARTITIONS], "left_semi")  # a row for each month of a variable
         if nearest:
