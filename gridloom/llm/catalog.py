@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("nearjoin", "sharding", "packing", "vectors", "toxicity", "linededup", "media", "lm", "substrings", "mixing")
+MODULES = ("nearjoin", "sharding", "packing", "vectors", "toxicity", "linededup", "media", "lm", "substrings", "mixing", "alignment", "bestfit", "divergence")
 
 
 def _all(what: str) -> dict:

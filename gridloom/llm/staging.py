@@ -21,10 +21,10 @@ def shared_dir(spark: SparkSession) -> str:
 _own: dict[int, str] = {}
 
 
-def staged(df: DataFrame, tag: str) -> DataFrame:
+def staged(df: DataFrame, tag: str, compression: str | None = None) -> DataFrame:
     """Write df as Parquet to the shared folder and read it again: later stages survive lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.staged_at = path
     return out
