@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 
 def missing_times(obs: DataFrame, spine: DataFrame, n_cells: int, variables: list[str]) -> DataFrame:
     """(var, time, n) of the axis' times at which any cell lacks a value, times without rows included."""
-    have = obs.where(F.col("var").isin(variables)).groupBy("var", "time").agg(F.count("value").alias("n"))
+    return missing_of(obs.where(F.col("var").isin(variables)).groupBy("var", "time").agg(F.count("value").alias("n")), spine, n_cells, variables)
+
+
+def missing_of(have: DataFrame, spine: DataFrame, n_cells: int, variables: list[str]) -> DataFrame:
+    """missing_times from how many values there are (var, time, n)."""
     wanted = spine.select("time", F.explode(F.array(*map(F.lit, variables))).alias("var"))
     return wanted.join(have, ["var", "time"], "left").select("var", "time", F.coalesce("n", F.lit(0)).alias("n")).where(F.col("n") < n_cells)
 
@@ -28,8 +32,12 @@ def window_counts(obs: DataFrame, window: Column, *keys: str) -> DataFrame:
 
 def fill_status(obs: DataFrame, windows: DataFrame, n_cells: int, variables: list[str]) -> DataFrame:
     """(var, window, n, expected, status) for each variable and window (window, n_times): missing_var, empty, partial or full."""
-    counts = obs.groupBy("var", "window").agg(F.count("value").alias("n"))
-    known = obs.select("var").distinct().withColumn("known", F.lit(True))
+    return status_of(obs.groupBy("var", "window").agg(F.count("value").alias("n")), windows, n_cells, variables)
+
+
+def status_of(counts: DataFrame, windows: DataFrame, n_cells: int, variables: list[str]) -> DataFrame:
+    """fill_status from how many values there are (var, window, n), which are counted once."""
+    known = counts.groupBy("var").agg((F.max("n") >= 0).alias("known"))  # of n too, so that both uses share one exchange
     wanted = windows.select("window", "n_times", F.explode(F.array(*map(F.lit, variables))).alias("var"))
     x = wanted.join(counts, ["var", "window"], "left").join(known, "var", "left")
     expected, n = F.col("n_times") * n_cells, F.coalesce("n", F.lit(0))

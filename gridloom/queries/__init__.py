@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("observations", "grids", "cycles", "registries", "manifests", "chains")
+MODULES = ("observations", "grids", "cycles", "registries", "manifests", "chains", "stores")
 
 
 def _all(what: str) -> dict:
