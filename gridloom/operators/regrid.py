@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.weather import albers, haversine_km
+from ..functions.weather import albers
 
 
 def bilinear_weights(source: DataFrame, points: DataFrame) -> DataFrame:
@@ -37,37 +37,6 @@ def regrid(obs: DataFrame, weights: DataFrame, *keys: str, corners: int = 4) ->
     return x.groupBy(*keys, "dst_cell").agg(value.alias("value")).withColumnRenamed("dst_cell", "cell_id")
 
 
-def nearest_weights(source: DataFrame, points: DataFrame, bin_degrees: float) -> DataFrame:
-    """(dst_cell, src_cell, w = 1): the nearest source node of any mesh (ties: the smaller cell) for each point.
-
-    Nodes are looked up in the 3 x 3 bins of bin_degrees around a point, whose longitudes wrap. Points for which a node
-    outside of these can be as near go on to bins of twice the size, until none is left; the last bins hold all nodes.
-    """
-    found, left, size = None, points.select("dst_cell", "latitude", "longitude").where("latitude is not null and longitude is not null"), float(bin_degrees)
-    while True:
-        across = max(1, int(360 // size))
-        bin_y = lambda c: F.floor(F.col(c) / size)  # noqa: B023, E731
-        bin_x = lambda c: F.least(F.floor(F.pmod(F.col(c), F.lit(360.0)) / (360 / across)), F.lit(across - 1))  # noqa: B023, E731
-        around = F.array_distinct(F.array(*(F.pmod(bin_x("longitude") + k, F.lit(across)) for k in (-1, 0, 1))))
-        s = source.select(F.col("cell_id").alias("src_cell"), F.col("latitude").alias("slat"), F.col("longitude").alias("slon"), bin_y("latitude").alias("by"), bin_x("longitude").alias("bx"))
-        p = left.withColumn("dy", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))).withColumn("bx", F.explode(around)).withColumn("by", bin_y("latitude") + F.col("dy"))
-        d = haversine_km(F.col("latitude"), F.col("longitude"), F.col("slat"), F.col("slon"))
-        near = F.min(F.when(F.col("src_cell").isNotNull(), F.struct(d.alias("d"), "src_cell"))).alias("best")
-        best = p.join(s, ["by", "bx"], "left").groupBy("dst_cell", "latitude", "longitude").agg(near)
-        if size >= 180:
-            best = best.where("best is not null").select("dst_cell", "best.src_cell")
-            return (best if found is None else found.union(best)).withColumn("w", F.lit(1.0))
-        # a node elsewhere lies beyond a parallel or a meridian that is size degrees away
-        edge = F.degrees(F.asin(F.cos(F.radians("latitude")) * F.sin(F.radians(F.lit(min(size, 90.0))))))
-        sure = best.withColumn("sure", F.coalesce(F.col("best.d") < haversine_km(F.lit(0.0), F.lit(0.0), edge, F.lit(0.0)) * (1 - 1e-9), F.lit(False)))
-        done = sure.where("sure").select("dst_cell", "best.src_cell")
-        found = done if found is None else found.union(done)
-        left = sure.where("not sure").select("dst_cell", "latitude", "longitude")
-        if left.isEmpty():
-            return found.withColumn("w", F.lit(1.0))
-        size *= 2
-
-
 def same_grid(a: DataFrame, b: DataFrame, fields: list[str], tolerance: float | None = None) -> DataFrame:
     """One row: whether each field is equal (or within tolerance) in all cells (y, x), and whether cells are the same."""
     x = a.select("y", "x", *(F.col(f).alias(f"a_{f}") for f in fields), F.lit(1).alias("a")).join(

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import weather
-from ..operators import align, regrid, select, stats
-from ..sources import tables
+from ..operators import align, mesh, regrid, select, stats
+from ..sources import sinks, tables
 from .views import GRID, OBS, REGULAR, grid, lat_step, obs, r6, register, regular_grid
 
 QUERIES: dict = {}
@@ -187,10 +188,38 @@ def j13(spark, d):
 def j12n(spark, d):
     g = grid(spark, d)
     points = g.select(F.col("cell_id").alias("dst_cell"), (F.col("latitude") + 0.07).alias("latitude"), (F.col("longitude") - 0.1).alias("longitude"))
-    return regrid.nearest_weights(g, points, 1.0).select("dst_cell", "src_cell")
+    return mesh.nearest_weights(g, points, 1.0).select("dst_cell", "src_cell")
 
 
-@query("j14_same_grid", f"WITH {GRID} SELECT true AS same_cells, false AS same_latitude, true AS same_longitude FROM grid LIMIT 1")
+def shifted(spark, d, g: DataFrame) -> DataFrame:
+    return g.select(F.col("cell_id").alias("dst_cell"), (F.col("latitude") + lat_step(spark, d) / 3).alias("latitude"), (F.col("longitude") + 0.2).alias("longitude"))
+
+
+@query(
+    "j12_curvilinear_regrid",
+    f"""WITH {GRID}, p AS (SELECT cell_id AS dst, (longitude + 0.2 - 276) / 0.45 AS fx, (latitude + dy / 3 - 39 - 0.01 * ((longitude + 0.2 - 276) / 0.45)) / dy AS fy FROM grid, gy),
+i AS (SELECT *, floor(fy) AS iy, floor(fx) AS ix FROM p),
+c AS (SELECT dst, field, (CASE a WHEN 1 THEN fy - iy ELSE 1 - (fy - iy) END) * (CASE b WHEN 1 THEN fx - ix ELSE 1 - (fx - ix) END) AS w FROM i, (SELECT unnest([0, 1]) AS a), (SELECT unnest([0, 1]) AS b), grid r WHERE r.y = iy + a AND r.x = ix + b)
+SELECT dst AS cell_id, round(CASE WHEN count(field) = 4 THEN sum(field * w) END, 5) AS value FROM c GROUP BY dst HAVING count(*) = 4""",
+)
+def j12_curvilinear(spark, d):
+    """A skewed mesh onto points between its nodes."""
+    g = grid(spark, d)
+    x = regrid.regrid(g.select("cell_id", F.col("field").alias("value")), mesh.curvilinear_weights(g, shifted(spark, d, g)))
+    return x.select("cell_id", r6("value", digits=5))
+
+
+@query("j13_kept_weights", ORACLES["j12_bilinear_regrid"].replace("SELECT dst AS cell_id", "SELECT 1 AS made, dst AS cell_id"))
+def j13_kept(spark, d):
+    """Weights are made and written by the first call and read by the second."""
+    path, g, made = sinks.scratch(spark, "weights"), regular_grid(spark, d), []
+    make = lambda: made.append(1) or regrid.bilinear_weights(g, shifted(spark, d, g))
+    for _ in range(2):
+        w = mesh.kept_weights(spark, path, make)
+    return regrid.regrid(g.select("cell_id", F.col("field").alias("value")), w).select(F.lit(len(made)).alias("made"), "cell_id", r6("value", digits=5))
+
+
+@query("j14_same_grid", f"WITH {REGULAR} SELECT bool_and(g.cell_id IS NOT NULL AND r.cell_id IS NOT NULL) AS same_cells, bool_and(coalesce(abs(g.latitude - r.latitude) <= 1e-12, false)) AS same_latitude, bool_and(coalesce(abs(g.longitude - r.longitude) <= 1e-12, false)) AS same_longitude FROM grid g FULL JOIN regular r ON g.y = r.y AND g.x = r.x")
 def j14(spark, d):
     return regrid.same_grid(grid(spark, d), regular_grid(spark, d), ["latitude", "longitude"], 1e-12)
 

@@ -238,6 +238,8 @@ def test_nearest_weights_on_sparse_mesh(spark):
     import math
     import random
 
+    from gridloom.operators.mesh import nearest_weights
+
     rng = random.Random(4)
     nodes = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(60)] + [(100, 0.0, 359.9), (101, 89.0, 10.0), (102, 88.5, 185.0)]
     points = [(i, rng.uniform(-90, 90), rng.uniform(0, 360)) for i in range(80)] + [(200, 0.0, 0.1), (201, 89.5, 190.0), (202, 90.0, 0.0), (203, -90.0, 5.0), (204, 10.0, -180.0)]
@@ -247,6 +249,6 @@ def test_nearest_weights_on_sparse_mesh(spark):
         return math.sin((b - a) / 2) ** 2 + math.cos(a) * math.cos(b) * math.sin(c / 2) ** 2
 
     mesh = spark.createDataFrame(nodes, "cell_id long, latitude double, longitude double")
-    got = regrid.nearest_weights(mesh, spark.createDataFrame(points, "dst_cell long, latitude double, longitude double"), 1.0).collect()
+    got = nearest_weights(mesh, spark.createDataFrame(points, "dst_cell long, latitude double, longitude double"), 1.0).collect()
     want = {p[0]: min(nodes, key=lambda n: far(p, n))[0] for p in points}
     assert len(got) == len(points) and {r["dst_cell"]: r["src_cell"] for r in got} == want
