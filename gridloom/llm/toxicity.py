@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .staging import release, staged
@@ -28,11 +28,12 @@ PIVOTS = 192
 class Examples:
     """Labelled examples in block-max inverted lists by term; examples of like terms share a block."""
 
-    def __init__(self, index: TermIndex, weights: np.ndarray, vectors: list[tuple[int, float, float, list[int], list[float]]], empty: float, vote: float, k: int, slope: float = 1.0, shift: float = 0.0):
+    def __init__(self, index: TermIndex, weights: np.ndarray, vectors: list[tuple[object, float, float, np.ndarray, np.ndarray]], empty: float, vote: float, k: int, slope: float = 1.0, shift: float = 0.0):
         self.index, self.weights, self.empty, self.vote, self.k, self.slope, self.shift = index, weights, empty, vote, k, slope, shift
         self.sent = None
-        vectors = [vectors[i] for i in _alike([(v[3], v[4]) for v in vectors], len(weights))]
-        self.ids = np.array([v[0] for v in vectors], np.int64)
+        self.order = _alike([(v[3], v[4]) for v in vectors], len(weights))  # the place of each example among those given
+        vectors = [vectors[i] for i in self.order]
+        self.ids = [v[0] for v in vectors]
         self.label = np.array([v[1] for v in vectors])
         self.share = np.array([v[2] for v in vectors])  # how many labelled documents the example stands for
         term = np.concatenate([np.zeros(0, np.int32), *(np.asarray(v[3], np.int32) for v in vectors)])
@@ -163,7 +164,7 @@ class Examples:
             yield from [(self.empty, [], [])] * m
             return
         for e, cos in self.each(*self.vectors(own, at), m):
-            yield self.calibrated(self.voted(e, cos)) if len(e) else self.empty, self.ids[e].tolist(), cos.tolist()
+            yield self.calibrated(self.voted(e, cos)) if len(e) else self.empty, [self.ids[i] for i in e.tolist()], cos.tolist()
 
     def calibrate(self, share: np.ndarray, label: np.ndarray) -> None:
         """Fit slope and shift of a logistic curve over examples' shares of votes, each from the others, by Newton steps.
@@ -272,19 +273,20 @@ def _taken(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.
 
 def _counts(shared, labelled: bool):
     """Documents that hold each listed term: (at, ones, zeros) by label in the second column, or (at, n) of all; one row
-    for each term and partition."""
+    for each term and partition, and for all documents, at the place after the last term's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         m = index.width
-        sums = np.zeros((2 if labelled else 1, m), np.int64)
+        sums = np.zeros((2 if labelled else 1, m + 1), np.int64)
         for batch in batches:
             at, label = 0, batch.column(1).to_numpy(zero_copy_only=False) if labelled else None
+            sums[:, m] += [(label == y).sum() for y in (1, 0)] if labelled else batch.num_rows
             for w in each_chunk(batch.column(0), NOT_LETTER, lower=True):
                 own, term = index.of(w)
                 own, term = np.divmod(distinct(own * m + term), m)
                 for k, some in enumerate((label[at + own] == 1, label[at + own] == 0) if labelled else (slice(None),)):
-                    sums[k] += np.bincount(term[some], minlength=m)
+                    sums[k] += np.bincount(term[some], minlength=m + 1)
                 at += w.last - w.first
         some = np.flatnonzero(sums.any(0))
         if len(some):
@@ -309,22 +311,40 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at += m
 
 
+def _terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Different terms of a partition's bags."""
+    out = np.zeros(0, np.int64)
+    for batch in batches:
+        out = distinct(np.concatenate([out, batch.column(0).flatten().to_numpy()]))
+    yield pa.RecordBatch.from_arrays([pa.array(out)], ["term"])
+
+
+def _weighed(shared):
+    """(_k, y, at, x): places and weights of each bag's listed terms; bags without any are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for batch in batches:
+            found = [m.weighed(t.values.to_numpy(), n.values.to_numpy()) for t, n in zip(batch.column(2), batch.column(3), strict=True)]
+            some = pa.array([i for i, (at, _) in enumerate(found) if len(at)], pa.int32())
+            lists = [pa.array([f[k].astype(kind) for f in found if len(f[0])], pa.list_(pa.from_numpy_dtype(kind))) for k, kind in ((0, np.int32), (1, np.float32))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(some), batch.column(1).take(some), *lists], ["_k", "y", "at", "x"])
+
+    return run
+
+
 def _left_out(shared):
-    """(y, share) of the examples among bags: each one's share of votes from examples of other keys; none without a term."""
+    """(y, share) of numbered examples: each one's share of votes from the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        place = {k: i for i, k in enumerate(m.ids.tolist())}
+        place = np.argsort(m.order)
         for batch in batches:
-            rows = []
-            for key, y, t, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
-                at, x = m.weighed(t.values.to_numpy(), n.values.to_numpy())
-                if len(at):
-                    rows.append((float(y), at, x, place[int(key or 0)]))
-            own = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
-            cat = lambda k, none: np.concatenate([np.zeros(0, none), *(r[k] for r in rows)])  # noqa: B023, E731
-            found = m.each(own, cat(1, np.int64), cat(2, float), len(rows), np.array([r[3] for r in rows], np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.float64()), pa.array([m.voted(e, cos) for e, cos in found], pa.float64())], ["y", "share"])
+            at, x = ([v.values.to_numpy() for v in batch.column(c)] for c in ("at", "x"))
+            own = np.repeat(np.arange(batch.num_rows), [len(v) for v in at])
+            cat = lambda parts, none: np.concatenate([np.zeros(0, none), *parts])
+            found = m.each(own, cat(at, np.int64).astype(np.int64), cat(x, float), batch.num_rows, place[batch.column("_e").to_numpy()])
+            yield pa.RecordBatch.from_arrays([batch.column("y").cast(pa.float64()), pa.array([m.voted(e, cos) for e, cos in found], pa.float64())], ["y", "share"])
 
     return run
 
@@ -337,7 +357,7 @@ def _bare(shared):
             at = 0
             for w in each_chunk(batch.column(0), NOT_LETTER, lower=True):
                 m = w.last - w.first
-                some = np.flatnonzero(np.bincount(shared.value.of(w)[0], minlength=m) == 0)
+                some = np.flatnonzero(np.bincount(shared.value.index.of(w)[0], minlength=m) == 0)
                 yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(some + at))], ["y"])
                 at += m
 
@@ -346,20 +366,24 @@ def _bare(shared):
 
 def fit(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-    most_labels: int = 40_000, most_examples: int = 2000, k: int = 15,
+    most_labels: int = 40_000, most_examples: int = 2000, most_terms: int = 4_000_000, k: int = 15,
 ) -> Examples:
     """Examples from labelled documents (labels: key and label, 0 or 1; other values and nulls are ignored).
 
     most_labels bounds the labels used, those with the smallest key hashes, so that they can be broadcast to the texts.
-    most_examples bounds the examples of each label, those with the smallest key hashes that hold any letter; each stands
-    for its share of the labelled ones.
+    most_examples bounds the examples of each label, those with the smallest key hashes that hold any letter, and most_terms
+    their different terms in all, so that a few very long ones can't make the model large; each stands for its share of the
+    labelled ones.
     Terms are runs of letters, A-Z in lower case, and the runs' first 4 to 8 bytes. All terms of the examples make the
     vectors: (1 + log of the count in the text) x idf over all documents x root of chi-square over the labelled ones. So a
     term weighs nothing only where its part of toxic and of other documents is the same, as when all of them hold it.
     Documents without weighing terms get the toxic share of labelled documents without them; all others get the share of
     their nearest examples' votes, put through a logistic curve that is fitted on the examples, each scored by the others.
-    Rows that repeat a key count once each; a key with labels 0 and 1 is 1. Null texts are empty. An empty table, or labels
-    of one kind only, give a model without examples, whose score is the share of toxic labels.
+    Keys are of any type. Rows that repeat a key count once each, but one of them (of the least text) is an example, so that
+    none votes for itself; a key with labels 0 and 1 is 1. Null texts are empty. An empty table, or labels of one kind only,
+    give a model without examples, whose score is the share of toxic labels.
+    The examples' texts and bags stay in written tables; what comes to the driver is their different terms, a count of each,
+    and the weighed postings.
     """
     context = docs.sparkSession.sparkContext
     known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("_k"), F.col(label).cast("int").alias("y"))
@@ -371,47 +395,53 @@ def fit(
     base = (ones + 0.5) / (ones + zeros + 1)
     nothing = Examples(TermIndex(np.zeros(0, np.int64)), np.zeros(0), [], base, 1.0, k)
     if not ones or not zeros:
+        release(labelled)
         return nothing
     kind = docs.schema[key].dataType.simpleString()
-    of = lambda y: labelled.where((F.col("y") == y) & F.col("text").rlike(r"[A-Za-z]|[^\x00-\x7F]")).orderBy(F.xxhash64("_k"), "_k").limit(most_examples)
+    once = labelled.where(F.col("text").rlike(r"[A-Za-z]|[^\x00-\x7F]")).groupBy("_k", "y").agg(F.min("text").alias("text"))
+    of = lambda y: once.where(F.col("y") == y).orderBy(F.xxhash64("_k"), "_k").limit(most_examples)
     chosen = of(0).unionByName(of(1)).select("_k", "text", "y")  # bounded by most_examples
-    held = staged(chosen.mapInArrow(_bags, f"_k {kind}, y int, terms array<long>, n array<int>").repartition(16), "bags")
-    x = held.toArrow()
-    bags = [*zip(x["_k"].to_pylist(), x["y"].to_pylist(), *([v.values.to_numpy() for v in x[c]] for c in ("terms", "n")), strict=True)]
-    terms = np.zeros(0, np.int64)
-    for at in range(0, len(bags), 256):  # few at a time hold little memory
-        terms = distinct(np.concatenate([terms, *(b[2] for b in bags[at : at + 256])]))
+    drawn = staged(chosen.mapInArrow(_bags, f"_k {kind}, y int, terms array<long>, n array<int>").repartition(16), "bags")
+    so_far = F.sum(F.size("terms")).over(Window.partitionBy("y").orderBy(F.xxhash64("_k"), "_k"))  # at most most_examples rows a label
+    within = drawn.select("_k", "y", F.size("terms").alias("m"), so_far.alias("sum")).where((F.col("sum") <= most_terms) | (F.col("sum") == F.col("m")))
+    held = drawn.join(F.broadcast(within.select("_k", "y")), ["_k", "y"]).select("_k", "y", "terms", "n")
+    terms = distinct(held.select("terms").mapInArrow(_terms_of, "term long").distinct().toArrow()["term"].to_numpy())
     if not len(terms):
+        release(drawn, labelled)
         return nothing
+    m = len(terms)
     shared = context.broadcast(TermIndex(terms))
-    a, b, every = (np.zeros(len(terms)) for _ in range(3))
+    a, b, every = (np.zeros(m + 1) for _ in range(3))
     counted = labelled.select("text", "y").mapInArrow(_counts(shared, True), "at int, ones long, zeros long").groupBy("at").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros")).toArrow()  # one a term
     a[counted["at"].to_numpy()], b[counted["at"].to_numpy()] = counted["ones"].to_numpy(), counted["zeros"].to_numpy()
     counted = texts.select("text").mapInArrow(_counts(shared, False), "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # one a term
     every[counted["at"].to_numpy()] = counted["n"].to_numpy()
+    rows, a, b, every = every[m], a[:m], b[:m], every[:m]
     c, d = ones - a, zeros - b
     chi = (a * d - b * c) ** 2 * (ones + zeros) / np.maximum((a + b) * (c + d) * ones * zeros, 1e-9)
-    weights = np.log((docs.count() + 1) / (every + 0.5)) * np.sqrt(chi)
-    index = TermIndex(terms[weights > 0])
+    weights = np.log((rows + 1) / (every + 0.5)) * np.sqrt(chi)
+    index, weights = TermIndex(terms[weights > 0]), weights[weights > 0]
+    shared.destroy()
+    del terms, counted, a, b, c, d, every, chi
     if not index.width:
+        release(drawn, labelled)
         return nothing
-    shared.destroy()
-    bare = {r["y"]: r["count"] for r in labelled.select("text", "y").mapInArrow(_bare(context.broadcast(index)), "y int").groupBy("y").count().collect()}
-    model = Examples(index, weights[weights > 0], [], (bare.get(1, 0) + base) / (sum(bare.values()) + 1), 0.2, k)
-    rows = []
-    for key_, y, t, n_ in bags:
-        at, v = model.weighed(t, n_)
-        if len(at):
-            rows.append((int(key_ or 0), float(y), 1.0, at.astype(np.int32), v.astype(np.float32)))
-    del bags, x
+    shared = context.broadcast(Examples(index, weights, [], 0.0, 1.0, k))
+    bare = {r["y"]: r["count"] for r in labelled.select("text", "y").mapInArrow(_bare(shared), "y int").groupBy("y").count().collect()}
+    empty = (bare.get(1, 0) + base) / (sum(bare.values()) + 1)
+    weighed = held.mapInArrow(_weighed(shared), f"_k {kind}, y int, at array<int>, x array<float>")
+    weighed = staged(weighed.withColumn("_e", F.row_number().over(Window.orderBy("y", F.xxhash64("_k"), "_k")) - 1), "weighed")  # bounded by most_examples
+    x = weighed.orderBy("_e").toArrow()
+    label_of = x["y"].to_pylist()
+    stands = {y: ((ones if y else zeros) - bare.get(y, 0)) / max(1, label_of.count(y)) for y in (0, 1)}
+    vectors = [(key_, float(y), stands[y], at.values.to_numpy(), v.values.to_numpy()) for key_, y, at, v in zip(x["_k"].to_pylist(), label_of, x["at"], x["x"], strict=True)]
+    model = Examples(index, weights, vectors, empty, 0.2, k)
+    del vectors, x
     pa.default_memory_pool().release_unused()
-    kept = {y: sum(r[1] == y for r in rows) for y in (0, 1)}
-    rows = [(r[0], r[1], ((ones if r[1] else zeros) - bare.get(int(r[1]), 0)) / kept[int(r[1])], r[3], r[4]) for r in rows]
-    model = Examples(index, model.weights, rows, model.empty, model.vote, k)
-    del rows
-    known = held.mapInArrow(_left_out(model.shared(docs.sparkSession)), "y double, share double").toArrow()  # bounded by most_examples
+    known = weighed.repartition(16).mapInArrow(_left_out(model.shared(docs.sparkSession)), "y double, share double").toArrow()  # bounded by most_examples
     model.calibrate(known["share"].to_numpy(), known["y"].to_numpy())
-    release(held, labelled)
+    shared.destroy()
+    release(drawn, weighed, labelled)
     return model
 
 
@@ -432,10 +462,10 @@ def score(docs: DataFrame, model: Examples, key: str = "doc_id", text: str = "te
             for w in each_chunk(batch.column(text), NOT_LETTER, lower=True):
                 out += m.scores(*m.index.of(w), w.last - w.first)
             cols = [*zip(*out, strict=True)] if out else [[], [], []]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cols[0], pa.float64()), pa.array(cols[1], pa.list_(pa.int64())), pa.array(cols[2], pa.list_(pa.float64()))], [*names, "score", "evidence", "cosines"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cols[0], pa.float64()), pa.array(cols[1], pa.list_(batch.column(key).type)), pa.array(cols[2], pa.list_(pa.float64()))], [*names, "score", "evidence", "cosines"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{schema}, score double, evidence array<long>, cosines array<double>")
+    return docs.mapInArrow(run, f"{schema}, score double, evidence array<{docs.schema[key].dataType.simpleString()}>, cosines array<double>")
 
 
 def held_out(key: str = "doc_id", parts: int = 5):

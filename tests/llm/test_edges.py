@@ -375,6 +375,14 @@ def test_toxicity(spark):
     got = {r["doc_id"]: r for r in toxicity.score(extra(docs), model).collect()}
     assert len(got) == 404 and all((got[i]["score"] >= 0.5) == (i % 5 == 0) for i in range(400)) and got[903]["score"] >= 0.5
     assert all(0 <= got[i]["score"] < 0.5 and got[i]["evidence"] == [] for i in (900, 901, 902)) and got[5]["evidence"]
+    from pyspark.sql import functions as F
+
+    named = docs.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    by_name = toxicity.score(named, toxicity.fit(named, labels.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string"))), most_examples=100)).collect()
+    assert all(e.startswith("d") for r in by_name for e in r["evidence"]) and any(r["evidence"] for r in by_name)
+    few = toxicity.fit(docs, labels, most_terms=1)
+    assert sorted(few.label.tolist()) == [0.0, 1.0]  # the first of each label stays, whatever its length
+    assert len(set(model.ids)) == len(model.ids)  # rows that repeat a key make one example
     none = toxicity.fit(docs, labels.limit(0))
     assert {r["score"] for r in toxicity.score(docs, none).collect()} == {0.5}
     assert toxicity.score(empty(spark), toxicity.fit(empty(spark), labels)).count() == 0
