@@ -398,9 +398,9 @@ def fit(
         release(labelled)
         return nothing
     kind = docs.schema[key].dataType.simpleString()
-    once = labelled.where(F.col("text").rlike(r"[A-Za-z]|[^\x00-\x7F]")).groupBy("_k", "y").agg(F.min("text").alias("text"))
-    of = lambda y: once.where(F.col("y") == y).orderBy(F.xxhash64("_k"), "_k").limit(most_examples)
-    chosen = of(0).unionByName(of(1)).select("_k", "text", "y")  # bounded by most_examples
+    lettered = labelled.where(F.col("text").rlike(r"[A-Za-z]|[^\x00-\x7F]"))
+    of = lambda y: lettered.where(F.col("y") == y).orderBy(F.xxhash64("_k"), "_k", F.xxhash64("text")).limit(most_examples)
+    chosen = of(0).unionByName(of(1)).groupBy("_k", "y").agg(F.min("text").alias("text")).select("_k", "text", "y")  # bounded by most_examples
     drawn = staged(chosen.mapInArrow(_bags, f"_k {kind}, y int, terms array<long>, n array<int>").repartition(16), "bags")
     so_far = F.sum(F.size("terms")).over(Window.partitionBy("y").orderBy(F.xxhash64("_k"), "_k"))  # at most most_examples rows a label
     within = drawn.select("_k", "y", F.size("terms").alias("m"), so_far.alias("sum")).where((F.col("sum") <= most_terms) | (F.col("sum") == F.col("m")))
