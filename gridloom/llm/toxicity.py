@@ -23,6 +23,8 @@ DENSE = 32
 #: Documents that are scored at once, and postings of short lists that are added up at once.
 MOST_DOCS, MOST_WORK = 512, 1 << 19
 PIVOTS = 192
+#: Postings that are put into blocks at once, and bytes of texts that are scored at once.
+STEP, BYTES = 1 << 18, 1 << 19
 
 
 class Examples:
@@ -60,9 +62,11 @@ class Examples:
             long = count * DENSE > len(self.ids)
             row = np.where(long, np.cumsum(long) - 1, -1)
             full = np.zeros((n, int(long.sum()), BLOCK), np.float32)
-            of = np.repeat(row, count)
-            some = of >= 0
-            full[self.example[some] // BLOCK, of[some], self.example[some] % BLOCK] = self.value[some]
+            for a in range(0, len(self.example), STEP):  # few at a time hold little memory
+                e = self.example[a : a + STEP]
+                of = row[np.searchsorted(self.at, np.arange(a, a + len(e)), "right") - 1]
+                some = of >= 0
+                full[e[some] // BLOCK, of[some], e[some] % BLOCK] = self.value[a : a + STEP][some]
             self.blocked = row, full, full.max(2, initial=0.0).T.copy()
         return self.blocked
 
@@ -458,11 +462,10 @@ def score(docs: DataFrame, model: Examples, key: str = "doc_id", text: str = "te
         m = shared.value
         m.slope, m.shift = slope, shift
         for batch in batches:
-            out = []
-            for w in each_chunk(batch.column(text), NOT_LETTER, lower=True):
-                out += m.scores(*m.index.of(w), w.last - w.first)
-            cols = [*zip(*out, strict=True)] if out else [[], [], []]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cols[0], pa.float64()), pa.array(cols[1], pa.list_(batch.column(key).type)), pa.array(cols[2], pa.list_(pa.float64()))], [*names, "score", "evidence", "cosines"])
+            for w in each_chunk(batch.column(text), NOT_LETTER, lower=True, limit=BYTES):
+                cols = [*zip(*m.scores(*m.index.of(w), w.last - w.first), strict=True)]
+                some = batch.slice(w.first, w.last - w.first)
+                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(cols[0], pa.float64()), pa.array(cols[1], pa.list_(batch.column(key).type)), pa.array(cols[2], pa.list_(pa.float64()))], [*names, "score", "evidence", "cosines"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(run, f"{schema}, score double, evidence array<{docs.schema[key].dataType.simpleString()}>, cosines array<double>")
