@@ -166,6 +166,49 @@ def with_dependencies(wanted: Column, deps: dict[str, list[str]], keep: bool = T
     return F.array_distinct(F.flatten(F.transform(wanted, lambda v: F.concat(F.coalesce(of(v), F.array().cast("array<string>")), own(v)))))
 
 
+def all_parts(deps: DataFrame) -> DataFrame:
+    """(var, part, level) of a dependency table (var, part): what each variable needs, directly or through others; level is
+    how many steps lie between the part and variables that need nothing, so parts of lesser level come first.
+
+    A variable that needs itself is an error. The table is a catalogue of variables, which is followed by a recursive query
+    for as many steps as it has variables.
+    """
+    spark = deps.sparkSession
+    deps = deps.select("var", "part").distinct()
+    n = deps.select("var").distinct().count()
+    x = spark.sql(
+        """WITH RECURSIVE r(var, part, steps) AS (
+        SELECT var, part, 1 FROM {deps} UNION ALL SELECT r.var, d.part, r.steps + 1 FROM r JOIN {deps} d ON d.var = r.part WHERE r.steps <= {n} AND r.var <> r.part)
+        SELECT var, part, max(steps) AS steps FROM r GROUP BY var, part""", deps=deps, n=n)
+    if (loop := x.where("var = part").agg(F.min("var")).first()[0]) is not None:
+        raise ValueError(f"{loop} needs itself")
+    level = x.groupBy("var").agg(F.max("steps").alias("level"))
+    return x.join(level.withColumnRenamed("var", "part"), "part", "left").select("var", "part", F.coalesce("level", F.lit(0)).alias("level"))
+
+
+def needed(wanted: DataFrame, deps: DataFrame, *keys: str) -> DataFrame:
+    """(keys, var, level): the variables wanted (keys, var) and all that they need, each once for a key."""
+    parts = all_parts(deps)
+    own = parts.groupBy("var").agg((F.max("level") + 1).alias("level"))
+    asked = wanted.select(*keys, "var").join(own, "var", "left").select(*keys, "var", F.coalesce("level", F.lit(0)).alias("level"))
+    more = wanted.select(*keys, "var").join(parts, "var").select(*keys, F.col("part").alias("var"), "level")
+    return asked.unionByName(more).distinct()
+
+
+def period_bounds(start: Column, end: Column) -> tuple[Column, Column]:
+    """process_bounds for columns of texts; an end before the start is an error when the rows are read."""
+    a, b = start.cast("timestamp"), end.cast("timestamp")
+    b = F.when(F.trim(end).rlike(r"^\d{4}-\d{2}-\d{2}$"), b + F.expr("interval 23 hours")).otherwise(b)
+    return a, F.when(b < a, F.raise_error(F.format_string("End %s is before start %s", end, start)).cast("timestamp")).otherwise(b)
+
+
+def single_types(types: DataFrame, kind: str, *keys: str) -> DataFrame:
+    """(keys, kind): the one kind of each key's rows; a key with several is an error when the rows are read."""
+    n = types.groupBy(*keys).agg(F.min(kind).alias("_a"), F.max(kind).alias("_b"))
+    wrong = F.raise_error(F.format_string("Several kinds: %s, %s", "_a", "_b")).cast("string")
+    return n.select(*keys, F.when(F.col("_a").eqNullSafe(F.col("_b")), F.col("_a").cast("string")).otherwise(wrong).alias(kind))
+
+
 def single_type(types: dict[str, str], names: list[str]) -> str:
     """The one source type of the variables; several are an error."""
     found = sorted({types[n] for n in names})

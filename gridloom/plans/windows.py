@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,10 +109,16 @@ def day_files(manifest: DataFrame, day: str) -> DataFrame:
     """Files of a day by the hour in their names."""
     from ..functions.names import time_of_name
 
-    x = manifest.withColumn("time", time_of_name(F.col("path"))).where(F.to_date("time") == F.lit(day).cast("date"))
+    first = dt.date.fromisoformat(day)
+    if "date" in manifest.columns:  # reaches the scan
+        manifest = manifest.where(F.col("date") == F.lit(first))
+    x = manifest.withColumn("time", time_of_name(F.col("path")))
+    x = x.where((F.col("time") >= F.lit(first)) & (F.col("time") < F.lit(first + dt.timedelta(1))))
     return x.orderBy(F.hour("time"), "path")
 
 
 def month_files(manifest: DataFrame, kinds: list[str], codes: list[str], month: str) -> DataFrame:
     """Files of kinds and codes (columns) of a month (yyyy-MM)."""
-    return manifest.where(F.col("kind").isin(kinds) & F.col("code").isin(codes) & (F.date_format("date", "yyyy-MM") == month))
+    first = dt.date.fromisoformat(f"{month}-01")
+    after = (first + dt.timedelta(31)).replace(day=1)
+    return manifest.where(F.col("kind").isin(kinds) & F.col("code").isin(codes) & (F.col("date") >= F.lit(first)) & (F.col("date") < F.lit(after)))

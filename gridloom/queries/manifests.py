@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import names
 from ..operators import audit
 from ..plans import windows
+from ..sources import listing, sinks
 from .views import MANIFEST, at, manifest, register
 
 QUERIES: dict = {}
@@ -24,6 +25,16 @@ def s04(spark, d):
     return windows.day_files(manifest(spark, d), "2024-01-13").select("path", "doc_id")
 
 
+@query("s03_listed_files", f"WITH {MANIFEST} SELECT strftime(date, '%Y-%m-%d') AS day, 1 AS n_files, true AS filled FROM manifest WHERE date BETWEEN DATE '2024-02-01' AND DATE '2024-02-29' GROUP BY date")
+def s03_listed(spark, d):
+    """Files of a month in real folders, a day a folder: only those of the month are listed, and none is opened."""
+    folder = sinks.scratch(spark, "landed")
+    m = manifest(spark, d).select("path", F.date_format("date", "yyyy-MM-dd").alias("day"))
+    m.repartition("day").write.partitionBy("day").text(folder)
+    x = listing.listed(spark, folder, "day=2024-02-*", names="part-*").withColumn("day", F.date_format(listing.date_of_path(F.regexp_extract("path", r"/day=([^/]+)/", 1)), "yyyy-MM-dd"))
+    return x.groupBy("day").agg(F.count("*").cast("int").alias("n_files"), (F.min("size") > 0).alias("filled"))
+
+
 @query("t12_time_of_name", f"WITH {MANIFEST} SELECT doc_id, strftime(date, '%Y-%m-%d ') || lpad(CAST(doc_id % 24 AS VARCHAR), 2, '0') || ':00:00' AS time, 0 AS hour FROM manifest")
 def t12(spark, d):
     return manifest(spark, d).select("doc_id", names.time_of_name(F.col("path")).alias("time"), names.hour_of_name(F.col("path")).alias("hour")).select("doc_id", at(), "hour")

@@ -253,6 +253,40 @@ def s20(spark, d):
     return windows.download_plan(catalog(spark, d), "year", ["tas", "pr"], "https://example.org")
 
 
+NESTED = [("power", "si10"), ("power", "rho"), ("si10", "u10"), ("si10", "v10"), ("rho", "t2m"), ("rho", "sp"), ("sp", "lnsp")]
+
+
+@query(
+    "p23_nested_dependencies",
+    f"""WITH RECURSIVE deps(var, part) AS (VALUES {', '.join(map(str, NESTED))}),
+r AS (SELECT var, part, 1 AS steps FROM deps UNION ALL SELECT r.var, d.part, r.steps + 1 FROM r JOIN deps d ON d.var = r.part),
+lv AS (SELECT var, max(steps) AS level FROM r GROUP BY var),
+w AS (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'power' WHEN 1 THEN 'si10' ELSE 't2m' END AS var FROM orders),
+x AS (SELECT o_orderkey, var FROM w UNION SELECT o_orderkey, r.part FROM w JOIN r USING (var))
+SELECT o_orderkey, string_agg(x.var, ',' ORDER BY coalesce(lv.level, 0), x.var) AS need FROM x LEFT JOIN lv ON lv.var = x.var GROUP BY o_orderkey""",
+)
+def p23_nested(spark, d):
+    """Derived of derived: each order's variable with all it needs, parts first."""
+    k = F.col("o_orderkey") % 3
+    wanted = table(spark, d, "orders").select("o_orderkey", F.when(k == 0, "power").when(k == 1, "si10").otherwise("t2m").alias("var"))
+    x = select.needed(wanted, spark.createDataFrame(NESTED, "var string, part string"), "o_orderkey")
+    inorder = F.array_sort(F.collect_list(F.struct("level", "var")))  # a row a variable of the catalogue
+    return x.groupBy("o_orderkey").agg(F.array_join(F.transform(inorder, lambda s: s["var"]), ",").alias("need"))
+
+
+@query("p12_process_bounds", f"WITH {CATALOG} SELECT index, sim_start_year || '-01-01 00:00:00' AS start, sim_end_year || CASE WHEN index % 2 = 0 THEN '-12-31 23:00:00' ELSE '-12-31 06:00:00' END AS stop FROM catalog")
+def p12(spark, d):
+    c = catalog(spark, d)
+    end = F.concat(F.col("sim_end_year").cast("string"), F.when(F.col("index") % 2 == 0, "-12-31").otherwise("-12-31 06:00:00"))
+    a, b = select.period_bounds(F.concat(F.col("sim_start_year").cast("string"), F.lit("-01-01")), end)
+    return c.select("index", a.alias("start"), b.alias("stop")).select("index", at("start"), at("stop"))
+
+
+@query("p24_single_types", f"WITH {CATALOG} SELECT source_id, min(ncml_timerange) AS ncml_timerange FROM catalog GROUP BY source_id")
+def p24(spark, d):
+    return select.single_types(catalog(spark, d), "ncml_timerange", "source_id")
+
+
 @query("p23_dependencies", "SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'u10,v10,si10,lsp,cp,tp' WHEN 1 THEN 't2m,u10,v10,si10' ELSE 't2m' END AS need FROM orders")
 def p23(spark, d):
     deps = {"si10": ["u10", "v10"], "tp": ["lsp", "cp"]}
