@@ -35,7 +35,7 @@ class Examples:
         self.sent = None
         self.order = _alike([(v[3], v[4]) for v in vectors], len(weights))  # the place of each example among those given
         vectors = [vectors[i] for i in self.order]
-        self.ids = [v[0] for v in vectors]
+        self.ids = np.fromiter((v[0] for v in vectors), object, len(vectors))  # keys of any type
         self.label = np.array([v[1] for v in vectors])
         self.share = np.array([v[2] for v in vectors])  # how many labelled documents the example stands for
         term = np.concatenate([np.zeros(0, np.int32), *(np.asarray(v[3], np.int32) for v in vectors)])
@@ -168,7 +168,7 @@ class Examples:
             yield from [(self.empty, [], [])] * m
             return
         for e, cos in self.each(*self.vectors(own, at), m):
-            yield self.calibrated(self.voted(e, cos)) if len(e) else self.empty, [self.ids[i] for i in e.tolist()], cos.tolist()
+            yield self.calibrated(self.voted(e, cos)) if len(e) else self.empty, self.ids[e].tolist(), cos.tolist()
 
     def calibrate(self, share: np.ndarray, label: np.ndarray) -> None:
         """Fit slope and shift of a logistic curve over examples' shares of votes, each from the others, by Newton steps.
