@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import weather
 from ..operators import align, audit, summaries
-from ..sources import sinks, store
+from ..sources import framefiles, sinks, store, tiles
+from ..streaming.frames import follow
 from . import observations
-from .views import CELLS, END, FRAMES, OBS, SPINE, START, TIME, at, frames, obs, r6, register
+from .views import CELLS, END, FRAMES, OBS, SPINE, START, TIME, at, frames, obs, r6, register, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -163,3 +164,49 @@ def a03(spark, d):
     """Percentiles of a month by cell from sketches of its thirds; a sketch of fewer values than its size is exact."""
     thirds = summaries.sketched(obs(spark, d).withColumn("part", F.expr("day(time) div 11")), "var", "cell_id", "part")
     return summaries.merged_quantiles(thirds, "var", "cell_id").select("var", "cell_id", "percentile", r6("value", digits=9))
+
+
+@query("x02_late_frames", observations.ORACLES["x01_incremental_ingest"])
+def x02_late(spark, d):
+    """Frames arrive in an order of their own, three batches of them; each batch corrects the slots of those before."""
+    root = sinks.scratch(spark, "late")
+    kept = store.Store(spark, f"{root}/store", store.Axis(START, "2024-01-31 00:00:00", "5 minutes"))
+    put = lambda df: kept.upsert(df.select(F.lit("radar").alias("product"), F.lit("rate").alias("var"), F.col("slot").alias("time"), "cell_id", "value", "frame_time"))
+    x = frames(spark, d)
+    x.withColumn("n", F.pmod(F.xxhash64("ts", "cell_id", "value"), F.lit(3))).repartition(3, "n").drop("n").write.parquet(f"{root}/landed")
+    arriving = spark.readStream.schema(x.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
+    follow(arriving, put, f"{root}/checkpoint", "40 days").awaitTermination()
+    return kept.open("radar").select(at("time").alias("slot"), "cell_id", F.round(F.col("value").cast("double"), 2).alias("value"))
+
+
+@query(
+    "s08_frames_with_errors",
+    f"""WITH {FLOATS}, d AS (SELECT CAST(time AS DATE) AS day, cell_id, avg(value) AS value FROM obs WHERE var = 'u10' GROUP BY ALL),
+t AS (SELECT CAST(unnest(generate_series(TIMESTAMP '2024-01-03', TIMESTAMP '2024-01-12', INTERVAL 1 DAY)) AS DATE) AS day)
+SELECT strftime(t.day, '%Y-%m-%d') AS day, c.cell_id, CASE WHEN day(t.day) NOT IN (5, 8) THEN round(CAST(CAST(d.value AS FLOAT) AS DOUBLE), 3) END AS value, CASE day(t.day) WHEN 5 THEN 'missing' WHEN 8 THEN 'unreadable' END AS error
+FROM t, (SELECT DISTINCT cell_id FROM obs) c LEFT JOIN d ON d.day = t.day AND d.cell_id = c.cell_id WHERE day(t.day) IN (5, 8) OR d.value IS NOT NULL""",
+)
+def s08_errors(spark, d):
+    """A file a day, of which one is missing and one holds no Parquet: these two are frames of nulls with the reason."""
+    root = sinks.scratch(spark, "frames")
+    x = obs(spark, d).where("var = 'u10'").withColumn("value", F.col("value").cast("float").cast("double"))
+    days = x.groupBy(F.date_format("time", "yyyyMMdd").alias("day"), "cell_id").agg(F.avg("value").cast("double").alias("value"))
+    bad = F.col("day").isin("20240105", "20240108")
+    days.where(~bad).repartition("day").write.partitionBy("day").parquet(f"{root}/u10")
+    days.where("day = '20240108'").coalesce(1).write.partitionBy("day").option("header", True).csv(f"{root}/u10", mode="append")
+    read = framefiles.read_frames(spark, root, ["u10"], START, END, 86400, "{var}/day=%Y%m%d", 4)
+    some = read.where("time >= timestamp'2024-01-03 00:00:00' and time <= timestamp'2024-01-12 00:00:00'")
+    out = framefiles.null_frames(some, obs(spark, d).select("cell_id").distinct())
+    error = F.when(F.col("error") == "missing", "missing").when(F.col("error").isNotNull(), "unreadable")
+    return out.select(F.date_format("time", "yyyy-MM-dd").alias("day"), "cell_id", r6(F.col("value").cast("double"), "value", 3), error.alias("error"))
+
+
+@query("w12_tiled_box", """SELECT strftime(ts, '%Y-%m-%d') AS day, user_id // 8 AS y, user_id % 8 AS x, count(*) AS n, round(sum(value), 4) AS total FROM events
+WHERE user_id // 8 BETWEEN 2 AND 9 AND user_id % 8 BETWEEN 1 AND 5 AND ts BETWEEN TIMESTAMP '2024-01-07 06:00:00' AND TIMESTAMP '2024-01-09 18:00:00' GROUP BY ALL""")
+def w12_tiled(spark, d):
+    """Users as cells of a grid, written in tiles; a box of some days comes back through the tiles' ranges."""
+    path = f"{sinks.scratch(spark, 'tiles')}/t"
+    x = table(spark, d, "events").select(F.col("ts").alias("time"), F.expr("user_id div 8").alias("y"), (F.col("user_id") % 8).alias("x"), "value")
+    tiles.write_tiles(x, path, block=4)
+    box = tiles.read_box(spark, path, "2024-01-07 06:00:00", "2024-01-09 18:00:00", (2, 9), (1, 5), block=4)
+    return box.groupBy(F.date_format("time", "yyyy-MM-dd").alias("day"), "y", "x").agg(F.count("*").alias("n"), r6(F.sum("value"), "total", 4))
