@@ -37,6 +37,9 @@ class Seen:
     def __init__(self) -> None:
         self.ends: dict[str, list[int]] = {k: [] for k in ENDS}
         self.chains: dict[int, int] = {}
+        self.pages: dict[int, int | None] = {}  # where the pages from a place on end; None: nowhere
+        self.pictures: dict[int, int | None] = {}  # and the blocks of pictures
+        self.chunks: dict[tuple[int, int], frozenset[bytes] | None] = {}  # from a place to an end: which chunks that count; None: they miss it
 
     def next(self, kind: str, i: int) -> int:
         """The first end of this kind from i on, or -1."""
@@ -73,17 +76,23 @@ def _gif(b: bytes, i: int, seen: Seen) -> tuple[str, int] | None:
     if b[i + 4 : i + 6] not in (b"7a", b"9a") or i + 13 > len(b):
         return None
     table = lambda flags: 3 << ((flags & 7) + 1) if flags & 0x80 else 0
-    p = i + 13 + table(b[i + 10])
+    p, path, end = i + 13 + table(b[i + 10]), [], None
     while p < len(b):
+        if p in seen.pictures:
+            end = seen.pictures[p]
+            break
+        path.append(p)
         if b[p] == 0x3B:
-            return "image/gif", p + 1
+            end = p + 1
+            break
         if b[p] == 0x21:
             p = seen.chain(b, p + 2)
         elif b[p] == 0x2C and p + 10 <= len(b):
             p = seen.chain(b, p + 10 + table(b[p + 9]) + 1)
         else:
-            return None
-    return None
+            break
+    seen.pictures.update(dict.fromkeys(path, end))
+    return ("image/gif", end) if end else None
 
 
 def _jpeg(b: bytes, i: int, seen: Seen) -> tuple[str, int] | None:
@@ -117,14 +126,18 @@ def _riff(b: bytes, i: int, seen: Seen) -> tuple[str, int] | None:
         return None
     end = i + 8 + int.from_bytes(b[i + 4 : i + 8], "little")
     kind = {b"WAVE": "audio/wav", b"WEBP": "image/webp", b"AVI ": "video/avi"}.get(b[i + 8 : i + 12])
-    p, names = i + 12, []
+    p, path = i + 12, []
     if kind is None or end > len(b):
         return None
-    while p + 8 <= end:
-        names.append(b[p : p + 4])
+    while p + 8 <= end and (p, end) not in seen.chunks:
+        path.append(p)
         n = int.from_bytes(b[p + 4 : p + 8], "little")
         p += 8 + n + n % 2
-    return (kind, end) if p == end and (kind != "audio/wav" or {b"fmt ", b"data"} <= {*names}) else None
+    names = seen.chunks.get((p, end), frozenset() if p == end else None)
+    for q in reversed(path):
+        names = None if names is None else names | ({b[q : q + 4]} & {b"fmt ", b"data"})
+        seen.chunks[q, end] = names
+    return (kind, end) if names is not None and (kind != "audio/wav" or len(names) == 2) else None
 
 
 def _pdf(b: bytes, i: int, seen: Seen) -> tuple[str, int] | None:
@@ -156,16 +169,19 @@ def _flac(b: bytes, i: int, seen: Seen) -> tuple[str, int] | None:
 
 
 def _ogg(b: bytes, i: int, seen: Seen) -> tuple[str, int] | None:
-    p = i
+    p, path, end = i, [], None
     while b[p : p + 4] == b"OggS" and p + 27 <= len(b):
-        lengths = b[p + 27 : p + 27 + b[p + 26]]
-        end, last = p + 27 + b[p + 26] + sum(lengths), b[p + 5] & 4
-        if end > len(b):
-            return None
-        p = end
-        if last:
-            return "audio/ogg", p
-    return None
+        if p in seen.pages:
+            end = seen.pages[p]
+            break
+        path.append(p)
+        after, last = p + 27 + b[p + 26] + sum(b[p + 27 : p + 27 + b[p + 26]]), b[p + 5] & 4
+        if after > len(b) or last:
+            end = after if after <= len(b) else None
+            break
+        p = after
+    seen.pages.update(dict.fromkeys(path, end))
+    return ("audio/ogg", end) if end else None
 
 
 VALID: dict[str, Callable[[bytes, int, Seen], tuple[str, int] | None]] = {
@@ -272,7 +288,8 @@ def digest(media: DataFrame, key: str = "doc_id") -> DataFrame:
     """The digest columns of sniffed media: samples read back through the file's structure, and what was sniffed.
 
     feature: sniffed type, samples, their mean, number of sign-like crossings of the mean's level and the embedded types.
-    corrected: whether the declared type was another. carved: type, place and SHA-256 of each embedded medium's bytes.
+    corrected: whether the declared type was another. carved: type and place of each embedded medium, and the SHA-256 of
+    its bytes; null for one that begins inside an earlier medium with a hash, so that no byte is hashed twice.
     """
     import numpy as np
 
@@ -287,7 +304,11 @@ def digest(media: DataFrame, key: str = "doc_id") -> DataFrame:
                 x = np.frombuffer(s, np.uint8)
                 crossings = int(np.count_nonzero(np.diff((x >= 128).view(np.int8))))
                 feature = f"{kind};n={len(s)};mean={int(x.sum())}/{len(s)};max={int(x.max())};crossings={crossings};embedded={','.join(f'{m["type"]}@{m["start"]}' for m in inner)}"
-                parts = [{**m, "sha256": hashlib.sha256(b[m["start"] : m["end"]]).hexdigest()} for m in inner]
+                parts, hashed = [], 0
+                for m in inner:
+                    apart = m["start"] >= hashed
+                    hashed = m["end"] if apart else hashed
+                    parts.append({**m, "sha256": hashlib.sha256(b[m["start"] : m["end"]]).hexdigest() if apart else None})
                 rows.append((k, n, len(s), hashlib.sha256(s).hexdigest(), zlib.crc32(s[-64:]), len(b), hashlib.sha256(b).hexdigest(), feature, corrected, parts))
             types = [batch.schema.field(key).type, pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_(), carved]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [()] * 10, types, strict=True)], names)

@@ -15,6 +15,8 @@ from .staging import staged
 
 #: Vectors of one block of a large inverted list.
 BLOCK = 512
+#: Pairs that are looked at together.
+PAIRS = 4096
 
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
@@ -47,6 +49,7 @@ class Quantiser:
         rest = sample - self.centres[_nearest(sample, self.centres)]
         self.fine = _kmeans(rest, finer, rng) if finer > 1 else np.zeros((1, dim))
         rest = rest - self.fine[_nearest(rest, self.fine)]
+        self.gaps, self.fine_gaps = _gaps(self.centres), _gaps(self.fine)
         self.books = [_kmeans(rest[:, a:b], codes, rng) for a, b in zip(self.cuts, self.cuts[1:], strict=False)]
 
     def home(self, x: np.ndarray) -> np.ndarray:
@@ -72,22 +75,37 @@ class Quantiser:
 
     def probes(self, x: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
         """(vector, list) of every list whose cell begins within reach of the vector."""
-        who, c = np.nonzero(_within(x, self.centres, reach))
+        who, c = np.nonzero(_within(x, self.centres, self.gaps, reach))
         if len(self.fine) == 1:
             return who, c
-        again, f = np.nonzero(_within(x[who] - self.centres[c], self.fine, reach))
+        again, f = np.nonzero(_within(x[who] - self.centres[c], self.fine, self.fine_gaps, reach))
         return who[again], c[again] * len(self.fine) + f
 
-    def reaches(self, x: np.ndarray, lists: np.ndarray, reach: float) -> np.ndarray:
-        """Does each vector probe this list?"""
+    def reaches(self, x: np.ndarray, at: np.ndarray, lists: np.ndarray, reach: float) -> np.ndarray:
+        """Does vector x[at] probe this list, pair by pair?
+
+        Centres are compared once a vector, finer ones once a vector and centre, PAIRS of these at a time.
+        """
         c, f = np.divmod(lists, len(self.fine))
-        at = np.arange(len(x))
-        return _within(x, self.centres, reach)[at, c] & _within(x - self.centres[c], self.fine, reach)[at, f]
+        out = _within(x, self.centres, self.gaps, reach)[at, c]
+        if len(self.fine) == 1:
+            return out
+        maybe = np.flatnonzero(out)
+        pairs, pair = np.unique(at[maybe] * len(self.centres) + c[maybe], return_inverse=True)
+        order = np.argsort(pair, kind="stable")
+        for lo in range(0, len(pairs), PAIRS):
+            who, own = np.divmod(pairs[lo : lo + PAIRS], len(self.centres))
+            mine = order[slice(*np.searchsorted(pair[order], [lo, lo + PAIRS]))]
+            out[maybe[mine]] = _within(x[who] - self.centres[own], self.fine, self.fine_gaps, reach)[pair[mine] - lo, f[maybe[mine]]]
+        return out
+
+
+def _gaps(c: np.ndarray) -> np.ndarray:
+    return ((c**2).sum(1)[:, None] + (c**2).sum(1) - 2 * c @ c.T).clip(0) ** 0.5
 
 
-def _within(x: np.ndarray, c: np.ndarray, reach: float) -> np.ndarray:
+def _within(x: np.ndarray, c: np.ndarray, gaps: np.ndarray, reach: float) -> np.ndarray:
     """Does a centre's cell begin within reach? It begins at the plane half way between the centre and the vector's own."""
-    gaps = ((c**2).sum(1)[:, None] + (c**2).sum(1) - 2 * c @ c.T).clip(0) ** 0.5
     d2 = (x**2).sum(1)[:, None] + (c**2).sum(1) - 2 * x @ c.T
     own = d2.argmin(1)
     return d2 - d2[np.arange(len(x)), own][:, None] <= 2 * gaps[own] * reach + 1e-9
@@ -195,10 +213,11 @@ def _rank(shared, cosine: float, reach: float, step: float, kind):
             for k, table in enumerate(q.tables(ask - centre)):
                 d2 += table[:, codes[:, k]]
             a, b = np.nonzero(np.sqrt(d2) <= reach + error + 1e-9)
-            sure = (np.einsum("ij,ij->i", ask[a], x[b]) >= cosine) & (ids[at + a] != ids[b])
+            cosines = [np.einsum("ij,ij->i", ask[a[k : k + PAIRS]], x[b[k : k + PAIRS]]) for k in range(0, len(a), PAIRS)]
+            sure = (np.concatenate([np.zeros(0), *cosines]) >= cosine) & (ids[at + a] != ids[b])
             a, b = a[sure] + at, b[sure]
             np.add.at(counts, node[a], weight[b])
-            one = ~q.reaches(x[b], home[a], step)  # these members don't ask for the query where it lives
+            one = ~q.reaches(x[:n], b, home[a], step)  # these members don't ask for the query where it lives
             np.add.at(counts, node[b[one]], weight[a[one]])
             ends.append((node[a], node[b]))
         a, b = (np.concatenate([np.zeros(0, np.int64), *(e[k] for e in ends)]) for k in (0, 1))

@@ -202,7 +202,11 @@ def test_media_round_trip(spark):
     assert [(m["type"], m["end"] - m["start"], m["sha256"]) for m in row["carved"]] == [("application/pdf", len(pdf), hashlib.sha256(pdf.encode()).hexdigest())] * 2
 
 
-@pytest.mark.parametrize("piece", [b"%PDF-1", b"PK\x03\x04", b"GIF89aabcdefg!x"])
+OGG_PAGE = b"OggS\0\0" + b"\0" * 20 + b"\1\3abc"
+GIF_BLOCK = b"!x\x0cGIF89a123456\0"  # it holds a GIF whose header ends where the block does
+
+
+@pytest.mark.parametrize("piece", [b"%PDF-1", b"PK\x03\x04", b"GIF89aabcdefg!x", OGG_PAGE, GIF_BLOCK])
 def test_sniffing_takes_time_in_proportion(piece):
     import time
 
@@ -215,6 +219,49 @@ def test_sniffing_takes_time_in_proportion(piece):
     assert took(80_000) < 12 * max(took(20_000), 0.02)
 
 
+def test_media_that_share_their_ends():
+    pages = OGG_PAGE * 5 + media_files()["audio/ogg"] + b"OggS\0"
+    n = len(OGG_PAGE)
+    assert media.found_media(pages) == [("audio/ogg", n * k, n * 6) for k in range(6)]
+    gif = media_files()["image/gif"]
+    blocks = gif[:-1] + GIF_BLOCK * 3 + b";"
+    # a GIF that lies in a block has its own blocks from the block's end on
+    assert media.found_media(blocks) == [("image/gif", k, len(blocks)) for k in (0, *(len(gif) - 1 + 3 + 16 * j for j in range(3)))]
+    assert media.found_media(GIF_BLOCK * 2 + OGG_PAGE + media_files()["audio/ogg"]) == [("audio/ogg", 32, 32 + 2 * n), ("audio/ogg", 32 + n, 32 + 2 * n)]
+    inner = b"RIFF" + (12).to_bytes(4, "little") + b"AVI x\0\0\0\0\0\0\0"
+    twice = media.wav(b"abcd")[:-12] + b"junk" + len(inner).to_bytes(4, "little") + inner + b"data" + (4).to_bytes(4, "little") + b"abcd"
+    twice = twice[:4] + (len(twice) - 8).to_bytes(4, "little") + twice[8:]
+    found = media.found_media(twice)
+    assert found[0] == ("audio/wav", 0, len(twice)) and len(found) == 2
+
+
+def test_shared_bytes_are_hashed_once(spark):
+    text = "%PDF-1" * 3 + "startxref 9 %%EOF" + " %PDF-1 startxref 9 %%EOF"
+    df = media.sniff(media.store_texts(spark.createDataFrame([(1, text, "en", "s", 0)], SCHEMA)).selectExpr("*", "'text/plain' declared"), "media", "declared")
+    (row,) = media.digest(df).collect()
+    assert [m["sha256"] is None for m in row["carved"]] == [False, True, True, False]
+    assert row["carved"][0]["sha256"] == hashlib.sha256(text[:35].encode()).hexdigest() and {m["end"] for m in row["carved"][:3]} == {35 + 44}
+
+
+@pytest.mark.parametrize("finer", [1, 3])
+def test_links_of_a_block_take_bounded_memory(finer):
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    q = vectors.Quantiser(vectors.scaled(rng.normal(size=(2500, 16))), 1024, finer)
+    x = vectors.scaled(rng.normal(size=(512, 16)))
+    at = np.repeat(np.arange(512), 256)
+    lists = rng.integers(0, len(q.centres) * finer, len(at))
+    tracemalloc.start()
+    got = q.reaches(x, at, lists, 0.2)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 100 * 2**20
+    who, where = q.probes(x, 0.2)
+    asked = set(zip(who.tolist(), where.tolist(), strict=True))
+    assert got.tolist() == [p in asked for p in zip(at.tolist(), lists.tolist(), strict=True)] and 0 < got.sum() < len(got)
+
+
 def jaccard_by_hand(rows, n=5, similarity=0.8):
     sets = []
     for _, t in rows:
