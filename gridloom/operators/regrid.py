@@ -37,6 +37,18 @@ def regrid(obs: DataFrame, weights: DataFrame, *keys: str, corners: int = 4) ->
     return x.groupBy(*keys, "dst_cell").agg(value.alias("value")).withColumnRenamed("dst_cell", "cell_id")
 
 
+def regrid_frames(obs: DataFrame, weights: DataFrame, *keys: str, corners: int = 4, most_weights: int = 1_000_000) -> DataFrame:
+    """regrid for series of frames: each value is shuffled once, with its frame, and corners are summed in its task.
+
+    keys name a frame (variable, time, level), which a task must hold the sums of. Weights are read twice: to see that they
+    are at most most_weights rows, so that all tasks can have them, and to be used; keep them first (mesh.kept_weights).
+    More weights than that go the way of regrid, which shuffles a row a corner.
+    """
+    if not keys or weights.select("dst_cell").limit(most_weights + 1).count() > most_weights:
+        return regrid(obs, weights, *keys, corners=corners)
+    return regrid(obs.repartition(*keys), F.broadcast(weights), *keys, corners=corners)
+
+
 def same_grid(a: DataFrame, b: DataFrame, fields: list[str], tolerance: float | None = None) -> DataFrame:
     """One row: whether each field is equal (or within tolerance) in all cells (y, x), and whether cells are the same."""
     x = a.select("y", "x", *(F.col(f).alias(f"a_{f}") for f in fields), F.lit(1).alias("a")).join(

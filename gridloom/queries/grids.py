@@ -184,6 +184,17 @@ def j13(spark, d):
     return x.select(at(), "cell_id", r6("value", digits=5))
 
 
+@query("j13_frames_by_kept_weights", ORACLES["j13_strided_weights"])
+def j13_frames(spark, d):
+    """Weights are written once; frames are laid by time, and their corners summed where they lie."""
+    from .views import at
+
+    g = regular_grid(spark, d)
+    points = select.stride(g, 2, 2).select(F.col("cell_id").alias("dst_cell"), "latitude", "longitude")
+    w = mesh.kept_weights(spark, f"{sinks.scratch(spark, 'weights')}/w", lambda: regrid.bilinear_weights(g, points))
+    return regrid.regrid_frames(obs(spark, d).where("var = 'u10'"), w, "time").select(at(), "cell_id", r6("value", digits=5))
+
+
 @query("j12_nearest_on_mesh", f"WITH {GRID}, p AS (SELECT cell_id AS dst, latitude + 0.07 AS la, longitude - 0.1 AS lo FROM grid), h AS (SELECT dst, cell_id, {_h('la', 'lo', 'latitude', 'longitude')} AS h FROM p JOIN grid ON abs(latitude - la) < 2 AND abs(longitude - lo) < 2), r AS (SELECT dst, cell_id, row_number() OVER (PARTITION BY dst ORDER BY {HAV}, cell_id) AS k FROM h) SELECT dst AS dst_cell, cell_id AS src_cell FROM r WHERE k = 1")
 def j12n(spark, d):
     g = grid(spark, d)

@@ -9,7 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.operators import align
+from gridloom.operators import align, regrid
 from gridloom.sources import framefiles, store, tiles
 from gridloom.streaming import frames as stream
 
@@ -112,3 +112,20 @@ def test_late_frames_correct_slots(spark, tmp_path):
     got = {tuple(r) for r in s.open().select(F.col("time").cast("string"), "cell_id", F.col("value").cast("double")).collect()}
     want = {tuple(r) for r in align.snapped_frames(f).select(F.col("slot").cast("string"), "cell_id", "value").collect()}
     assert got == want and sum(seen) > len(want)  # slots were given out again
+
+
+def test_frames_are_shuffled_once(spark):
+    cells = spark.range(64).select(F.col("id").alias("cell_id"), (F.col("id") / 8).cast("int").alias("y"), (F.col("id") % 8).cast("int").alias("x"))
+    grid = cells.withColumns({"latitude": F.lit(40.0) + F.col("y"), "longitude": F.lit(270.0) + F.col("x")})
+    points = grid.where("y < 7 and x < 7").select(F.col("cell_id").alias("dst_cell"), (F.col("latitude") + 0.3).alias("latitude"), (F.col("longitude") + 0.6).alias("longitude"))
+    w = regrid.bilinear_weights(grid, points)
+    x = align.axis(spark, "2024-01-01 00:00:00", "2024-01-01 05:00:00").join(cells).where("cell_id <> 9 or hour(time) > 2")
+    x = x.select("time", "cell_id", F.when(F.col("cell_id") != 20, F.hour("time") * 100.0 + F.col("y") * 2 + F.col("x")).alias("value"))
+    rows = lambda df: sorted((str(r.time), r.cell_id, None if r.value is None else round(r.value, 9)) for r in df.collect())
+    want = rows(regrid.regrid(x, w, "time"))
+    assert rows(regrid.regrid_frames(x, w, "time")) == want and rows(regrid.regrid_frames(x, w, "time", most_weights=3)) == want
+    assert len(want) == 6 * 49 and any(r[2] is None for r in want)
+    kept = spark.createDataFrame(w.collect(), w.schema)
+    plan = regrid.regrid_frames(x, kept, "time")._jdf.queryExecution().executedPlan().toString()
+    after = plan[: plan.index("BroadcastHashJoin")]
+    assert "Exchange hashpartitioning" not in after  # the sums need no shuffle behind the join
