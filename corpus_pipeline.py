@@ -88,14 +88,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pieces that the stages make of documents, each stage's documents written to the shared folder and deleted when
-    the next ones are there; those of the last stage but one stay, as the pieces are made from them when they are asked for."""
+    """The pieces that the stages make of documents, each stage's rows written to the shared folder and its predecessor's
+    deleted then; the pieces stay."""
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = staged(docs, name)
-            if before is not None:
-                release(before)
-            before = docs
+    for name, stage in STAGES:
+        docs = staged(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            release(before)
+        before = docs
     return docs

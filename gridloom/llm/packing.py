@@ -12,6 +12,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .staging import staged
 
 #: Words that a Python worker remembers, over all its tasks.
 CACHE_WORDS = 500_000
@@ -103,39 +106,27 @@ def windows(sizes: list[int], capacity: int) -> list[list[int]]:
 
 
 OUT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+NAMES = [f.split()[0] for f in OUT.split(", ")]
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 4096, batch_pieces: int = 512, key: str = "doc_id", text: str = "text") -> DataFrame:
     """A row for each piece: (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset).
 
     Documents of more than capacity tokens are cut into full windows and a rest. Of each batch of rests, Karmarkar-Karp
-    differencing makes near-equal windows; their number rises whenever one would exceed capacity. Batches are formed of
-    the documents of one input partition, so nothing is shuffled and a lost task makes the same windows again. Null and
-    empty texts hold the end id alone. Repeated rows are documents of their own. Empty table: no rows.
+    differencing makes near-equal windows; their number rises whenever one would exceed capacity. Full batches are formed of
+    the documents of one input partition. What a partition's last batch lacks comes from those of other partitions: their
+    pieces (no ids, no texts) are dealt at random into batches of once to twice the size, so padding doesn't depend on how the
+    input is split, and equal rows spread like any others. Pieces stand in a written table, so a lost task changes no window.
+    Null and empty texts hold the end id alone. Repeated rows are documents of their own. Empty table: no rows.
     """
     x = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = word_tokens(tokenizer, end_id)
         sequence = TaskContext.get().partitionId() << 40
+        unplaced = -1 - sequence
         rests: list[tuple] = []
         out: list[tuple] = []
-
-        def place() -> None:
-            nonlocal sequence
-            for members in windows([r[2] for r in rests], capacity):
-                offset = 0
-                for i in members:
-                    out.append((*rests[i], sequence, offset))
-                    offset += rests[i][2]
-                sequence += 1
-            rests.clear()
-
-        def flushed() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], [f.split()[0] for f in OUT.split(", ")])
-            out.clear()
-            return batch
-
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
             for i in range(0, len(ids), 256):
@@ -150,15 +141,43 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 4096,
                         else:
                             rests.append(piece)
                     if len(rests) >= batch_pieces:
-                        place()
+                        rows, sequence = _placed(rests, capacity, sequence)
+                        out += rows
+                        rests = []
             if out:
-                yield flushed()
+                yield _rows(out)
+                out = []
         if rests:
-            place()
-        if out:
-            yield flushed()
-
-    return x.mapInArrow(run, OUT)
+            yield _rows([(*piece, unplaced - k, 0) for k, piece in enumerate(rests)])
+
+    def join(group: tuple, rests: pa.Table) -> pa.Table:
+        # a group holds under 2^24 pieces, and partitions' own sequences lie below 2^62
+        columns = rests.sort_by([("sequence_id", "descending")]).columns[:5]
+        rows, _ = _placed(list(zip(*(c.to_pylist() for c in columns), strict=True)), capacity, (1 << 62) + (group[0].as_py() << 24))
+        return pa.Table.from_batches([_rows(rows)])
+
+    pieces = staged(x.mapInArrow(run, OUT), "pieces")
+    rests = pieces.where("sequence_id < 0")
+    groups = max(1, rests.count() // batch_pieces)
+    dealt = rests.select(*NAMES, F.pmod(F.xxhash64("sequence_id"), F.lit(groups)).alias("group"))
+    joined = dealt.groupBy("group").applyInArrow(join, OUT)
+    return pieces.where("sequence_id >= 0").unionByName(joined)
+
+
+def _placed(pieces: list[tuple], capacity: int, sequence: int) -> tuple[list[tuple], int]:
+    """Pieces (doc_id, start, length, ids_crc32, doc_tokens) with their places in windows, and the next sequence's number."""
+    out = []
+    for members in windows([p[2] for p in pieces], capacity):
+        offset = 0
+        for i in members:
+            out.append((*pieces[i], sequence, offset))
+            offset += pieces[i][2]
+        sequence += 1
+    return out, sequence
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], NAMES)
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

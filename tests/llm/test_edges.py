@@ -142,6 +142,39 @@ def test_packing(spark):
     assert packing.pack(empty(spark), path).count() == 0
 
 
+def test_packing_fill(spark):
+    """The whole table by a plain tokenizer, however it is split; runs agree, and little is padded."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = docs.collect()
+    t = Tokenizer.from_file(path)
+    ids = {r["doc_id"]: np.array([*e.ids, 2], "<u4") for r, e in zip(rows, t.encode_batch([r["text"] or "" for r in rows], add_special_tokens=False), strict=True)}
+    for parts in (1, 16, 211):
+        out = packing.pack(docs.repartitionByRange(parts, "doc_id"), path)
+        got = out.collect()
+        pieces, sequences = collections.defaultdict(list), collections.defaultdict(list)
+        for r in got:
+            own = ids[r["doc_id"]]
+            assert r["doc_tokens"] == len(own) and r["ids_crc32"] == zlib.crc32(own[r["start"] : r["start"] + r["length"]].tobytes())
+            pieces[r["doc_id"]].append((r["start"], r["length"]))
+            sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+        for spans in (*pieces.values(), *sequences.values()):
+            at = 0
+            for start, length in sorted(spans):
+                assert start == at and length > 0
+                at += length
+        assert {d: sum(n for _, n in p) for d, p in pieces.items()} == {d: len(x) for d, x in ids.items()}
+        assert max(sum(n for _, n in s) for s in sequences.values()) <= 4096
+        assert sum(map(len, ids.values())) >= 0.97 * 4096 * len(sequences), parts
+        assert sorted(out.collect()) == sorted(got)
+    hot = spark.createDataFrame([(1, BASE)] * 3000, "doc_id long, text string").repartition(40)
+    per = collections.Counter(r["sequence_id"] for r in packing.pack(hot, path).collect())
+    assert sum(per.values()) == 3000 and max(per.values()) - min(per.values()) <= 1
+
+
 def test_differencing():
     rng = np.random.default_rng(1)
     for n, k in ((1, 1), (1, 5), (7, 3), (200, 40), (64, 64)):
