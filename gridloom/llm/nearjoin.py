@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components, labels
-from .staging import staged
+from .staging import release, staged
 from .words import distinct, each_chunk, grams, mix, signed
 
 #: Members of one block of a large bucket or cluster; blocks are compared in pairs.
@@ -238,15 +238,19 @@ def near_duplicates(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall
     agree = similarity - 6 * (similarity * (1 - similarity) / (bands * rows)) ** 0.5
     clusters = components(dealt.mapInArrow(_plausible(agree), "u long, v long"), "u", "v")
     clusters = staged(clusters.withColumnRenamed("node", "id").withColumnRenamed("component", "cluster"), "clusters")
+    release(hits)
     sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     members = staged(_in_blocks(clusters.join(sizes, "cluster"), "cluster", "id").join(reps.select("id", "m"), "id"), "members")
     chosen = clusters.select("id").join(reps.select("id", F.col("rep").alias("doc"), "a", "b"), "id")
     sets = staged(base.join(chosen, ["doc", "a", "b"]).select("id", "text").mapInArrow(_sets(n), "id long, grams binary"), "grams")
+    release(clusters)
     paired = members.join(sets, "id").select("cluster", "i", "j", "id", "m", "block", "grams").repartition(parts, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
     links = staged(paired.mapInArrow(_verify(similarity), "id long, links long, joined long"), "links")
+    release(members, sets)
     classes = staged(components(links.where("id <> joined"), "id", "joined").withColumnRenamed("node", "id"), "classes")
     first = classes.join(reps.select("id", "rep"), "id").groupBy("component").agg(F.min("rep").alias("class"))
-    counted = links.groupBy("id").agg(F.sum("links").alias("links")).join(classes.join(first, "component"), "id").select("id", "links", "class")
+    counted = staged(links.groupBy("id").agg(F.sum("links").alias("links")).join(classes.join(first, "component"), "id").select("id", "links", "class"), "counted")
+    release(links, classes)
     of_rep = reps.select("a", "b", "id", "rep", "m").join(counted, "id", "left")
     out = signed_docs.select("doc", "a", "b").join(of_rep, ["a", "b"], "left")
     mine = F.col("doc").isNotNull()
