@@ -14,6 +14,8 @@ from ..functions.weather import haversine_km
 #: Newton steps of the inverse bilinear map; each doubles the digits, from a quad's middle on.
 STEPS = 8
 EDGE, FIT = 1e-9, 1e-7
+#: Nodes that may share a cube with one, on average; the finest cubes have edge 2^-FINEST.
+CROWD, FINEST = 8, 18
 
 
 def _turn(lon: Column, base: Column) -> Column:
@@ -109,7 +111,7 @@ def nearest_candidates(source: DataFrame, points: DataFrame, level: int, step: i
     levels = [*range(0, level, step), level]
     for above, at in zip([None, *levels], levels, strict=False):
         boxes = nodes.groupBy(_cell(at).alias("cell"), (_cell(above) if above is not None else F.lit(0)).alias("up")).agg(
-            *(f(c).alias(f"{c}{s}") for c in "xyz" for s, f in (("l", F.min), ("h", F.max))), F.min_by(F.struct("x", "y", "z"), "src_cell").alias("one"))
+            *(f(c).alias(f"{c}{s}") for c in "xyz" for s, f in (("l", F.min), ("h", F.max))), *(F.min_by(c, "src_cell").alias(f"{c}1") for c in "xyz"))
         if above is None:
             x = x.join(F.broadcast(boxes), how="cross")  # at most 26 cubes of edge 1 touch the sphere
         else:
@@ -117,7 +119,7 @@ def nearest_candidates(source: DataFrame, points: DataFrame, level: int, step: i
         sq = lambda c: c * c
         nearest = sum(sq(F.greatest(F.col(f"{c}l") - F.col(f"p{c}"), F.lit(0.0), F.col(f"p{c}") - F.col(f"{c}h"))) for c in "xyz")
         farthest = sum(sq(F.greatest(F.abs(F.col(f"p{c}") - F.col(f"{c}l")), F.abs(F.col(f"p{c}") - F.col(f"{c}h")))) for c in "xyz")
-        known = sum(sq(F.col(f"p{c}") - F.col(f"one.{c}")) for c in "xyz")
+        known = sum(sq(F.col(f"p{c}") - F.col(f"{c}1")) for c in "xyz")
         most = F.min(F.sqrt(F.least(farthest, known))).over(Window.partitionBy("dst_cell", "latitude", "longitude"))
         x = x.withColumns({"near": F.sqrt(nearest), "most": most}).where(F.col("near") <= F.col("most") + 1e-8)
         x = x.select("dst_cell", "latitude", "longitude", "px", "py", "pz", "cell")
@@ -125,13 +127,24 @@ def nearest_candidates(source: DataFrame, points: DataFrame, level: int, step: i
     return x.join(leaf, "cell").select("dst_cell", "latitude", "longitude", "src_cell", "slat", "slon")
 
 
+def level_of(source: DataFrame, first: int) -> int:
+    """The first level, from a given one on, in whose cubes a node meets at most CROWD nodes on average (itself included)."""
+    at = F.array(*(F.struct(F.lit(k).alias("level"), _cell(k).alias("cell")) for k in range(first, FINEST + 1)))
+    n = _on_sphere(source).select(F.explode(at).alias("at")).groupBy("at.level", "at.cell").agg(F.count("*").cast("double").alias("n"))
+    crowd = {r["level"]: r["crowd"] for r in n.groupBy("level").agg((F.sum(F.col("n") * F.col("n")) / F.sum("n")).alias("crowd")).collect()}  # a row a level
+    return next((k for k in sorted(crowd) if crowd[k] <= CROWD), max(crowd, default=first))
+
+
 def nearest_weights(source: DataFrame, points: DataFrame, bin_degrees: float) -> DataFrame:
     """(dst_cell, src_cell, w = 1): the nearest source node of any mesh (ties: the smaller cell) for each point.
 
-    bin_degrees: about the distance between nodes; a wrong one only costs time. Points and nodes without coordinates are
-    left out; without nodes there are no rows. One plan whatever the mesh, of a round for each two levels.
+    bin_degrees: about the distance between nodes, where cubes begin; how much finer they get is counted from the nodes, so
+    meshes that are denser, or dense along one axis only, don't compare more nodes a point. Nodes at one place are one, that
+    of the smallest cell. Points and nodes without coordinates are left out; without nodes there are no rows. One plan
+    whatever the mesh, of a round for each two levels.
     """
-    level = max(1, min(18, math.ceil(math.log2(1 / math.radians(bin_degrees)))))
+    source = source.where("latitude is not null and longitude is not null").groupBy("latitude", "longitude").agg(F.min("cell_id").alias("cell_id"))
+    level = level_of(source, max(1, min(FINEST, math.ceil(math.log2(1 / math.radians(bin_degrees))))))
     x = nearest_candidates(source, points, level)
     d = haversine_km(F.col("latitude"), F.col("longitude"), F.col("slat"), F.col("slon"))
     best = x.groupBy("dst_cell").agg(F.min(F.struct(d.alias("d"), "src_cell")).alias("best"))

@@ -110,3 +110,20 @@ def test_weights_are_kept(spark, tmp_path):
     assert made == [1]
     (tmp_path / "w" / "_SUCCESS").unlink()  # a write that stopped halfway
     assert mesh.kept_weights(spark, str(tmp_path / "w"), make).count() == 3 and made == [1, 1]
+
+
+def thin(spark, n, columns=6):
+    """A mesh of columns 0.45 degrees apart whose rows, skewed, are ever denser within half a degree."""
+    rows = [(y * columns + x, y, x, 40 + 0.5 * y / n + 0.01 * x, 276 + 0.45 * x) for y in range(n) for x in range(columns)]
+    g = spark.createDataFrame(rows, "cell_id long, y int, x int, latitude double, longitude double")
+    return g, g.select(F.col("cell_id").alias("dst_cell"), (F.col("latitude") + 0.17 / n).alias("latitude"), (F.col("longitude") + 0.2).alias("longitude"))
+
+
+def test_nodes_on_dense_rows_are_compared_in_proportion(spark):
+    nodes = {}
+    for n in (100, 800):
+        g, at = thin(spark, n)
+        nodes[n] = mesh.nearest_candidates(g, at, mesh.level_of(g, 6)).count() / (6 * n)
+    assert max(nodes.values()) < 4 * mesh.CROWD  # nodes of a few cubes, of 4,800
+    twice = g.unionByName(g.withColumn("cell_id", F.col("cell_id") + 10000))
+    assert mesh.nearest_weights(twice, at, 1.0).exceptAll(mesh.nearest_weights(g, at, 0.01)).count() == 0
