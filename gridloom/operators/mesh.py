@@ -14,6 +14,10 @@ from ..functions.weather import haversine_km
 #: Newton steps of the inverse bilinear map; each doubles the digits, from a quad's middle on.
 STEPS = 8
 EDGE, FIT = 1e-9, 1e-7
+#: Degrees of the smallest and largest regions that have a frame of their own.
+REGION = 0.5, 90.0
+#: Side of a bin in mean quads, and what places in mean quads can be off by.
+SIDE, ROOM = 2.0, 1e-6
 #: Nodes that may share a cube with one, on average; the finest cubes have edge 2^-FINEST.
 CROWD, FINEST = 8, 18
 
@@ -52,16 +56,33 @@ def _inverse() -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), F.struct(F.lit(0.5).alias("u"), F.lit(0.5).alias("v")), step, inside)
 
 
-def curvilinear_weights(source: DataFrame, points: DataFrame, bin_degrees: float = 1.0) -> DataFrame:
-    """(dst_cell, src_cell, w): the four corners of the mesh's quad round each point (dst_cell, latitude, longitude).
+def _in_frame(x: Column, y: Column) -> tuple[Column, Column]:
+    """Place (s, t) in mean quads of a region's frame (ax, ay, cx, cy) of what lies x and y degrees from its corner."""
+    det = F.col("ax") * F.col("cy") - F.col("ay") * F.col("cx")
+    return (x * F.col("cy") - y * F.col("cx")) / det, (y * F.col("ax") - x * F.col("ay")) / det
 
-    source: any mesh with rows and columns (cell_id, y, x, latitude, longitude), skewed, rotated or over the date line; its
-    quads are those of straight edges between longitudes and latitudes, so none should hold a pole. Quads and points meet in
-    bins of bin_degrees, at best about the size of a quad; a point inside is one whose inverse bilinear map (Newton steps
-    from the quad's middle) lies within 0 to 1. Points on an edge take the quad of the least row and column; those in no
-    quad, and those without coordinates, get no rows.
+
+def _frames(q: DataFrame) -> DataFrame:
+    """(bx, by, ax, ay, cx, cy): the mean edges of the quads of each region along both axes of the mesh; where these
+    nearly cancel or are parallel, the mean width and height."""
+    f = q.groupBy("bx", "by").agg(
+        *(F.avg(c).alias(n) for c, n in (("x1", "ax"), ("y1", "ay"), ("x2", "cx"), ("y2", "cy"))), F.avg(F.col("xh") - F.col("xl")).alias("w"), F.avg(F.col("yh") - F.col("yl")).alias("h"))
+    a, c = F.hypot("ax", "ay"), F.hypot("cx", "cy")
+    flat = F.abs(F.col("ax") * F.col("cy") - F.col("ay") * F.col("cx")) <= 1e-3 * F.greatest(a * c, 1e-6 * F.col("w") * F.col("h"))
+    plain = {"ax": F.col("w"), "ay": F.lit(0.0), "cx": F.lit(0.0), "cy": F.col("h")}
+    return f.select("bx", "by", *(F.when(flat, plain[n]).otherwise(F.col(n)).alias(n) for n in plain))
+
+
+def curvilinear_candidates(source: DataFrame, points: DataFrame, bin_degrees: float = 1.0) -> DataFrame:
+    """Pairs of points (dst_cell, lat, lon) and quads of the mesh that can hold them.
+
+    Quads and points are dealt to regions of bin_degrees, and within these to bins of SIDE mean quads, along the mean edges
+    of the region's quads. So thin and skewed quads, whose boxes of latitudes and longitudes overlap, still meet only
+    points near them, and work is in proportion to both tables. Quads larger than the mean go to bins 2, 4, ... times as
+    large, so each has a few bins; points look in all sizes that their region has. Frames, one a region, are broadcast.
     """
-    across = max(1, int(360 // bin_degrees))
+    size = min(max(bin_degrees, REGION[0]), REGION[1])
+    across = int(360 // size)
     wide = 360.0 / across
     q = quads(source)
     for k in (1, 2, 3):
@@ -70,14 +91,43 @@ def curvilinear_weights(source: DataFrame, points: DataFrame, bin_degrees: float
     q = q.withColumns({"xl": low["x"] - EDGE, "xh": high["x"] + EDGE, "yl": low["y"] - EDGE, "yh": high["y"] + EDGE})
     west, south = F.pmod("k0.lon", F.lit(360.0)), F.col("k0.lat")
     q = q.withColumn("bx", F.explode(F.array_distinct(F.transform(F.sequence(F.floor((west + F.col("xl")) / wide), F.floor((west + F.col("xh")) / wide)), lambda b: F.pmod(b, F.lit(across).cast("long"))))))
-    q = q.withColumn("by", F.explode(F.sequence(F.floor((south + F.col("yl")) / bin_degrees), F.floor((south + F.col("yh")) / bin_degrees))))
-    q = q.withColumns({"x3": F.col("x3") - F.col("x1") - F.col("x2"), "y3": F.col("y3") - F.col("y1") - F.col("y2")})
+    q = q.withColumn("by", F.explode(F.sequence(F.floor((south + F.col("yl")) / size), F.floor((south + F.col("yh")) / size))))
+    frames = F.broadcast(_frames(q))  # bounded by REGION
+    q = q.join(frames, ["bx", "by"])
+    x, y = F.pmod(F.col("k0.lon") + F.col("xh") - F.col("bx") * wide, F.lit(360.0)) - F.col("xh"), south - F.col("by") * size
+    ends = [_in_frame(x, y), *(_in_frame(x + F.col(f"x{k}"), y + F.col(f"y{k}")) for k in (1, 2, 3))]
+    for c, of in zip("st", zip(*ends, strict=True), strict=True):
+        q = q.withColumns({f"{c}l": F.least(*of), f"{c}h": F.greatest(*of)})
+        room = ROOM * (1 + F.col(f"{c}h") - F.col(f"{c}l"))
+        q = q.withColumns({f"{c}l": F.col(f"{c}l") - room, f"{c}h": F.col(f"{c}h") + room})
+    q = q.withColumn("k", F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(F.col("sh") - F.col("sl"), F.col("th") - F.col("tl")) / SIDE)).cast("int")))
+    bin_of = lambda c: F.floor(F.col(c) / (SIDE * F.pow(F.lit(2.0), F.col("k"))))
+    sizes = F.broadcast(q.groupBy("bx", "by").agg(F.collect_set("k").alias("ks")))  # as many as frames
+    q = q.withColumns({"x3": F.col("x3") - F.col("x1") - F.col("x2"), "y3": F.col("y3") - F.col("y1") - F.col("y2")}).drop("ax", "ay", "cx", "cy")
+    for c in "st":
+        q = q.withColumn(f"{c}b", F.explode(F.sequence(bin_of(f"{c}l"), bin_of(f"{c}h"))))
     p = points.where("latitude is not null and longitude is not null").select(
         "dst_cell", F.col("latitude").cast("double").alias("lat"), F.col("longitude").cast("double").alias("lon"),
-        F.least(F.floor(F.pmod("longitude", F.lit(360.0)) / wide), F.lit(across - 1)).cast("long").alias("bx"), F.floor(F.col("latitude") / bin_degrees).alias("by"),
+        F.least(F.floor(F.pmod("longitude", F.lit(360.0)) / wide), F.lit(across - 1)).cast("long").alias("bx"), F.floor(F.col("latitude") / size).alias("by"),
     )
-    m = p.join(q, ["bx", "by"]).withColumns({"px": _turn(F.col("lon"), F.col("k0.lon")), "py": F.col("lat") - F.col("k0.lat")})
-    m = m.where(F.col("px").between(F.col("xl"), F.col("xh")) & F.col("py").between(F.col("yl"), F.col("yh")))
+    s, t = _in_frame(F.pmod("lon", F.lit(360.0)) - F.col("bx") * wide, F.col("lat") - F.col("by") * size)
+    p = p.join(frames, ["bx", "by"]).join(sizes, ["bx", "by"]).select("dst_cell", "lat", "lon", "bx", "by", s.alias("s"), t.alias("t"), F.explode("ks").alias("k"))
+    m = p.withColumns({"sb": bin_of("s"), "tb": bin_of("t")}).join(q, ["bx", "by", "k", "sb", "tb"])
+    m = m.where(F.col("s").between(F.col("sl"), F.col("sh")) & F.col("t").between(F.col("tl"), F.col("th")))
+    m = m.withColumns({"px": _turn(F.col("lon"), F.col("k0.lon")), "py": F.col("lat") - F.col("k0.lat")})
+    return m.where(F.col("px").between(F.col("xl"), F.col("xh")) & F.col("py").between(F.col("yl"), F.col("yh")))
+
+
+def curvilinear_weights(source: DataFrame, points: DataFrame, bin_degrees: float = 1.0) -> DataFrame:
+    """(dst_cell, src_cell, w): the four corners of the mesh's quad round each point (dst_cell, latitude, longitude).
+
+    source: any mesh with rows and columns (cell_id, y, x, latitude, longitude), skewed, rotated or over the date line; its
+    quads are those of straight edges between longitudes and latitudes, so none should hold a pole. Quads and points meet in
+    bins laid along the quads' edges; bin_degrees is the size of regions where quads are about alike, and a wrong one only
+    costs time. A point inside is one whose inverse bilinear map (Newton steps from the quad's middle) lies within 0 to 1.
+    Points on an edge take the quad of the least row and column; those in no quad, and those without coordinates, get no rows.
+    """
+    m = curvilinear_candidates(source, points, bin_degrees)
     m = m.withColumn("uv", _inverse()).where("uv is not null")
     best = F.min_by(F.struct("uv.u", "uv.v", *(F.col(f"k{k}.cell_id").alias(f"c{k}") for k in range(4))), F.struct("qy", "qx"))
     m = m.groupBy("dst_cell").agg(best.alias("q"))

@@ -127,3 +127,38 @@ def test_nodes_on_dense_rows_are_compared_in_proportion(spark):
     assert max(nodes.values()) < 4 * mesh.CROWD  # nodes of a few cubes, of 4,800
     twice = g.unionByName(g.withColumn("cell_id", F.col("cell_id") + 10000))
     assert mesh.nearest_weights(twice, at, 1.0).exceptAll(mesh.nearest_weights(g, at, 0.01)).count() == 0
+
+
+def test_quads_on_dense_rows_are_compared_in_proportion(spark):
+    quads = {}
+    for n in (100, 800):
+        g, at = thin(spark, n)
+        quads[n] = mesh.curvilinear_candidates(g, at).count() / (6 * n)
+        w = mesh.curvilinear_weights(g, at).groupBy("dst_cell").agg(F.collect_set("src_cell").alias("s"), F.sum("w").alias("w"))
+        got = {r["dst_cell"]: r for r in w.collect()}
+        assert len(got) > 4.5 * n and all(abs(r["w"] - 1) < 1e-9 and len(r["s"]) == 4 for r in got.values())
+    assert quads[800] < 3 and quads[800] < 1.5 * quads[100]
+
+
+def test_large_quads_among_small_ones(spark):
+    """Fine rows, then one row far away: quads of very different sizes and turned edges."""
+    at = [*(40 + 0.001 * k for k in range(40)), 55.0, 54.0]
+    rows = [(y * 3 + x, y, x, lat + 0.1 * x, (359.0 + 1.5 * x) % 360) for y, lat in enumerate(at) for x in range(3)]
+    g = spark.createDataFrame(rows, "cell_id long, y int, x int, latitude double, longitude double")
+    rng = random.Random(4)
+    points = [(i, rng.uniform(40.2, 40.22) if i % 2 else rng.uniform(40.3, 54), (359.2 + rng.uniform(0, 2.5)) % 360) for i in range(200)]
+    got = {}
+    for r in mesh.curvilinear_weights(g, spark.createDataFrame(points, POINTS), 0.7).collect():
+        got.setdefault(r["dst_cell"], {})[r["src_cell"]] = r["w"]
+    for i, lat, lon in points:
+        found = []
+        for y in range(41):
+            for x in range(2):
+                quad = [(at[y + a] + 0.1 * (x + b), (359.0 + 1.5 * (x + b)) % 360) for a in (0, 1) for b in (0, 1)]
+                if uv := inverse(quad, lat, lon):
+                    found.append(((y, x), uv))
+        assert (i in got) == bool(found), i
+        if found:
+            (y, x), (u, v) = found[0]
+            want = {(y + a) * 3 + x + b: (v if a else 1 - v) * (u if b else 1 - u) for a in (0, 1) for b in (0, 1)}
+            assert got[i].keys() == want.keys() and all(abs(got[i][k] - w) < 1e-6 for k, w in want.items())
