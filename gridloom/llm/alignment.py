@@ -18,6 +18,8 @@ from .staging import staged
 CHARS = 1 << 22
 #: Stands for a word whose tokens don't give its bytes back: a token of no bytes, which no vocabulary has.
 WRONG = np.array([0xFFFF], "<u4").tobytes()
+#: Words that aren't worth a text of their own.
+FEW = 4
 
 
 class PieceIds:
@@ -29,6 +31,9 @@ class PieceIds:
         self.model = SentencePieceProcessor(model_file=path)
         self.space = self.model.piece_to_id("▁")
 
+    def joined(self, words: list[str]) -> list[int]:
+        return self.model.encode(" ".join(words))
+
     def of(self, word: str) -> bytes:
         return np.array(self.model.encode(word) if word else [self.space], "<u4").tobytes()
 
@@ -49,6 +54,28 @@ class Sized(dict):
         self.ids, self.bytes = ids, ids.token_bytes()
         self.packed = np.array([i | len(b) << 16 for i, b in enumerate(self.bytes)], "<u4")
 
+    def learn(self, words: list[str]) -> None:
+        """Remember the words, which are new and don't end in white space, from their tokens in one text.
+
+        Where these don't give the text's bytes back, each half is tried; few words are left to be looked up one by one.
+        """
+        if len(words) < FEW:
+            return
+        ids = self.ids.joined(words)
+        if b"".join(map(self.bytes.__getitem__, ids)) != f" {' '.join(words)}".encode():
+            self.learn(words[: len(words) // 2])
+            self.learn(words[len(words) // 2 :])
+            return
+        own = self.packed[ids]
+        ends = np.cumsum(own >> 16)
+        size = np.fromiter(map(len, words) if "".join(words).isascii() else (len(w.encode()) for w in words), np.int64, len(words))
+        want = np.cumsum(size + 1)
+        at = np.searchsorted(ends, want)
+        if (ends[at] != want).any():  # a token over a space: none that these models have
+            return
+        data, cut = own.tobytes(), ((at + 1) * 4).tolist()
+        self.update(zip(words, (data[a:b] for a, b in zip([0, *cut], cut, strict=False)), strict=True))
+
     def __missing__(self, word: str) -> bytes:
         own = np.frombuffer(self.ids.of(word), "<u4")
         right = b"".join([self.bytes[i] for i in own.tolist()]) == f" {word}".encode()
@@ -59,6 +86,7 @@ class Sized(dict):
 
     def tokens(self, words: list[str]) -> np.ndarray | None:
         """Tokens of all words in turn, or None where some don't give the text back."""
+        self.learn([w for w in set(words) if w not in self and 0 < len(w) <= CACHE_CHARS and not w[-1].isspace()])
         out = np.frombuffer(b"".join(map(self.__getitem__, words)), "<u4")
         if len(self) > CACHE_WORDS:
             self.clear()

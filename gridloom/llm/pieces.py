@@ -51,6 +51,10 @@ class ByteTokens(dict):
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def joined(self, words: list[str]) -> list[int]:
+        """Ids of the words, each with a space before it."""
+        return self.tokenizer.encode(f" {' '.join(words)}", add_special_tokens=False).ids
+
     def of(self, word: str) -> bytes:
         """Ids of a space and the word, not remembered."""
         m = self.simple(word) if len(word) < 100 else None

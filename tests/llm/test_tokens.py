@@ -221,3 +221,22 @@ def test_divergence_of_a_long_text(spark):
     got = divergence._count(iter([spark.createDataFrame([(text, "en", "s")], "text string, lang string, source string").toArrow().to_batches()[0]]))
     counts = {r["term"]: (r["n"], r["docs"]) for b in got for r in b.to_pylist()}
     assert counts == {None: (0, 0), "w": (900_000, 1), "x": (900_000, 1)}
+
+
+def test_new_words_are_tokenized_in_one_text():
+    """As each alone: with words that end in white space, marks, other scripts and texts that a model doesn't give back."""
+    first, second = alignment.pair_of(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    words = ["quokka", "zebra,", "don't", "naïve", "日本語", "x\ny", "tail\n", "", " lead", "a" * 70, "ﬁne", "　wide", "<|endoftext|>", "</s>", "1234567", "🙂ok", *(f"w{k}ord" for k in range(40))]
+    for kept in (first, second):
+        kept.clear()
+        calls, joined = [], kept.ids.joined
+        kept.ids.joined = lambda w, f=joined, c=calls: c.append(len(w)) or f(w)
+        try:
+            kept.tokens(words)
+            learnt = dict(kept)
+            assert max(calls) >= 40 and len(learnt) == len(words) - 1  # the long one isn't remembered
+        finally:
+            kept.ids.joined = joined
+        kept.clear()
+        assert learnt == {w: kept[w] for w in words if len(w) <= 64}
+        kept.clear()
