@@ -19,11 +19,11 @@ FIRST = (4, 12)
 #: What sums in single precision can be off by.
 SLACK = 2e-5
 #: A term that more than this part of the examples hold has its list cut in blocks; shorter lists are added up whole.
-DENSE = 32
+DENSE = 8
 #: Documents that are scored at once, and postings of short lists that are added up at once.
-MOST_DOCS, MOST_WORK = 512, 1 << 19
+MOST_DOCS, MOST_WORK = 512, 1 << 17
 PIVOTS = 192
-#: Postings that are put into blocks at once, and bytes of texts that are scored at once.
+#: Postings that are put into blocks at once, and bytes of texts that are counted or scored at once.
 STEP, BYTES = 1 << 18, 1 << 19
 
 
@@ -110,8 +110,11 @@ class Examples:
         while a < m:
             b = max(a + 1, int(np.searchsorted(work, work[a] + MOST_WORK, "right")) - 1)
             s = slice(at[a], at[b])
-            add = _taken(self.value, self.at[t[s]], size[s])[0] * np.repeat(x[s], size[s])
-            cell = np.repeat((own[s] - a) * n, size[s]) + _taken(self.example, self.at[t[s]], size[s])[0]
+            taken = _places(self.at[t[s]], size[s])
+            add = np.repeat(x[s], size[s])
+            add *= self.value[taken]
+            cell = np.repeat((own[s] - a) * n, size[s])
+            cell += self.example[taken]
             short[a:b] = np.bincount(cell, add, (b - a) * n).reshape(b - a, n)
             a = b
         short = short.reshape(m, -1, BLOCK)
@@ -130,7 +133,7 @@ class Examples:
                 out[who, b] = part[who] @ full[b] + short[who, b]
             done += size
             both = np.concatenate([best, np.take_along_axis(out, at[:, :, None], 1).reshape(m, -1)], 1)
-            best = np.sort(np.partition(both, -self.k, 1)[:, -self.k :], 1)  # ascending
+            best = np.partition(both, -self.k, 1)[:, -self.k :]  # the least first
         for i, least in zip(range(m), np.maximum(best[:, 0] - SLACK, -0.5), strict=True):
             b, e = np.nonzero(out[i] >= least)
             mine = slice(cut[i], cut[i + 1])
@@ -267,12 +270,16 @@ class TermIndex:
         return own, _taken(self.seen[2], begin[back], size)[0]
 
 
+def _places(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of runs, one after the other."""
+    at = np.repeat(begin - np.cumsum(size) + size, size)
+    at += np.arange(len(at))
+    return at
+
+
 def _taken(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Runs of values one after the other, and where they begin and end now."""
-    end = np.cumsum(size)
-    at = np.repeat(begin - end + size, size)
-    at += np.arange(len(at))
-    return values[at], np.concatenate([[0], end])
+    return values[_places(begin, size)], np.concatenate([[0], np.cumsum(size)])
 
 
 def _counts(shared, labelled: bool):
@@ -286,7 +293,7 @@ def _counts(shared, labelled: bool):
         for batch in batches:
             at, label = 0, batch.column(1).to_numpy(zero_copy_only=False) if labelled else None
             sums[:, m] += [(label == y).sum() for y in (1, 0)] if labelled else batch.num_rows
-            for w in each_chunk(batch.column(0), NOT_LETTER, lower=True):
+            for w in each_chunk(batch.column(0), NOT_LETTER, lower=True, limit=BYTES):
                 own, term = index.of(w)
                 own, term = np.divmod(distinct(own * m + term), m)
                 for k, some in enumerate((label[at + own] == 1, label[at + own] == 0) if labelled else (slice(None),)):
@@ -359,7 +366,7 @@ def _bare(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for w in each_chunk(batch.column(0), NOT_LETTER, lower=True):
+            for w in each_chunk(batch.column(0), NOT_LETTER, lower=True, limit=BYTES):
                 m = w.last - w.first
                 some = np.flatnonzero(np.bincount(shared.value.index.of(w)[0], minlength=m) == 0)
                 yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(some + at))], ["y"])

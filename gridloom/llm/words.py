@@ -41,7 +41,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the base and of its inverse, modulo 2^64."""
     if len(_powers[0]) < n:
         for k, base in enumerate((_P, _PI)):
-            x = np.full(max(n, CHUNK), base, np.uint64)
+            x = np.full(1 << max(16, (n - 1).bit_length()), base, np.uint64)
             x[0] = 1
             _powers[k] = np.multiply.accumulate(x)
     return _powers[0][:n], _powers[1][:n]

@@ -704,3 +704,13 @@ def test_one_more_shard_moves_few(spark):
     of = lambda n: {r["id"]: r["shard"] for r in sharding.shard(df, n, key="id").collect()}
     a, b = of(16), of(17)
     assert sum(a[i] != b[i] for i in a) < 0.2 * len(a)
+
+
+def test_blocks_hold_no_thin_lists():
+    """Lists of a tenth of the examples stay postings: blocks of them would be ten times as large."""
+    n, k = 640, 10
+    vectors_ = [(i, float(i % 2), 1.0, np.array([0, *range(1 + i % 10, 501, 10)], np.int32), np.full(51, 51**-0.5, np.float32)) for i in range(n)]
+    e = toxicity.Examples(toxicity.TermIndex(np.arange(501)), np.ones(501), vectors_, 0.1, 1.0, k)
+    assert e.blocks()[1].nbytes <= e.value.nbytes
+    near, cos = e.nearest(vectors_[7][3], vectors_[7][4].astype(float))
+    assert sorted(e.ids[near] % 10) == [7] * k and np.allclose(cos, 1)
