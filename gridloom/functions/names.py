@@ -37,14 +37,23 @@ def first_attr(attrs: Column, *keys: str) -> Column:
     return F.coalesce(*(F.nullif(F.trim(F.get_json_object(attrs, f"$.{k}")), F.lit("")) for k in keys))
 
 
+def first_known(known: Column, *keys: str) -> Column:
+    """The same from a map of attributes, read once for any number of lookups."""
+    return F.coalesce(*(F.nullif(F.trim(known[k]), F.lit("")) for k in keys))
+
+
+TARGET = ("GRIB_cfVarName", "cfVarName", "cf_var_name", "short_name", "GRIB_shortName")
+
+
 def target_var(attrs: Column, source_var: Column) -> Column:
-    return F.coalesce(first_attr(attrs, "GRIB_cfVarName", "cfVarName", "cf_var_name", "short_name", "GRIB_shortName"), source_var)
+    return F.coalesce(first_attr(attrs, *TARGET), source_var)
 
 
-def dimensions(rank: Column, run_type: Column, attrs: Column | None = None) -> Column:
-    """Names of an array's dimensions: those that its JSON attributes state, else by its rank and run type."""
+def dimensions(rank: Column, run_type: Column, attrs: Column | None = None, known: Column | None = None) -> Column:
+    """Names of an array's dimensions: those that its attributes (JSON or a map) state, else by its rank and run type."""
     numbered = F.transform(F.sequence(F.lit(0), rank - 1), lambda i: F.concat(F.lit("dim_"), i.cast("string")))
-    stated = F.lit(None).cast("array<string>") if attrs is None else F.from_json(F.get_json_object(attrs, "$._ARRAY_DIMENSIONS"), "array<string>")
+    text = known["_ARRAY_DIMENSIONS"] if known is not None else None if attrs is None else F.get_json_object(attrs, "$._ARRAY_DIMENSIONS")
+    stated = F.lit(None).cast("array<string>") if text is None else F.from_json(text, "array<string>")
     return (
         F.when(F.size(stated) > 0, stated)
         .when((run_type == "anl") & (rank == 2), F.array(F.lit("y"), F.lit("x")))

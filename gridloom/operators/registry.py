@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.names import clean_text, dimensions, first_attr, modes, normal_level, offered, target_var, truthy
+from ..functions.names import TARGET, clean_text, dimensions, first_known, modes, normal_level, offered, truthy
 
 KEY = ("target_var", "family", "level", "run_type")
 
@@ -121,21 +121,22 @@ def discover(listing: DataFrame) -> DataFrame:
 
     Of attributes that can have several names, the first that isn't blank counts. attrs_json: the attributes whose names
     don't begin with an underscore, by name. Arrays whose attributes can't be read give a row of blanks that isn't offered
-    and says so in its notes.
+    and says so in its notes. Attributes are read once a row, into a map in a projection of its own.
     """
-    attr = lambda *keys: F.coalesce(first_attr(F.col("attrs"), *keys), F.lit(""))
-    target = target_var(F.col("attrs"), F.col("source_var"))
+    listing = listing.withColumns({"_known": F.from_json("attrs", "map<string,string>"), "_bad": F.try_parse_json("attrs").isNull()})
+    attr = lambda *keys: F.coalesce(first_known(F.col("_known"), *keys), F.lit(""))
+    target = F.coalesce(first_known(F.col("_known"), *TARGET), F.col("source_var"))
     group = F.concat_ws("/", "root", "level", "source_var")
-    known = F.map_filter(F.from_json("attrs", "map<string,string>"), lambda k, _: ~F.startswith(k, F.lit("_")))
+    known = F.map_filter("_known", lambda k, _: ~F.startswith(k, F.lit("_")))
     read = {
         "target_var": target, "long_name": attr("long_name", "GRIB_name"), "units": attr("units", "GRIB_units"),
         "include_in_cli": offered(target, F.col("source_var"), attr("long_name", "GRIB_name")).cast("string"),
         "short_name": attr("GRIB_shortName", "short_name"), "cf_var_name": attr("GRIB_cfVarName", "cfVarName", "cf_var_name"), "standard_name": attr("standard_name", "GRIB_cfName"),
-        "coordinates": attr("coordinates"), "dims": F.array_join(dimensions(F.size("shape"), F.col("run_type"), F.col("attrs")), ","),
+        "coordinates": attr("coordinates"), "dims": F.array_join(dimensions(F.size("shape"), F.col("run_type"), known=F.col("_known")), ","),
         "shape": F.to_json("shape"), "chunks": F.to_json("chunks"), "dtype": F.col("dtype"), "ndim": F.size("shape").cast("string"),
         "attrs_json": F.to_json(F.map_from_entries(F.array_sort(F.map_entries(known)))),
     }
-    bad = F.try_parse_json("attrs").isNull()
+    bad = F.col("_bad")
     of = lambda c: F.when(bad, "0" if c == "include_in_cli" else "").otherwise(read[c]).alias(c)
     return listing.select(
         of("target_var"), of("long_name"), of("units"), "family", "level", "source_var", F.col("run_type").alias("mode"), of("include_in_cli"),

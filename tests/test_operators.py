@@ -252,3 +252,14 @@ def test_nearest_weights_on_sparse_mesh(spark):
     got = nearest_weights(mesh, spark.createDataFrame(points, "dst_cell long, latitude double, longitude double"), 1.0).collect()
     want = {p[0]: min(nodes, key=lambda n: far(p, n))[0] for p in points}
     assert len(got) == len(points) and {r["dst_cell"]: r["src_cell"] for r in got} == want
+
+
+def test_discover_reads_attributes_once(spark):
+    from gridloom.operators import registry
+
+    row = ("r", "f", "l", "s", "anl", '{"units": "m", "_ARRAY_DIMENSIONS": ["a", "b"], "n": 1.0}', [1, 2], [1, 1], "<f4")
+    x = registry.discover(spark.createDataFrame([row], "root string, family string, level string, source_var string, run_type string, attrs string, shape array<int>, chunks array<int>, dtype string"))
+    r = x.first()
+    assert (r["units"], r["dims"], r["attrs_json"], r["target_var"]) == ("m", "a,b", '{"n":"1.0","units":"m"}', "s")
+    plan = x._jdf.queryExecution().optimizedPlan().toString()
+    assert "get_json_object" not in plan and plan.count("from_json(MapType") <= 1
