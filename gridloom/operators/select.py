@@ -195,6 +195,24 @@ def needed(wanted: DataFrame, deps: DataFrame, *keys: str) -> DataFrame:
     return asked.unionByName(more).distinct()
 
 
+def needed_in_order(wanted: DataFrame, deps: DataFrame, *keys: str) -> DataFrame:
+    """(keys, need): the array of the variables wanted and all that they need, parts first, one row a key.
+
+    What each different variable needs is told once, as bits of numbers of 63 variables each, so a key is a few numbers in
+    a task and not a row or a list of its variables. The different variables come to the driver.
+    """
+    of = [*needed(wanted.select(F.col("var").alias("_asked"), "var").distinct(), deps, "_asked").collect()]  # bounded by the catalogue
+    place = {v: i for i, (_, v) in enumerate(sorted({(r["level"], r["var"]) for r in of}))}
+    words = range(len(place) // 63 + 1)
+    bits: dict[str, list[int]] = {}
+    for r in of:
+        bits.setdefault(r["_asked"], [0 for _ in words])[place[r["var"]] // 63] |= 1 << place[r["var"]] % 63
+    told = wanted.sparkSession.createDataFrame([(v, *b) for v, b in bits.items()], ", ".join(["var string", *(f"_w{k} long" for k in words)]))
+    x = wanted.join(F.broadcast(told), "var").groupBy(*keys).agg(*(F.bit_or(f"_w{k}").alias(f"_w{k}") for k in words))
+    some = (F.when(F.getbit(f"_w{i // 63}", F.lit(i % 63)) == 1, v) for v, i in place.items())
+    return x.select(*keys, F.array_compact(F.array(F.lit(None).cast("string"), *some)).alias("need"))
+
+
 def period_bounds(start: Column, end: Column) -> tuple[Column, Column]:
     """process_bounds for columns of texts; an end before the start is an error when the rows are read."""
     a, b = start.cast("timestamp"), end.cast("timestamp")

@@ -269,9 +269,8 @@ def p23_nested(spark, d):
     """Derived of derived: each order's variable with all it needs, parts first."""
     k = F.col("o_orderkey") % 3
     wanted = table(spark, d, "orders").select("o_orderkey", F.when(k == 0, "power").when(k == 1, "si10").otherwise("t2m").alias("var"))
-    x = select.needed(wanted, spark.createDataFrame(NESTED, "var string, part string"), "o_orderkey")
-    inorder = F.array_sort(F.collect_list(F.struct("level", "var")))  # a row a variable of the catalogue
-    return x.groupBy("o_orderkey").agg(F.array_join(F.transform(inorder, lambda s: s["var"]), ",").alias("need"))
+    x = select.needed_in_order(wanted, spark.createDataFrame(NESTED, "var string, part string"), "o_orderkey")
+    return x.select("o_orderkey", F.array_join("need", ",").alias("need"))
 
 
 @query("p12_process_bounds", f"WITH {CATALOG} SELECT index, sim_start_year || '-01-01 00:00:00' AS start, sim_end_year || CASE WHEN index % 2 = 0 THEN '-12-31 23:00:00' ELSE '-12-31 06:00:00' END AS stop FROM catalog")

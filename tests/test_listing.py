@@ -57,3 +57,13 @@ def test_bounds_and_types_of_rows(spark):
     assert {tuple(r) for r in select.single_types(types, "kind", "v").collect()} == {("k", "p"), ("m", "q")}
     with pytest.raises(Exception, match="Several kinds"):
         select.single_types(types.union(spark.createDataFrame([("k", "z")], types.schema)), "kind", "v").collect()
+
+
+def test_needed_in_order_holds_no_lists_by_key(spark):
+    """More variables than bits of a number, and keys that want several."""
+    parts = [f"v{i:03}" for i in range(140)]
+    deps = spark.createDataFrame([*(("top", v) for v in parts), ("over", "top")], "var string, part string")
+    wanted = spark.createDataFrame([(1, "v138"), (1, "v139"), (2, "over"), (2, "v007"), (3, "alone"), (3, "top")], "k long, var string")
+    got = select.needed_in_order(wanted, deps, "k")
+    assert {r["k"]: r["need"] for r in got.collect()} == {1: ["v138", "v139"], 2: [*parts, "top", "over"], 3: ["alone", *parts, "top"]}
+    assert "collect_list" not in got._jdf.queryExecution().executedPlan().toString()
