@@ -12,11 +12,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .pieces import byte_tokens
+from .pieces import byte_texts
 from .staging import release, staged
 
-#: Characters of texts that are tokenized between two batches of rows.
-CHARS = 1 << 22
+#: Tokens of texts between two batches of rows.
+TOKENS = 1 << 20
 
 
 def fullest(left: dict[int, int], room: int) -> dict[int, int]:
@@ -105,21 +105,19 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, key: str, t
     """Pieces of all documents, each with its task (part) and how many pieces of its length the task had before (place)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, part, seen, rows, chars = byte_tokens(tokenizer), TaskContext.get().partitionId(), Counter(), [], 0
+        tokens, part, seen, rows, many = byte_texts(tokenizer), TaskContext.get().partitionId(), Counter(), [], 0
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for doc, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                s = value.as_py() or ""
-                b = tokens.encode(s) + end
+            for doc, b in zip(batch.column(0).to_pylist(), tokens.encode(batch.column(1)), strict=True):
+                b += end
                 n = len(b) // 4
                 edges = [0, *range(n % capacity or capacity, n + 1, capacity)] if n > capacity else [0, n]
                 for i, (a, z) in enumerate(zip(edges, edges[1:], strict=False)):
                     rows.append((doc, i, a, z - a, zlib.crc32(b[4 * a : 4 * z]), part, seen[z - a]))
                     seen[z - a] += 1
-                if (chars := chars + len(s)) > CHARS:
+                if (many := many + n) > TOKENS:
                     yield _batch(rows, PIECE)
-                    rows, chars = [], 0
-                    tokens.bound()
+                    rows, many = [], 0
         yield _batch(rows, PIECE)
 
     return docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text")).mapInArrow(run, PIECE)

@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from compare import connect, rows
@@ -240,3 +241,40 @@ def test_new_words_are_tokenized_in_one_text():
         kept.clear()
         assert learnt == {w: kept[w] for w in words if len(w) <= 64}
         kept.clear()
+
+
+@pytest.mark.parametrize("plain", [True, False])
+def test_byte_texts_are_those_of_whole_texts(plain, monkeypatch):
+    """Whatever the steps, with words forgotten and texts that are cut elsewhere, and where tokens don't give the text back."""
+    rng = random.Random(11)
+    mixed = ["".join(rng.choice([" ", "a", "Bc ", "é", ".", ",", "'s", "12", "中 ", "\n", "\u2003", "\x1c", "\xa0"]) for _ in range(40)) for _ in range(300)]
+    texts = [None, "", *ALL, None, *mixed, "x ", "x\n", *mixed[:50]]
+    tokenizer = pieces.ByteTokens(BYTE, plain).tokenizer
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for slice_, joined, step, many in ((1 << 24, 1 << 16, 1 << 16, 1 << 20), (500, 60, 7, 40)):
+        for name, value in (("SLICE", slice_), ("JOINED", joined), ("STEP", step), ("MANY_WORDS", many)):
+            monkeypatch.setattr(pieces, name, value)
+        mine = pieces.ByteTexts(BYTE, plain)
+        for kind in (pa.string(), pa.large_string()):
+            assert [np.frombuffer(b, "<u4").tolist() for b in mine.encode(pa.array(["before", *texts], kind)[1:])] == want
+        assert many > 40 or len(mine.known) < 200
+        mine = pieces.ByteTexts(BYTE, plain)
+        mine.bytes[1::2] = 0
+        assert [np.frombuffer(b, "<u4").tolist() for b in mine.encode(pa.array(texts))] == want
+    assert [*mine.encode(pa.array([], pa.string()))] == [] and [*mine.encode(pa.array([None], pa.string()))] == [b""]
+
+
+def test_words_of_best_fit_are_tokenized_once_and_in_joined_texts(monkeypatch):
+    words = [f"{a}{b}{mark}" for a in "abcdefghij" for b in ("one", "two", "three\nFour", "ü") for mark in ("", ".", ",")]
+    rng = random.Random(2)
+    texts = [" ".join(["Head", *rng.sample(words, 60)]) for _ in range(50)]
+    pieces.byte_texts.cache_clear()
+    mine = pieces.byte_texts(BYTE)
+    whole, joined, learnt = mine.tokens.whole, mine.joined, []
+    alone: list[str] = []
+    monkeypatch.setattr(mine.tokens, "whole", lambda t: alone.append(t) or whole(t))
+    monkeypatch.setattr(mine, "joined", lambda w, n: learnt.append(w) or joined(w, n))
+    for _ in range(2):
+        assert [len(b) // 4 for b in mine.encode(pa.array(texts))] == [len(mine.tokens.tokenizer.encode(t).ids) for t in texts]
+    assert len(learnt) == 1 and sorted(learnt[0]) == sorted(words) and set(alone) == {"Head"}
+    pieces.byte_texts.cache_clear()
