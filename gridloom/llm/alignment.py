@@ -5,21 +5,30 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .pieces import CACHE_CHARS, CACHE_WORDS, ByteTokens, spaced
+from . import pieces
+from .pieces import CACHE_CHARS, CACHE_WORDS, ByteTokens, KnownWords
 from .staging import staged
+from .words import ranges, text_bytes
 
-#: Characters of texts that are aligned between two batches of rows.
-CHARS = 1 << 22
+#: Tokens of documents that are aligned at once, and links that are counted at once.
+TOKENS, LINKS = 1 << 19, 1 << 22
 #: Stands for a word whose tokens don't give its bytes back: a token of no bytes, which no vocabulary has.
 WRONG = np.array([0xFFFF], "<u4").tobytes()
-#: Words that aren't worth a text of their own.
-FEW = 4
+#: Ends that are compared at once behind a common one.
+PROBE = 16
+#: Words that aren't worth a text of their own, and parts of a text that isn't given back.
+FEW, PARTS = 4, 16
+#: Last bytes of white space of two and of three bytes in UTF-8, the last one lowest; by byte, is it white space of one byte?
+_WIDE = [[int.from_bytes(c.encode(), "big") for c in map(chr, range(1 << 15)) if c.isspace() and len(c.encode()) == n] for n in (2, 3)]
+_WHITE = np.array([b < 128 and chr(b).isspace() for b in range(256)])
 
 
 class PieceIds:
@@ -54,26 +63,32 @@ class Sized(dict):
         self.ids, self.bytes = ids, ids.token_bytes()
         self.packed = np.array([i | len(b) << 16 for i, b in enumerate(self.bytes)], "<u4")
 
+    def together(self, words: list[str], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Tokens of words of these lengths in bytes, from those of one text, and how many each has; None where these don't give its bytes back."""
+        ids = self.ids.joined(words)
+        if b"".join(map(self.bytes.__getitem__, ids)) != f" {' '.join(words)}".encode():
+            return None
+        own = self.packed[ids]
+        ends, want = np.cumsum(own >> 16, dtype=np.int64), np.cumsum(lengths + 1)
+        at = np.searchsorted(ends, want)
+        if (ends[at] != want).any():  # a token over a space: none that these models have
+            return None
+        return own, np.diff(at, prepend=-1)
+
     def learn(self, words: list[str]) -> None:
         """Remember the words, which are new and don't end in white space, from their tokens in one text.
 
-        Where these don't give the text's bytes back, each half is tried; few words are left to be looked up one by one.
+        Where these don't give the text's bytes back, parts of it are tried; few words are left to be looked up one by one.
         """
         if len(words) < FEW:
             return
-        ids = self.ids.joined(words)
-        if b"".join(map(self.bytes.__getitem__, ids)) != f" {' '.join(words)}".encode():
-            self.learn(words[: len(words) // 2])
-            self.learn(words[len(words) // 2 :])
-            return
-        own = self.packed[ids]
-        ends = np.cumsum(own >> 16)
         size = np.fromiter(map(len, words) if "".join(words).isascii() else (len(w.encode()) for w in words), np.int64, len(words))
-        want = np.cumsum(size + 1)
-        at = np.searchsorted(ends, want)
-        if (ends[at] != want).any():  # a token over a space: none that these models have
+        if (found := self.together(words, size)) is None:
+            step = -(-len(words) // PARTS)
+            for k in range(0, len(words), step):
+                self.learn(words[k : k + step])
             return
-        data, cut = own.tobytes(), ((at + 1) * 4).tolist()
+        data, cut = found[0].tobytes(), (np.cumsum(found[1]) * 4).tolist()
         self.update(zip(words, (data[a:b] for a, b in zip([0, *cut], cut, strict=False)), strict=True))
 
     def __missing__(self, word: str) -> bytes:
@@ -84,13 +99,28 @@ class Sized(dict):
             self[word] = out
         return out
 
-    def tokens(self, words: list[str]) -> np.ndarray | None:
-        """Tokens of all words in turn, or None where some don't give the text back."""
+    def tokens(self, words: list[str]) -> list[bytes]:
+        """Tokens of each word; WRONG where these don't give it back."""
         self.learn([w for w in set(words) if w not in self and 0 < len(w) <= CACHE_CHARS and not w[-1].isspace()])
-        out = np.frombuffer(b"".join(map(self.__getitem__, words)), "<u4")
+        out = [*map(self.__getitem__, words)]
         if len(self) > CACHE_WORDS:
             self.clear()
-        return None if (out < 1 << 16).any() else out
+        return out
+
+
+class SizedWords(KnownWords):
+    """Tokens with their sizes, as Sized has them, in arrays; words that can't be told from one text come from Sized."""
+
+    def __init__(self, tokens: Sized):
+        super().__init__()
+        self.tokens = tokens
+
+    def joined(self, words: list[str], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.tokens.together(words, lengths) or self.apart(words)
+
+    def apart(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.tokens.tokens(words)
+        return np.frombuffer(b"".join(found), "<u4"), np.array([len(b) // 4 for b in found], np.int64)
 
 
 @lru_cache(1)
@@ -99,14 +129,44 @@ def pair_of(byte_bpe: str, piece_bpe: str) -> tuple[Sized, Sized]:
     return Sized(ByteTokens(byte_bpe, plain=True)), Sized(PieceIds(piece_bpe))
 
 
-def runs(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
+@lru_cache(1)
+def words_of(byte_bpe: str, piece_bpe: str) -> tuple[SizedWords, SizedWords]:
+    """The words that a worker remembers of each."""
+    first, second = pair_of(byte_bpe, piece_bpe)
+    return SizedWords(first), SizedWords(second)
+
+
+def cut(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """Words of all texts, none of them null or empty, each with the space before it, and where those of each text begin and end.
+
+    A word begins with a space put before the text, and with each space behind a character that is no white space. Words
+    stay where they stand in the texts.
+    """
+    data, offsets = text_bytes(pc.binary_join_element_wise("", texts.cast(pa.string()), " "))
+    spaces = np.flatnonzero(data == 32)
+    before = data[spaces - 1]
+    begins = ~_WHITE[before]
+    wide = np.flatnonzero(before >= 128)
+    last = sum(data[spaces[wide] - k - 1].astype(np.int64) << 8 * k for k in range(3))
+    begins[wide] = ~(np.isin(last & 0xFFFF, _WIDE[0]) | np.isin(last, _WIDE[1]))
+    begins[np.searchsorted(spaces, offsets[:-1])] = True
+    starts = spaces[begins]
+    edges = pa.py_buffer(np.append(starts, offsets[-1]).astype(np.int32))
+    return pa.Array.from_buffers(pa.string(), len(starts), [None, edges, pa.py_buffer(data)]).dictionary_encode(), np.searchsorted(starts, offsets)
+
+
+def runs(a: np.ndarray | list[int], b: np.ndarray | list[int]) -> list[tuple[int, int, int]]:
     """(i, j, n) of ascending ends whose last are equal: ends i..i+n-1 of a are ends j..j+n-1 of b, and these are all common ones.
 
-    Diagonal run skipping: from a common end on, while the shift j - i stays, probes of 1, 2, 4, ... ends are compared at
-    once, so a one-to-one stretch of n tokens is jumped in log n steps; a probe that fails is halved until the stretch's
-    end is known. There an irregular group begins: the lesser end goes on until both meet, which gives the next shift.
+    Diagonal run skipping: from a common end on, while the shift j - i stays, probes of PROBE ends, twice as many, ... are
+    compared at once by their bytes, so a one-to-one stretch of n tokens is jumped in log n steps; the first bit in which
+    a probe fails tells the stretch's end. There an irregular group begins: the lesser end goes on until both meet, which
+    gives the next shift.
     """
     out, i, j, n = [], 0, 0, len(a)
+    ends = [np.append(np.asarray(x, "<u4"), np.uint32(last)) for x, last in ((a, 0xFFFFFFFF), (b, 0xFFFFFFFE))]  # no probe goes on behind the end
+    (a, b), (of_a, of_b) = map(memoryview, ends), (x.tobytes() for x in ends)
+    number = int.from_bytes
     while i < n:
         x, y = a[i], b[j]
         while x != y:
@@ -116,15 +176,11 @@ def runs(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
             else:
                 j += 1
                 y = b[j]
-        k = step = 1
-        while i + k < n and a[i + k : i + k + step] == b[j + k : j + k + step]:
-            k += step
-            step *= 2
-        while step > 1 and i + k < n:
-            step //= 2
-            if a[i + k : i + k + step] == b[j + k : j + k + step]:
-                k += step
-        k = min(k, n - i)
+        p, q, size = 4 * i, 4 * j, 4 * PROBE
+        while (u := of_a[p : p + size]) == (v := of_b[q : q + size]):
+            p, q, size = p + size, q + size, 2 * size
+        differ = number(u, "little") ^ number(v, "little")
+        k = (p >> 2) - i + ((differ & -differ).bit_length() - 1 >> 5)
         out.append((i, j, k))
         i, j = i + k, j + k
     return out
@@ -132,71 +188,84 @@ def runs(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
 
 def groups(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the groups of two token sequences of one text end: the places of their last tokens in each."""
-    at = np.array(runs(np.cumsum(a >> 16, dtype=np.int64).tolist(), np.cumsum(b >> 16, dtype=np.int64).tolist()), np.int64).reshape(-1, 3)
+    at = np.array(runs(np.cumsum(a >> 16, dtype="<u4"), np.cumsum(b >> 16, dtype="<u4")), np.int64).reshape(-1, 3)
     i, j, n = at.T
     within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     return np.repeat(i, n) + within, np.repeat(j, n) + within
 
 
 @lru_cache(1)
-def _digits() -> tuple[np.ndarray, np.ndarray]:
-    """By number up to 65,535: its decimal digits in six bytes, and how many."""
-    x = np.zeros((1 << 16, 6), np.uint8)
-    size = np.ones(1 << 16, np.int64)
-    n = np.arange(1 << 16)
-    for k in range(1, 5):
-        size += n >= 10**k
-    for k in range(5):
-        some = size > k
-        x[some, k] = 48 + n[some] // 10 ** (size[some] - 1 - k) % 10
-    return x, size
-
-
-def written(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> bytes:
-    """Groups as text: ids of the first with commas, a bar, ids of the second with commas; semicolons between groups."""
-    digits, size = _digits()
+def _cells() -> np.ndarray:
+    """By kind of mark (comma, bar, semicolon) << 16 | number: the number's decimal digits and the mark, in the first bytes of eight."""
+    return np.array([f"{n}{mark}" for mark in ",|;" for n in range(1 << 16)], "S8").view("<u8")
+
+
+def written(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Groups as text: ids of the first with commas, a bar, ids of the second with commas, a semicolon; eight bytes a token, unused ones 0."""
     of_a, of_b = np.diff(i, prepend=-1), np.diff(j, prepend=-1)
     at_a = np.arange(len(a)) + np.repeat(j + 1 - of_b, of_a)  # before a group stand all tokens of both in earlier ones
     at_b = np.arange(len(b)) + np.repeat(i + 1, of_b)
-    ids, mark = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), 44, np.uint8)
+    ids = np.empty(len(a) + len(b), np.int64)
     ids[at_a], ids[at_b] = a & 0xFFFF, b & 0xFFFF
-    mark[at_a[i]], mark[at_b[j]] = 124, 59
-    cells, n = digits[ids], size[ids]
-    cells[np.arange(len(ids)), n] = mark
-    return cells[np.arange(6) <= n[:, None]].tobytes()[:-1]
+    ids[at_a[i]] |= 1 << 16
+    ids[at_b[j]] |= 2 << 16
+    return _cells()[ids]
 
 
 ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, a binary, b binary"
 
 
+def _rows(docs: pa.Array, n_a=0, n_b=0, n_groups=0, digests=None, linked=(b"", b"")) -> pa.RecordBatch:
+    """Rows of documents; linked ids stand one document's behind another's."""
+    counts = [np.broadcast_to(np.asarray(n, np.int64), len(docs)) for n in (n_a, n_b, n_groups)]
+    edges = pa.py_buffer(np.concatenate([[0], np.cumsum(counts[2] * 2)]).astype(np.int32))
+    ids = [pa.Array.from_buffers(pa.binary(), len(docs), [None, edges, pa.py_buffer(x)]) for x in linked]
+    return pa.RecordBatch.from_arrays([docs, *map(pa.array, counts), pa.array(digests or [""] * len(docs)), *ids], [f.split()[0] for f in ALIGNED.split(", ")])
+
+
+def _slice(batch: pa.RecordBatch, first: SizedWords, second: SizedWords) -> Iterator[pa.RecordBatch]:
+    """Rows of the batch's documents, those without tokens first."""
+    some = pc.fill_null(pc.greater(pc.binary_length(batch.column(1)), 0), False)
+    docs, none = batch.column(0).filter(some), batch.column(0).filter(pc.invert(some))
+    found, words = cut(batch.column(1).filter(some))
+    dictionary, places = pc.utf8_slice_codeunits(found.dictionary, 1), found.indices.to_numpy()
+    sides = []
+    for side in (first, second):
+        at = side.learn(dictionary)
+        tokens, edges = side.copied(at[places])
+        side.bound(at)
+        sides.append((tokens, edges[words]))
+    wrong = np.unique(np.concatenate([np.searchsorted(edges, np.flatnonzero(tokens < 1 << 16), "right") - 1 for tokens, edges in sides]))
+    if len(wrong):
+        right = np.ones(len(docs), bool)
+        right[wrong] = False
+        none = pa.concat_arrays([none, docs.filter(pa.array(~right))])
+        docs = docs.filter(pa.array(right))
+        sides = [(tokens[np.repeat(right, np.diff(edges))], np.concatenate([[0], np.cumsum(np.diff(edges)[right])])) for tokens, edges in sides]
+    if len(none):
+        yield _rows(none)
+    (a, of_a), (b, of_b) = sides
+    for x, y in ranges(of_a + of_b, TOKENS):
+        yield _block(docs[x:y], a[of_a[x] : of_a[y]], b[of_b[x] : of_b[y]], of_a[x : y + 1] - of_a[x], of_b[x : y + 1] - of_b[x])
+
+
+def _block(docs: pa.Array, a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray) -> pa.RecordBatch:
+    """Rows of documents whose tokens begin and end at these places; each one's end is an end of both."""
+    i, j = groups(a, b)
+    cells = written(a, b, i, j)
+    digests = [hashlib.sha256(cells[x:y].tobytes().translate(None, b"\0")[:-1]).hexdigest() for x, y in pairwise((of_a + of_b).tolist())]
+    n_groups = np.diff(np.searchsorted(i, of_a))
+    return _rows(docs, np.diff(of_a), np.diff(of_b), n_groups, digests, (a[i].astype("<u2"), b[j].astype("<u2")))
+
+
 def aligned(docs: DataFrame, byte_bpe: str, piece_bpe: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, groups_sha256, a, b): each document's groups; a and b hold the ids that are linked, two bytes each, in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second = pair_of(byte_bpe, piece_bpe)
-        rows, chars = [], 0
-        kinds = [pa.int64()] * 4 + [pa.string(), pa.binary(), pa.binary()]
-
-        def flushed() -> pa.RecordBatch:
-            columns = [*zip(*rows, strict=True)] or [()] * len(kinds)
-            rows.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [f.split()[0] for f in ALIGNED.split(", ")])
-
         for batch in batches:
-            for doc, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                s = value.as_py()
-                head, words = spaced(f" {s}") if s else ("", [])
-                words = [head[1:], *words] if head else words
-                a, b = first.tokens(words), second.tokens(words)
-                if not words or a is None or b is None:
-                    rows.append((doc, 0, 0, 0, "", b"", b""))
-                    continue
-                i, j = groups(a, b)
-                rows.append((doc, len(a), len(b), len(i), hashlib.sha256(written(a, b, i, j)).hexdigest(), a[i].astype("<u2").tobytes(), b[j].astype("<u2").tobytes()))
-                if (chars := chars + len(s)) > CHARS:
-                    yield flushed()
-                    chars = 0
-        yield flushed()
+            size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            for x, y in ranges(np.concatenate([[0], size]), pieces.SLICE):
+                yield from _slice(batch.slice(x, y - x), *words_of(byte_bpe, piece_bpe))
 
     return docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text")).mapInArrow(run, ALIGNED)
 
@@ -225,9 +294,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         links = _links(batch)[0]
-        for k in range(0, len(links), CHARS):
-            waiting.append(np.unique(links[k : k + CHARS], return_counts=True))
-            if sum(len(w[0]) for w in waiting) > max(CHARS, len(pairs)):
+        for k in range(0, len(links), LINKS):
+            waiting.append(np.unique(links[k : k + LINKS], return_counts=True))
+            if sum(len(w[0]) for w in waiting) > max(LINKS, len(pairs)):
                 pairs, n = merged()
     pairs, n = merged()
     yield pa.RecordBatch.from_arrays([pa.array(pairs.astype(np.int64)), pa.array(n)], ["pair", "n"])

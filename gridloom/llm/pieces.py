@@ -6,7 +6,7 @@ So a text is cut before such spaces, and the ids of a space and what follows it
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import pairwise
 
@@ -20,8 +20,8 @@ _MORE_SPACES = re.compile(r"\s ").search
 _CUT = re.compile(r"(?<=\S)(?= )").split
 #: White space in Arrow's regular expressions, all that Python's and the tokenizers' \s has.
 _WHITE = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-#: Words that are remembered where they stand in one array.
-MANY_WORDS = 1_500_000
+#: Words that are remembered where they stand in one array, and the most bytes of these and their tokens.
+MANY_WORDS, KNOWN_BYTES = 1_500_000, 1 << 26
 #: Bytes of texts whose words are told apart at once, of new words that are tokenized in one text; words whose ids are copied at once.
 SLICE, JOINED, STEP = 1 << 24, 1 << 16, 1 << 16
 
@@ -63,7 +63,7 @@ class ByteTokens(dict):
 
     def joined(self, words: list[str]) -> list[int]:
         """Ids of the words, each with a space before it."""
-        return self.tokenizer.encode(f" {' '.join(words)}", add_special_tokens=False).ids
+        return self.tokenizer.encode_batch_fast([f" {' '.join(words)}"], add_special_tokens=False)[0].ids
 
     def of(self, word: str) -> bytes:
         """Ids of a space and the word, not remembered."""
@@ -100,30 +100,18 @@ class ByteTokens(dict):
         return [bytes(map(of.__getitem__, t)) for t in map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))]
 
 
-class ByteTexts:
-    """Ids of many texts at once, those of ByteTokens: equal words meet in Arrow, and only new ones are tokenized, in joined texts.
+class KnownWords:
+    """Tokens of words, remembered in arrays: the k-th of the known words has size[k] tokens, from start[k] on in ids.
 
-    known: words that are remembered; the k-th has size[k] ids, from start[k] on in ids.
+    joined and apart, of subclasses, give the tokens of new words in turn, and how many each has: joined of many words in one
+    text, each behind a space, where words end in no white space and have those lengths in bytes; apart of each alone.
     """
 
-    def __init__(self, path: str, plain: bool = False):
-        self.tokens = ByteTokens(path, plain)
-        tokenizer = self.tokens.tokenizer
-        self.bytes = np.array([len(tokenizer.id_to_token(i) or "") for i in range(tokenizer.get_vocab_size())])
-        self.known, self.ids, self.size, self.start = pa.array([], pa.string()), np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    joined: Callable[[list[str], np.ndarray], tuple[np.ndarray, np.ndarray]]
+    apart: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
 
-    def joined(self, words: list[str], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words in turn, each behind a space, and how many each has. Words have those lengths in bytes and end in no white space."""
-        ids = np.array(self.tokens.tokenizer.encode_batch_fast([f" {' '.join(words)}"], add_special_tokens=False)[0].ids, "<u4")
-        ends, want = np.cumsum(self.bytes[ids]), np.cumsum(lengths + 1)
-        at = np.searchsorted(ends, want)
-        if len(ids) == 0 or ends[-1] != want[-1] or (ends[at] != want).any():  # tokens that don't give the text back
-            return self.apart(words)
-        return ids, np.diff(at, prepend=-1)
-
-    def apart(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [self.tokens.whole(f" {w}") for w in words]
-        return np.frombuffer(b"".join(found), "<u4"), np.array([len(b) // 4 for b in found], np.int64)
+    def __init__(self):
+        self._keep(pa.array([], pa.string()), np.zeros(0, "<u4"), np.zeros(0, np.int64))
 
     def learn(self, words: pa.Array) -> np.ndarray:
         """Where each of the distinct words is known, with the new ones behind the others."""
@@ -145,7 +133,7 @@ class ByteTexts:
     def _keep(self, known: pa.Array, ids: np.ndarray, size: np.ndarray) -> None:
         self.known, self.ids, self.size, self.start = known, ids, size, np.cumsum(size) - size
 
-    def _copied(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def copied(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words known at these places, in turn, and where those of each word begin and end."""
         edges = np.concatenate([[0], np.cumsum(self.size[at])])
         out = np.empty(edges[-1], "<u4")
@@ -157,11 +145,33 @@ class ByteTexts:
         return out, edges
 
     def bound(self, at: np.ndarray) -> None:
-        """Once there are many words, forget all but those at these places, the last ones met, that aren't long."""
-        if len(self.known) > MANY_WORDS:
+        """Once there are many words, or they take many bytes, forget all but those at these places, the last ones met, that aren't long."""
+        if len(self.known) > MANY_WORDS or self.known.nbytes + self.ids.nbytes > KNOWN_BYTES:
             words = self.known.take(at)
             short = pc.binary_length(words).to_numpy(zero_copy_only=False) <= CACHE_CHARS
-            self._keep(words.filter(short), self._copied(at[short])[0], self.size[at[short]])
+            self._keep(words.filter(short), self.copied(at[short])[0], self.size[at[short]])
+
+
+class ByteTexts(KnownWords):
+    """Ids of many texts at once, those of ByteTokens: equal words meet in Arrow, and only new ones are tokenized, in joined texts."""
+
+    def __init__(self, path: str, plain: bool = False):
+        super().__init__()
+        self.tokens = ByteTokens(path, plain)
+        tokenizer = self.tokens.tokenizer
+        self.bytes = np.array([len(tokenizer.id_to_token(i) or "") for i in range(tokenizer.get_vocab_size())])
+
+    def joined(self, words: list[str], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.array(self.tokens.joined(words), "<u4")
+        ends, want = np.cumsum(self.bytes[ids]), np.cumsum(lengths + 1)
+        at = np.searchsorted(ends, want)
+        if len(ids) == 0 or ends[-1] != want[-1] or (ends[at] != want).any():  # tokens that don't give the text back
+            return self.apart(words)
+        return ids, np.diff(at, prepend=-1)
+
+    def apart(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [self.tokens.whole(f" {w}") for w in words]
+        return np.frombuffer(b"".join(found), "<u4"), np.array([len(b) // 4 for b in found], np.int64)
 
     def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """Each text's ids, none for null; a slice of the texts at a time."""
@@ -179,7 +189,7 @@ class ByteTexts:
         follows[first[:-1]] = False
         heads, found = flat.take(first[:-1]).to_pylist(), flat.filter(follows).dictionary_encode()
         at = self.learn(found.dictionary)
-        ids, edges = self._copied(at[found.indices.to_numpy()])
+        ids, edges = self.copied(at[found.indices.to_numpy()])
         self.bound(at)
         of = edges[first - np.arange(len(first))].tolist()
         for k, (head, odd) in enumerate(zip(heads, spaces.to_pylist(), strict=True)):

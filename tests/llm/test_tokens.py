@@ -278,3 +278,54 @@ def test_words_of_best_fit_are_tokenized_once_and_in_joined_texts(monkeypatch):
         assert [len(b) // 4 for b in mine.encode(pa.array(texts))] == [len(mine.tokens.tokenizer.encode(t).ids) for t in texts]
     assert len(learnt) == 1 and sorted(learnt[0]) == sorted(words) and set(alone) == {"Head"}
     pieces.byte_texts.cache_clear()
+
+
+def test_words_of_alignment_are_tokenized_once_in_joined_texts(monkeypatch):
+    """Over all documents of a slice, also those with spaces behind white space; once more only where they were forgotten."""
+    words = [f"{a}{b}{mark}" for a in "abcdefghij" for b in ("one", "two", "three\nFour", "ü") for mark in ("", ".", ",")]
+    rng = random.Random(2)
+    texts = [("" if k % 2 else "Head\n  of all ") + " ".join(rng.sample(words, 60)) for k in range(50)]
+    batch = pa.record_batch([pa.array(range(50)), pa.array(texts)], ["doc_id", "text"])
+    for cached in (alignment.pair_of, alignment.words_of):
+        cached.cache_clear()
+    calls = []
+    for side in alignment.words_of(BYTE, PIECE):
+        monkeypatch.setattr(side.tokens.ids, "joined", lambda w, f=side.tokens.ids.joined: calls.append(sorted(w)) or f(w))
+    got = [alignment._slice(batch, *alignment.words_of(BYTE, PIECE)) for _ in range(2)]
+    first, again = ([r for b in x for r in b.to_pylist()] for x in got)
+    assert first == again and [(r["n_a"], r["n_b"]) for r in first] == [(len(a), len(b)) for a, b in both_by_hand(texts)]
+    assert len(calls) == 2 and calls[0] == calls[1] == sorted({*words, "Head\n  of", "all"})
+    for cached in (alignment.pair_of, alignment.words_of):
+        cached.cache_clear()
+
+
+def test_alignment_whatever_the_steps(spark, monkeypatch):
+    """Slices, blocks, joined texts and remembered words of few; mixed white space, and words that aren't given back among others."""
+    rng = random.Random(13)
+    parts = [" ", "  ", "a", "Bc ", "é", ".", ",", "'s", "12 ", "中 ", "\n", " ", "　 ", "\x1c", "\x85", "\xa0 ", "ﬁ", "word ", *["x "] * 30, "▁"]
+    texts = [*ALL[:8], None, "", *ODD, *("".join(rng.choice(parts) for _ in range(rng.randint(1, 60))) for _ in range(300)), " ".join(f"w{k}" for k in range(300)) + " a▁"]
+    texts = [t if t is None or len(t) < 20_000 else t[:9000] for t in texts]
+    want = aligned_by_hand(texts)
+    assert 20 < sum(w[0] == 0 for w in want) < 300
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").toArrow().combine_chunks().to_batches()[0]
+    digests = {}
+    for slice_, joined, step, many, tokens in ((1 << 24, 1 << 16, 1 << 16, 1 << 20, 1 << 19), (500, 60, 7, 40, 50)):
+        for name, value in (("SLICE", slice_), ("JOINED", joined), ("STEP", step), ("MANY_WORDS", many)):
+            monkeypatch.setattr(pieces, name, value)
+        monkeypatch.setattr(alignment, "TOKENS", tokens)
+        pair = [alignment.SizedWords(x) for x in alignment.pair_of(BYTE, PIECE)]
+        sizes = np.cumsum([0, *(len((t or "").encode()) for t in texts)])
+        got = [r for x, y in alignment.ranges(sizes, slice_) for b in alignment._slice(docs.slice(x, y - x), *pair) for r in b.to_pylist()]
+        assert {r["doc_id"]: (r["n_a"], r["n_b"], r["n_groups"], len(r["a"]) // 2, len(r["b"]) // 2, r["groups_sha256"]) for r in got} == {k: (w[0], w[1], w[2], w[2], w[2], w[6]) for k, w in enumerate(want)}
+        digests[many] = sorted((r["doc_id"], r["a"], r["b"]) for r in got)
+    assert digests[40] == digests[1 << 20]
+
+
+def test_words_are_remembered_within_bytes(monkeypatch):
+    monkeypatch.setattr(pieces, "KNOWN_BYTES", 20_000)
+    mine = pieces.ByteTexts(BYTE)
+    for k in range(20):
+        text = f"a b{k} " + f"{k}x" * 2000
+        assert [len(b) // 4 for b in mine.encode(pa.array([text]))] == [len(mine.tokens.tokenizer.encode(text).ids)]
+        assert mine.known.nbytes + mine.ids.nbytes <= 20_000
+    assert 0 < len(mine.known) < 40
