@@ -18,8 +18,8 @@ from .pieces import CACHE_CHARS, CACHE_WORDS, ByteTokens, KnownWords
 from .staging import staged
 from .words import ranges, text_bytes
 
-#: Tokens of documents that are aligned at once, and links that are counted at once.
-TOKENS, LINKS = 1 << 19, 1 << 22
+#: Tokens of documents that are aligned at once, and links that are counted or looked up at once.
+TOKENS, LINKS = 1 << 19, 1 << 20
 #: Stands for a word whose tokens don't give its bytes back: a token of no bytes, which no vocabulary has.
 WRONG = np.array([0xFFFF], "<u4").tobytes()
 #: Ends that are compared at once behind a common one.
@@ -120,6 +120,7 @@ class SizedWords(KnownWords):
 
     def apart(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = self.tokens.tokens(words)
+        self.tokens.clear()  # they are remembered here
         return np.frombuffer(b"".join(found), "<u4"), np.array([len(b) // 4 for b in found], np.int64)
 
 
@@ -270,15 +271,17 @@ def aligned(docs: DataFrame, byte_bpe: str, piece_bpe: str, key: str = "doc_id",
     return docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text")).mapInArrow(run, ALIGNED)
 
 
-def _links(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Linked ids a | b << 16 of the batch's documents, and where each document's begin and end."""
+def _links(batch: pa.RecordBatch) -> tuple[Iterator[np.ndarray], np.ndarray]:
+    """Linked ids a | b << 16 of the batch's documents, LINKS at a time, and where each document's begin and end."""
     parts = []
     for name in ("a", "b"):
         column = batch.column(name).cast(pa.large_binary())
         at = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1] // 2
         data = column.buffers()[2]
         parts.append(np.frombuffer(data, "<u2")[at[0] : at[-1]] if data is not None and at[-1] > at[0] else np.zeros(0, "<u2"))
-    return parts[0].astype(np.uint32) | parts[1].astype(np.uint32) << np.uint32(16), at - at[0]
+    a, b = parts
+    steps = (slice(k, k + LINKS) for k in range(0, len(a), LINKS))
+    return (a[k].astype(np.uint32) | b[k].astype(np.uint32) << np.uint32(16) for k in steps), at - at[0]
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,15 +296,31 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return u, total
 
     for batch in batches:
-        links = _links(batch)[0]
-        for k in range(0, len(links), LINKS):
-            waiting.append(np.unique(links[k : k + LINKS], return_counts=True))
+        for links in _links(batch)[0]:
+            waiting.append(np.unique(links, return_counts=True))
             if sum(len(w[0]) for w in waiting) > max(LINKS, len(pairs)):
                 pairs, n = merged()
     pairs, n = merged()
     yield pa.RecordBatch.from_arrays([pa.array(pairs.astype(np.int64)), pa.array(n)], ["pair", "n"])
 
 
+def _looked_up(batch: pa.RecordBatch, pairs: np.ndarray, n: np.ndarray, best: np.ndarray) -> pa.RecordBatch:
+    """Rows of the batch's documents with the sums over their links; pairs are in order, with the count of each and whether it is its b's highest."""
+    steps, at = _links(batch)
+    sums, done = np.zeros((2, len(at)), np.int64), 0  # over all links before each place
+    before = [0, 0]
+    for links in steps:
+        found = np.searchsorted(pairs, links)
+        x, y = np.searchsorted(at, (done, done + len(links)), "right")
+        for k, of in enumerate((best, n)):
+            so_far = np.cumsum(of[found], dtype=np.int64)
+            sums[k, x:y] = before[k] + so_far[at[x:y] - done - 1]
+            before[k] += int(so_far[-1])
+        done += len(links)
+    per = [pa.array(np.diff(x)) for x in (at, *sums)]
+    return pa.RecordBatch.from_arrays([*batch.columns[:4], *per, batch.column("groups_sha256")], [f.split()[0] for f in OUT.split(", ")])
+
+
 OUT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
@@ -326,13 +345,8 @@ def align(docs: DataFrame, byte_bpe: str, piece_bpe: str, key: str = "doc_id", t
     shared = docs.sparkSession.sparkContext.broadcast((pairs, n, n == most[pairs >> np.uint32(16)]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, n, best = shared.value
         for batch in batches:
-            links, at = _links(batch)
-            found = np.searchsorted(pairs, links)
-            sums = [np.concatenate([[0], np.cumsum(x)]) for x in (best[found] if len(links) else links, n[found] if len(links) else links)]
-            per = [pa.array(np.diff(at)), *(pa.array(np.diff(s[at]).astype(np.int64)) for s in sums)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *per, batch.column("groups_sha256")], [f.split()[0] for f in OUT.split(", ")])
+            yield _looked_up(batch, *shared.value)
 
     return done.select("doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "a", "b").mapInArrow(run, OUT)
 

@@ -21,9 +21,9 @@ _CUT = re.compile(r"(?<=\S)(?= )").split
 #: White space in Arrow's regular expressions, all that Python's and the tokenizers' \s has.
 _WHITE = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 #: Words that are remembered where they stand in one array, and the most bytes of these and their tokens.
-MANY_WORDS, KNOWN_BYTES = 1_500_000, 1 << 26
+MANY_WORDS, KNOWN_BYTES = 500_000, 1 << 25
 #: Bytes of texts whose words are told apart at once, of new words that are tokenized in one text; words whose ids are copied at once.
-SLICE, JOINED, STEP = 1 << 24, 1 << 16, 1 << 16
+SLICE, JOINED, STEP = 1 << 22, 1 << 16, 1 << 16
 
 
 def spaced(text: str) -> tuple[str, list[str]]:

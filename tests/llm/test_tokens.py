@@ -5,7 +5,9 @@ import collections
 import hashlib
 import itertools
 import random
+import tracemalloc
 import zlib
+from unittest import mock
 
 import numpy as np
 import public_tokenizers
@@ -329,3 +331,63 @@ def test_words_are_remembered_within_bytes(monkeypatch):
         assert [len(b) // 4 for b in mine.encode(pa.array([text]))] == [len(mine.tokens.tokenizer.encode(text).ids)]
         assert mine.known.nbytes + mine.ids.nbytes <= 20_000
     assert 0 < len(mine.known) < 40
+
+
+def linked(a, b, sizes):
+    """A batch of documents with so many of these links each, as it comes from aligned, and one row that isn't of it."""
+    edges = pa.py_buffer(np.cumsum([0, 1, *sizes]).astype(np.int32) * 2)
+    ids = [pa.Array.from_buffers(pa.binary(), len(sizes) + 1, [None, edges, pa.py_buffer(np.append([1], x).astype("<u2"))]) for x in (a, b)]
+    rows = pa.array(range(len(sizes) + 1))
+    return pa.RecordBatch.from_arrays([*[rows] * 4, rows.cast(pa.string()), *ids], ["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "a", "b"])[1:]
+
+
+def peak_mb(f):
+    tracemalloc.start()
+    try:
+        return f(), tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_links_are_counted_and_looked_up_a_few_at_a_time(monkeypatch):
+    """Whatever the steps: documents over several of them, on their edges, and without links; memory doesn't grow with a batch."""
+    rng = np.random.default_rng(5)
+    for sizes, steps in (([0, 3, 0, 25, 7, 7, 1, 0], (1, 7, 1 << 20)), ([0, 0], (7,)), ([], (7,)), ([5_000_000, 0, 3_000_000], (None,))):
+        a, b = rng.integers(0, 200, sum(sizes)), rng.integers(0, 150, sum(sizes))
+        batch = linked(a, b, sizes)
+        want, count = np.unique(a | b << 16, return_counts=True)
+        most = np.array([count[want >> 16 == j].max(initial=0) for j in range(150)])
+        best = count == most[want >> 16]
+        of = np.searchsorted(want, a | b << 16)
+        at = np.cumsum([0, *sizes])
+        sums = [[int(best[of[x:y]].sum()), int(count[of[x:y]].sum())] for x, y in itertools.pairwise(at)]
+        for step in steps:
+            if step:
+                monkeypatch.setattr(alignment, "LINKS", step)
+            else:
+                monkeypatch.undo()
+            (got,), counting = peak_mb(lambda: [*alignment._counted(iter([batch]))])  # noqa: B023
+            assert (got["pair"].to_pylist(), got["n"].to_pylist()) == (want.tolist(), count.tolist())
+            got, looking = peak_mb(lambda: alignment._looked_up(batch, want.astype(np.uint32), count, best))  # noqa: B023
+            assert [[r["n_links"], r["n_best"], r["count_sum"]] for r in got.to_pylist()] == [[n, *s] for n, s in zip(sizes, sums, strict=True)]
+            assert max(counting, looking) < 60
+
+
+def test_texts_are_aligned_in_small_slices(monkeypatch):
+    """Of a batch with much text, little is held as words and tokens at once."""
+    docs, found = mock.MagicMock(), []
+    docs.select.return_value.mapInArrow = lambda f, _: f
+    monkeypatch.setattr(alignment, "_slice", lambda batch, *_: [found.append(batch)])
+    batch = pa.record_batch([pa.array(range(90)), pa.array(["many words " * 20_000] * 80 + [None, "", "x" * 9_000_000, *["few"] * 7])], ["doc_id", "text"])
+    assert len([*alignment.aligned(docs, BYTE, PIECE)(iter([batch, batch[:0]]))]) == len(found)
+    assert [r for x in found for r in x["doc_id"].to_pylist()] == [*range(90)]
+    assert all(pa.compute.sum(pa.compute.binary_length(x["text"])).as_py() <= 5_000_000 or x.num_rows == 1 for x in found)
+
+
+def test_words_without_a_text_of_their_own_are_held_once():
+    """Words that are looked up alone stand in the arrays, not in a dictionary too."""
+    first, second = (alignment.SizedWords(x) for x in alignment.pair_of(BYTE, PIECE))
+    words = pa.array([f"w{k}\n" for k in range(500)])
+    for side in (first, second):
+        at = side.learn(words)
+        assert side.learn(words).tolist() == at.tolist() and len(side.known) == 500 and len(side.tokens) == 0
